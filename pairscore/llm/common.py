@@ -56,3 +56,25 @@ class Staged:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def map_text(df: DataFrame, column: str, keep: list[str], fields: str, make) -> DataFrame:
+    """``keep`` of each row, untouched, and ``fields`` (a DDL string) from its text in ``column``. ``make()`` is called
+    once a task and returns a function from a list of texts (None for null) to one list of values per field."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    made = StructType.fromDDL(fields)
+    schema = StructType([df.schema[c] for c in keep] + made.fields)
+    types = [f.type for f in to_arrow_schema(made)]
+    read = list(dict.fromkeys([*keep, column]))
+
+    def run(batches):
+        fn = make()
+        for b in batches:
+            values = fn(b.column(read.index(column)).to_pylist())
+            arrays = [b.column(read.index(c)) for c in keep] + [pa.array(v, t) for v, t in zip(values, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, [f.name for f in schema.fields])
+
+    return df.select(*read).mapInArrow(run, schema)

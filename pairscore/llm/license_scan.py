@@ -2,7 +2,7 @@
 
 Templates are short word sequences. A text is cut into overlapping blocks of ``2 * STEP`` words, one every ``STEP``
 words, so any passage of up to ``STEP`` words lies whole in a block. A block matches a template when it holds at least
-``threshold`` of the template's distinct words. Words are ordered by how often the corpus has them, rarest first:
+``threshold`` of the template's distinct words (all of them, if it has fewer than WHOLE_BELOW). Words are ordered by how often the corpus has them, rarest first:
 
 * prefix filter: a match must hold one of a template's ``size - ceil(threshold * size) + 1`` rarest words;
 * length filter: a block with fewer distinct template words than the threshold asks for cannot match;
@@ -48,6 +48,8 @@ TEMPLATES = (
     ("unlicense-terms", "this is free and unencumbered software released into the public domain"),
 )
 STEP = 32
+#: A template of fewer distinct words is too short to miss one: all of them are asked for, in any order.
+WHOLE_BELOW = 10
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -84,7 +86,7 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, base=None, threshold: flo
     prefixes, shapes = [], []
     for rule, (label, ws, exact) in enumerate(rules):
         ranks = sorted({order[w] for w in ws})
-        need = len(ranks) if exact else math.ceil(threshold * len(ranks) - 1e-9)
+        need = len(ranks) if exact or len(ranks) < WHOLE_BELOW else math.ceil(threshold * len(ranks) - 1e-9)
         prefixes += [(rule, r, k, len(ranks), need) for k, r in enumerate(ranks[: len(ranks) - need + 1])]
         shapes.append((rule, label, exact, [order[w] for w in ws], ranks))
     prefix_table = F.broadcast(spark.createDataFrame(prefixes, "rule int, rank int, k int, size int, need int"))
