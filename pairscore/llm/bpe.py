@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,8 +26,9 @@ from pyspark.sql import DataFrame
 from .common import map_text
 
 _SIMPLE = re.compile(r"[\x00-\x1b\x20-˿]*")
-#: White-space separated strings whose ids a worker remembers; beyond, it starts anew.
-STRINGS_KEPT = 400_000
+#: White-space separated strings whose ids a worker remembers: when so many are new, the last so many become the old
+#: ones, and older ones are forgotten.
+STRINGS_KEPT = 300_000
 
 
 def byte_symbols() -> list[str]:
@@ -62,6 +64,7 @@ class ForcedCutEncoder:
         self.table = {b: s for b, s in enumerate(self.symbol)}
         self.library = Tokenizer.from_file(path)
         self.strings: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _pairs(self, token: str) -> Iterator[str]:
         """Neighbouring symbols inside a token, as strings; the last symbol of a word-final token bears the mark."""
@@ -82,12 +85,14 @@ class ForcedCutEncoder:
 
     def _string(self, s: str) -> bytes:
         """Ids, as bytes, of a lower-case string without white space."""
-        ids: list[int] = []
-        for word in self.pattern.findall(s):
-            ids += self.word_ids(word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(self.table))
-        found = b"".join(i.to_bytes(4, "little") for i in ids)
+        found = self.older.get(s)
+        if found is None:
+            ids: list[int] = []
+            for word in self.pattern.findall(s):
+                ids += self.word_ids(word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(self.table))
+            found = struct.pack(f"<{len(ids)}I", *ids)
         if len(self.strings) >= STRINGS_KEPT:
-            self.strings.clear()
+            self.older, self.strings = self.strings, {}
         self.strings[s] = found
         return found
 
@@ -98,8 +103,8 @@ class ForcedCutEncoder:
             if part in self.special:
                 out.append(self.special[part].to_bytes(4, "little"))
             elif _SIMPLE.fullmatch(part):
-                known, make = self.strings.get, self._string
-                out += [known(s) or make(s) for s in part.lower().split()]
+                make = self._string
+                out += [self.strings.get(s) or make(s) for s in part.lower().split()]
             elif part:
                 for word, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part)):
                     out.append(b"".join(i.to_bytes(4, "little") for i in self.word_ids(word)))

