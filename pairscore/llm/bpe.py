@@ -28,7 +28,8 @@ from .common import map_text
 _SIMPLE = re.compile(r"[\x00-\x1b\x20-˿]*")
 #: White-space separated strings whose ids a worker remembers: when so many are new, the last so many become the old
 #: ones, and older ones are forgotten.
-STRINGS_KEPT = 300_000
+STRINGS_KEPT = 500_000
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
 def byte_symbols() -> list[str]:
@@ -58,6 +59,10 @@ class ForcedCutEncoder:
         for token, i in (*self.vocab.items(), *self.special.items()):
             self.tokens[i] = token
         self.inside = {pair for token in self.vocab for pair in self._pairs(token)}
+        # the cuts of words of plain letters, as one search
+        never = [a + b for a in _LETTERS for b in _LETTERS if a + b not in self.inside]
+        never += [f"{a}{b}$" for a in _LETTERS for b in _LETTERS if a + b + self.end not in self.inside]
+        self.plain_cut = re.compile("|".join(never) or "(?!)")
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.symbol = byte_symbols()
@@ -83,14 +88,26 @@ class ForcedCutEncoder:
                 at = i
         return ids + [t.id for t in self.final.tokenize(word[at:])]
 
+    def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            if not self.plain_cut.search(word):
+                ids = [t.id for t in self.final.tokenize(word)]
+            else:
+                ids = self.word_ids(word)
+        else:
+            ids = self.word_ids(word.encode().decode("latin-1").translate(self.table))
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _string(self, s: str) -> bytes:
         """Ids, as bytes, of a lower-case string without white space."""
         found = self.older.get(s)
         if found is None:
-            ids: list[int] = []
-            for word in self.pattern.findall(s):
-                ids += self.word_ids(word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(self.table))
-            found = struct.pack(f"<{len(ids)}I", *ids)
+            if s.isalpha():
+                found = self._word(s)
+            elif s[-1] in ".," and s[:-1].isalpha():
+                found = (self.strings.get(s[:-1]) or self._string(s[:-1])) + (self.strings.get(s[-1]) or self._word(s[-1]))
+            else:
+                found = b"".join(map(self._word, self.pattern.findall(s)))
         if len(self.strings) >= STRINGS_KEPT:
             self.older, self.strings = self.strings, {}
         self.strings[s] = found
