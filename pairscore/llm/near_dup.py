@@ -4,8 +4,11 @@ Documents become sets of 64-bit hashes of word n-grams; texts with the same word
 the n-grams, two sets with Jaccard similarity t or more share an n-gram among the ``n - ceil(t n) + 1`` first of each: so
 they must do so under every order.
 
-1. First order, over the whole corpus: frequent n-grams last. The nodes that share a prefix n-gram are linked into
-   candidate classes by stars, one edge a node and n-gram, so no pairs within a group are listed.
+1. First order, over the whole corpus: rarest first. Chunks of rows send their n-grams, sorted and packed, to the shards
+   that count them; the shards send back only those that stand in more than one text, with their counts. As n-grams of
+   one text come first in the order, most texts have none but such in their prefix and are done with. The nodes that
+   share a prefix n-gram are linked into candidate classes by stars, one edge a node and n-gram, so no pairs within a
+   group are listed.
 2. A class's sets go to one task (a large class in blocks, and each two blocks to one task). There a pair is a candidate
    only if it also shares a prefix n-gram under a second and under a third order, and fits in length; what passes all
    filters is verified on the whole sets. Pairs already connected need no look, since what is returned are the connected
@@ -19,17 +22,16 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import Staged
 from .components import components
 
 N = 5
-#: n-grams that the first order puts last, by frequency; the list has a fixed bound and only steers the order.
-FREQUENT = 1 << 18
 #: Bits of the filter that tells which nodes' sets are wanted again; false positives are dropped by a join.
 FILTER_BITS = 1 << 24
-#: n-grams held at once: when local frequencies are counted, and in one verification task.
-CHUNK, TASK = 4_000_000, 2_000_000
+#: n-grams of a chunk of rows, of a shard of the counts (on average) and of a verification task; rows of a chunk.
+CHUNK, SHARD, TASK, ROWS = 3_000_000, 4_000_000, 2_000_000, 60_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
@@ -49,24 +51,35 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 
 class Shingler:
-    """``of(text)``: the node id (hash of the word sequence) and the sorted set of n-gram hashes. Words are
-    ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z, which is what bytes.lower and bytes.split do."""
+    """Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z, which is what bytes.lower and bytes.split do."""
 
     def __init__(self, n: int = N):
-        self.n, self.words = n, _Hashes()
+        self.n, self.hashes = n, _Hashes()
 
-    def of(self, text: str | None) -> tuple[int, np.ndarray]:
+    def words(self, text: str | None) -> tuple[int, list[bytes]]:
+        """The node, a hash of the word sequence (0 if there is none), and the words."""
         words = (text or "").encode("utf-8", "replace").lower().split()
-        if not words:
-            return 0, np.zeros(0, dtype=np.uint64)
-        node = xxhash.xxh3_64_intdigest(b" ".join(words), 17)
-        if len(words) < self.n:
-            return node, np.array([node], dtype=np.uint64)
-        h = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
-        grams = np.zeros(len(h) - self.n + 1, dtype=np.uint64)
+        return xxhash.xxh3_64_intdigest(b" ".join(words), 17) if words else 0, words
+
+    def grams(self, nodes: list[int], texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """The n-gram hashes of all texts, sorted, and whose they are; each once a text. A text of fewer than n words has
+        its node as its only one."""
+        sizes = np.array([len(w) for w in texts], dtype=np.int64)
+        h = np.fromiter((self.hashes[w] for words in texts for w in words), np.uint64, int(sizes.sum()))
+        owner = np.repeat(np.arange(len(texts), dtype=np.int64), sizes)
+        m = max(0, len(h) - self.n + 1)
+        g = np.zeros(m, dtype=np.uint64)
         for i in range(self.n):
-            grams = mix(grams + h[i : len(h) - self.n + 1 + i] * _MULTIPLIERS[i % 5], i)
-        return node, np.unique(grams)
+            g += h[i : i + m] * _MULTIPLIERS[i % len(_MULTIPLIERS)]
+        own = owner[:m]
+        whole = own == owner[self.n - 1 :] if m else np.zeros(0, bool)
+        short = np.flatnonzero((sizes > 0) & (sizes < self.n))
+        g = np.concatenate([mix(g[whole]), np.array([nodes[i] for i in short], dtype=np.uint64)])
+        own = np.concatenate([own[whole], short])
+        by = np.lexsort((own, g)) if len(texts) > 1 else np.argsort(g, kind="stable")
+        g, own = g[by], own[by]
+        first = np.append(True, (g[1:] != g[:-1]) | (own[1:] != own[:-1]))[: len(g)]
+        return g[first], own[first]
 
 
 def prefix_size(n: int, percent: int) -> int:
@@ -77,71 +90,111 @@ def _long(values) -> pa.Array:
     return pa.array(np.asarray(values, dtype=np.uint64).view(np.int64))
 
 
-def _read(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Rows of documents (doc_id, node, size) and, with ``gram``, of locally frequent n-grams and their counts."""
+_CHUNK_COLUMNS = "part int, chunk long, ids array<{id}>, nodes binary, sizes binary, grams binary, rows binary, seen binary"
+
+
+def _chunks(docs: DataFrame, n: int, shards: int) -> DataFrame:
+    """A row per chunk and shard with the shard's n-grams (their low halves, sorted) and the rows they stand in; and a row
+    per chunk with its documents. A text met again in a chunk is not given again."""
     ids = docs.schema["doc_id"].dataType.simpleString()
+    names = [x.split()[0] for x in _CHUNK_COLUMNS.split(", ")]
 
     def run(batches):
-        shingler, seen, held, size = Shingler(n), set(), [], 0
-
-        def frequent(id_type):
-            grams, counts = np.unique(np.concatenate(held), return_counts=True)
-            grams, counts = grams[counts >= 3], counts[counts >= 3]
-            nulls = lambda t: pa.nulls(len(grams), t)
-            return pa.RecordBatch.from_arrays([nulls(id_type), nulls(pa.int64()), nulls(pa.int64()), _long(grams), pa.array(counts.astype(np.int64))], ["doc_id", "node", "size", "gram", "seen"])
+        from pyspark import TaskContext
+
+        shingler, part, chunks = Shingler(n), TaskContext.get().partitionId(), 0
+        own_ids, nodes, at, texts, first_row, where, size, id_type = [], [], [], [], [], {}, 0, None
+
+        def packed():
+            g, own = shingler.grams([nodes[i] for i in first_row], texts)
+            sizes = np.bincount(own, minlength=len(texts))[at]
+            row = np.array(first_row, dtype=np.uint16)[own]  # the first row with the text stands for all
+            cuts = np.searchsorted(g >> np.uint64(44), -(-(np.arange(shards + 1) << 20) // shards).astype(np.uint64))
+            used = np.flatnonzero(np.diff(cuts))
+            low, nothing = g.astype("<u4"), [None] * len(used)
+            cut = lambda x: [None, *(x[cuts[i] : cuts[i + 1]].tobytes() for i in used)]
+            chunk = part << 24 | chunks
+            values = [
+                [chunk % shards, *used.tolist()], [chunk] * (len(used) + 1), [own_ids, *nothing],
+                [np.array(nodes, dtype="<u8").tobytes(), *nothing], [sizes.astype("<i8").tobytes(), *nothing], cut(low), cut(row), [None] * (len(used) + 1),
+            ]
+            types = [pa.int32(), pa.int64(), pa.list_(id_type)] + [pa.binary()] * 5
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], names)
 
-        id_type = None
         for b in batches:
             id_type = b.column(0).type
-            nodes, sizes = [], []
-            for text in b.column(1).to_pylist():
-                node, grams = shingler.of(text)
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                node, words = shingler.words(text)
+                if node not in where:
+                    where[node] = len(texts)
+                    texts.append(words)
+                    first_row.append(len(nodes))
+                    size += len(words)
+                at.append(where[node])
+                own_ids.append(doc_id)
                 nodes.append(node)
-                sizes.append(len(grams))
-                if node not in seen and len(grams):
-                    seen.add(node)
-                    held.append(grams)
-                    size += len(grams)
-            nothing = pa.nulls(len(b), pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), _long(nodes), pa.array(sizes, pa.int64()), nothing, nothing], ["doc_id", "node", "size", "gram", "seen"])
-            if size >= CHUNK:
-                yield frequent(id_type)
-                held, size = [], 0
-        if held:
-            yield frequent(id_type)
+                if size >= CHUNK or len(nodes) >= ROWS:
+                    yield packed()
+                    own_ids, nodes, at, texts, first_row, where, size, chunks = [], [], [], [], [], {}, 0, chunks + 1
+        if nodes:
+            yield packed()
+
+    return docs.select("doc_id", "text").mapInArrow(run, _CHUNK_COLUMNS.format(id=ids))
+
+
+def _shared(key, rows):
+    """A shard: of each chunk the n-grams that more than one text has, with the number of texts. Rows of documents pass."""
+    rows = rows.sort_by("chunk").to_pylist()
+    own = [r for r in rows if r["grams"] is not None]
+    grams = np.concatenate([np.zeros(0, "<u4"), *(np.frombuffer(r["grams"], "<u4") for r in own)])
+    _, same, counts = np.unique(grams, return_inverse=True, return_counts=True)
+    seen, at = counts[same], 0
+    for r in own:
+        n = len(r["grams"]) // 4
+        often = seen[at : at + n] > 1
+        r["grams"], r["rows"] = grams[at : at + n][often].tobytes(), np.frombuffer(r["rows"], "<u2")[often].tobytes()
+        r["seen"] = seen[at : at + n][often].astype("<u4").tobytes()
+        at += n
+    return rows
+
+
+def _prefixes(rows, percent: int):
+    """A chunk: its documents, and the n-grams in their prefixes that are not theirs alone."""
+    table = next(r for r in rows if r["nodes"] is not None)
+    own = sorted((r for r in rows if r["grams"] is not None), key=lambda r: r["part"])
+    join = lambda c, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(r[c], kind) for r in own)])
+    nodes, sizes = np.frombuffer(table["nodes"], "<i8"), np.frombuffer(table["sizes"], "<i8")
+    gram = join("grams", "<u4").astype(np.int64) | np.repeat(np.array([r["part"] for r in own], dtype=np.int64), [len(r["grams"]) // 4 for r in own]) << 32
+    row, seen = join("rows", "<u2").astype(np.int64), join("seen", "<u4")
+    by = np.lexsort((mix(gram.view(np.uint64)), seen, row))
+    row, gram = row[by], gram[by]
+    several = np.bincount(row, minlength=len(nodes))
+    # those of one text only come first, so so many are left for the others
+    left = np.maximum(0, prefix_size(sizes, percent) - (sizes - several))
+    nth = np.arange(len(row)) - (np.cumsum(several) - several)[row]
+    chosen = nth < left[row]
+    return table["ids"], nodes, sizes, gram[chosen], nodes[row[chosen]]
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {ids}, node long, size long, gram long, seen long")
 
+def _read(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Rows of documents (doc_id, node, size), and rows (gram, node) for the first order's prefixes."""
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    shards = min(1 << 19, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // (6 * SHARD))))
+    ids = docs.schema["doc_id"].dataType.simpleString()
+    chunks = _chunks(docs, n, shards)
+    schema = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("ids", pa.list_(to_arrow_type(docs.schema["doc_id"].dataType))), *((c, pa.binary()) for c in ("nodes", "sizes", "grams", "rows", "seen"))])
+    counted = chunks.groupBy("part").applyInArrow(lambda key, rows: pa.Table.from_pylist(_shared(key, rows), schema), _CHUNK_COLUMNS.format(id=ids))
 
-def _prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """(gram, node) for the first order's prefixes; a text met again in a task is not given again."""
-    shared = docs.sparkSession.sparkContext.broadcast((frequent, counts))
+    def select(key, rows):
+        own, nodes, sizes, gram, of = _prefixes(rows.to_pylist(), percent)
+        a, b = len(own), len(gram)
+        return pa.table({
+            "doc_id": pa.array(own + [None] * b, schema.field("ids").type.value_type),
+            "node": pa.array(np.concatenate([nodes, of])), "size": pa.array(sizes.tolist() + [None] * b, pa.int64()),
+            "gram": pa.array([None] * a + gram.tolist(), pa.int64()),
+        })
 
-    def run(batches):
-        shingler, seen = Shingler(n), set()
-        late, late_counts = shared.value
-        for b in batches:
-            out, nodes = [], []
-            for text in b.column(0).to_pylist():
-                node, grams = shingler.of(text)
-                if not len(grams) or node in seen:
-                    continue
-                seen.add(node)
-                p = prefix_size(len(grams), percent)
-                if len(late):
-                    at = np.minimum(np.searchsorted(late, grams), len(late) - 1)
-                    is_late = late[at] == grams
-                    early = grams[~is_late]
-                    if len(early) < p:
-                        rest, often = grams[is_late], late_counts[at[is_late]]
-                        early = np.append(early, rest[np.lexsort((rest, often))][: p - len(early)])
-                    grams = early
-                out.append(grams[:p])
-                nodes += [node] * len(out[-1])
-            if out:
-                yield pa.RecordBatch.from_arrays([_long(np.concatenate(out)), _long(nodes)], ["gram", "node"])
-
-    return docs.select("text").mapInArrow(run, "gram long, node long")
+    return counted.groupBy("chunk").applyInArrow(select, f"doc_id {ids}, node long, size long, gram long")
 
 
 def _sets(docs: DataFrame, n: int, wanted: np.ndarray) -> DataFrame:
@@ -149,17 +202,18 @@ def _sets(docs: DataFrame, n: int, wanted: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
-        shingler, seen, words = Shingler(n), set(), shared.value
+        shingler, seen, bits = Shingler(n), set(), shared.value
         for b in batches:
-            nodes, sets = [], []
+            nodes, texts = [], []
             for text in b.column(0).to_pylist():
-                node, grams = shingler.of(text)
+                node, words = shingler.words(text)
                 bit = node % FILTER_BITS
-                if len(grams) and node not in seen and int(words[bit >> 6]) >> (bit & 63) & 1:
+                if words and node not in seen and int(bits[bit >> 6]) >> (bit & 63) & 1:
                     seen.add(node)
                     nodes.append(node)
-                    sets.append(grams.tobytes())
+                    texts.append(words)
             if nodes:
+                sets = [shingler.grams([node], [words])[0].tobytes() for node, words in zip(nodes, texts)]
                 yield pa.RecordBatch.from_arrays([_long(nodes), pa.array(sets, pa.binary())], ["node", "grams"])
 
     return docs.select("text").mapInArrow(run, "node long, grams binary")
@@ -228,17 +282,12 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = 80) -> DataFrame
     doc_id link too but name no component unless no other row does. Other columns are ignored; an empty table gives an
     empty result.
     """
-    spark = docs.sparkSession
-    staged = Staged(spark)
+    staged = Staged(docs.sparkSession)
     read = staged.keep(_read(docs, n, percent))
-    nodes = read.where(F.col("node").isNotNull()).select("doc_id", "node", "size")
-    often = read.where(F.col("gram").isNotNull()).groupBy("gram").agg(F.sum("seen").alias("seen")).orderBy(F.desc("seen"), "gram").limit(FREQUENT).toPandas()
-    frequent = often["gram"].to_numpy(dtype=np.int64).view(np.uint64)
-    by = np.argsort(frequent)
-    pairs = _prefixes(docs, n, percent, frequent[by], often["seen"].to_numpy(dtype=np.int64)[by])
-
-    least = F.min("node").over(_window("gram"))
-    stars = pairs.withColumn("v", least).where("node <> v").select(F.col("node").alias("u"), "v")
+    nodes = read.where(F.col("gram").isNull()).select("doc_id", "node", "size")
+    pairs = read.where(F.col("gram").isNotNull()).select("gram", "node")
+    least = pairs.groupBy("gram").agg(F.min("node").alias("v"), F.max("node").alias("most")).where("v <> most")
+    stars = pairs.join(least, "gram").select(F.col("node").alias("u"), "v")
     candidate = components(stars, staged)
     linked = components(_verified(docs, nodes, candidate, n, percent, staged), staged)
 
@@ -248,19 +297,13 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = 80) -> DataFrame
     return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _window(column: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(column)
-
-
 def _verified(docs: DataFrame, nodes: DataFrame, candidate: DataFrame, n: int, percent: int, staged: Staged) -> DataFrame:
     spark = docs.sparkSession
     classes = candidate.union(candidate.select(F.col("root").alias("node"), "root").distinct())
     sized = classes.join(nodes.where("size > 0").groupBy("node").agg(F.first("size").alias("size")), "node")
     members = staged.keep(sized)
     bit = F.col("node").bitwiseAND(F.lit(FILTER_BITS - 1))
-    bits = members.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, cast(node & 63 as int)))").alias("bits")).toPandas()
+    bits = members.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(node & 63 as int)))").alias("bits")).toPandas()
     wanted = np.zeros(FILTER_BITS >> 6, dtype=np.uint64)
     wanted[bits["word"].to_numpy(dtype=np.int64)] = bits["bits"].to_numpy(dtype=np.int64).view(np.uint64)
     sets = _sets(docs, n, wanted).dropDuplicates(["node"])

@@ -11,6 +11,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .html_extract import extract_pages
 from .license_scan import license_scan
+from .lm_score import lm_score
 from .near_dup import near_duplicates
 from .packing import pack
 from .quality import fit_quality, fold, score_quality
@@ -55,6 +56,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
@@ -85,6 +90,7 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_packing": op7_packing,
+    "op8_lm_score": op8_lm_score,
     "op9_quality": op9_quality,
     "op10_chat_format": op10_chat_format,
 }
