@@ -26,7 +26,7 @@ from .near_dup import _Hashes, mix
 
 FOLDS, HELD_OUT, DELETED = 5, 1, 2
 #: Tokens of a chunk, and on average of a shard; rows of a chunk.
-CHUNK, SHARD, ROWS = 3_000_000, 4_000_000, 60_000
+CHUNK, SHARD, ROWS = 1_500_000, 2_500_000, 60_000
 #: Words with at least this share of the tokens are spread by context; at most 1 / HOT_SHARE, whatever the corpus.
 HOT_SHARE = 1e-5
 #: Context buckets are octaves of the context's count; estimates are binned by quarter octaves in the histogram.

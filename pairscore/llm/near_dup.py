@@ -31,7 +31,7 @@ N = 5
 #: Bits of the filter that tells which nodes' sets are wanted again; false positives are dropped by a join.
 FILTER_BITS = 1 << 24
 #: n-grams of a chunk of rows, of a shard of the counts (on average) and of a verification task; rows of a chunk.
-CHUNK, SHARD, TASK, ROWS = 3_000_000, 4_000_000, 2_000_000, 60_000
+CHUNK, SHARD, TASK, ROWS = 1_000_000, 4_000_000, 2_000_000, 60_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
@@ -61,12 +61,15 @@ class Shingler:
         words = (text or "").encode("utf-8", "replace").lower().split()
         return xxhash.xxh3_64_intdigest(b" ".join(words), 17) if words else 0, words
 
-    def grams(self, nodes: list[int], texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """The n-gram hashes of all texts, sorted, and whose they are; each once a text. A text of fewer than n words has
-        its node as its only one."""
+    def hashed(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
+
+    def grams(self, nodes: list[int], texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The n-gram hashes of all texts, given as their words' hashes, sorted, and whose they are; each once a text. A
+        text of fewer than n words has its node as its only one."""
         sizes = np.array([len(w) for w in texts], dtype=np.int64)
-        h = np.fromiter((self.hashes[w] for words in texts for w in words), np.uint64, int(sizes.sum()))
-        owner = np.repeat(np.arange(len(texts), dtype=np.int64), sizes)
+        h = np.concatenate([np.zeros(0, np.uint64), *texts])
+        owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
         m = max(0, len(h) - self.n + 1)
         g = np.zeros(m, dtype=np.uint64)
         for i in range(self.n):
@@ -127,7 +130,7 @@ def _chunks(docs: DataFrame, n: int, shards: int) -> DataFrame:
                 node, words = shingler.words(text)
                 if node not in where:
                     where[node] = len(texts)
-                    texts.append(words)
+                    texts.append(shingler.hashed(words))
                     first_row.append(len(nodes))
                     size += len(words)
                 at.append(where[node])
@@ -211,7 +214,7 @@ def _sets(docs: DataFrame, n: int, wanted: np.ndarray) -> DataFrame:
                 if words and node not in seen and int(bits[bit >> 6]) >> (bit & 63) & 1:
                     seen.add(node)
                     nodes.append(node)
-                    texts.append(words)
+                    texts.append(shingler.hashed(words))
             if nodes:
                 sets = [shingler.grams([node], [words])[0].tobytes() for node, words in zip(nodes, texts)]
                 yield pa.RecordBatch.from_arrays([_long(nodes), pa.array(sets, pa.binary())], ["node", "grams"])
