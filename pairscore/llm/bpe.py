@@ -28,7 +28,7 @@ from .common import map_text
 _SIMPLE = re.compile(r"[\x00-\x1b\x20-˿]*")
 #: White-space separated strings whose ids a worker remembers: when so many are new, the last so many become the old
 #: ones, and older ones are forgotten.
-STRINGS_KEPT = 500_000
+STRINGS_KEPT = 200_000
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -59,10 +59,12 @@ class ForcedCutEncoder:
         for token, i in (*self.vocab.items(), *self.special.items()):
             self.tokens[i] = token
         self.inside = {pair for token in self.vocab for pair in self._pairs(token)}
-        # the cuts of words of plain letters, as one search
-        never = [a + b for a in _LETTERS for b in _LETTERS if a + b not in self.inside]
-        never += [f"{a}{b}$" for a in _LETTERS for b in _LETTERS if a + b + self.end not in self.inside]
-        self.plain_cut = re.compile("|".join(never) or "(?!)")
+        # the letters without which a word of plain letters has no cut
+        cut = [(a, b) for a in _LETTERS for b in _LETTERS if a + b not in self.inside or a + b + self.end not in self.inside]
+        cover = ""
+        while left := [p for p in cut if not set(p) & set(cover)]:
+            cover += max(_LETTERS, key=lambda c: sum(c in p for p in left))
+        self.may_cut = re.compile(f"[{cover}]" if cover else "(?!)")
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.symbol = byte_symbols()
@@ -90,10 +92,7 @@ class ForcedCutEncoder:
 
     def _word(self, word: str) -> bytes:
         if word.isascii() and word.isalpha():
-            if not self.plain_cut.search(word):
-                ids = [t.id for t in self.final.tokenize(word)]
-            else:
-                ids = self.word_ids(word)
+            ids = self.word_ids(word) if self.may_cut.search(word) else [t.id for t in self.final.tokenize(word)]
         else:
             ids = self.word_ids(word.encode().decode("latin-1").translate(self.table))
         return struct.pack(f"<{len(ids)}I", *ids)
@@ -120,8 +119,12 @@ class ForcedCutEncoder:
             if part in self.special:
                 out.append(self.special[part].to_bytes(4, "little"))
             elif _SIMPLE.fullmatch(part):
-                make = self._string
-                out += [self.strings.get(s) or make(s) for s in part.lower().split()]
+                words = part.lower().split()
+                found = list(map(self.strings.get, words))
+                try:
+                    out.append(b"".join(found))
+                except TypeError:  # some are not known yet
+                    out.append(b"".join([self._string(s) if f is None else f for f, s in zip(found, words)]))
             elif part:
                 for word, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part)):
                     out.append(b"".join(i.to_bytes(4, "little") for i in self.word_ids(word)))
