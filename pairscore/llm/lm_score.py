@@ -21,14 +21,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Staged
+from .common import Staged, give_back
 from .near_dup import _Hashes, mix
 
 FOLDS, HELD_OUT, DELETED = 5, 1, 2
 #: Tokens of a chunk, and on average of a shard; rows of a chunk.
 CHUNK, SHARD, ROWS = 1_500_000, 2_500_000, 60_000
-#: Words with at least this share of the tokens are spread by context; at most 1 / HOT_SHARE, whatever the corpus.
-HOT_SHARE = 1e-5
+#: The most frequent words, a list of fixed bound whose counts all tasks know. As contexts they are coded by their place.
+FREQUENT = 65_535
 #: Context buckets are octaves of the context's count; estimates are binned by quarter octaves in the histogram.
 BUCKETS, STEPS = 24, 4
 END = np.uint64(0x5DEECE66D1234567)
@@ -80,8 +80,11 @@ def _unigrams(rows: DataFrame, shards: int, staged: Staged) -> DataFrame:
                 if size >= 2 * CHUNK:
                     yield packed()
                     fit, deleted, size, ends = Counter(), Counter(), 0, [0, 0]
+                    give_back()
         if size:
             yield packed()
+        del fit, deleted
+        give_back()
 
     def merge(key, rows):
         h, train, fit = (np.concatenate([_u(x.as_py(), k) for x in rows.column(c)]) for c, k in (("words", "<u8"), ("train", "<i8"), ("fit", "<i8")))
@@ -93,18 +96,27 @@ def _unigrams(rows: DataFrame, shards: int, staged: Staged) -> DataFrame:
     return staged.keep(parts.groupBy("q").applyInArrow(merge, "q int, words binary, train binary, fit binary, n_train long, n_fit long, types long"))
 
 
-_X = "p int, chunk long, ids array<long>, held array<boolean>, sizes binary, bounds array<long>, words binary, runs binary, contexts binary, times binary, rows binary"
+_X = "p int, chunk long, ids array<long>, held array<boolean>, sizes binary, bounds array<long>, words binary, runs binary, contexts binary, rare binary, times binary, rows binary"
 
 
-def _bigrams(rows: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
-    """Chunks: for each shard the words of its n-grams, how many contexts each has (runs), the contexts, how often each
-    n-gram stands (times) and in which rows; and one row with the chunk's doc_ids, kept apart from ``words``."""
-    shared = rows.sparkSession.sparkContext.broadcast(hot)
+def _place(words: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Places of words in a sorted list; FREQUENT for those not in it."""
+    if not len(of):
+        return np.full(len(words), FREQUENT)
+    at = np.minimum(np.searchsorted(of, words), len(of) - 1)
+    return np.where(of[at] == words, at, FREQUENT)
+
+
+def _bigrams(rows: DataFrame, shards: int, frequent: np.ndarray, spread: np.ndarray) -> DataFrame:
+    """Chunks: for each shard the words of its n-grams, how many contexts each has (runs), the contexts (as places among
+    the frequent words, the others in ``rare``), how often each n-gram stands (times) and in which rows; and one row with
+    the chunk's doc_ids, kept apart from ``words``. Words marked in ``spread`` are dealt by context too."""
+    shared = rows.sparkSession.sparkContext.broadcast((frequent, np.append(spread, np.zeros(FREQUENT + 1 - len(spread), bool))))
 
     def run(batches):
         from pyspark import TaskContext
 
-        hashes, often, part, n = _Hashes(), shared.value, TaskContext.get().partitionId(), 0
+        hashes, (often, wide), part, n = _Hashes(), shared.value, TaskContext.get().partitionId(), 0
         held: list[tuple] = []
         size = 0
 
@@ -115,29 +127,29 @@ def _bigrams(rows: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
             w = np.concatenate([x[2] for x in rows_])
             v = np.append(END, w[:-1])  # the first word of a row follows the end of the row before
             d = np.repeat(np.arange(len(rows_), dtype=np.uint16), sizes)
-            is_hot = often[np.minimum(np.searchsorted(often, w), len(often) - 1)] == w if len(often) else np.zeros(len(w), bool)
             pair = _pair(v, w)
-            p = np.where(is_hot, pair, mix(w, 5)) % np.uint64(shards)
+            p = np.where(wide[_place(w, often)], pair, mix(w, 5)) % np.uint64(shards)
             by = np.argsort((p << np.uint64(44)) | (mix(w, 7) >> np.uint64(42)) << np.uint64(22) | pair >> np.uint64(42), kind="stable")
+            del pair
             w, v, d, p = w[by], v[by], d[by], p[by].astype(np.int64)
             run_at = np.append(True, (w[1:] != w[:-1]) | (p[1:] != p[:-1]))
-            gram_at = run_at | np.append(True, v[1:] != v[:-1])
-            g = np.flatnonzero(gram_at)
-            times, contexts, r = np.diff(np.append(g, len(w))).astype("<u4"), v[g], np.flatnonzero(run_at[g])
-            runs, words = np.diff(np.append(r, len(g))).astype("<u4"), w[g][r]
+            g = np.flatnonzero(run_at | np.append(True, v[1:] != v[:-1]))
+            times, v, r = np.diff(np.append(g, len(w))).astype("<u4"), v[g], np.flatnonzero(run_at[g])
+            runs, words, contexts = np.diff(np.append(r, len(g))).astype("<u4"), w[g][r], _place(v, often)
             token_at = np.searchsorted(p, np.arange(shards + 1))
             gram_to, run_to = np.searchsorted(g, token_at), np.searchsorted(g[r], token_at)
+            rare, rare_to = v[contexts == FREQUENT], np.append(0, np.cumsum(contexts == FREQUENT))[gram_to]
             used = np.flatnonzero(np.diff(token_at))
             cut = lambda x, at: [None, *(x[at[i] : at[i + 1]].tobytes() for i in used)]
             m = len(used) + 1
             arrays = [
                 [int(chunk % shards), *used.tolist()], [chunk] * m,
                 [[x[1] for x in rows_]] + [None] * (m - 1), [[x[0] == 2 for x in rows_]] + [None] * (m - 1), [sizes.tobytes()] + [None] * (m - 1), [bounds] * m,
-                cut(words, run_to), cut(runs, run_to), cut(contexts, gram_to), cut(times, gram_to), cut(d, token_at),
-            ]
+                cut(words, run_to), cut(runs, run_to), cut(contexts.astype("<u2"), gram_to), cut(rare, rare_to), cut(times, gram_to), cut(d, token_at),
+            ]
             return pa.RecordBatch.from_arrays([pa.array(a, t) for a, t in zip(arrays, types, strict=True)], names)
 
-        types = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.list_(pa.int64())] + [pa.binary()] * 5
+        types = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.list_(pa.int64())] + [pa.binary()] * 6
         names = [x.split()[0] for x in _X.split(", ")]
         for b in batches:
             for doc_id, text, fold in zip(*(c.to_pylist() for c in b.columns)):
@@ -151,9 +163,13 @@ def _bigrams(rows: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
                     chunk = part << 24 | n
                     yield packed()
                     held, size, n = [], 0, n + 1
+                    give_back()
         if held:
             chunk = part << 24 | n
             yield packed()
+        del held
+        hashes.clear()
+        give_back()
 
     return rows.select("doc_id", "text", "fold").mapInArrow(run, _X)
 
@@ -161,12 +177,14 @@ def _bigrams(rows: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
 class _Shard:
     """The n-grams of a shard over all chunks."""
 
-    def __init__(self, rows):
-        own = [r for r in rows.select(["chunk", "bounds", "words", "runs", "contexts", "times", "rows"]).to_pylist() if r["words"] is not None]
+    def __init__(self, rows, frequent: np.ndarray):
+        own = [r for r in rows.select(["chunk", "bounds", "words", "runs", "contexts", "rare", "times", "rows"]).to_pylist() if r["words"] is not None]
         own.sort(key=lambda r: r["chunk"])
         join = lambda c, kind: np.concatenate([np.zeros(0, kind), *(_u(r[c], kind) for r in own)])
         self.w = np.repeat(join("words", "<u8"), join("runs", "<u4"))
-        self.v, times = join("contexts", "<u8"), join("times", "<u4")
+        places, times = join("contexts", "<u2"), join("times", "<u4")
+        self.v = np.append(frequent, np.zeros(FREQUENT + 1 - len(frequent), np.uint64))[places]
+        self.v[places == FREQUENT] = join("rare", "<u8")
         self.row = join("rows", "<u2")
         self.gram = np.repeat(np.arange(len(self.w)), times)  # of each token
         self.chunks = [r["chunk"] for r in own]
@@ -184,21 +202,30 @@ class _Shard:
         self.deleted = np.bincount(self.gram[self.kind == 1], minlength=m)
 
 
+def _needed(shard: _Shard, frequent: np.ndarray, parts: int) -> list[np.ndarray]:
+    """The words whose counts a shard has to ask for, by the unigram shard that has them."""
+    need = np.unique(np.concatenate([shard.v, shard.w]))
+    need = need[_place(need, frequent) == FREQUENT]
+    q = (mix(need, 5) % np.uint64(parts)).astype(np.int64)
+    by = np.argsort(q, kind="stable")
+    return np.split(need[by], np.searchsorted(q[by], np.arange(1, parts)))
+
+
 class _Counts:
-    """Counts of the words a shard needs, from the answers and the frequent words."""
+    """Counts (train, fit) of the words a shard needs, from the answers and the frequent words."""
+
+    def __init__(self, shard: _Shard, answers, frequent: np.ndarray, counts: np.ndarray, parts: int):
+        import zstandard
 
-    def __init__(self, answers, hot: np.ndarray, hot_counts: np.ndarray):
-        parts = [(_u(a["words"], "<u8"), _u(a["train"], "<i8"), _u(a["fit"], "<i8")) for a in answers if a["words"] is not None]
-        h, train, fit = (np.concatenate(x) for x in zip((hot, hot_counts[0], hot_counts[1]), *parts))
+        need, unzip = _needed(shard, frequent, parts), zstandard.ZstdDecompressor()
+        given = [(frequent, counts)] + [(need[a["q"]], _u(unzip.decompress(a["counts"]), "<i8").reshape(2, -1)) for a in answers if a["counts"] is not None]
+        h = np.concatenate([g[0] for g in given])
         by = np.argsort(h)
-        self.h, self.both = h[by], (train[by], fit[by])
+        self.h, self.both = h[by], np.concatenate([g[1] for g in given], axis=1)[:, by]
 
-    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.h):
-            return np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        at = np.minimum(np.searchsorted(self.h, words), len(self.h) - 1)
-        known = self.h[at] == words
-        return np.where(known, self.both[0][at], 0), np.where(known, self.both[1][at], 0)
+    def of(self, words: np.ndarray) -> np.ndarray:
+        """Two rows: counts in training, and among the estimates' part of it."""
+        return self.both[:, np.searchsorted(self.h, words)]
 
 
 def _bucket(count: np.ndarray) -> np.ndarray:
@@ -241,59 +268,59 @@ def lm_score(docs: DataFrame) -> DataFrame:
     unigrams = _unigrams(rows, n_tasks, staged)
     n_train, n_fit, types = (int(x or 0) for x in unigrams.agg(F.sum("n_train"), F.sum("n_fit"), F.sum("types")).first())
     shards = min(1 << 20, max(n_tasks, -(-n_train // SHARD)))
-    least = max(2.0, HOT_SHARE * n_train)
 
-    def frequent(batches):
+    def counted(batches):
         for b in batches:
             for r in b.to_pylist():
                 h, train, fit = _u(r["words"], "<u8"), _u(r["train"], "<i8"), _u(r["fit"], "<i8")
-                few = train >= least
+                few = train >= max(1, n_train // (64 * FREQUENT))
                 yield pa.RecordBatch.from_arrays([pa.array(h[few].view("<i8")), pa.array(train[few]), pa.array(fit[few])], ["word", "train", "fit"])
 
-    top = unigrams.select("words", "train", "fit").mapInArrow(frequent, "word long, train long, fit long").toPandas()
-    hot = top["word"].to_numpy(dtype=np.int64).view(np.uint64)
-    by = np.argsort(hot)
-    hot, hot_counts = hot[by], np.stack([top["train"].to_numpy(dtype=np.int64)[by], top["fit"].to_numpy(dtype=np.int64)[by]])
-    shared = spark.sparkContext.broadcast((hot, hot_counts))
+    top = unigrams.select("words", "train", "fit").mapInArrow(counted, "word long, train long, fit long").orderBy(F.desc("train"), "word").limit(FREQUENT).toPandas()
+    frequent = top["word"].to_numpy(dtype=np.int64).view(np.uint64)
+    by = np.argsort(frequent)
+    frequent, counts = frequent[by], np.stack([top["train"].to_numpy(dtype=np.int64)[by], top["fit"].to_numpy(dtype=np.int64)[by]])
+    shared = spark.sparkContext.broadcast((frequent, counts))
     uniform = 1.0 / (types + 1)
-    grams = _bigrams(rows, shards, hot)
+    # a word that would fill a quarter of a shard is spread over all of them
+    grams = _bigrams(rows, shards, frequent, counts[0] >= max(2.0, n_train / (4 * shards)))
 
     def request(key, rows):
-        shard, often = _Shard(rows), shared.value[0]
-        need = np.unique(np.concatenate([shard.v, shard.w]))
-        if len(often):
-            need = need[often[np.minimum(np.searchsorted(often, need), len(often) - 1)] != need]
-        q = (mix(need, 5) % np.uint64(n_tasks)).astype(np.int64)
-        by = np.argsort(q, kind="stable")
-        at = np.searchsorted(q[by], np.arange(n_tasks + 1))
-        used = np.flatnonzero(np.diff(at))
-        return pa.table({"q": pa.array(used, pa.int32()), "p": pa.array([key[0].as_py()] * len(used), pa.int32()), "words": pa.array([need[by[at[i] : at[i + 1]]].tobytes() for i in used], pa.binary())})
+        words = _needed(_Shard(rows, shared.value[0]), shared.value[0], n_tasks)
+        used = [q for q, w in enumerate(words) if len(w)]
+        out = pa.table({"q": pa.array(used, pa.int32()), "p": pa.array([key[0].as_py()] * len(used), pa.int32()), "words": pa.array([words[q].tobytes() for q in used], pa.binary())})
+        give_back()
+        return out
 
     def answer(counts, asked):
-        out = []
-        for c in counts.to_pylist():
-            h, train, fit = _u(c["words"], "<u8"), _u(c["train"], "<i8"), _u(c["fit"], "<i8")
-            for a in asked.to_pylist():
-                words = _u(a["words"], "<u8")
-                at = np.minimum(np.searchsorted(h, words), len(h) - 1)
-                at = at[h[at] == words]
-                out.append((a["p"], h[at].tobytes(), train[at].tobytes(), fit[at].tobytes(), None))
-        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [[]] * 5, reply_types)], reply_names)
-
-    reply_names, reply_types = ["p", "words", "train", "fit", "weights"], [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-    reply = "p int, words binary, train binary, fit binary, weights binary"
+        import zstandard
+
+        pack, out, held = zstandard.ZstdCompressor(level=1), [], counts.to_pylist()
+        h, train, fit = (np.concatenate([np.zeros(0, k), *(_u(c[n], k) for c in held)]) for n, k in (("words", "<u8"), ("train", "<i8"), ("fit", "<i8")))
+        for a in asked.to_pylist():
+            words = _u(a["words"], "<u8")
+            at = np.minimum(np.searchsorted(h, words), max(0, len(h) - 1))
+            known = h[at] == words if len(h) else np.zeros(len(words), bool)
+            told = np.stack([np.where(known, train[at], 0), np.where(known, fit[at], 0)]) if len(h) else np.zeros((2, len(words)), "<i8")
+            out.append((a["p"], a["q"], pack.compress(told.astype("<i8").tobytes()), None))
+        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [[]] * 4, reply_types)], reply_names)
+
+    reply_names, reply_types = ["p", "q", "counts", "weights"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    reply = "p int, q int, counts binary, weights binary"
     asked = grams.groupBy("p").applyInArrow(request, "q int, p int, words binary")
     answers = unigrams.select("q", "words", "train", "fit").groupBy("q").cogroup(asked.groupBy("q")).applyInArrow(answer, reply)
 
     def held_out_statistics(rows, replies):
-        shard = _Shard(rows)
+        shard = _Shard(rows, shared.value[0])
+        counts = _Counts(shard, replies.to_pylist(), *shared.value, n_tasks)
         shard.count()
-        counts = _Counts(replies.to_pylist(), *shared.value)
         seen = shard.deleted > 0
         context, word = counts.of(shard.v[seen])[1], counts.of(shard.w[seen])[1]
         bins = lambda x: np.where(x > 0, np.rint(STEPS * np.log2(np.maximum(x, 1e-300))), -(10**6)).astype(np.int64)
         cells, at = np.unique(np.stack([_bucket(context), bins(shard.fit[seen] / np.maximum(context, 1)), bins(word / max(n_fit, 1))], axis=1), axis=0, return_inverse=True)
         weight = np.bincount(at.reshape(-1), shard.deleted[seen], len(cells))
+        del shard, counts, at
+        give_back()
         return pa.table({"bucket": pa.array(cells[:, 0]), "bigram": pa.array(cells[:, 1]), "unigram": pa.array(cells[:, 2]), "weight": pa.array(weight, pa.float64())})
 
     statistics = grams.groupBy("p").cogroup(answers.groupBy("p")).applyInArrow(held_out_statistics, "bucket long, bigram long, unigram long, weight double")
@@ -304,16 +331,15 @@ def lm_score(docs: DataFrame) -> DataFrame:
         bucket, bigram, unigram, weight = (c[n][by] for n in ("bucket", "bigram", "unigram", "weight"))
         value = lambda x: np.where(x > -(10**6), 2.0 ** (np.maximum(x, -4000) / STEPS), 0.0)
         weights = fit_weights(bucket, value(bigram), value(unigram), uniform, weight).tobytes()
-        nothing = pa.nulls(shards, pa.binary())
-        return pa.Table.from_arrays([pa.array(np.arange(shards), pa.int32()), nothing, nothing, nothing, pa.array([weights] * shards, pa.binary())], reply_names)
+        return pa.Table.from_arrays([pa.array(np.arange(shards), pa.int32()), pa.nulls(shards, pa.int32()), pa.nulls(shards, pa.binary()), pa.array([weights] * shards, pa.binary())], reply_names)
 
     merged = statistics.groupBy("bucket", "bigram", "unigram").agg(F.sum("weight").alias("weight"))
     weights = merged.groupBy(F.lit(0).alias("all")).applyInArrow(learn, reply)  # a histogram: bounded by its bins
 
     def score(rows, replies):
-        shard, replies = _Shard(rows), replies.to_pylist()
+        shard, replies = _Shard(rows, shared.value[0]), replies.to_pylist()
+        counts = _Counts(shard, replies, *shared.value, n_tasks)
         shard.count()
-        counts = _Counts(replies, *shared.value)
         given = [r["weights"] for r in replies if r["weights"] is not None]
         # without a deleted document there is nothing to learn weights from
         mixture = _u(given[0], "<f8").reshape(BUCKETS, 3) if given else np.tile([0.0, 0.9, 0.1], (BUCKETS, 1))
@@ -330,6 +356,8 @@ def lm_score(docs: DataFrame) -> DataFrame:
                 out[name].append(np.bincount(row, value[gram])[there].astype("<u4" if name == "known" else "<f8").tobytes())
             out["chunk"].append(chunk)
             out["rows"].append(there.astype("<u2").tobytes())
+        del shard, counts, lam, p, log_p, base
+        give_back()
         tables = [r for r in rows.select(["chunk", "ids", "held", "sizes"]).to_pylist() if r["sizes"] is not None]
         n, m = len(out["chunk"]), len(tables)
         return pa.table({
