@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -36,6 +37,18 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Python workers are reused from task to task, and what the allocators keep of
+    one task's large arrays would count against the executor in the next."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 class Staged:
     """Intermediate tables as Parquet in the shared folder. They cut the lineage, so that a lost executor costs
     no more than the tasks after the last table, and each is read more than once without being made again."""

@@ -24,20 +24,20 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import Staged
+from .common import Staged, give_back
 from .components import components
 
 N = 5
 #: Bits of the filter that tells which nodes' sets are wanted again; false positives are dropped by a join.
 FILTER_BITS = 1 << 24
 #: n-grams of a chunk of rows, of a shard of the counts (on average) and of a verification task; rows of a chunk.
-CHUNK, SHARD, TASK, ROWS = 1_000_000, 4_000_000, 2_000_000, 60_000
+CHUNK, SHARD, TASK, ROWS = 500_000, 2_000_000, 1_000_000, 60_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 200_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -138,9 +138,13 @@ def _chunks(docs: DataFrame, n: int, shards: int) -> DataFrame:
                 nodes.append(node)
                 if size >= CHUNK or len(nodes) >= ROWS:
                     yield packed()
+                    give_back()
                     own_ids, nodes, at, texts, first_row, where, size, chunks = [], [], [], [], [], {}, 0, chunks + 1
         if nodes:
             yield packed()
+        del own_ids, nodes, at, texts, first_row, where
+        shingler.hashes.clear()
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, _CHUNK_COLUMNS.format(id=ids))
 
@@ -158,6 +162,8 @@ def _shared(key, rows):
         r["grams"], r["rows"] = grams[at : at + n][often].tobytes(), np.frombuffer(r["rows"], "<u2")[often].tobytes()
         r["seen"] = seen[at : at + n][often].astype("<u4").tobytes()
         at += n
+    del grams, same, counts, seen
+    give_back()
     return rows
 
 
