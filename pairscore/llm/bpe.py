@@ -25,10 +25,13 @@ from pyspark.sql import DataFrame
 
 from .common import map_text
 
+#: A full stop or comma at the end of a string that is not in a run of punctuation is a word of its own, so it can be set
+#: apart before strings are looked up: they repeat more often without it.
+_RUN = re.compile(r"[^\sA-Za-z0-9À-ÖØ-öø-ÿ][.,](?=\s|$)|^[.,](?=\s|$)|(?<=\s)[.,](?=\s|$)")
 _SIMPLE = re.compile(r"[\x00-\x1b\x20-˿]*")
 #: White-space separated strings whose ids a worker remembers: when so many are new, the last so many become the old
 #: ones, and older ones are forgotten.
-STRINGS_KEPT = 200_000
+STRINGS_KEPT = 400_000
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -101,12 +104,7 @@ class ForcedCutEncoder:
         """Ids, as bytes, of a lower-case string without white space."""
         found = self.older.get(s)
         if found is None:
-            if s.isalpha():
-                found = self._word(s)
-            elif s[-1] in ".," and s[:-1].isalpha():
-                found = (self.strings.get(s[:-1]) or self._string(s[:-1])) + (self.strings.get(s[-1]) or self._word(s[-1]))
-            else:
-                found = b"".join(map(self._word, self.pattern.findall(s)))
+            found = self._word(s) if s.isalpha() else b"".join(map(self._word, self.pattern.findall(s)))
         if len(self.strings) >= STRINGS_KEPT:
             self.older, self.strings = self.strings, {}
         self.strings[s] = found
@@ -119,7 +117,11 @@ class ForcedCutEncoder:
             if part in self.special:
                 out.append(self.special[part].to_bytes(4, "little"))
             elif _SIMPLE.fullmatch(part):
-                words = part.lower().split()
+                part = part.lower()
+                if not _RUN.search(part):
+                    for mark in ".,":
+                        part = part.replace(mark + " ", f" {mark} ").replace(mark + "\n", f" {mark} ")
+                words = part.split()
                 found = list(map(self.strings.get, words))
                 try:
                     out.append(b"".join(found))

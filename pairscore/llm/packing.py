@@ -19,7 +19,7 @@ from .bpe import encoder
 WINDOW = 4096
 END_ID = 2
 #: Characters of text a shard holds on average; with it the cost of a retrieval is bounded whatever the corpus.
-SHARD_CHARS = 2_000_000
+SHARD_CHARS = 1_000_000
 K1, B = 1.2, 0.75
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
