@@ -1,7 +1,5 @@
 """Reading a model's answer: the JSON object in it, and strictly validated entities."""
 
-from __future__ import annotations
-
 import json
 import re
 from typing import Any
@@ -76,13 +74,11 @@ def parse_answer(text: str | None) -> tuple[list[dict[str, Any]], str | None]:
     return [e for e in kept if e is not None], None
 
 
-@F.pandas_udf(f"struct<entities:array<{ENTITY}>,error:string>")
 def _parsed(values: pd.Series) -> pd.DataFrame:
     rows = [parse_answer(v) for v in values]
-    entities = [[{**e, "attributes": list(e["attributes"].items())} for e in found] for found, _ in rows]
-    return pd.DataFrame({"entities": entities, "error": [error for _, error in rows]})
+    return pd.DataFrame({"entities": [found for found, _ in rows], "error": [error for _, error in rows]})
 
 
 def parse_response(raw: Column) -> Column:
     """Struct (entities, error) of a raw answer."""
-    return _parsed(raw)
+    return F.pandas_udf(_parsed, f"struct<entities:array<{ENTITY}>,error:string>")(raw)

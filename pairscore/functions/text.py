@@ -1,12 +1,11 @@
 """Text normalisation, as column expressions where Spark has them and as Arrow functions where it has not (NFKC, full
 case folding). The ``exact=False`` forms stay in the JVM and agree with the exact ones on ASCII input."""
 
-from __future__ import annotations
-
 import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 # Relation phrases and their canonical names; the first that a text contains decides.
 RELATIONS = (
@@ -56,17 +55,17 @@ def _arrays(fn, values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else [one(x) for x in v])
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def _folded_arrays(values: pd.Series) -> pd.Series:
     return _arrays(folded, values)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def _plain_arrays(values: pd.Series) -> pd.Series:
     return _arrays(plain, values)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def _relation_arrays(values: pd.Series) -> pd.Series:
     return _arrays(relation_name, values)
 

@@ -66,6 +66,74 @@ def _errors(kind: str, items: Column, *fields) -> Column:
     return F.transform(items, lambda x, i: F.struct(F.lit(kind).alias("error_type"), i.alias("seq"), payload(x).alias("payload")))
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: an expression that lambdas mention is else put into them by the
+    optimizer and computed again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _links(side: Column) -> Column:
+    """All relations of a side with their subject's keys, in order."""
+    of = lambda e: lambda r: F.struct(e["name"].alias("subject"), e["keys"].alias("keys"), r["relation"].alias("relation"), r["target"].alias("target"), r["target_keys"].alias("target_keys"))
+    return F.flatten(F.transform(side, lambda e: F.transform(e["relations"], of(e))))
+
+
+def _pairs(ref: Column, pred: Column, match: Column) -> Column:
+    """The matched pairs: i (the reference's place), r and p."""
+    all_ = F.transform(ref, lambda r, i: F.struct(i.alias("i"), r.alias("r"), F.get(pred, F.get(match, i)).alias("p"), (F.get(match, i) >= 0).alias("met")))
+    return F.filter(all_, lambda x: x["met"])
+
+
+def _asked(pairs: Column) -> Column:
+    """The reference's attributes in matched pairs, with what the other side has: ``found`` by the comparison form of the
+    name, the last one if several; ``raw`` by the name as written, or empty."""
+    by_key = lambda p, a: F.try_element_at(F.filter(p["attributes"], lambda b: b["n_key"] == a["n_key"]), F.lit(-1))["n_value"]
+    by_name = lambda p, a: F.coalesce(F.try_element_at(F.filter(p["attributes"], lambda b: b["key"] == a["key"]), F.lit(1))["value"], F.lit(""))
+    one = lambda x: lambda a: F.struct(
+        x["r"]["name"].alias("entity"), a["key"].alias("key"), a["value"].alias("value"), a["n_value"].alias("n_value"),
+        by_key(x["p"], a).alias("found"), by_name(x["p"], a).alias("raw"))
+    return F.flatten(F.transform(pairs, lambda x: F.transform(x["r"]["attributes"], one(x))))
+
+
+def _more(pairs: Column, ref: Column) -> Column:
+    """The other side's attributes that the reference lacks, with the first other reference entity that has the value."""
+    lacking = lambda x: F.filter(x["p"]["attributes"], lambda a: ~F.exists(x["r"]["attributes"], lambda b: b["n_key"] == a["n_key"]))
+    has = lambda a: lambda o, j: F.struct(j.alias("j"), o["name"].alias("name"), F.exists(o["attributes"], lambda b: b["n_value"] == a["n_value"]).alias("has"))
+    owner = lambda x, a: F.try_element_at(F.filter(F.transform(ref, has(a)), lambda o: o["has"] & (o["j"] != x["i"])), F.lit(1))["name"]
+    one = lambda x: lambda a: F.struct(x["p"]["name"].alias("entity"), a["key"].alias("key"), a["value"].alias("value"), owner(x, a).alias("owner"))
+    return F.flatten(F.transform(pairs, lambda x: F.transform(lacking(x), one(x))))
+
+
+def _where(items: Column, condition) -> Column:
+    """The elements of which a condition on element and place holds."""
+    return F.transform(F.filter(F.transform(items, lambda x, i: F.struct(x.alias("x"), condition(x, i).alias("kept"))), lambda y: y["kept"]), lambda y: y["x"])
+
+
+def _result(ref: Column, pred: Column, entity_match: Column, ref_links: Column, pred_links: Column, relation_match: Column, pairs: Column, asked: Column, more: Column) -> Column:
+    n = lambda c: F.size(c).cast("bigint")
+    met = lambda c: n(F.filter(c, lambda j: j >= 0))
+    counts = lambda tp, fp, fn: F.struct(tp.alias("tp"), fp.alias("fp"), fn.alias("fn"))
+    missing, wrong = F.filter(asked, lambda a: a["found"].isNull()), F.filter(asked, lambda a: a["found"] != a["n_value"])
+    equal = n(F.filter(asked, lambda a: a["found"] == a["n_value"]))
+    field = lambda name, of=None: (name, lambda x: x[of or name])
+    errors = F.concat(
+        _errors("missing_entity", _where(ref, lambda _, i: F.get(entity_match, i) < 0), field("name"), field("type")),
+        _errors("extra_entity", _where(pred, lambda _, j: ~F.array_contains(entity_match, j)), field("name"), field("type")),
+        _errors("wrong_type", F.filter(pairs, lambda x: x["r"]["n_type"] != x["p"]["n_type"]), ("name", lambda x: x["r"]["name"]), ("reference_type", lambda x: x["r"]["type"]), ("prediction_type", lambda x: x["p"]["type"])),
+        _errors("missing_attribute", missing, field("entity"), field("attribute", "key"), field("value")),
+        _errors("wrong_attribute_value", wrong, field("entity"), field("attribute", "key"), field("reference_value", "value"), field("prediction_value", "raw")),
+        _errors("wrong_relation", _where(ref_links, lambda _, i: F.get(relation_match, i) < 0), field("subject"), field("relation"), field("target")),
+        _errors("wrong_attachment", F.filter(more, lambda a: a["owner"].isNotNull()), field("predicted_entity", "entity"), field("attribute", "key"), field("value"), field("likely_entity", "owner")),
+    )
+    return F.struct(
+        entity_match.alias("entity_match"), relation_match.alias("relation_match"),
+        counts(met(entity_match), n(pred) - met(entity_match), n(ref) - met(entity_match)).alias("entity"),
+        counts(equal, n(wrong) + n(more), n(missing) + n(wrong)).alias("attribute"),
+        counts(met(relation_match), n(pred_links) - met(relation_match), n(ref_links) - met(relation_match)).alias("relation"),
+        errors.cast(f"array<{ERROR}>").alias("errors"),
+    )
+
+
 def score_lists(pairs: DataFrame) -> DataFrame:
     """``pairs`` has the columns ``ref`` and ``pred``, lists of prepared entities. Adds ``entity_match`` and
     ``relation_match`` (the places taken), ``entity``, ``attribute`` and ``relation`` (counts) and ``errors``.
@@ -74,50 +142,13 @@ def score_lists(pairs: DataFrame) -> DataFrame:
     positives, a missing one is a false negative, a different one both, one more on the other side a false positive.
     Relations match when their subjects share a key, their canonical names agree and their targets share a key.
     """
-    n = lambda c: F.size(c).cast("bigint")
     shares = lambda a, b: F.arrays_overlap(a["keys"], b["keys"])
-    matched = pairs.withColumn("entity_match", greedy(F.col("ref"), F.col("pred"), shares))
-    flat = lambda side: F.flatten(F.transform(side, lambda e: F.transform(e["relations"], lambda r: F.struct(e["name"].alias("subject"), e["keys"].alias("keys"), r["relation"].alias("relation"), r["target"].alias("target"), r["target_keys"].alias("target_keys")))))
-    matched = matched.withColumn("ref_links", flat("ref")).withColumn("pred_links", flat("pred"))
     same = lambda a, b: (a["relation"] == b["relation"]) & shares(a, b) & F.arrays_overlap(a["target_keys"], b["target_keys"])
-    matched = matched.withColumn("relation_match", greedy(F.col("ref_links"), F.col("pred_links"), same))
-
-    both = F.filter(F.transform("ref", lambda r, i: F.struct(i.alias("i"), r.alias("r"), F.get("pred", F.get("entity_match", i)).alias("p"), (F.get("entity_match", i) >= 0).alias("met"))), lambda x: x["met"])
-    matched = matched.withColumn("pairs", both)
-    of_key = lambda attributes, k: F.try_element_at(F.filter(attributes, lambda a: a["n_key"] == k), F.lit(-1))
-    raw = lambda attributes, k: F.coalesce(F.try_element_at(F.filter(attributes, lambda a: a["key"] == k), F.lit(1))["value"], F.lit(""))
-    asked = F.flatten(F.transform("pairs", lambda x: F.transform(x["r"]["attributes"], lambda a: F.struct(
-        x["r"]["name"].alias("entity"), a["key"].alias("key"), a["value"].alias("value"), a["n_value"].alias("n_value"),
-        of_key(x["p"]["attributes"], a["n_key"])["n_value"].alias("found"), raw(x["p"]["attributes"], a["key"]).alias("raw")))))
-    owner = lambda x, a: F.try_element_at(F.filter(F.transform("ref", lambda o, j: F.struct(j.alias("j"), o["name"].alias("name"), F.exists(o["attributes"], lambda b: b["n_value"] == a["n_value"]).alias("has"))), lambda o: o["has"] & (o["j"] != x["i"])), F.lit(1))["name"]
-    more = F.flatten(F.transform("pairs", lambda x: F.transform(
-        F.filter(x["p"]["attributes"], lambda a: ~F.exists(x["r"]["attributes"], lambda b: b["n_key"] == a["n_key"])),
-        lambda a: F.struct(x["p"]["name"].alias("entity"), a["key"].alias("key"), a["value"].alias("value"), owner(x, a).alias("owner")))))
-    matched = matched.withColumn("asked", asked).withColumn("more", more)
-    met = lambda c: n(F.filter(c, lambda j: j >= 0))
-    counts = lambda tp, fp, fn: F.struct(tp.alias("tp"), fp.alias("fp"), fn.alias("fn"))
-    equal = n(F.filter("asked", lambda a: a["found"] == a["n_value"]))
-    missing = F.filter("asked", lambda a: a["found"].isNull())
-    wrong = F.filter("asked", lambda a: a["found"] != a["n_value"])
-    unmet = lambda left, match: F.transform(F.filter(F.transform(left, lambda x, i: F.struct(x.alias("x"), (F.get(match, i) < 0).alias("none"))), lambda y: y["none"]), lambda y: y["x"])
-    untaken = F.transform(F.filter(F.transform("pred", lambda x, j: F.struct(x.alias("x"), F.array_contains("entity_match", j).alias("taken"))), lambda y: ~y["taken"]), lambda y: y["x"])
-    field = lambda name: lambda x: x[name]
-    rows = F.concat(
-        _errors("missing_entity", unmet("ref", "entity_match"), ("name", field("name")), ("type", field("type"))),
-        _errors("extra_entity", untaken, ("name", field("name")), ("type", field("type"))),
-        _errors("wrong_type", F.filter("pairs", lambda x: x["r"]["n_type"] != x["p"]["n_type"]), ("name", lambda x: x["r"]["name"]), ("reference_type", lambda x: x["r"]["type"]), ("prediction_type", lambda x: x["p"]["type"])),
-        _errors("missing_attribute", missing, ("entity", field("entity")), ("attribute", field("key")), ("value", field("value"))),
-        _errors("wrong_attribute_value", wrong, ("entity", field("entity")), ("attribute", field("key")), ("reference_value", field("value")), ("prediction_value", field("raw"))),
-        _errors("wrong_relation", unmet("ref_links", "relation_match"), ("subject", field("subject")), ("relation", field("relation")), ("target", field("target"))),
-        _errors("wrong_attachment", F.filter("more", lambda a: a["owner"].isNotNull()), ("predicted_entity", field("entity")), ("attribute", field("key")), ("value", field("value")), ("likely_entity", field("owner"))),
-    )
-    return (
-        matched.withColumn("entity", counts(met("entity_match"), n("pred") - met("entity_match"), n("ref") - met("entity_match")))
-        .withColumn("attribute", counts(equal, n(wrong) + n("more"), n(missing) + n(wrong)))
-        .withColumn("relation", counts(met("relation_match"), n("pred_links") - met("relation_match"), n("ref_links") - met("relation_match")))
-        .withColumn("errors", rows.cast(f"array<{ERROR}>"))
-        .drop("pairs", "asked", "more", "ref_links", "pred_links")
-    )
+    result = bind(F.col("ref"), lambda ref: bind(F.col("pred"), lambda pred: bind(
+        greedy(ref, pred, shares), lambda em: bind(_links(ref), lambda rl: bind(_links(pred), lambda pl: bind(
+            greedy(rl, pl, same), lambda rm: bind(_pairs(ref, pred, em), lambda ps: bind(_asked(ps), lambda asked: bind(
+                _more(ps, ref), lambda more: _result(ref, pred, em, rl, pl, rm, ps, asked, more))))))))))
+    return pairs.withColumn("result", result).select("*", "result.*").drop("result")
 
 
 def choose_reference(b: DataFrame, a: DataFrame, gold: DataFrame | None = None, keys=KEYS) -> DataFrame:
@@ -163,4 +194,5 @@ def error_rows(evaluated: DataFrame, keys=KEYS) -> DataFrame:
 
 def errors_by_kind(errors: Column) -> Column:
     """A chunk's errors as a struct of lists, one a kind, in report order."""
-    return F.struct(*[F.transform(F.filter(errors, lambda x, k=k: x["error_type"] == k), lambda x: x["payload"]).alias(k) for k in ERROR_TYPES])
+    of = lambda kind: lambda x: x["error_type"] == kind
+    return F.struct(*[F.transform(F.filter(errors, of(k)), lambda x: x["payload"]).alias(k) for k in ERROR_TYPES])
