@@ -110,8 +110,8 @@ def _place(words: np.ndarray, of: np.ndarray) -> np.ndarray:
 def _bigrams(rows: DataFrame, shards: int, frequent: np.ndarray, spread: np.ndarray) -> DataFrame:
     """Chunks: for each shard the words of its n-grams, how many contexts each has (runs), the contexts (as places among
     the frequent words, the others in ``rare``), how often each n-gram stands (times) and in which rows; and one row with
-    the chunk's doc_ids, kept apart from ``words``. Words marked in ``spread`` are dealt by context too."""
-    shared = rows.sparkSession.sparkContext.broadcast((frequent, np.append(spread, np.zeros(FREQUENT + 1 - len(spread), bool))))
+    the chunk's doc_ids, kept apart from ``words``. Words in ``spread``, sorted, are dealt by context too."""
+    shared = rows.sparkSession.sparkContext.broadcast((frequent, spread))
 
     def run(batches):
         from pyspark import TaskContext
@@ -128,7 +128,7 @@ def _bigrams(rows: DataFrame, shards: int, frequent: np.ndarray, spread: np.ndar
             v = np.append(END, w[:-1])  # the first word of a row follows the end of the row before
             d = np.repeat(np.arange(len(rows_), dtype=np.uint16), sizes)
             pair = _pair(v, w)
-            p = np.where(wide[_place(w, often)], pair, mix(w, 5)) % np.uint64(shards)
+            p = np.where(_place(w, wide) != FREQUENT, pair, mix(w, 5)) % np.uint64(shards)
             by = np.argsort((p << np.uint64(44)) | (mix(w, 7) >> np.uint64(42)) << np.uint64(22) | pair >> np.uint64(42), kind="stable")
             del pair
             w, v, d, p = w[by], v[by], d[by], p[by].astype(np.int64)
@@ -283,7 +283,7 @@ def lm_score(docs: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast((frequent, counts))
     uniform = 1.0 / (types + 1)
     # a word that would fill a quarter of a shard is spread over all of them
-    grams = _bigrams(rows, shards, frequent, counts[0] >= max(2.0, n_train / (4 * shards)))
+    grams = _bigrams(rows, shards, frequent, frequent[counts[0] >= max(2.0, n_train / (4 * shards))])
 
     def request(key, rows):
         words = _needed(_Shard(rows, shared.value[0]), shared.value[0], n_tasks)
