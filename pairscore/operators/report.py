@@ -25,8 +25,7 @@ def _kind_order(column: str = "error_type"):
 
 def errors_by_type(errors: DataFrame, evaluated: DataFrame) -> DataFrame:
     """``error_type, count`` with zeros kept, unless there is no chunk at all."""
-    spark = errors.sparkSession
-    kinds = spark.createDataFrame([(k,) for k in ERROR_TYPES], "error_type string").join(F.broadcast(evaluated.limit(1).select(F.lit(1).alias("any"))), F.lit(True), "left_semi")
+    kinds = evaluated.limit(1).select(F.explode(F.array(*[F.lit(k) for k in ERROR_TYPES])).alias("error_type"))
     found = errors.groupBy("error_type").agg(F.count("*").alias("n"))
     return kinds.join(F.broadcast(found), "error_type", "left").select("error_type", F.coalesce("n", F.lit(0)).cast("bigint").alias("count"))
 
