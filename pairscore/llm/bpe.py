@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import json
 import re
-import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,13 +24,14 @@ from pyspark.sql import DataFrame
 
 from .common import map_text
 
-#: A full stop or comma at the end of a string that is not in a run of punctuation is a word of its own, so it can be set
-#: apart before strings are looked up: they repeat more often without it.
-_RUN = re.compile(r"[^\sA-Za-z0-9À-ÖØ-öø-ÿ][.,](?=\s|$)|^[.,](?=\s|$)|(?<=\s)[.,](?=\s|$)")
+#: Texts of letters, digits, full stops and commas: there a mark that stands alone after a string is a word of its own, and
+#: is set apart before strings are looked up, as they repeat more often without it.
+_PLAIN = re.compile(r"[ \t\n\r\x0b\x0cA-Za-z0-9À-ÖØ-öø-įı-ʯ.,]*")
+_RUNS = ("..", ",,", ".,", ",.")
 _SIMPLE = re.compile(r"[\x00-\x1b\x20-˿]*")
 #: White-space separated strings whose ids a worker remembers: when so many are new, the last so many become the old
 #: ones, and older ones are forgotten.
-STRINGS_KEPT = 400_000
+STRINGS_KEPT = 500_000
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -70,6 +70,7 @@ class ForcedCutEncoder:
         self.may_cut = re.compile(f"[{cover}]" if cover else "(?!)")
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(len(self.tokens))]
         self.symbol = byte_symbols()
         self.table = {b: s for b, s in enumerate(self.symbol)}
         self.library = Tokenizer.from_file(path)
@@ -95,13 +96,14 @@ class ForcedCutEncoder:
 
     def _word(self, word: str) -> bytes:
         if word.isascii() and word.isalpha():
-            ids = self.word_ids(word) if self.may_cut.search(word) else [t.id for t in self.final.tokenize(word)]
+            if not self.may_cut.search(word):
+                return b"".join([self.id_bytes[t.id] for t in self.final.tokenize(word)])
         else:
-            ids = self.word_ids(word.encode().decode("latin-1").translate(self.table))
-        return struct.pack(f"<{len(ids)}I", *ids)
+            word = word.encode().decode("latin-1").translate(self.table)
+        return b"".join([self.id_bytes[i] for i in self.word_ids(word)])
 
     def _string(self, s: str) -> bytes:
-        """Ids, as bytes, of a lower-case string without white space."""
+        """Ids, as bytes, of a lower-case string without white space that is not among those just met."""
         found = self.older.get(s)
         if found is None:
             found = self._word(s) if s.isalpha() else b"".join(map(self._word, self.pattern.findall(s)))
@@ -115,13 +117,11 @@ class ForcedCutEncoder:
         out: list[bytes] = []
         for part in self.cut_special.split(text or "") if self.cut_special else [text or ""]:
             if part in self.special:
-                out.append(self.special[part].to_bytes(4, "little"))
+                out.append(self.id_bytes[self.special[part]])
             elif _SIMPLE.fullmatch(part):
-                part = part.lower()
-                if not _RUN.search(part):
-                    for mark in ".,":
-                        part = part.replace(mark + " ", f" {mark} ").replace(mark + "\n", f" {mark} ")
-                words = part.split()
+                if _PLAIN.fullmatch(part) and not any(r in part for r in _RUNS):
+                    part = part.replace(". ", " . ").replace(", ", " , ").replace(".\n", " . ").replace(",\n", " , ")
+                words = part.lower().split()
                 found = list(map(self.strings.get, words))
                 try:
                     out.append(b"".join(found))
@@ -129,7 +129,7 @@ class ForcedCutEncoder:
                     out.append(b"".join([self._string(s) if f is None else f for f, s in zip(found, words)]))
             elif part:
                 for word, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part)):
-                    out.append(b"".join(i.to_bytes(4, "little") for i in self.word_ids(word)))
+                    out += [self.id_bytes[i] for i in self.word_ids(word)]
         return b"".join(out)
 
     def decode(self, ids) -> str:

@@ -26,30 +26,35 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 class Index:
-    """BM25 over one shard. Documents are arrays of token ids."""
+    """BM25 over one shard, of arrays of token ids. Terms that at least half of the documents have tell nothing: their
+    inverse document frequency is 0 or less and counts as 0."""
 
     def __init__(self, docs: list[np.ndarray]):
         self.n = len(docs)
         sizes = np.array([len(d) for d in docs])
-        keys = (np.repeat(np.arange(self.n, dtype=np.uint64), sizes) << np.uint64(20)) | np.concatenate(docs).astype(np.uint64)
+        keys = (np.repeat(np.arange(self.n, dtype=np.uint64), sizes) << np.uint64(20)) | np.concatenate(docs)
         if self.n <= 4096:
             keys = keys.astype(np.uint32)
         keys.sort()
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         tf = np.diff(np.append(first, len(keys)))
         owner, term = (keys[first] >> keys.dtype.type(20)).astype(np.int64), (keys[first] & keys.dtype.type(0xFFFFF)).astype(np.int64)
-        _, term = np.unique(term, return_inverse=True)
-        self.terms, self.term_at = term, np.searchsorted(owner, np.arange(self.n + 1))
         df = np.bincount(term)
-        weight = np.log(1 + (self.n - df + 0.5) / (df + 0.5))[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[owner] / sizes.mean()))
+        telling = (df[term] > 1) & (2 * df[term] < self.n)  # a term of one document leads nowhere
+        owner, term, tf = owner[telling], term[telling], tf[telling]
+        weight = np.log((self.n - df[term] + 0.5) / (df[term] + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[owner] / sizes.mean()))
         order = np.argsort(term, kind="stable")
-        self.docs, self.weight, self.df, self.at = owner[order], weight[order], df, np.append(0, np.cumsum(df))
+        self.docs, self.weight = owner[order], weight[order]
+        self.at = np.searchsorted(term[order], np.arange(len(df) + 1))
+        self.terms, self.term_at = term, np.searchsorted(owner, np.arange(self.n + 1))
 
     def scores(self, doc: int) -> np.ndarray:
         """The score of every document for the distinct terms of one."""
         terms = self.terms[self.term_at[doc] : self.term_at[doc + 1]]
-        sizes = self.df[terms]
-        spans = np.repeat(self.at[terms] - np.append(0, np.cumsum(sizes)[:-1]), sizes) + np.arange(sizes.sum())
+        at = self.at[terms]
+        sizes = self.at[terms + 1] - at
+        ends = np.cumsum(sizes)
+        spans = np.repeat(at - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
         return np.bincount(self.docs[spans], self.weight[spans], self.n)
 
 
