@@ -1,7 +1,8 @@
 """Exact dedup by content sort (DataFrame functions only).
 
 Sampled splitters range-partition the normalised texts, an external sort puts equal texts next to each other, and a
-pass over neighbours compares the whole texts and settles each run. A text that makes up a large share of the rows
+pass over neighbours compares the whole texts and settles each run. The ranges go by the first HEAD characters, then a
+hash, so that the samples on the driver stay small however long the texts are; the sort goes on to the whole text. A text that makes up a large share of the rows
 would fill one range, so the few such texts (at most ``1 / HOT_SHARE``, whatever the size of the input) get a salt:
 their runs are settled salt by salt and then merged, again by whole-text comparison.
 """
@@ -15,6 +16,7 @@ from .common import ascii_lower
 #: A text with at least this share of the rows is salted; so at most 1 / HOT_SHARE texts are.
 HOT_SHARE = 0.002
 SALTS = 64
+HEAD = 32
 
 
 def exact_dedup(docs: DataFrame, keep: str = "min", partitions: int | None = None) -> DataFrame:
@@ -35,11 +37,12 @@ def exact_dedup(docs: DataFrame, keep: str = "min", partitions: int | None = Non
     hot = [r["print"] for r in counted.where(F.col("n") >= max(2.0, n_rows * HOT_SHARE)).select("print").limit(int(1 / HOT_SHARE) + 1).collect()] if n_rows >= SALTS / HOT_SHARE else []
     salt = F.when(F.xxhash64("norm").isin(hot), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)) if hot else F.lit(0)
     n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = rows.withColumn("salt", salt).repartitionByRange(n, "norm", "salt").sortWithinPartitions("norm", "salt")
-    run = Window.partitionBy("norm", "salt")  # the ranges and the sort above serve it: no further exchange
+    keyed = rows.select("doc_id", "norm", F.substring("norm", 1, HEAD).alias("head"), F.xxhash64("norm").alias("print"), salt.alias("salt"))
+    ranged = keyed.repartitionByRange(n, "head", "print", "salt").sortWithinPartitions("head", "print", "salt", "norm")
+    run = Window.partitionBy("head", "print", "salt", "norm")  # the ranges and the sort above serve it: no further exchange
     settled = ranged.select("doc_id", F.sha2(F.col("norm"), 256).alias("text_sha256"), "salt", best("doc_id").over(run).alias("run_id"), F.count("*").over(run).alias("run_n"))
     if hot:
-        heads = ranged.where(F.xxhash64("norm").isin(hot)).groupBy("norm", "salt").agg(best("doc_id").alias("id"), F.count("*").alias("n"))
+        heads = ranged.where(F.col("print").isin(hot)).groupBy("head", "print", "salt", "norm").agg(best("doc_id").alias("id"), F.count("*").alias("n"))
         merged = heads.groupBy("norm").agg(best("id").alias("all_id"), F.sum("n").alias("all_n")).select(F.sha2("norm", 256).alias("text_sha256"), "all_id", "all_n")
         settled = settled.join(F.broadcast(merged), "text_sha256", "left")  # at most 1 / HOT_SHARE rows
         keep_id, size = F.when(F.col("all_n").isNull(), F.col("run_id")).otherwise(F.col("all_id")), F.coalesce("all_n", "run_n")
