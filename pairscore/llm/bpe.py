@@ -22,7 +22,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from .common import map_text
+from .common import map_text, remembers
 
 #: Texts of letters, digits, full stops and commas: there a mark that stands alone after a string is a word of its own, and
 #: is set apart before strings are looked up, as they repeat more often without it.
@@ -31,7 +31,7 @@ _RUNS = ("..", ",,", ".,", ",.")
 _SIMPLE = re.compile(r"[\x00-\x1b\x20-˿]*")
 #: White-space separated strings whose ids a worker remembers: when so many are new, the last so many become the old
 #: ones, and older ones are forgotten.
-STRINGS_KEPT = 500_000
+STRINGS_KEPT = 400_000
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -53,10 +53,11 @@ class ForcedCutEncoder:
         model = spec["model"]
         self.end = model["end_of_word_suffix"] or ""
         self.vocab: dict[str, int] = model["vocab"]
+        self.library = Tokenizer.from_file(path)
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         #: encoders for a fragment within a word, and for one at its end
         self.inner = BPE(self.vocab, merges)
-        self.final = BPE(self.vocab, merges, end_of_word_suffix=self.end)
+        self.final = self.library.model
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = [""] * (max([*self.vocab.values(), *self.special.values()]) + 1)
         for token, i in (*self.vocab.items(), *self.special.items()):
@@ -73,7 +74,6 @@ class ForcedCutEncoder:
         self.id_bytes = [i.to_bytes(4, "little") for i in range(len(self.tokens))]
         self.symbol = byte_symbols()
         self.table = {b: s for b, s in enumerate(self.symbol)}
-        self.library = Tokenizer.from_file(path)
         self.strings: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -137,10 +137,22 @@ class ForcedCutEncoder:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> ForcedCutEncoder:
-    """One encoder a worker process: what it remembers serves all batches."""
-    return ForcedCutEncoder(path)
+    """One encoder a worker process: what it remembers serves all batches of a task, and the next tasks' too, until another
+    operator's task needs the memory."""
+    made = ForcedCutEncoder(path)
+    _MADE.append(made)
+    return made
+
+
+_MADE: list[ForcedCutEncoder] = []
+
+
+@remembers
+def _forget() -> None:
+    for made in _MADE:
+        made.strings, made.older = {}, {}
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:

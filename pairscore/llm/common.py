@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -37,11 +38,21 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+_REMEMBERED: list[Callable[[], None]] = []
+
+
+def remembers(forget: Callable[[], None]) -> None:
+    """Register how to drop what a module remembers from task to task in a worker."""
+    _REMEMBERED.append(forget)
+
+
 def give_back() -> None:
-    """Return freed memory to the system. Python workers are reused from task to task, and what the allocators keep of
-    one task's large arrays would count against the executor in the next."""
+    """Drop what other operators remember here, and return freed memory to the system. Python workers are reused from
+    task to task, and what is kept of one task would count against the executor in the next."""
     import pyarrow as pa
 
+    for forget in _REMEMBERED:
+        forget()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -84,6 +95,7 @@ def map_text(df: DataFrame, column: str, keep: list[str], fields: str, make) ->
     read = list(dict.fromkeys([*keep, column]))
 
     def run(batches):
+        give_back()
         fn = make()
         for b in batches:
             values = fn(b.column(read.index(column)).to_pylist())

@@ -52,6 +52,7 @@ def _unigrams(rows: DataFrame, shards: int, staged: Staged) -> DataFrame:
     """(q, words, train, fit, n_train, n_fit, types): sorted word hashes of each shard and their counts."""
 
     def count(batches):
+        give_back()
         fit, deleted, size = Counter(), Counter(), 0
 
         def packed():

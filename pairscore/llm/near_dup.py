@@ -105,6 +105,7 @@ def _chunks(docs: DataFrame, n: int, shards: int) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
+        give_back()
         shingler, part, chunks = Shingler(n), TaskContext.get().partitionId(), 0
         own_ids, nodes, at, texts, first_row, where, size, id_type = [], [], [], [], [], {}, 0, None
 
@@ -211,6 +212,7 @@ def _sets(docs: DataFrame, n: int, wanted: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
+        give_back()
         shingler, seen, bits = Shingler(n), set(), shared.value
         for b in batches:
             nodes, texts = [], []

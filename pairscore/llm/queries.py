@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .ann import nearest
@@ -10,7 +12,7 @@ from .chat_format import examples, format_conversations, read_turns, unescape
 from .common import table
 from .exact_dedup import exact_dedup
 from .html_extract import extract_pages
-from .license_scan import license_scan
+from .license_scan import BASE, STEP, TEMPLATES, WHOLE_BELOW, license_scan
 from .lm_score import lm_score
 from .near_dup import near_duplicates
 from .packing import pack
@@ -100,7 +102,34 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _SAID = "</s>[INST] ok [/INST]"
 _SIZE = "length({0}) + length({0}) - length(replace(replace(replace({0}, '~', ''), '<', ''), '[', ''))"
 
+_PHRASES = ", ".join(f"('{label}', {phrase.split()})" for phrase, label in BASE.items())
+
+
+def _template_words() -> str:
+    rows = []
+    for rule, (label, text) in enumerate(TEMPLATES):
+        own = sorted(set(text.split()))
+        need = len(own) if len(own) < WHOLE_BELOW else math.ceil(0.8 * len(own))
+        rows += [f"({rule}, '{label}', '{w}', {len(own)}, {need})" for w in own]
+    return ", ".join(rows)
+
+
 SQL = {
+    "op1_license_scan": f"""
+        WITH w AS (SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+        tok AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM w),
+        phrase(label, ps) AS (VALUES {_PHRASES}),
+        tw(rule, label, word, size, need) AS (VALUES {_template_words()}),
+        base AS (SELECT t.doc_id, label, pos FROM tok t JOIN phrase ON word = ps[1] JOIN w ON w.doc_id = t.doc_id WHERE ws[pos + 1 : pos + len(ps)] = ps),
+        hit AS (SELECT doc_id, label, count(DISTINCT word) / any_value(size) AS score
+                FROM (SELECT doc_id, word, unnest([pos // {STEP}, pos // {STEP} - 1]) AS block FROM tok) JOIN tw USING (word)
+                WHERE block >= 0 GROUP BY doc_id, rule, label, block HAVING count(DISTINCT word) >= any_value(need)),
+        b AS (SELECT doc_id, count(*) AS n, min(pos) AS lo, max(pos) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY doc_id),
+        l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+              FROM (SELECT doc_id, label, 1.0::DOUBLE AS score FROM base UNION ALL SELECT * FROM hit) GROUP BY doc_id)
+        SELECT w.doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_base, lo AS first_word, hi AS last_word, coalesce(b.labels, '') AS base_labels,
+               coalesce(l.labels, '') AS labels, coalesce(score, 0.0) AS score
+        FROM w LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id)""",
     "op10_chat_format": f"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
