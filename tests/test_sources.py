@@ -123,11 +123,11 @@ def test_log(tmp_path):
     from pairscore.plans.log import driver_logger, success
 
     log = driver_logger("test", str(tmp_path / "logs" / "a.log"), "1KB", 2)
-    for i in range(60):
+    for i in range(200):
         success(driver_logger("test", str(tmp_path / "logs" / "a.log"), "1KB", 2), f"number {i}")
     assert len(log.handlers) == 2
     assert sorted(p.name for p in (tmp_path / "logs").iterdir()) == ["a.log", "a.log.1", "a.log.2"]
-    assert "✅ SUCCESS test: number 59" in (tmp_path / "logs" / "a.log").read_text()
+    assert "✅ SUCCESS test: number 199" in (tmp_path / "logs" / "a.log").read_text()
 
 
 def test_stream(spark, tmp_path):
