@@ -43,6 +43,16 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in set(printable) else chr(next(others)) for b in range(256)]
 
 
+class _Met(dict):
+    """Strings just met, with their ids as bytes; ``make`` gives those of others."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, s: str) -> bytes:
+        return self.make(s)
+
+
 class ForcedCutEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -74,8 +84,7 @@ class ForcedCutEncoder:
         self.id_bytes = [i.to_bytes(4, "little") for i in range(len(self.tokens))]
         self.symbol = byte_symbols()
         self.table = {b: s for b, s in enumerate(self.symbol)}
-        self.strings: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.forget()
 
     def _pairs(self, token: str) -> Iterator[str]:
         """Neighbouring symbols inside a token, as strings; the last symbol of a word-final token bears the mark."""
@@ -108,10 +117,13 @@ class ForcedCutEncoder:
         if found is None:
             found = self._word(s) if s.isalpha() else b"".join(map(self._word, self.pattern.findall(s)))
         if len(self.strings) >= STRINGS_KEPT:
-            self.older, self.strings = self.strings, {}
+            self.older, self.strings = self.strings, _Met(self._string)
         self.strings[s] = found
         return found
 
+    def forget(self) -> None:
+        self.strings, self.older = _Met(self._string), {}
+
     def encode(self, text: str | None) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers; null is as empty."""
         out: list[bytes] = []
@@ -121,12 +133,7 @@ class ForcedCutEncoder:
             elif _SIMPLE.fullmatch(part):
                 if _PLAIN.fullmatch(part) and not any(r in part for r in _RUNS):
                     part = part.replace(". ", " . ").replace(", ", " , ").replace(".\n", " . ").replace(",\n", " , ")
-                words = part.lower().split()
-                found = list(map(self.strings.get, words))
-                try:
-                    out.append(b"".join(found))
-                except TypeError:  # some are not known yet
-                    out.append(b"".join([self._string(s) if f is None else f for f, s in zip(found, words)]))
+                out.append(b"".join(map(self.strings.__getitem__, part.lower().split())))
             elif part:
                 for word, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part)):
                     out += [self.id_bytes[i] for i in self.word_ids(word)]
@@ -152,7 +159,7 @@ _MADE: list[ForcedCutEncoder] = []
 @remembers
 def _forget() -> None:
     for made in _MADE:
-        made.strings, made.older = {}, {}
+        made.forget()
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:

@@ -8,6 +8,7 @@ window can be short, and that one is laid out in sequences of power-of-two lengt
 
 from __future__ import annotations
 
+import gc
 import math
 import zlib
 
@@ -18,8 +19,8 @@ from .bpe import encoder
 
 WINDOW = 4096
 END_ID = 2
-#: Characters of text a shard holds on average; with it the cost of a retrieval is bounded whatever the corpus.
-SHARD_CHARS = 1_000_000
+#: Bytes of text a shard holds on average; with it the cost of a retrieval is bounded whatever the corpus.
+SHARD_BYTES = 1_000_000
 K1, B = 1.2, 0.75
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -116,7 +117,7 @@ def _halve(pieces, last: int, window: int):
     return done
 
 
-def pack(docs: DataFrame, path: str, window: int = WINDOW, shard_chars: int = SHARD_CHARS) -> DataFrame:
+def pack(docs: DataFrame, path: str, window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     A document's tokens are its text's ids (null text: none) and END_ID; so an empty text still has one. Sequences hold
@@ -127,19 +128,21 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, shard_chars: int = SH
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    chars = docs.agg(F.sum(F.length("text")), F.count("*")).first()
-    shards = max(1, math.ceil(((chars[0] or 0) + 8 * chars[1]) / shard_chars))
+    size = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    shards = max(1, math.ceil(((size[0] or 0) + 8 * size[1]) / shard_bytes))
     schema = StructType.fromDDL(PIECES)
     arrow_schema = to_arrow_schema(schema)
 
     def run(key, rows):
+        gc.disable()  # a shard makes many small objects and no cycles
         rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         enc, own = encoder(path), rows.column("doc_id").to_pylist()
         end = END_ID.to_bytes(4, "little")
-        tokens = [np.frombuffer(enc.encode(t.as_py()) + end, "<u4") for t in rows.column("text")]
+        tokens = [np.frombuffer(enc.encode(t) + end, "<u4") for t in rows.column("text").to_pylist()]
         base = key[0].as_py() << 32
         pieces = fill_windows(tokens, window)
         out = [(own[d], s, n, zlib.crc32(tokens[d][s : s + n]), len(tokens[d]), base + q, o) for d, s, n, q, o in pieces]
+        gc.enable()
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow_schema, strict=True)], schema=arrow_schema)
 
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).alias("shard")
