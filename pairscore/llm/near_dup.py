@@ -300,7 +300,8 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = 80) -> DataFrame
     least = pairs.groupBy("gram").agg(F.min("node").alias("v"), F.max("node").alias("most")).where("v <> most")
     stars = pairs.join(least, "gram").select(F.col("node").alias("u"), "v")
     candidate = components(stars, staged)
-    linked = components(_verified(docs, nodes, candidate, n, percent, staged), staged)
+    # written before it is thinned: two Python operators in one stage would keep two workers a core
+    linked = components(staged.keep(_verified(docs, nodes, candidate, n, percent, staged)), staged)
 
     rooted = nodes.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.where("size > 0").groupBy("root").agg(F.min("doc_id").alias("smallest"))
@@ -341,6 +342,8 @@ def _verified(docs: DataFrame, nodes: DataFrame, candidate: DataFrame, n: int, p
                     u.append(node[at + x])
                     v.append(node[at + y])
             at = end
+        del sets
+        give_back()
         return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     return dealt.join(sets, "node").groupBy("unit", "a", "b").applyInArrow(verify, "u long, v long")

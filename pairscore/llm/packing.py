@@ -134,15 +134,17 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, shard_bytes: int = SH
     arrow_schema = to_arrow_schema(schema)
 
     def run(key, rows):
-        gc.disable()  # a shard makes many small objects and no cycles
         rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         enc, own = encoder(path), rows.column("doc_id").to_pylist()
         end = END_ID.to_bytes(4, "little")
-        tokens = [np.frombuffer(enc.encode(t) + end, "<u4") for t in rows.column("text").to_pylist()]
+        gc.disable()  # encoding makes very many small objects and no cycles
+        try:
+            tokens = [np.frombuffer(enc.encode(t) + end, "<u4") for t in rows.column("text").to_pylist()]
+        finally:
+            gc.enable()
         base = key[0].as_py() << 32
         pieces = fill_windows(tokens, window)
         out = [(own[d], s, n, zlib.crc32(tokens[d][s : s + n]), len(tokens[d]), base + q, o) for d, s, n, q, o in pieces]
-        gc.enable()
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow_schema, strict=True)], schema=arrow_schema)
 
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).alias("shard")
