@@ -35,7 +35,11 @@ NOISE_WORDS = frozenset(
     "social related recommended recommendations comment comments reply replies respond disqus discussion widget toolbar pagination pager search copyright legal disclaimer "
     "form paywall outbrain taboola teaser trending".split()
 )
-HARD_WORDS = frozenset("comment comments reply replies respond disqus discussion ad ads advert sidebar cookie cookies".split())
+HARD_WORDS = frozenset(
+    "comment comments reply replies respond disqus discussion ad ads advert adverts advertisement cookie cookies nav navbar navigation menu footer breadcrumb breadcrumbs "
+    "newsletter popup modal".split()
+)
+LAYOUT_WORDS = frozenset("has with without no".split())  # as in has-sidebar: said of the part beside it
 CONTENT_WORDS = frozenset("content main article entry story text body".split())
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -99,9 +103,12 @@ class _Lines(HTMLParser):
         if tag in NOISE or (attrs.get("role") or "").lower() in NOISE_ROLES:
             return "noise"
         words = {w.lower() for w in _WORD.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}")}
-        if words & HARD_WORDS and not (tag == "article" and words & CONTENT_WORDS) or (words & NOISE_WORDS - {"header"} and not words & CONTENT_WORDS and tag != "article"):
+        told = bool(words & CONTENT_WORDS)
+        if not words & LAYOUT_WORDS and (words & HARD_WORDS and not (tag == "article" and told) or (words & NOISE_WORDS - {"header"} and not told and tag != "article")):
             return "noise"
-        return "header" if tag == "header" or ("header" in words and not words & CONTENT_WORDS and tag not in HEADINGS and tag != "article") else ""
+        if tag == "header":
+            return "header"
+        return "header" if "header" in words and not words & (CONTENT_WORDS - {"main", "body"}) and tag not in HEADINGS and tag != "article" else ""
 
     def handle_starttag(self, tag, attrs):
         state = self._state(tag, dict(attrs)) if tag not in VOID else ""

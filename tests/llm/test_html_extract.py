@@ -22,6 +22,13 @@ def test_odd_pages():
     assert len(main_text("<article><p>" + "word " * 200_000 + "</p></article>")) == 999_999
 
 
+def test_class_names():
+    inside = f'<div class="content sidebar-right"><div class="main-nav"><p>{PARA}</p></div><p>{PARA}</p><div class="article-comments"><p>{PARA}</p></div></div>'
+    assert main_text(inside) == PARA
+    assert main_text(f'<div class="wrap with-sidebar"><p>{PARA}</p></div><div class="sidebar"><p>{PARA}</p></div>') == PARA
+    assert main_text(f'<div id="main-header"><p>Name of the site</p></div><main><header><h1>T</h1></header><p>{PARA}</p></main><div role="alert">{PARA}</div>') == f"T\n{PARA}"
+
+
 def test_query_keeps_rows(spark):
     rows = [(1, "u", f"<p>{PARA}</p>"), (1, "u", f"<p>{PARA}</p>"), (None, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
