@@ -140,6 +140,17 @@ SQL = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(11 + length(role) + {_SIZE.format('text')}) AS BIGINT) AS formatted_chars
         FROM t GROUP BY conv_id""",
+    "op2_near_dup": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+        gram AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(generate_series(1, len(ws) - 4), lambda i: array_to_string(ws[i : i + 4], ' '))
+                                                WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] END) AS g FROM w),
+        size AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id),
+        link AS (
+            SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM gram x JOIN gram y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL)
+            JOIN size na ON na.doc_id = a JOIN size nb ON nb.doc_id = b WHERE 100 * shared >= 80 * (na.n + nb.n - shared)),
+        reach AS (SELECT doc_id, doc_id AS root FROM w UNION SELECT b, root FROM reach JOIN link ON a = doc_id WHERE root < b)
+        SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id""",
     "op6_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
