@@ -31,7 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunking.hard_slices(F.col("text"), LIMIT)).alias("chunk_idx", "text"))
     name = F.format_string("chunk_%04d", F.col("chunk_idx") + 1)
-    return docs.select("doc_id", "chunk_idx", name.alias("chunk_id"), name.alias("page_hint"), F.array().cast("array<string>").alias("title_path"), "text")
+    chunks = docs.select("doc_id", "chunk_idx", name.alias("chunk_id"), name.alias("page_hint"), F.array().cast("array<string>").alias("title_path"), "text")
+    # dealt by chunk while rows are still plain texts: all that follows is by chunk and needs no further exchange
+    return chunks.repartition("doc_id", "chunk_idx")
 
 
 def _entity(t: Column, i: Column, all_: Column, student: bool) -> Column:
@@ -54,10 +56,9 @@ def extraction(chunks: DataFrame, student: bool) -> DataFrame:
     if student:
         fewer = F.filter(words, lambda t: F.length(t) % 5 != 0)
         words = F.concat(fewer, F.transform(F.filter(words, lambda t: F.length(t) % 9 == 0), lambda t: F.concat(F.lit("Zz"), F.lower(t))))
-    found = chunks.withColumn("words", words)
-    return found.select(
-        "doc_id", "chunk_idx", "chunk_id", "page_hint", "title_path",
-        F.transform("words", lambda t, i: _entity(t, i, F.col("words"), student)).alias("entities"),
+    entities = ev.bind(words, lambda own: F.transform(own, lambda t, i: _entity(t, i, own, student)))
+    return chunks.select(
+        "doc_id", "chunk_idx", "chunk_id", "page_hint", "title_path", entities.alias("entities"),
         F.lit("").alias("raw_response"), F.lit(None).cast("string").alias("error"), F.lit("student" if student else "teacher").alias("model_name"),
     )
 
