@@ -203,10 +203,13 @@ def target_keys(spark, sf_dir):
 
 
 def reference_choice(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("chunk_idx"), F.col("doc_id").cast("string").alias("chunk_id"), F.lit("").alias("page_hint"), F.array().cast("array<string>").alias("title_path"), F.substring("text", 1, LIMIT).alias("text"))
+    # a document is one chunk, its whole text; a literal index would be folded away and the rows dealt once more
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.array("text")).alias("chunk_idx", "text"))
+    docs = docs.select("doc_id", "chunk_idx", F.col("doc_id").cast("string").alias("chunk_id"), F.lit("").alias("page_hint"), F.array().cast("array<string>").alias("title_path"), "text")
     a, b = extraction(docs, False), extraction(docs, True)
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("chunk_id"), "quality")
-    gold = a.join(labels, "chunk_id").select("chunk_id", F.when(F.col("quality") == 1, F.slice("entities", 1, 2)).otherwise(F.slice("entities", 1, 0)).alias("entities"))
+    first = a.select("chunk_id", F.slice("entities", 1, 2).alias("entities"))
+    gold = first.join(labels, "chunk_id").select("chunk_id", F.when(F.col("quality") == 1, F.col("entities")).otherwise(F.slice("entities", 1, 0)).alias("entities"))
     return ev.choose_reference(b, a, gold).select("doc_id", "reference_source", "reference_actual", F.size("ref_entities").alias("n_reference"))
 
 
