@@ -8,6 +8,9 @@ add up to ``mass``. The candidates of all tables are merged and ranked by exact
 The number of directions follows the logarithm of the row count, so that a cell holds a bounded number of ordinary
 vectors. Cells that hold more, as copies make them, are dealt into blocks of at most ``block`` vectors; every block is
 searched, so nothing is capped. Blocks are spread over tasks by hash, and each returns its own nearest only.
+
+A query that met fewer than ``k`` others in its cells is searched for in all rows, so its list is exact and as long as
+the table allows.
 """
 
 from __future__ import annotations
@@ -99,8 +102,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, block: int = 2_000
 
     Vectors that are null, empty, zero, or hold null or non-finite components take no part; nor do those of another
     length than most. A null vec_id takes no part either. Rows that repeat a vec_id are candidates each, but a vec_id is
-    returned once, at its smallest distance. With fewer candidates than k, all are returned if found. Other columns are
-    ignored; an empty table gives an empty result.
+    returned once, at its smallest distance. With fewer candidates than k, all are returned. Other columns are ignored; an
+    empty table gives an empty result.
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
@@ -159,9 +162,29 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, block: int = 2_000
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
     found = dealt.select("key", "block", "vec_id", "v", task().alias("task")).groupBy("task").cogroup(wanted.groupBy("task")).applyInPandas(search, "query_id long, vec_id long, score double")
-    merged = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))  # once, if several tables had it
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return merged.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def ranked(rows: DataFrame) -> DataFrame:
+        merged = rows.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))  # once, if several tables had it
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+        return merged.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def search_all(held, asking):
+        out = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []})]
+        if len(held):
+            v, ids = np.stack(held["v"].to_numpy()), held["vec_id"].to_numpy()
+            for query_id, q in zip(asking["query_id"], asking["q"]):
+                near_ids, near = _closest(ids, v, q, query_id, k)
+                out.append(pd.DataFrame({"query_id": query_id, "vec_id": near_ids, "score": near}))
+        return pd.concat(out)
+
+    probed = ranked(found)
+    full = probed.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+    fits = F.size("v") == dim
+    short = rows.where(F.col("asks") & fits).select("vec_id", "v").join(full, "vec_id", "left_anti")
+    parts = math.ceil(total / block)
+    asking = short.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    held = rows.where(fits).select("vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part"))
+    rest = held.groupBy("part").cogroup(asking.groupBy("part")).applyInPandas(search_all, "query_id long, vec_id long, score double")
+    return ranked(probed.select("query_id", "vec_id", "score").unionByName(rest))
 
 
 def _closest(ids: np.ndarray, v: np.ndarray, q: np.ndarray, query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:

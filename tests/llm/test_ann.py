@@ -46,3 +46,17 @@ def test_fewer_than_k_and_empty(spark):
     rows = spark.createDataFrame([(0, [1.0, 0.0], 0), (1, [0.9, 0.1], 0)], SCHEMA).withColumn("key", F.lit(1)).withColumn("v", F.lit(2))
     assert [(r.query_id, r.rank, r.vec_id) for r in nearest(rows, F.col("vec_id") == 0).collect()] == [(0, 1, 1)]
     assert nearest(rows.limit(0), F.col("vec_id") == 0).collect() == []
+
+
+def test_short_lists_are_completed(spark):
+    few = [(i, [float(10 ** (i % 5)), float((-3) ** i)], 0) for i in range(8)]  # fewer candidates than k, far apart
+    got = nearest(spark.createDataFrame(few, SCHEMA), F.lit(True)).collect()
+    x = np.array([v for _, v, _ in few])
+    for q in range(8):
+        list_ = [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q]
+        assert [i for i, _ in list_] == [i for i, _ in exact(np.arange(8), x, q)]
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.standard_normal((400, 16)) * 0.01, rng.standard_normal((1, 16)) * 50])  # the last one stands alone
+    rows = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x.astype(np.float32))], SCHEMA)
+    got = nearest(rows, F.col("vec_id") == 400, block=150).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [i for i, _ in exact(np.arange(401), x.astype(np.float32).astype(np.float64), 400)]
