@@ -29,10 +29,20 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id."""
-    found = near_duplicates(docs)
-    dropped = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near duplicates one row, with the smallest doc_id; null is the largest. Texts without words are no
+    duplicates of any. Rows are told apart by a 64-bit hash of doc_id and text, as ids may repeat or be null."""
+    key = F.xxhash64("doc_id", "text")
+    staged = Staged(spark)
+    found = staged.keep(near_duplicates(docs.select(key.alias("doc_id"), "text")).where("n_shingles > 0").groupBy("doc_id", "component_id").agg(F.count("*").alias("n")))
+    # only groups of several rows matter: those of several keys, or of a key on several rows
+    several = found.groupBy("component_id").agg(F.sum("n").alias("rows")).where("rows > 1")
+    members = found.join(several, "component_id").select(F.col("doc_id").alias("_key"), "component_id")
+    ids = docs.select("doc_id", key.alias("_key")).distinct()
+    order = Window.partitionBy("component_id").orderBy(F.col("doc_id").asc_nulls_last(), "_key")
+    first = members.join(ids, "_key").withColumn("_first", F.row_number().over(order) == 1).select("_key", "_first")
+    marked = docs.withColumn("_key", key).join(staged.keep(first), "_key", "left")
+    once = marked.where("_first").dropDuplicates(["_key"])
+    return marked.where(F.col("_first").isNull()).unionByName(once).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

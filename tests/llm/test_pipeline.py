@@ -8,7 +8,7 @@ from pairscore.llm.common import table
 from pairscore.llm.queries import KEEP_SCORE, tokenizer_path
 from pairscore.llm.quality import fit_quality, score_quality
 
-from .helpers import ascii_lower, near_classes
+from .helpers import ascii_lower, documents, near_classes
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,3 +44,15 @@ def test_stages_keep_the_columns_and_odd_rows(spark):
         assert out.count() > 0
     assert corpus_pipeline.exact(spark, odd.union(odd), SF).count() == 2  # the empty texts are equal; one row each stays
     assert corpus_pipeline.near(spark, docs.limit(0), SF).count() == 0
+
+
+def test_near_copies_with_repeated_or_null_ids(spark):
+    copy = lambda k, end: " ".join(f"{k}{i}" for i in range(60)) + end
+    rows = [
+        (1, copy("a", "")), (2, copy("a", " x")), (2, copy("b", "")),  # the second row of 2 is clean
+        (3, copy("c", "")), (3, copy("c", " y")), (4, copy("c", " z")),
+        (None, copy("d", "")), (None, copy("d", " x")), (None, copy("e", "")), (5, copy("e", " x")),
+        (6, copy("f", "")), (6, copy("f", "")), (7, ""), (8, None),
+    ]
+    got = sorted(((r.doc_id, (r.text or "")[:1]) for r in corpus_pipeline.near(spark, documents(spark, rows), SF).collect()), key=str)
+    assert got == sorted([(1, "a"), (2, "b"), (3, "c"), (None, "d"), (5, "e"), (6, "f"), (7, ""), (8, "")], key=str)
