@@ -1,7 +1,6 @@
 """Reading a model's answer: the JSON object in it, and strictly validated entities."""
 
 import json
-import re
 from typing import Any
 
 import pandas as pd
@@ -9,7 +8,15 @@ from pyspark.sql import Column, functions as F
 
 from ..schemas import DEFAULT_TYPE, ENTITY
 
-_FENCE = re.compile(r"```(?:json)?\s*(.*?)```", re.S | re.I)
+# What fences a part of an answer, and the language it may be marked with.
+_FENCE, _LANGUAGE = "```", "json"
+
+
+def fenced(text: str) -> list[str]:
+    """The parts between an opening fence and the next one, without the language they are marked with."""
+    parts = text.split(_FENCE)
+    closed = parts[1 : len(parts) - 1 : 2]
+    return [p[len(_LANGUAGE) :] if p[: len(_LANGUAGE)].lower() == _LANGUAGE else p for p in closed]
 
 
 def find_object(text: str | None) -> tuple[dict[str, Any] | None, str | None]:
@@ -17,7 +24,7 @@ def find_object(text: str | None) -> tuple[dict[str, Any] | None, str | None]:
     counts as an object's entities. Else nothing and the reason."""
     if not text:
         return None, "empty response"
-    tries = [text, *_FENCE.findall(text)]
+    tries = [text, *fenced(text)]
     opening, closing = text.find("{"), text.rfind("}")
     if 0 <= opening < closing:
         tries.append(text[opening : closing + 1])

@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.metrics import level_metrics
-from ..functions.text import fold_all, relation_all
+from ..functions.text import fold_lists, relation_lists
 from ..schemas import ENTITY, ERROR, ERROR_TYPES, LEVELS
-from .merge import KEYS, _sliced, exploded
+from .merge import KEYS, _sliced
 
 _ATTRIBUTE = "struct<key:string,value:string,n_key:string,n_value:string>"
 _RELATION = "struct<relation:string,target:string,target_keys:array<string>>"
@@ -22,24 +22,35 @@ _EMPTY = f"array<{PREPARED}>"
 
 
 def prepare(extractions: DataFrame, name: str, exact: bool = True, keys=KEYS) -> DataFrame:
-    """``keys`` and, as ``name``, the list of prepared entities. Chunks without entities have no row."""
-    rows = exploded(extractions, keys).withColumn("entries", F.map_entries("e.attributes")).withColumn("links", F.filter("e.relations", lambda r: r["target"] != ""))
-    texts = F.concat(F.array("e.type", "e.name"), F.col("e.aliases"), F.col("entries.key"), F.col("entries.value"), F.col("links.target"))
-    told = rows.withColumn("texts", fold_all(texts, exact)).withColumn("linked", relation_all(F.col("links.relation"), exact))
-    kind, names, n_keys, n_values, targets = _sliced(F.col("texts"), [F.lit(1), F.size("e.aliases") + 1, F.size("entries"), F.size("entries"), F.size("links")])
-    attributes = F.arrays_zip(F.col("entries.key").alias("key"), F.col("entries.value").alias("value"), n_keys.alias("n_key"), n_values.alias("n_value"))
-    relations = F.arrays_zip(F.col("linked").alias("relation"), targets.alias("target"))
-    made = F.struct(
-        F.col("e.name").alias("name"), F.col("e.type").alias("type"), kind[0].alias("n_type"),
-        F.array_distinct(F.filter(names, lambda x: x != "")).alias("keys"), attributes.alias("attributes"), relations.alias("relations"),
-    )
-    in_order = F.array_sort(F.collect_list(F.struct("pos", "p")), lambda a, b: a["pos"] - b["pos"])
-    lists = told.select(*keys, "pos", made.alias("p")).groupBy(*keys).agg(F.transform(in_order, lambda x: x["p"]).alias("all"))
-    with_targets = F.transform("all", lambda e: F.struct(
+    """``keys`` and, as ``name``, the list of prepared entities."""
+    return extractions.select(*keys, prepared(F.col("entities"), exact).alias(name))
+
+
+def _targeted(entity: Column) -> Column:
+    return F.filter(entity["relations"], lambda r: r["target"] != "")
+
+
+def prepared(entities: Column, exact: bool = True) -> Column:
+    """A list of entities with their comparison forms. All of a row's strings are folded by one call, as a list for each
+    entity; nothing is exploded or shuffled."""
+    texts = F.transform(entities, lambda e: F.concat(
+        F.array(e["type"], e["name"]), e["aliases"], F.map_keys(e["attributes"]), F.map_values(e["attributes"]), F.transform(_targeted(e), lambda r: r["target"])))
+    phrases = F.transform(entities, lambda e: F.transform(_targeted(e), lambda r: r["relation"]))
+
+    def one(e: Column, told: Column, linked: Column) -> Column:
+        n = F.size(e["attributes"])
+        kind, names, n_keys, n_values, targets = _sliced(told, [F.lit(1), F.size(e["aliases"]) + 1, n, n, F.size(linked)])
+        attributes = F.arrays_zip(F.map_keys(e["attributes"]).alias("key"), F.map_values(e["attributes"]).alias("value"), n_keys.alias("n_key"), n_values.alias("n_value"))
+        return F.struct(
+            e["name"].alias("name"), e["type"].alias("type"), F.get(kind, F.lit(0)).alias("n_type"), F.array_distinct(F.filter(names, lambda x: x != "")).alias("keys"),
+            attributes.alias("attributes"), F.arrays_zip(linked.alias("relation"), targets.alias("target")).alias("relations"))
+
+    both = F.arrays_zip(entities.alias("e"), fold_lists(texts, exact).alias("told"), relation_lists(phrases, exact).alias("linked"))
+    made = F.transform(both, lambda x: one(x["e"], x["told"], x["linked"]))
+    with_targets = lambda all_: F.transform(all_, lambda e: F.struct(
         e["name"], e["type"], e["n_type"], e["keys"], e["attributes"],
-        F.transform(e["relations"], lambda r: F.struct(r["relation"], r["target"], target_keys(r["target"], F.col("all")))),
-    ))
-    return lists.select(*keys, with_targets.cast(_EMPTY).alias(name))
+        F.transform(e["relations"], lambda r: F.struct(r["relation"], r["target"], target_keys(r["target"], all_)))))
+    return bind(made, with_targets).cast(_EMPTY)
 
 
 def target_keys(target: Column, entities: Column) -> Column:
@@ -154,22 +165,38 @@ def score_lists(pairs: DataFrame) -> DataFrame:
 def choose_reference(b: DataFrame, a: DataFrame, gold: DataFrame | None = None, keys=KEYS) -> DataFrame:
     """The chunks of ``b`` with ``ref_entities``: the gold list where a chunk has one that is not empty, else the list
     of ``a``, else none. ``reference_source`` is "gold" for all chunks once there is any gold record;
-    ``reference_actual`` tells it row by row. Of repeated chunks in ``a`` or ``gold`` the last counts."""
+    ``reference_actual`` tells it row by row. Of repeated chunks the one of the largest ``line_no`` counts, where there is
+    such a column, else the one with the longest list, ties by its hash.
+
+    A chunk_id is unique within a document only, so gold records belong to (doc_id, chunk_id). Those without a doc_id are
+    for the only document of ``b``; with several documents they raise ValueError."""
     nothing = F.array().cast(f"array<{ENTITY}>")
     out = b.join(_last(a, keys).withColumnRenamed("entities", "a_entities"), list(keys), "left")
     if gold is None:
         return out.withColumn("ref_entities", F.coalesce("a_entities", nothing)).withColumn("reference_source", F.lit("model_a_pseudo_gold")).withColumn("reference_actual", F.lit("model_a")).drop("a_entities")
-    known = _last(gold, ("chunk_id",)).withColumnRenamed("entities", "gold_entities")
+    known = _last(_keyed(gold, b), ("doc_id", "chunk_id")).select(F.col("doc_id").alias("_doc"), F.col("chunk_id").alias("_chunk"), F.col("entities").alias("gold_entities"))
     has = F.size(F.coalesce("gold_entities", nothing)) > 0
     any_gold = gold.limit(1).count() > 0  # at most one record is read; the label depends on no more
-    out = out.join(known, "chunk_id", "left")
+    out = out.join(known, (F.col("doc_id").cast("string") == F.col("_doc")) & (F.col("chunk_id") == F.col("_chunk")), "left").drop("_doc", "_chunk")
     out = out.withColumn("ref_entities", F.when(has, F.col("gold_entities")).otherwise(F.coalesce("a_entities", nothing)))
     return out.withColumn("reference_source", F.lit("gold" if any_gold else "model_a_pseudo_gold")).withColumn("reference_actual", F.when(has, "gold").otherwise("model_a")).drop("a_entities", "gold_entities")
 
 
+def _keyed(gold: DataFrame, b: DataFrame) -> DataFrame:
+    """Gold records with the documents they belong to, as text."""
+    own = F.col("doc_id").cast("string") if "doc_id" in gold.columns else F.lit(None).cast("string")
+    gold = gold.withColumn("doc_id", own)
+    if gold.where(F.col("doc_id").isNull()).limit(1).count() == 0:
+        return gold
+    documents = [r[0] for r in b.select(F.col("doc_id").cast("string")).distinct().limit(2).collect()]
+    if len(documents) > 1:
+        raise ValueError("gold records without a doc_id cannot be told apart with several documents")
+    return gold.withColumn("doc_id", F.coalesce("doc_id", F.lit(documents[0] if documents else None)))
+
+
 def _last(rows: DataFrame, keys) -> DataFrame:
     """One list per key: that of the largest ``line_no`` where the table has one."""
-    at = F.col("line_no") if "line_no" in rows.columns else F.lit(0)
+    at = F.col("line_no") if "line_no" in rows.columns else F.struct(F.size("entities"), F.xxhash64(F.to_json("entities")))
     return rows.groupBy(*keys).agg(F.max_by("entities", at).alias("entities"))
 
 
@@ -177,14 +204,12 @@ def evaluate_pairs(b: DataFrame, a: DataFrame, gold: DataFrame | None = None, ex
     """One row per chunk of ``b``: ``keys, chunk_id, reference_source, entity, attribute, relation, errors`` and the nine
     metrics. Both sides are normalised extractions."""
     chosen = choose_reference(b, a, gold, keys)
-    ref = prepare(chosen.select(*keys, F.col("ref_entities").alias("entities")), "ref", exact, keys)
-    pred = prepare(b, "pred", exact, keys)
-    base = chosen.select(*dict.fromkeys([*keys, "chunk_id", "reference_source", "reference_actual"]))
-    pairs = base.join(ref, list(keys), "left").join(pred, list(keys), "left")
-    pairs = pairs.withColumn("ref", F.coalesce("ref", F.array().cast(_EMPTY))).withColumn("pred", F.coalesce("pred", F.array().cast(_EMPTY)))
-    scored = score_lists(pairs)
+    base = list(dict.fromkeys([*keys, "chunk_id", "reference_source", "reference_actual"]))
+    nothing = F.array().cast(f"array<{ENTITY}>")
+    lists = [prepared(F.coalesce(side, nothing), exact).alias(name) for side, name in (("ref_entities", "ref"), ("entities", "pred"))]
+    scored = score_lists(chosen.select(*base, *lists))
     metrics = [m for level in LEVELS for m in level_metrics(level, F.col(level))]
-    return scored.select(*base.columns, *LEVELS, "errors", *metrics)
+    return scored.select(*base, *LEVELS, "errors", *metrics)
 
 
 def error_rows(evaluated: DataFrame, keys=KEYS) -> DataFrame:

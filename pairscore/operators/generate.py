@@ -45,6 +45,11 @@ def question_rows(answers: DataFrame, category: str = "category", text: str = "t
     return answers.select(F.col(category).alias("category"), F.explode(answer_lines(F.coalesce(F.col(text), F.lit("")))).alias("question"), F.lit(0).alias("score"))
 
 
+def numbered_questions(answers: DataFrame) -> DataFrame:
+    """``category, batch_id, line_no, question``: an answer's questions in order, from 0."""
+    return answers.select("category", "batch_id", F.posexplode(answer_lines(F.coalesce("text", F.lit("")))).alias("line_no", "question"))
+
+
 def judged_questions(questions: DataFrame, scores: DataFrame) -> DataFrame:
     """Questions (category, batch_id, line_no, question) with the judge's scores: the n-th non-blank line of the answer for
     a batch (category, batch_id, text) belongs to the n-th question; what is no digit from 0 to 9, or missing, is 0."""

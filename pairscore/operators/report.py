@@ -23,11 +23,12 @@ def _kind_order(column: str = "error_type"):
     return F.array_position(F.array(*[F.lit(k) for k in ERROR_TYPES]), F.col(column))
 
 
-def errors_by_type(errors: DataFrame, evaluated: DataFrame) -> DataFrame:
-    """``error_type, count`` with zeros kept, unless there is no chunk at all."""
-    kinds = evaluated.limit(1).select(F.explode(F.array(*[F.lit(k) for k in ERROR_TYPES])).alias("error_type"))
-    found = errors.groupBy("error_type").agg(F.count("*").alias("n"))
-    return kinds.join(F.broadcast(found), "error_type", "left").select("error_type", F.coalesce("n", F.lit(0)).cast("bigint").alias("count"))
+def errors_by_type(evaluated: DataFrame) -> DataFrame:
+    """``error_type, count`` with zeros kept, unless there is no chunk at all. One pass: a sum a kind, then a row a kind."""
+    of = lambda kind: F.size(F.filter("errors", lambda e: e["error_type"] == kind))
+    sums = evaluated.agg(F.count("*").alias("chunks"), *[F.sum(of(k)).cast("bigint").alias(k) for k in ERROR_TYPES])
+    rows = F.array(*[F.struct(F.lit(k).alias("error_type"), F.col(k).alias("count")) for k in ERROR_TYPES])
+    return sums.where("chunks > 0").select(F.inline(rows))
 
 
 def chunk_errors(errors: DataFrame, keys=("doc_id", "chunk_idx", "chunk_id")) -> DataFrame:

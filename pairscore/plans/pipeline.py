@@ -2,29 +2,58 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import evaluate as ev, generate, report
 from ..operators.chunking import MAX_CHARS, MIN_CHARS, chunk_documents
 from ..operators.merge import KEYS, normalize_extractions
-from ..schemas import ERROR_TYPES, LEVELS
+from ..schemas import ERROR_TYPES, LEVELS, RESPONSE
 from ..sources import sinks
 from ..sources.gold import read_gold
 from ..sources.markdown import exists, load_markdown
-from ..sources.models import Model, ask_model, generate_answers, judge, parse_responses
+from ..sources.models import Model, ask_model, generate_answers, judge, parse_responses, score_answers
+from .log import driver_logger, success
+from .prompts import EXTRACTION_SYSTEM, extraction_prompt_column
+
+_PROMPT = "prompt_sha"
+
+
+class Tables:
+    """The tables of a run under one folder, each logged with its rows and the time it took."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder, self.log = spark, folder, driver_logger()
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        began = time.perf_counter()
+        df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
+        kept = self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+        success(self.log, f"{name}: {kept.count()} rows in {time.perf_counter() - began:.1f} s")
+        return kept
 
 
 def kept_answers(chunks: DataFrame, model: Model, path: str, concurrency: int | None = None) -> DataFrame:
-    """The model's raw answers, from a table at ``path`` to which those that it lacks are added first: an answer is paid
-    for once, whatever is recomputed or run again."""
+    """The model's raw answers to ``chunks``, schemas.RESPONSE, from a table at ``path`` to which those that it lacks are
+    added first: an answer is paid for once, whatever is recomputed or run again.
+
+    An answer belongs to its whole prompt, told by a hash: a changed chunk is asked for anew, chunks that are gone give
+    no rows, and chunks of equal prompts share one. A failed request is no answer, so the next run asks again."""
     spark = chunks.sparkSession
-    todo = chunks
+    prompt = F.sha2(F.concat(F.lit(EXTRACTION_SYSTEM + "\n"), extraction_prompt_column()), 256)
+    wanted = chunks.withColumn(_PROMPT, prompt)
+    todo = wanted
     if exists(spark, path):
-        known = spark.read.parquet(path).where(F.col("model_name") == model.name).select(*KEYS)
-        todo = chunks.join(known, list(KEYS), "left_anti")
-    asked = ask_model(todo, model, concurrency)
+        known = spark.read.parquet(path).where((F.col("model_name") == model.name) & F.col("error").isNull())
+        todo = wanted.join(known.select(_PROMPT).distinct(), _PROMPT, "left_anti")
+    asked = ask_model(todo.dropDuplicates([_PROMPT]), model, concurrency, (_PROMPT,)).withColumn("asked_at", F.current_timestamp())
     asked.write.mode("append").parquet(path)
-    return spark.read.schema(asked.schema).parquet(path).where(F.col("model_name") == model.name)
+    all_ = spark.read.schema(asked.schema).parquet(path).where(F.col("model_name") == model.name)
+    # one answer a prompt: any that did not fail before one that did, then the latest
+    best = F.max_by(F.struct("raw_response", "error", "model_name"), F.struct(F.col("error").isNull(), "asked_at", "raw_response")).alias("best")
+    answers = all_.groupBy(_PROMPT).agg(best)
+    return wanted.join(answers, _PROMPT).select("*", "best.*").select(*[c.split(" ")[0] for c in RESPONSE.split(", ")])
 
 
 def judge_candidates(evaluated: DataFrame, chunks: DataFrame, a: DataFrame, b: DataFrame, gold: DataFrame | None = None) -> DataFrame:
@@ -39,11 +68,9 @@ def judge_candidates(evaluated: DataFrame, chunks: DataFrame, a: DataFrame, b: D
 
 
 def summarize(evaluated: DataFrame, chunks: DataFrame, **head: str) -> dict:
-    """The report as a dictionary: one row, and one more for each chunk and kind of error it has."""
+    """The report's totals as a dictionary, of a size that does not depend on the number of chunks."""
     totals = report.summary_metrics(evaluated).first().asDict(recursive=True)
-    errors = ev.error_rows(evaluated)
-    counted = report.ordered_chunk_errors(report.chunk_errors(errors)).collect()
-    by_type = {r["error_type"]: r["count"] for r in report.errors_by_type(errors, evaluated).collect()}
+    by_type = {r["error_type"]: r["count"] for r in report.errors_by_type(evaluated).collect()}
     return {
         **head,
         "reference_source": report.reference_label(evaluated).first()["reference_source"],
@@ -51,48 +78,56 @@ def summarize(evaluated: DataFrame, chunks: DataFrame, **head: str) -> dict:
         "metrics": {k: totals[k] for k in sinks.METRICS},
         "counts": {level: totals[level] for level in LEVELS},
         "errors_by_type": {k: by_type[k] for k in ERROR_TYPES if k in by_type},
-        "chunk_errors": [{"chunk_id": r["chunk_id"], "error_type": r["error_type"], "count": r["count"]} for r in counted],
     }
 
 
 def run_eval(
     spark: SparkSession, input_md: str, output_dir: str, model_a: Model, model_b: Model, gold_jsonl: str | None = None,
-    judge_model: Model | None = None, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS, concurrency: int | None = None, one_file: bool = True,
+    judge_model: Model | None = None, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS, concurrency: int | None = None, one_file: bool = False,
 ) -> tuple[dict, list[str]]:
-    """Chunk, extract with both models, normalise, score B against gold or A, report. Returns the summary and messages of
-    what failed; writes four tables of JSON lines, the report as JSON and Markdown, and the raw answers.
+    """Chunk, extract with both models, normalise, score B against gold or A, report. Returns the report's totals and
+    messages of what failed; writes five tables of JSON lines, the report as JSON and Markdown, and the raw answers.
 
-    Steps are cut at tables, so that no answer is asked for twice: chunks, the two models' answers, the scores."""
+    Steps are cut at tables, so that no answer is asked for twice: chunks, the two models' answers, the scores. The errors
+    of each chunk are a table, and go into the report a row at a time: nothing of the corpus's size is held here.
+    ``one_file`` writes each table of lines by one task, for small results."""
+    tables = Tables(spark, f"{output_dir.rstrip('/')}/_tables")
     docs, errors = load_markdown(spark, input_md)
-    work = f"{output_dir.rstrip('/')}/_tables"
-
-    def table(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{work}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{work}/{name}")
-
-    chunks = table(chunk_documents(docs, min_chars, max_chars), "chunks")
-    a, b = (table(normalize_extractions(parse_responses(kept_answers(chunks, m, f"{work}/answers_{side}", concurrency))), f"extractions_{side}") for side, m in (("a", model_a), ("b", model_b)))
+    for error in errors:
+        tables.log.warning(error)
+    chunks = tables.keep(chunk_documents(docs, min_chars, max_chars), "chunks")
+    a, b = (tables.keep(normalize_extractions(parse_responses(kept_answers(chunks, m, f"{tables.folder}/answers_{side}", concurrency))), f"extractions_{side}") for side, m in (("a", model_a), ("b", model_b)))
     gold = read_gold(spark, gold_jsonl) if gold_jsonl else None
     if gold is not None:
-        gold = table(gold, "gold")  # an invalid gold line fails the run here
-    evaluated = table(ev.evaluate_pairs(b, a, gold), "pair_eval")
+        gold = tables.keep(gold, "gold")  # an invalid gold line fails the run here
+    evaluated = tables.keep(ev.evaluate_pairs(b, a, gold), "pair_eval")
     if judge_model is not None:
-        verdicts = table(judge(judge_candidates(evaluated, chunks, a, b, gold), judge_model), "judgements")
+        verdicts = tables.keep(judge(judge_candidates(evaluated, chunks, a, b, gold), judge_model), "judgements")
         evaluated = evaluated.join(verdicts, list(KEYS), "left")
-    for name, lines in (("chunks", sinks.chunk_json(chunks)), ("model_a_entities", sinks.extraction_json(a)), ("model_b_entities", sinks.extraction_json(b)), ("pair_eval", sinks.pair_eval_json(evaluated))):
+    chunk_errors = tables.keep(report.chunk_errors(ev.error_rows(evaluated)), "chunk_errors")
+    for name, lines in (("chunks", sinks.chunk_json(chunks)), ("model_a_entities", sinks.extraction_json(a)), ("model_b_entities", sinks.extraction_json(b)), ("pair_eval", sinks.pair_eval_json(evaluated)), ("chunk_errors", sinks.chunk_error_json(chunk_errors))):
         sinks.write_lines(lines, f"{output_dir}/{name}.jsonl", one_file)
     summary = summarize(evaluated, chunks, input_md=input_md, output_dir=output_dir, model_a=model_a.name, model_b=model_b.name)
-    sinks.write_text(spark, f"{output_dir}/summary_report.json", sinks.report_json(summary))
+    sinks.write_report(spark, f"{output_dir}/summary_report.json", summary, report.ordered_chunk_errors(chunk_errors))
     sinks.write_text(spark, f"{output_dir}/summary_report.md", sinks.report_markdown(summary))
+    success(tables.log, f"report of {summary['chunk_count']} chunks in {output_dir}")
     return summary, errors
 
 
-def run_generation(spark: SparkSession, model: Model, output: str | None = None, max_tasks: int | None = 1, concurrency: int = generate.MAX_CONCURRENCY) -> DataFrame:
+def run_generation(
+    spark: SparkSession, model: Model, output: str | None = None, max_tasks: int | None = 1, concurrency: int = generate.MAX_CONCURRENCY, judge_model: Model | None = None,
+) -> DataFrame:
     """Questions for the catalogue's tasks: ``category, question, score``. With ``output``, the answers are written there
-    before they are split, and not asked for again by later reads of the result."""
+    before they are split, and not asked for again by later reads of the result. ``judge_model`` scores each question
+    from 0 to 9; without one all scores are 0. It needs ``output``, since it is asked about answers that must not change."""
+    if judge_model and not output:
+        raise ValueError("judging needs an output folder, where the answers are kept")
     batches = generate.task_batches(generate.catalogue_tasks(spark), max_tasks=max_tasks)
     answers = generate_answers(batches, model, concurrency)
     if output:
-        answers.write.mode("overwrite").parquet(output)
-        answers = spark.read.schema(answers.schema).parquet(output)
+        tables = Tables(spark, output.rstrip("/"))
+        answers = tables.keep(answers, "answers")
+    if judge_model:
+        scores = tables.keep(score_answers(answers, judge_model, concurrency), "scores")
+        return generate.judged_questions(generate.numbered_questions(answers), scores)
     return generate.question_rows(answers)

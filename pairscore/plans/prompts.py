@@ -6,23 +6,34 @@ from pyspark.sql import Column, functions as F
 
 from ..schemas import ENTITY_TYPES
 
-EXTRACTION_SYSTEM = f"""You extract entities for an equipment knowledge graph from Markdown that was read by OCR.
-Use only what the given text says; an entity without evidence in it is left out. Merge mentions of one entity within the
-chunk. Put each attribute on the entity it belongs to. Relations may be nested, as from a class to a weapon to its part.
-Preferred types: {", ".join(ENTITY_TYPES)}.
-Answer with one JSON object and nothing else:
-{{"entities": [{{"name": "", "type": "", "aliases": [""], "attributes": {{"name": "value"}},
-"relations": [{{"relation": "装备/属于/改装自/包含/使用/携带/位于/继承自", "target": ""}}], "evidence": [{{"page": "", "text": ""}}]}}]}}"""
-
-JUDGE_SYSTEM = """You help to judge how two extractions from one text differ. Look at whether attributes hang on the right
-entity; whether the subject, name and target of relations are right; and whether names that differ in spacing, width or
-alias are the same. Bring in nothing that the text does not say. Answer with one JSON object and nothing else:
-{"wrong_attachment": [{"entity": "", "attribute": "", "reason": ""}],
-"wrong_relation": [{"subject": "", "relation": "", "target": "", "reason": ""}], "notes": [""]}"""
+# The relation names to choose from and the shape of an answer, which the parser reads.
+_RELATION_NAMES = "装备/属于/改装自/包含/使用/携带/位于/继承自"
+_ENTITY_SHAPE = f'''{{"entities": [{{"name": "", "type": "", "aliases": [""], "attributes": {{"name": "value"}},
+"relations": [{{"relation": "{_RELATION_NAMES}", "target": ""}}], "evidence": [{{"page": "", "text": ""}}]}}]}}'''
+_VERDICT_SHAPE = '''{"wrong_attachment": [{"entity": "", "attribute": "", "reason": ""}],
+"wrong_relation": [{"subject": "", "relation": "", "target": "", "reason": ""}], "notes": [""]}'''
+
+EXTRACTION_SYSTEM = f"""Return one JSON object of this shape, with no text around it:
+{_ENTITY_SHAPE}
+
+You read scanned Markdown, chunk by chunk, to fill a graph of equipment.
+- type: one of {", ".join(ENTITY_TYPES)} where one fits.
+- evidence: the page and the words that name the entity. What you cannot quote from the chunk, you leave out.
+- attributes: by the entity they describe, as written.
+- relations: from the entity to a target's name, level by level where things are part of each other.
+- A thing mentioned several times is one entry, its other names are aliases."""
+
+JUDGE_SYSTEM = f"""Return one JSON object of this shape, with no text around it:
+{_VERDICT_SHAPE}
+
+You are given a text and two lists of entities taken from it, and explain their differences from the text alone.
+Report attributes that belong to another entity, relations whose subject, name or target is wrong, and, as notes, names
+that are the same but for spacing, character width or an alias."""
 
 _EXTRACTION = ("Extract the entities of this Markdown chunk.\n\nchunk_id: ", "\npage_hint: ", "\ntitle_path: ", "\n\ntext:\n", "\n")
 _JUDGE = ("Check where the prediction puts attributes and relations differently from the reference.\n\ntext:\n", "\n\nreference:\n", "\n\nprediction:\n", "\n")
 _QUESTION = ("Ask ", " practice questions about ", ", one per line, with no numbering, bullets or explanations.\n\n", ": ", "\n")
+_SCORES = ("For each line below, how surely does it belong to the category ", "? Answer with one digit from 0 (not at all) to 9 (certainly) a line and nothing else.\n\n", "")
 
 
 def _woven(parts: tuple[str, ...], values) -> str:
@@ -59,4 +70,4 @@ def question_prompt_column(category="category", count="count", description="desc
 
 def judge_questions_prompt(category: str, questions: list[str]) -> str:
     """One score from 0 to 9 a line: how well each question fits its category."""
-    return f"For each line below, how surely does it belong to the category {category}? Answer with one digit from 0 (not at all) to 9 (certainly) a line and nothing else.\n\n" + "\n".join(questions)
+    return _woven(_SCORES, (category, "\n".join(questions)))

@@ -7,18 +7,26 @@ teacher finds; the student leaves some out, adds some and changes others, by ari
 
 from __future__ import annotations
 
+import string
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
 from ..functions.parsing import parse_response
-from ..functions.text import RELATIONS, normalize_relation, normalize_text
+from ..functions.text import RELATIONS, normalize_relation, normalize_text, plain_all
 from ..operators import chunking, evaluate as ev, generate, report
 from ..operators.merge import collected, merge_exploded, normalize_extractions
 from ..schemas import ENTITY, ERROR_TYPES, LEVELS
-from ..sources.sinks import METRICS, json_line, pair_eval_json
-from .pipeline import judge_candidates
-from .prompts import _EXTRACTION, _QUESTION, extraction_prompt_column, question_prompt_column
+from ..sources.gold import read_gold
+from ..sources.markdown import load_markdown
+from ..sources.models import ListingModel, StubModel, extract, generate_answers, score_answers
+from ..sources.shared import shared_dir
+from ..sources.sinks import METRICS, chunk_json, json_line, pair_eval_json, report_markdown, write_lines, write_report
+from .pipeline import judge_candidates, summarize
+from .prompts import _EXTRACTION, _JUDGE, _QUESTION, EXTRACTION_SYSTEM, JUDGE_SYSTEM, extraction_prompt_column, judge_prompt_column, question_prompt_column
 
 LIMIT = chunking.MAX_CHARS
+_PLAIN = string.ascii_letters + string.digits
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,12 +78,12 @@ def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = sides(spark, sf_dir)
-    return ev.evaluate_pairs(b, a, exact=False)
+    return ev.evaluate_pairs(b, a)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = sides(spark, sf_dir)
-    return ev.score_lists(ev.prepare(a, "ref", False).join(ev.prepare(b, "pred", False), ["doc_id", "chunk_idx"]))
+    return ev.score_lists(ev.prepare(a, "ref").join(ev.prepare(b, "pred"), ["doc_id", "chunk_idx"]))
 
 
 # --- queries -------------------------------------------------------------------------------------------------------------
@@ -101,14 +109,26 @@ def hard_split(spark, sf_dir):
     return long.select("doc_id", F.posexplode(chunking.hard_slices(F.col("text"), LIMIT)).alias("part_no", "part"))
 
 
+def _token_counts(spark, sf_dir):
+    """Words of any script's letters, and how many documents have them."""
+    words = table(spark, sf_dir, "documents").select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\p{L}{2,})"), F.lit(1)))).alias("token"))
+    return words.groupBy("token").agg(F.count("*").alias("docs"))
+
+
 def normalize_tokens(spark, sf_dir):
-    words = table(spark, sf_dir, "documents").select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("([A-Za-z]{2,})"), F.lit(1)))).alias("token"))
-    return words.groupBy("token").agg(F.count("*").alias("docs")).select("token", normalize_text(F.col("token"), exact=False).alias("normal"), "docs")
+    return _token_counts(spark, sf_dir).select("token", normalize_text(F.col("token"), exact=False).alias("normal"), "docs")
 
 
 def normalize_tokens_exact(spark, sf_dir):
-    words = table(spark, sf_dir, "documents").select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("([A-Za-z]{2,})"), F.lit(1)))).alias("token"))
-    return words.groupBy("token").agg(F.count("*").alias("docs")).select("token", normalize_text(F.col("token")).alias("normal"), "docs")
+    return _token_counts(spark, sf_dir).select("token", normalize_text(F.col("token")).alias("normal"), "docs")
+
+
+def normalize_unicode(spark, sf_dir):
+    """Names in full-width letters, with wide spaces and dashes, a letter that folds to two and a Roman numeral sign."""
+    wide = F.translate("p_brand", _PLAIN, "".join(chr(ord(c) + 0xFEE0) for c in _PLAIN))
+    raw = F.concat(F.lit(" \u3000"), wide, F.lit("\u3000－ Straße Ⅵ"), F.col("p_size"), F.lit("\t"))
+    told = table(spark, sf_dir, "part").select("p_partkey", raw.alias("raw"))
+    return told.select("p_partkey", normalize_text(F.col("raw")).alias("folded"), F.element_at(plain_all(F.array("raw")), 1).alias("plain"))
 
 
 def normalize_relations(spark, sf_dir):
@@ -151,7 +171,7 @@ def _line_entities(spark, sf_dir):
 
 
 def merge_entities(spark, sf_dir):
-    merged = merge_exploded(_line_entities(spark, sf_dir), exact=False)
+    merged = merge_exploded(_line_entities(spark, sf_dir))
     entries = F.transform(F.array_sort(F.map_entries("e.attributes")), lambda x: F.concat(x["key"], F.lit("="), x["value"]))
     return merged.select("doc_id", "pos", "e.name", "e.type", F.array_join("e.aliases", ",").alias("aliases"), F.array_join(entries, ",").alias("attributes"), F.array_join("e.relations.target", ",").alias("targets"), F.size("e.evidence").alias("n_evidence"))
 
@@ -161,7 +181,7 @@ def _shared_aliases(spark, sf_dir):
     rows = _line_entities(spark, sf_dir)
     other = rows.where(F.col("pos") % 3 != 1).withColumn("pos", -F.col("pos"))
     lists = lambda df: collected(df).withColumn("chunk_id", F.lit("c"))
-    return ev.prepare(lists(rows), "ref", False).join(ev.prepare(lists(other), "pred", False), ["doc_id", "chunk_idx"])
+    return ev.prepare(lists(rows), "ref").join(ev.prepare(lists(other), "pred"), ["doc_id", "chunk_idx"])
 
 
 def match_greedy(spark, sf_dir):
@@ -197,7 +217,7 @@ def attribute_errors(spark, sf_dir):
 
 
 def target_keys(spark, sf_dir):
-    ref = ev.prepare(sides(spark, sf_dir)[0], "ref", False)
+    ref = ev.prepare(sides(spark, sf_dir)[0], "ref")
     links = ref.select("doc_id", "chunk_idx", F.explode("ref").alias("e")).select("doc_id", "chunk_idx", "e.name", F.inline("e.relations"))
     return links.select("doc_id", "chunk_idx", "name", "target", F.array_join(F.array_sort("target_keys"), ",").alias("keys"))
 
@@ -209,7 +229,7 @@ def reference_choice(spark, sf_dir):
     a, b = extraction(docs, False), extraction(docs, True)
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("chunk_id"), "quality")
     first = a.select("chunk_id", F.slice("entities", 1, 2).alias("entities"))
-    gold = first.join(labels, "chunk_id").select("chunk_id", F.when(F.col("quality") == 1, F.col("entities")).otherwise(F.slice("entities", 1, 0)).alias("entities"))
+    gold = first.join(labels, "chunk_id").select(F.col("chunk_id").alias("doc_id"), "chunk_id", F.when(F.col("quality") == 1, F.col("entities")).otherwise(F.slice("entities", 1, 0)).alias("entities"))
     return ev.choose_reference(b, a, gold).select("doc_id", "reference_source", "reference_actual", F.size("ref_entities").alias("n_reference"))
 
 
@@ -232,7 +252,7 @@ def reference_label(spark, sf_dir):
 
 def errors_by_type(spark, sf_dir):
     done = evaluated(spark, sf_dir)
-    return report.errors_by_type(ev.error_rows(done), done)
+    return report.errors_by_type(done)
 
 
 def chunk_errors(spark, sf_dir):
@@ -242,12 +262,12 @@ def chunk_errors(spark, sf_dir):
 def judge_query(spark, sf_dir):
     chunks = slices(spark, sf_dir)
     a, b = extraction(chunks, False), extraction(chunks, True)
-    rows = judge_candidates(ev.evaluate_pairs(b, a, exact=False), chunks, a, b)
+    rows = judge_candidates(ev.evaluate_pairs(b, a), chunks, a, b)
     return rows.select("doc_id", "chunk_idx", F.length("text").alias("n_chars"))
 
 
 def normalized_sides(spark, sf_dir):
-    done = normalize_extractions(sides(spark, sf_dir)[1], exact=False)
+    done = normalize_extractions(sides(spark, sf_dir)[1])
     return done.select("doc_id", "chunk_idx", F.size("entities").alias("n"), F.array_join("entities.name", ",").alias("names"))
 
 
@@ -280,7 +300,119 @@ def jsonl_lines(spark, sf_dir):
 
 
 def pair_eval_lines(spark, sf_dir):
-    return pair_eval_json(evaluated(spark, sf_dir)).select("doc_id", "chunk_idx", "value")
+    """The scores as JSON lines, read back."""
+    lines = pair_eval_json(evaluated(spark, sf_dir)).select("doc_id", "chunk_idx", "value")
+    back = F.from_json("value", "chunk_id string, reference_source string, metrics map<string,double>, counts map<string,map<string,bigint>>, errors map<string,array<map<string,string>>>, llm_judgement string")
+    told = lines.select("doc_id", "chunk_idx", back.alias("c"))
+    errors = [F.size(F.col("c.errors")[k]).alias(k) for k in ERROR_TYPES]
+    return told.select("doc_id", "chunk_idx", "c.chunk_id", "c.reference_source", F.col("c.metrics")["entity_f1"].alias("entity_f1"), F.col("c.counts")["relation"]["fn"].alias("relation_fn"), "c.llm_judgement", *errors)
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/pairscore-{uuid.uuid4().hex}"
+
+
+def markdown_files(spark, sf_dir):
+    """A Markdown file per nation, with the line ends of three systems, read back."""
+    path = _folder(spark)
+    text = F.concat(F.lit("# "), F.col("n_name"), F.lit("\r\nregion "), F.col("n_regionkey"), F.lit("\rend"))
+    table(spark, sf_dir, "nation").select("n_nationkey", text.alias("value")).repartition("n_nationkey").write.partitionBy("n_nationkey").text(path)
+    docs, errors = load_markdown(spark, path)
+    _, missing = load_markdown(spark, path + "-none")
+    key = F.regexp_extract("doc_id", r"n_nationkey=(\d+)", 1).cast("int")
+    return docs.select(key.alias("n_nationkey"), "text", F.lit(len(errors)).alias("errors"), F.lit(missing[0].split(": /")[0].split(": file")[0]).alias("missing"))
+
+
+def gold_records(spark, sf_dir):
+    """Two gold lines for each order, of which the later one counts; ids are numbers there and texts here."""
+    path = _folder(spark)
+    entity = lambda name: F.struct(F.array(F.struct(F.col(name).alias("name"))).alias("entities"))
+    line = lambda name: F.to_json(F.struct(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("chunk_id"), entity(name)["entities"].alias("entities")))
+    table(spark, sf_dir, "orders").select(F.explode(F.array(line("o_orderstatus"), F.lit(""), line("o_orderpriority"))).alias("value")).write.text(path)
+    return read_gold(spark, path).select("doc_id", "chunk_id", F.get("entities.name", F.lit(0)).alias("name"), F.get("entities.type", F.lit(0)).alias("type"))
+
+
+def gold_by_document(spark, sf_dir):
+    """Gold for the first chunk of every other document: chunk ids repeat from document to document."""
+    a, b = sides(spark, sf_dir)
+    gold = a.where("chunk_idx = 0 and doc_id % 2 = 0").select(F.col("doc_id").cast("string").alias("doc_id"), "chunk_id", F.slice("entities", 1, 1).alias("entities"))
+    return ev.choose_reference(b, a, gold).select("doc_id", "chunk_idx", "reference_actual", F.size("ref_entities").alias("n_reference"))
+
+
+def blank_parts(spark, sf_dir):
+    """Entities with blank names, aliases, attributes and targets, and without evidence, merged and prepared."""
+    none = F.array().cast("array<struct<page:string,text:string>>")
+    told = F.array(F.struct(F.lit("1").alias("page"), F.lit("t").alias("text")))
+    entries = F.create_map(F.lit("state"), F.col("o_orderstatus"), F.lit(" "), F.lit("x"), F.lit("none"), F.lit("\u3000"))
+    link = lambda relation, target: F.struct(F.lit(relation).alias("relation"), target.alias("target"))
+    links = F.array(link("携带", F.lit("")), link("位于", F.col("o_orderpriority")), link("属于", F.lit(" ")))
+    one = lambda name, evidence: F.struct(name, F.lit("radar"), F.array(F.lit(" "), F.col("o_orderpriority"), F.lit("")), entries, links, evidence).cast(ENTITY)
+    entities = F.array(one(F.col("o_orderstatus"), told), one(F.lit(" \t"), told), one(F.lit("unseen"), none))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.lit(0).alias("chunk_idx"), entities.alias("entities"))
+    merged = normalize_extractions(rows)
+    kept = merged.join(ev.prepare(merged, "ready"), ["doc_id", "chunk_idx"]).select("doc_id", F.size("entities").alias("n"), F.get("entities", F.lit(0)).alias("e"), F.get("ready", F.lit(0)).alias("p"))
+    return kept.select(
+        "doc_id", "n", F.array_join("e.aliases", "|").alias("aliases"), F.array_join(F.map_keys("e.attributes"), "|").alias("attributes"),
+        F.size("e.relations").alias("n_relations"), F.array_join("p.keys", "|").alias("keys"),
+        F.array_join(F.transform("p.relations", lambda r: F.concat(r["relation"], F.lit(":"), r["target"], F.lit(":"), F.array_join(r["target_keys"], "+"))), "|").alias("links"),
+    )
+
+
+def jsonl_written(spark, sf_dir):
+    """The chunks as a folder of JSON lines, read back."""
+    path = _folder(spark)
+    write_lines(chunk_json(slices(spark, sf_dir)), path)
+    lines = spark.read.text(path).select(F.from_json("value", "chunk_id string, page_hint string, title_path array<string>, text string").alias("c"))
+    return lines.select("c.chunk_id", "c.page_hint", F.size("c.title_path").alias("titles"), "c.text")
+
+
+def report_lines(spark, sf_dir):
+    """The report in Markdown, line by line."""
+    summary = summarize(evaluated(spark, sf_dir), slices(spark, sf_dir), input_md="documents", output_dir="out", model_a="teacher", model_b="student")
+    return spark.createDataFrame(list(enumerate(report_markdown(summary).split("\n"))), "line_no int, line string")
+
+
+def report_file(spark, sf_dir):
+    """The report's JSON file, read back."""
+    path, done = _folder(spark), evaluated(spark, sf_dir)
+    counted = report.chunk_errors(ev.error_rows(done))
+    write_report(spark, path, summarize(done, slices(spark, sf_dir), input_md="documents"), report.ordered_chunk_errors(counted))
+    back = F.from_json("value", "input_md string, chunk_count bigint, errors_by_type map<string,bigint>, chunk_errors array<struct<chunk_id:string,error_type:string,count:bigint>>")
+    told = spark.read.text(path, wholetext=True).select(back.alias("r"))
+    total = F.aggregate("r.chunk_errors.count", F.lit(0).cast("bigint"), lambda a, b: a + b)
+    return told.select("r.input_md", "r.chunk_count", F.col("r.errors_by_type")["missing_entity"].alias("missing_entity"), F.size("r.chunk_errors").cast("bigint").alias("n_chunk_errors"), total.alias("n_errors"))
+
+
+def judge_prompts(spark, sf_dir):
+    given = F.format_string('{"chunk":%d}', "chunk_idx")
+    return slices(spark, sf_dir).select("doc_id", "chunk_idx", F.lit(JUDGE_SYSTEM).alias("system"), judge_prompt_column(F.col("text"), given, F.concat(given, F.lit("!"))).alias("prompt"))
+
+
+def extract_model(spark, sf_dir):
+    """A model asked chunk by chunk, its JSON answers parsed: it names the capitalised words of its prompt."""
+    chunks = slices(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("string"))
+    return extract(chunks, StubModel()).select("doc_id", "chunk_idx", "model_name", "error", F.explode("entities.name").alias("name"))
+
+
+def _answers(spark):
+    return generate_answers(generate.task_batches(generate.catalogue_tasks(spark), max_tasks=None), ListingModel(), generate.MAX_CONCURRENCY)
+
+
+def generated_questions(spark, sf_dir):
+    return generate.question_rows(_answers(spark))
+
+
+def judged_questions(spark, sf_dir):
+    answers = _answers(spark)
+    return generate.judged_questions(generate.numbered_questions(answers), score_answers(answers, ListingModel()))
+
+
+def chunk_headed(spark, sf_dir):
+    """Documents with headings and page markers, chunked."""
+    head = F.concat(F.lit("# "), F.col("lang"), F.lit("\n第 "), F.col("doc_id") % 50 + 1, F.lit(" 页\n## "), F.col("source"), F.lit("\n"))
+    text = F.concat(head, F.col("text"), F.lit("\n--- "), F.col("doc_id") % 7 + 60, F.lit(" 页 ---\n#### End\n"), F.col("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    return chunking.chunk_documents(docs).select("doc_id", "chunk_idx", "chunk_id", "page_hint", F.array_join("title_path", " > ").alias("titles"), "text")
 
 
 QUERIES = {
@@ -323,6 +455,19 @@ QUERIES = {
     "question_prompts": question_prompts,
     "jsonl_lines": jsonl_lines,
     "pair_eval_lines": pair_eval_lines,
+    "normalize_unicode": normalize_unicode,
+    "markdown_files": markdown_files,
+    "gold_records": gold_records,
+    "gold_by_document": gold_by_document,
+    "blank_parts": blank_parts,
+    "jsonl_written": jsonl_written,
+    "report_lines": report_lines,
+    "report_file": report_file,
+    "judge_prompts": judge_prompts,
+    "extract_model": extract_model,
+    "generated_questions": generated_questions,
+    "judged_questions": judged_questions,
+    "chunk_headed": chunk_headed,
 }
 
 # --- the same in SQL -----------------------------------------------------------------------------------------------------
@@ -390,7 +535,7 @@ def _woven_sql(parts: tuple[str, ...], values: list[str]) -> str:
 
 _CATALOGUE = "(VALUES " + ", ".join(f"({i}, '{c}', {n}, '{d}')" for i, (c, n, d) in enumerate(generate.CATALOGUE)) + ") AS t(task_idx, category, total, description)"
 _BATCHES = "SELECT category, CAST(least(20, total - s) AS INT) AS count, description, CAST(s // 20 + 1 AS INT) AS batch_id FROM " + _CATALOGUE + ", LATERAL (SELECT unnest(generate_series(0, total - 1, 20)) AS s)"
-_TOKENS = "SELECT token, lower(token) AS normal, count(*) AS docs FROM (SELECT unnest(list_distinct(regexp_extract_all(text, '[A-Za-z]{2,}'))) AS token FROM documents) GROUP BY ALL"
+_TOKENS = "SELECT token, {normal} AS normal, count(*) AS docs FROM (SELECT unnest(list_distinct(regexp_extract_all(text, '\\p{{L}}{{2,}}'))) AS token FROM documents) GROUP BY ALL"
 _PHRASES = [(f"可{p}的", next(n for q, n in RELATIONS if q in p)) for p, _ in RELATIONS] + [("Located In", "locatedin")]
 
 SQL = {
@@ -415,8 +560,9 @@ SQL = {
                concat_ws(' > ', last_value(CASE WHEN line LIKE '# %' THEN substr(line, 3) END IGNORE NULLS) OVER w, last_value(CASE WHEN line LIKE '## %' THEN substr(line, 4) END IGNORE NULLS) OVER w) AS title
         FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)""",
     "hard_split": f"WITH {_SLICES} SELECT doc_id, chunk_idx AS part_no, text AS part FROM sl WHERE doc_id IN (SELECT doc_id FROM documents WHERE length(text) > {LIMIT})",
-    "normalize_tokens": _TOKENS,
-    "normalize_tokens_exact": _TOKENS,
+    "normalize_tokens": _TOKENS.format(normal="lower(token)"),
+    "normalize_tokens_exact": _TOKENS.format(normal="replace(lower(token), 'ß', 'ss')"),
+    "normalize_unicode": "SELECT p_partkey, lower(p_brand) || '-strassevi' || p_size AS folded, p_brand || ' - Straße VI' || p_size AS plain FROM part",
     "normalize_relations": "SELECT event_id, CASE event_id % 14 " + " ".join(f"WHEN {i} THEN '{n}'" for i, (_, n) in enumerate(_PHRASES)) + " END AS relation FROM events",
     "parse_responses": """
         SELECT event_id, CASE WHEN event_id % 5 = 4 THEN 0 ELSE 1 END AS n, CASE WHEN event_id % 5 <> 4 THEN 'e' || event_id END AS name,
@@ -457,7 +603,7 @@ SQL = {
         WHERE a.target IS NOT NULL AND a.target IS DISTINCT FROM m.pred_target""",
     "target_keys": _SIDES + "SELECT doc_id, chunk_idx, name, lower(target) AS target, lower(target) || ',' || lower(target) || 'x' AS keys FROM a WHERE target IS NOT NULL",
     "reference_choice": """
-        WITH t AS (SELECT doc_id, CAST(len(list_distinct(regexp_extract_all(substr(text, 1, 3000), '[A-Z][a-z]{4,}'))) AS INT) AS n FROM documents)
+        WITH t AS (SELECT doc_id, CAST(len(list_distinct(regexp_extract_all(text, '[A-Z][a-z]{4,}'))) AS INT) AS n FROM documents)
         SELECT doc_id, 'gold' AS reference_source, CASE WHEN quality = 1 AND n > 0 THEN 'gold' ELSE 'model_a' END AS reference_actual,
                CASE WHEN quality = 1 AND n > 0 THEN least(n, 2) ELSE n END AS n_reference FROM t LEFT JOIN labels USING (doc_id)""",
     "pair_metrics": _SIDES + f"SELECT e.doc_id, e.chunk_idx, {_measures('entity', 'e.')}, {_measures('attribute', 't.')}, {_measures('relation', 'r.')} FROM entity e JOIN attribute t USING (doc_id, chunk_idx) JOIN relation r USING (doc_id, chunk_idx)",
@@ -476,4 +622,68 @@ SQL = {
     "extraction_prompts": f"WITH {_SLICES} SELECT doc_id, chunk_idx, " + _woven_sql(_EXTRACTION, ["printf('chunk_%04d', chunk_idx + 1)", "printf('chunk_%04d', chunk_idx + 1)", "''", "text"]) + " AS prompt FROM sl",
     "question_prompts": "SELECT category, batch_id, " + _woven_sql(_QUESTION, ["count", "category", "category", "description"]) + f" AS prompt FROM ({_BATCHES})",
     "jsonl_lines": f"WITH {_SLICES} SELECT doc_id, printf('chunk_%04d', chunk_idx + 1) AS chunk_id, text FROM sl",
+    "match_greedy": """
+        WITH RECURSIVE e AS (
+            SELECT l_orderkey AS doc_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 AS pos,
+                   list_transform([p_brand, l_linestatus, l_returnflag], lambda x: lower(x)) AS keys
+            FROM lineitem JOIN part ON l_partkey = p_partkey),
+        sides AS (SELECT doc_id, list(keys ORDER BY pos) AS ref, list(keys ORDER BY pos DESC) FILTER (pos % 3 <> 1) AS pred FROM e GROUP BY doc_id),
+        step AS (
+            SELECT doc_id, ref, pred, 0 AS ref_pos, CAST([] AS BIGINT[]) AS taken FROM sides
+            UNION ALL
+            SELECT doc_id, ref, pred, ref_pos + 1, list_append(taken, coalesce(list_filter(range(len(pred)), lambda j: NOT list_contains(taken, j) AND list_has_any(ref[ref_pos + 1], pred[j + 1]))[1], -1))
+            FROM step WHERE ref_pos < len(ref))
+        SELECT doc_id, CAST(generate_subscripts(taken, 1) - 1 AS INT) AS ref_pos, CAST(unnest(taken) AS INT) AS pred_pos FROM step WHERE ref_pos = len(ref)""",
+    "pair_eval_lines": _SIDES + f""", ms AS (SELECT e.doc_id, e.chunk_idx, {_measures('entity', 'e.')} FROM entity e),
+        kinds AS (SELECT doc_id, chunk_idx, {", ".join(f"CAST(count(*) FILTER (error_type = '{k}') AS INT) AS {k}" for k in ERROR_TYPES)} FROM err GROUP BY ALL)
+        SELECT doc_id, chunk_idx, printf('chunk_%04d', chunk_idx + 1) AS chunk_id, 'model_a_pseudo_gold' AS reference_source, entity_f1, relation.fn AS relation_fn, CAST(NULL AS VARCHAR) AS llm_judgement,
+               {", ".join(f"coalesce({k}, 0) AS {k}" for k in ERROR_TYPES)}
+        FROM ms JOIN relation USING (doc_id, chunk_idx) LEFT JOIN kinds USING (doc_id, chunk_idx)""",
+    "markdown_files": "SELECT n_nationkey, '# ' || n_name || chr(10) || 'region ' || n_regionkey || chr(10) || 'end' || chr(10) AS text, 0 AS errors, 'load_markdown: FileNotFoundError' AS missing FROM nation",
+    "gold_records": "SELECT CAST(o_custkey AS VARCHAR) AS doc_id, CAST(o_orderkey AS VARCHAR) AS chunk_id, o_orderpriority AS name, 'equipment' AS type FROM orders",
+    "gold_by_document": _SIDES + """
+        SELECT doc_id, chunk_idx, CASE WHEN doc_id % 2 = 0 AND chunk_idx = 0 AND n > 0 THEN 'gold' ELSE 'model_a' END AS reference_actual,
+               CAST(CASE WHEN doc_id % 2 = 0 AND chunk_idx = 0 AND n > 0 THEN 1 ELSE n END AS INT) AS n_reference FROM na""",
+    "blank_parts": """
+        SELECT o_orderkey AS doc_id, 1 AS n, o_orderpriority AS aliases, 'state' AS attributes, 3 AS n_relations,
+               lower(o_orderstatus) || '|' || lower(replace(o_orderpriority, ' ', '')) AS keys,
+               'located_in:' || lower(replace(o_orderpriority, ' ', '')) || ':' || lower(replace(o_orderpriority, ' ', '')) || '+' || lower(o_orderstatus) || '|belongs_to::' AS links FROM orders""",
+    "jsonl_written": f"WITH {_SLICES} SELECT printf('chunk_%04d', chunk_idx + 1) AS chunk_id, printf('chunk_%04d', chunk_idx + 1) AS page_hint, 0 AS titles, text FROM sl",
+    "report_lines": _SIDES + f""", s AS (SELECT {", ".join(f"(SELECT CAST(sum({p}) AS BIGINT) FROM {level}) AS {level}_{p}" for level in LEVELS for p in ("tp", "fp", "fn"))}),
+        measures AS (SELECT {", ".join(_measures(level, f"{level}_") for level in LEVELS)} FROM s),
+        lines AS (SELECT ['# Extraction Summary', '', '- input_md: documents', '- model_a: teacher', '- model_b: student', '- reference_source: model_a_pseudo_gold',
+                          '- chunk_count: ' || (SELECT count(*) FROM sl), '', '## Metrics', '',
+                          {", ".join(f"printf('- {k}: %.6f', {k})" for k in METRICS)}, '', '## Errors', '',
+                          {", ".join(f"'- {k}: ' || (SELECT count(*) FROM err WHERE error_type = '{k}')" for k in ERROR_TYPES)}, ''] AS l FROM measures)
+        SELECT CAST(generate_subscripts(l, 1) - 1 AS INT) AS line_no, unnest(l) AS line FROM lines""",
+    "report_file": _SIDES + """
+        SELECT 'documents' AS input_md, (SELECT count(*) FROM sl) AS chunk_count, count(*) FILTER (error_type = 'missing_entity') AS missing_entity,
+               count(DISTINCT (doc_id, chunk_idx, error_type)) AS n_chunk_errors, count(*) AS n_errors FROM err""",
+    "judge_prompts": f"""WITH {_SLICES} SELECT doc_id, chunk_idx, '{JUDGE_SYSTEM.replace("'", "''")}' AS system, """ + _woven_sql(_JUDGE, ["text", "printf('{{\"chunk\":%d}}', chunk_idx)".replace("{{", "{").replace("}}", "}"), "printf('{\"chunk\":%d}!', chunk_idx)"]) + " AS prompt FROM sl",
+    "extract_model": f"""
+        WITH {_SLICES}, p AS (SELECT doc_id, chunk_idx, """ + _woven_sql(_EXTRACTION, ["printf('chunk_%04d', chunk_idx + 1)", "printf('chunk_%04d', chunk_idx + 1)", "''", "text"]) + """ AS prompt FROM sl)
+        SELECT CAST(doc_id AS VARCHAR) AS doc_id, chunk_idx, 'stub' AS model_name, CAST(NULL AS VARCHAR) AS error, unnest(list_distinct(regexp_extract_all(prompt, '[A-Z][a-z]{4,}'))) AS name FROM p""",
+    "generated_questions": f"SELECT category, 'question ' || i AS question, 0 AS score FROM ({_BATCHES}), LATERAL (SELECT unnest(generate_series(1, count)) AS i)",
+    "judged_questions": f"SELECT category, 'question ' || i AS question, CAST(length('question ' || i) % 10 AS INT) AS score FROM ({_BATCHES}), LATERAL (SELECT unnest(generate_series(1, count)) AS i)",
+    "chunk_headed": f"""
+        WITH RECURSIVE made AS (
+            SELECT doc_id, string_split('# ' || lang || chr(10) || '第 ' || (doc_id % 50 + 1) || ' 页' || chr(10) || '## ' || source || chr(10) || text || chr(10) ||
+                   '--- ' || (doc_id % 7 + 60) || ' 页 ---' || chr(10) || '#### End' || chr(10) || text, chr(10)) AS l FROM documents),
+        lines AS (
+            SELECT doc_id, n, line, nullif(regexp_extract(line, '^(?:第 |--- )(\\d+) 页(?: ---)?$', 1), '') AS page,
+                   length(regexp_extract(line, '^(#+) ', 1)) AS level, regexp_extract(line, '^#+ (.+)$', 1) AS title
+            FROM (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS n FROM made)),
+        fold AS (
+            SELECT doc_id, n, line, length(line) AS size, 0 AS part, '' AS page, [title] AS titles, [title] AS own FROM lines WHERE n = 1
+            UNION ALL
+            SELECT doc_id, n, line, CASE WHEN fresh THEN length(line) ELSE size + 1 + length(line) END, CASE WHEN fresh THEN part + 1 ELSE part END, page, titles, CASE WHEN fresh THEN titles ELSE own END
+            FROM (SELECT l.doc_id, l.n, l.line, f.size, f.part, coalesce(l.page, f.page) AS page, f.own,
+                         CASE WHEN l.level > 0 THEN list_append(f.titles[1 : l.level - 1], l.title) ELSE f.titles END AS titles,
+                         f.size >= {LIMIT} OR (f.size >= {chunking.MIN_CHARS} AND (l.page IS NOT NULL OR l.level > 0)) AS fresh
+                  FROM fold f JOIN lines l ON l.doc_id = f.doc_id AND l.n = f.n + 1)),
+        whole AS (SELECT doc_id, part, trim(string_agg(line, chr(10) ORDER BY n), {_WS}) AS text, arg_min(page, n) AS opened, arg_max(page, n) AS ended, max(size) AS size, arg_min(own, n) AS own FROM fold GROUP BY ALL),
+        known AS (SELECT *, CASE WHEN size >= {LIMIT} THEN ended ELSE coalesce(lead(opened) OVER (PARTITION BY doc_id ORDER BY part), ended) END AS closed FROM whole),
+        cut AS (SELECT doc_id, part, i, opened, closed, own, trim(substr(text, i + 1, {LIMIT}), {_WS}) AS text FROM known, LATERAL (SELECT unnest(generate_series(0, greatest(length(text) - 1, 0), {LIMIT})) AS i)),
+        numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY part, i) AS INT) AS chunk_idx FROM cut WHERE text <> '')
+        SELECT CAST(doc_id AS VARCHAR) AS doc_id, chunk_idx, printf('chunk_%04d', chunk_idx) AS chunk_id, CASE WHEN opened <> '' THEN opened ELSE closed END AS page_hint, array_to_string(own, ' > ') AS titles, text FROM numbered""",
 }

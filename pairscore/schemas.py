@@ -13,7 +13,8 @@ DOCUMENT = "doc_id string, text string"
 CHUNK = "doc_id string, chunk_idx int, chunk_id string, page_hint string, title_path array<string>, text string"
 RESPONSE = "doc_id string, chunk_idx int, chunk_id string, page_hint string, title_path array<string>, raw_response string, error string, model_name string"
 EXTRACTION = f"doc_id string, chunk_idx int, chunk_id string, page_hint string, title_path array<string>, entities array<{ENTITY}>, raw_response string, error string, model_name string"
-GOLD = f"chunk_id string, entities array<{ENTITY}>"
+#: Without a doc_id a gold record is for the only document of a run.
+GOLD = f"doc_id string, chunk_id string, entities array<{ENTITY}>"
 TASK = "task_idx int, category string, count int, description string"
 BATCH = "task_idx int, category string, count int, description string, batch_id int"
 QUESTION = "category string, question string, score int"

@@ -11,20 +11,21 @@ from ..functions.parsing import valid_entity
 from ..schemas import ENTITY, GOLD
 from .markdown import exists
 
-_LINE = f"chunk_id string, line_no long, entities array<{ENTITY}>"
+_LINE = f"doc_id string, chunk_id string, file string, line_no long, entities array<{ENTITY}>"
 
 
 def read_gold(spark: SparkSession, path: str | None) -> DataFrame:
-    """``chunk_id, entities``, one row a chunk: of lines with the same chunk_id the last counts. No path, or a missing one,
-    gives an empty table. Blank lines are skipped; a line that is no JSON object with a chunk_id, or has an invalid entity,
-    fails the query that reads it."""
+    """``doc_id, chunk_id, entities``, one row a chunk: of lines with the same ids the last counts, of files the last by
+    name. ``doc_id`` may be left out (null) where there is one document. No path, or a missing one, gives an empty table.
+    Blank lines are skipped; a line that is no JSON object with a chunk_id, or has an invalid entity, fails the query that
+    reads it."""
     if not path or not exists(spark, path):
         return spark.createDataFrame([], GOLD)
 
     def parse(batches):
         for pdf in batches:
             rows = []
-            for line, number in zip(pdf["line"], pdf["line_no"]):
+            for line, file, number in zip(pdf["line"], pdf["file"], pdf["line_no"]):
                 item = json.loads(line)
                 entities = []
                 for given in item.get("entities", []):
@@ -32,10 +33,11 @@ def read_gold(spark: SparkSession, path: str | None) -> DataFrame:
                     if entity is None:
                         raise ValueError(f"invalid gold entity in line {number + 1}: {given!r}")
                     entities.append(entity)
-                rows.append((str(item["chunk_id"]), number, entities))
-            yield pd.DataFrame(rows, columns=["chunk_id", "line_no", "entities"])
+                doc_id = item.get("doc_id")
+                rows.append((None if doc_id is None else str(doc_id), str(item["chunk_id"]), file, number, entities))
+            yield pd.DataFrame(rows, columns=["doc_id", "chunk_id", "file", "line_no", "entities"])
 
     # whole files: the order of lines within a file decides which one is last
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r\n|[\r\n]")).alias("line_no", "line"))
-    parsed = lines.where(F.trim("line") != "").select("line", F.col("line_no").cast("long").alias("line_no")).mapInPandas(parse, _LINE)
-    return parsed.groupBy("chunk_id").agg(F.max_by("entities", "line_no").alias("entities"))
+    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r\n|[\r\n]")).alias("line_no", "line"))
+    parsed = lines.where(F.trim("line") != "").select("line", "file", F.col("line_no").cast("long").alias("line_no")).mapInPandas(parse, _LINE)
+    return parsed.groupBy("doc_id", "chunk_id").agg(F.max_by("entities", F.struct("file", "line_no")).alias("entities"))

@@ -18,9 +18,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.parsing import find_object, parse_response
-from ..plans.prompts import EXTRACTION_SYSTEM, JUDGE_SYSTEM, extraction_prompt, judge_prompt, question_prompt
+from ..functions.text import answer_lines
+from ..plans.prompts import EXTRACTION_SYSTEM, JUDGE_SYSTEM, extraction_prompt, judge_prompt, judge_questions_prompt, question_prompt
 from ..schemas import EXTRACTION, RESPONSE
 
+#: A response's columns: where the chunk stands, and what the model said.
+_PLACE, _REPLY = RESPONSE[: RESPONSE.index(", raw_response")], RESPONSE[RESPONSE.index("raw_response") :]
 Ask = Callable[[str, str], str]
 
 
@@ -74,9 +77,10 @@ class StubModel:
         return ask
 
 
-def ask_model(chunks: DataFrame, model: Model, concurrency: int | None = None) -> DataFrame:
+def ask_model(chunks: DataFrame, model: Model, concurrency: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Raw answers, schemas.RESPONSE: one request a chunk. A request that fails gives a row with the error and the empty
-    answer; the query goes on. ``concurrency`` bounds the requests made at the same time, as so many tasks."""
+    answer; the query goes on. ``concurrency`` bounds the requests made at the same time, as so many tasks. The string
+    columns in ``carry`` come back too."""
 
     def run(batches):
         ask = model.open()
@@ -93,7 +97,7 @@ def ask_model(chunks: DataFrame, model: Model, concurrency: int | None = None) -
             yield pdf.drop(columns="text").assign(raw_response=raw, error=errors, model_name=model.name)
 
     dealt = chunks.repartition(concurrency) if concurrency else chunks
-    return dealt.select("doc_id", "chunk_idx", "chunk_id", "page_hint", "title_path", "text").mapInPandas(run, RESPONSE)
+    return dealt.select("doc_id", "chunk_idx", "chunk_id", "page_hint", "title_path", "text", *carry).mapInPandas(run, ", ".join([_PLACE, *(f"{c} string" for c in carry), _REPLY]))
 
 
 def parse_responses(responses: DataFrame) -> DataFrame:
@@ -143,4 +147,36 @@ def generate_answers(batches: DataFrame, model: Model, concurrency: int | None =
     return dealt.select("category", "count", "description", "batch_id").mapInPandas(run, "category string, batch_id int, text string")
 
 
-__all__ = ["EXTRACTION", "Ask", "ChatModel", "Model", "StubModel", "ask_model", "extract", "generate_answers", "judge", "parse_responses"]
+def score_answers(answers: DataFrame, model: Model, concurrency: int | None = None) -> DataFrame:
+    """``category, batch_id, text``: the judge's scores, one a line, for the questions of each answer (category, batch_id,
+    text). An answer without questions is not sent. A failed request fails the query."""
+
+    def run(parts):
+        ask = model.open()
+        for pdf in parts:
+            rows = [(c, b, ask("", judge_questions_prompt(c, list(q)))) for c, b, q in zip(pdf["category"], pdf["batch_id"], pdf["questions"]) if len(q)]
+            yield pd.DataFrame(rows, columns=["category", "batch_id", "text"])
+
+    asked = answers.select("category", "batch_id", answer_lines(F.coalesce("text", F.lit(""))).alias("questions"))
+    dealt = asked.repartition(concurrency) if concurrency else asked
+    return dealt.mapInPandas(run, "category string, batch_id int, text string")
+
+
+@dataclass(frozen=True)
+class ListingModel:
+    """A deterministic model for tests: to a request for n questions it answers n numbered lines with a blank one after
+    each, to a list of questions the last digit of each one's length."""
+
+    name: str = "listing"
+
+    def open(self) -> Ask:
+        def ask(system: str, user: str) -> str:
+            head, _, rest = user.partition("\n\n")
+            if asked := re.search(r"\d+ practice", head):
+                return "".join(f" question {i}\n\n" for i in range(1, int(asked.group().split()[0]) + 1))
+            return "\n".join(str(len(line) % 10) for line in rest.split("\n"))
+
+        return ask
+
+
+__all__ = ["EXTRACTION", "Ask", "ChatModel", "ListingModel", "Model", "StubModel", "ask_model", "extract", "generate_answers", "judge", "parse_responses", "score_answers"]

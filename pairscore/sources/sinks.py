@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -35,6 +36,11 @@ def extraction_json(extractions: DataFrame) -> DataFrame:
     return extractions.select("doc_id", "chunk_idx", json_line(F.struct(*fields)).alias("value"))
 
 
+def chunk_error_json(counted: DataFrame) -> DataFrame:
+    """A line per chunk and kind of error: ids, kind and count."""
+    return counted.select("doc_id", "chunk_idx", json_line(F.struct("doc_id", "chunk_id", "error_type", "count")).alias("value"))
+
+
 def write_lines(lines: DataFrame, path: str, one_file: bool = False) -> None:
     """Lines (doc_id, chunk_idx, value) in order, as a folder of text files in which each file goes on where the one before
     it ends. ``one_file`` is for small results: a single task then writes all."""
@@ -42,20 +48,41 @@ def write_lines(lines: DataFrame, path: str, one_file: bool = False) -> None:
     (ordered.coalesce(1) if one_file else ordered).write.mode("overwrite").text(path)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file, through Hadoop's file system, so that it lands where the tables do."""
+def write_pieces(spark: SparkSession, path: str, pieces: Iterable[str]) -> None:
+    """A file of pieces of text as they come, through Hadoop's file system, so that it lands where the tables do."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        for piece in pieces:
+            out.write(bytearray(piece.encode("utf-8")))
     finally:
         out.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    write_pieces(spark, path, [text])
+
+
 def report_json(summary: dict) -> str:
     return json.dumps(summary, ensure_ascii=False, indent=2)
 
 
+def write_report(spark: SparkSession, path: str, summary: dict, chunk_errors: DataFrame) -> None:
+    """The report as one JSON object: the totals, then the list ``chunk_errors``. The list is passed on row by row, a
+    partition at a time, in the order of the table."""
+
+    def pieces():
+        yield report_json(summary).removesuffix("\n}") + ',\n  "chunk_errors": ['
+        written = 0
+        for r in chunk_errors.toLocalIterator():
+            item = {"chunk_id": r["chunk_id"], "error_type": r["error_type"], "count": r["count"]}
+            yield (",\n    " if written else "\n    ") + json.dumps(item, ensure_ascii=False)
+            written += 1
+        yield "\n  ]\n}" if written else "]\n}"
+
+    write_pieces(spark, path, pieces())
+
+
 def report_markdown(summary: dict) -> str:
     head = [f"- {k}: {summary[k]}" for k in ("input_md", "model_a", "model_b", "reference_source", "chunk_count")]
     metrics = [f"- {k}: {summary['metrics'][k]:.6f}" for k in METRICS]

@@ -148,9 +148,9 @@ def test_report_of_a_recorded_run(spark):
     assert counts(total) == [(80, 3, 2), (200, 16, 21), (146, 3, 5)]
     assert [total[f"{lv}_{m}"] for lv in ("entity", "attribute", "relation") for m in ("precision", "recall", "f1")] == [0.963855, 0.97561, 0.969697, 0.925926, 0.904977, 0.915332, 0.979866, 0.966887, 0.973333]
     errors = ev.error_rows(done)
-    by_type = {r.error_type: r["count"] for r in report.errors_by_type(errors, done).collect()}
+    by_type = {r.error_type: r["count"] for r in report.errors_by_type(done).collect()}
     assert [by_type[k] for k in ERROR_TYPES] == [2, 3, 0, 19, 2, 5, 0]
-    assert report.errors_by_type(errors.limit(0), done.limit(0)).collect() == []
+    assert report.errors_by_type(done.limit(0)).collect() == []
     ordered = [(r.chunk_idx, r.error_type) for r in report.ordered_chunk_errors(report.chunk_errors(errors)).collect()]
     assert ordered == sorted(ordered, key=lambda x: (x[0], ERROR_TYPES.index(x[1]))) and len(ordered) == 7
     assert report.reference_label(done).first()[0] == report.reference_label(done.limit(0)).first()[0] == "model_a_pseudo_gold"

@@ -3,11 +3,11 @@ import json
 import pytest
 
 from pairscore.operators.generate import catalogue_tasks, judged_questions, task_batches
-from pairscore.plans.config import byte_size, load_config, project_root
+from pairscore.plans.config import byte_size, load_config, load_generator, project_root
 from pairscore.plans.pipeline import run_eval, run_generation
 from pairscore.sources.gold import read_gold
 from pairscore.sources.markdown import load_markdown, read_markdown
-from pairscore.sources.models import StubModel, ask_model, extract
+from pairscore.sources.models import ListingModel, StubModel, ask_model, extract
 from pairscore.streaming.inbox import read_inbox, score_stream, stream_chunks
 
 TEXT = "# Class Alpha\n第 3 页\nThe Kilo carries Shkval missiles.\nThe Kilo has Rubin sonar.\n"
@@ -55,7 +55,7 @@ def test_run(spark, tmp_path):
     summary, errors = run_eval(spark, str(tmp_path / "doc.md"), out, StubModel("a"), StubModel("b", drop_every=5), judge_model=StubModel("j"))
     assert errors == [] and summary["chunk_count"] == 1 and summary["metrics"]["entity_precision"] == 1.0 and 0 < summary["metrics"]["entity_recall"] < 1
     saved = json.loads((tmp_path / "out" / "summary_report.json").read_text())
-    assert saved == summary and (tmp_path / "out" / "summary_report.md").read_text().count("\n- ") == 21
+    assert isinstance(saved.pop("chunk_errors"), list) and saved == summary and (tmp_path / "out" / "summary_report.md").read_text().count("\n- ") == 21
     line = json.loads(next((tmp_path / "out" / "pair_eval.jsonl").glob("part-*")).read_text().splitlines()[0])
     assert list(line) == ["chunk_id", "reference_source", "metrics", "counts", "errors", "llm_judgement"] and isinstance(line["llm_judgement"], dict)
     assert line["errors"]["extra_entity"] == [] and line["errors"]["missing_entity"][0]["name"]
@@ -139,3 +139,97 @@ def test_stream(spark, tmp_path):
     (inbox / "b.md").write_text(TEXT)
     run()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_answers_follow_the_chunks(spark, tmp_path):
+    doc, out = tmp_path / "doc.md", str(tmp_path / "o")
+    asked = tmp_path / "asked"
+    asked.mkdir()
+
+    class Counting:
+        name = "a"
+
+        def open(self):
+            answer = StubModel().open()
+
+            def ask(system, user):
+                (asked / str(len(list(asked.iterdir())))).write_text(user)
+                return answer(system, user)
+
+            return ask
+
+    def names():
+        return {e.name for r in spark.read.parquet(f"{out}/_tables/extractions_a").collect() for e in r.entities} - {"Extract", "Markdown"}
+
+    doc.write_text("The Kilo has Rubin sonar.")
+    run_eval(spark, str(doc), out, Broken(), StubModel("b"))  # fails, so nothing is known
+    broken_then = Counting()
+    broken_then.name = "broken"
+    run_eval(spark, str(doc), out, broken_then, StubModel("b"))  # asked again now that the model works
+    assert names() == {"Rubin"} and len(list(asked.iterdir())) == 1
+    run_eval(spark, str(doc), out, broken_then, StubModel("b"))  # known
+    assert len(list(asked.iterdir())) == 1
+    doc.write_text("The Kilo has Shkval missiles.")  # changed: no stale answer
+    run_eval(spark, str(doc), out, broken_then, StubModel("b"))
+    assert names() == {"Shkval"} and len(list(asked.iterdir())) == 2
+    doc.write_text("")  # gone
+    summary, _ = run_eval(spark, str(doc), out, broken_then, StubModel("b"))
+    assert summary["chunk_count"] == 0 and spark.read.parquet(f"{out}/_tables/extractions_a").count() == 0
+
+
+def test_gold_belongs_to_its_document(spark, tmp_path):
+    docs = tmp_path / "docs"
+    docs.mkdir()
+    (docs / "a.md").write_text("Rubin sonar")
+    (docs / "b.md").write_text("Shkval missiles")
+    ids = {r.doc_id.rsplit("/", 1)[1]: r.doc_id for r in read_markdown(spark, str(docs)).collect()}
+    entity = lambda name: {"name": name, "evidence": [{"page": "1", "text": "t"}]}
+    gold = tmp_path / "gold.jsonl"
+    gold.write_text("".join(json.dumps({"doc_id": ids[f], "chunk_id": "chunk_0001", "entities": [entity(n)]}) + "\n" for f, n in (("a.md", "Rubin"), ("b.md", "Shkval"))))
+    summary, _ = run_eval(spark, str(docs), str(tmp_path / "o"), Broken(), StubModel("b"), gold_jsonl=str(gold))
+    assert summary["counts"]["entity"]["tp"] == 2 and summary["counts"]["entity"]["fn"] == 0
+    gold.write_text(json.dumps({"chunk_id": "chunk_0001", "entities": [entity("Rubin")]}) + "\n")
+    with pytest.raises(ValueError, match="several documents"):
+        run_eval(spark, str(docs), str(tmp_path / "o2"), Broken(), StubModel("b"), gold_jsonl=str(gold))
+    one, _ = run_eval(spark, str(docs / "a.md"), str(tmp_path / "o3"), Broken(), StubModel("b"), gold_jsonl=str(gold))
+    assert one["counts"]["entity"]["tp"] == 1
+
+
+def test_judged_generation(spark, tmp_path):
+    got = run_generation(spark, ListingModel(), str(tmp_path / "q"), judge_model=ListingModel()).collect()
+    assert len(got) == 500 and all(r.score == len(r.question) % 10 for r in got)
+    with pytest.raises(ValueError, match="output"):
+        run_generation(spark, ListingModel(), judge_model=ListingModel())
+
+
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    from pairscore.plans import cli
+
+    monkeypatch.setattr(cli, "load_generator", lambda env: ListingModel())
+    assert cli.main(["questions", "--output", str(tmp_path / "q"), "--judge", "--log", str(tmp_path / "run.log")], spark) == 0
+    told = capsys.readouterr().out.splitlines()
+    assert len(told) == 500 and told[0].count("\t") == 2
+    assert "answers: 25 rows" in (tmp_path / "run.log").read_text()  # each step is logged
+    env = tmp_path / ".env"
+    env.write_text("MODEL_A_NAME=a\n")
+    for name in ("MODEL_B_NAME", "MODEL_A_API_KEY"):
+        monkeypatch.delenv(name, raising=False)
+    assert cli.main(["eval", "--input", "x.md", "--output", "o", "--env", str(env), "--log", str(tmp_path / "run.log")], spark) == 1
+    assert "MODEL_A_API_KEY" in (log := (tmp_path / "run.log").read_text()) and "MODEL_B_NAME" in log  # all missing ones at once
+    for side in "AB":
+        for part in ("BASE_URL", "API_KEY", "NAME"):
+            monkeypatch.setenv(f"MODEL_{side}_{part}", "x")
+    assert cli.main(["eval", "--input", str(tmp_path / "none.md"), "--output", "o"], spark) == 1
+    assert "none.md" in capsys.readouterr().err
+
+
+def test_generator_settings(tmp_path, monkeypatch):
+    for name in ("LOCAL_MODEL", "LOCAL_MODEL_PROVIDER", "LOCAL_MODEL_BASE_URL", "LOCAL_MODEL_API_KEY"):
+        monkeypatch.delenv(name, raising=False)
+    env = tmp_path / ".env"
+    env.write_text("LOCAL_MODEL=m\nLOCAL_MODEL_BASE_URL=http://m\nLOCAL_MODEL_API_KEY=k\n")
+    got = load_generator(env)
+    assert (got.name, got.base_url, got.api_key, got.temperature) == ("m", "http://m", "k", None)
+    env.write_text("LOCAL_MODEL=m\nLOCAL_MODEL_PROVIDER=other\n")
+    with pytest.raises(ValueError, match="other"):
+        load_generator(env)
