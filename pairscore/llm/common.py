@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..sources.shared import shared_dir
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -25,19 +26,6 @@ def ascii_lower(col: Column) -> Column:
     return F.when(ascii_only, F.lower(col)).otherwise(F.translate(col, _UPPER, _UPPER.lower()))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where none is set."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    held = sc._jsc.sc().getCheckpointDir()
-    if held.isDefined():
-        return held.get()
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="pairscore-checkpoint-"))
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
 _REMEMBERED: list[Callable[[], None]] = []
 
 
@@ -82,6 +70,15 @@ class Staged:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows, dealt to all cores if they come in fewer partitions, as from a file of one row group. Tables of many
+    splits are left as they are, without an exchange."""
+    plan, cores = df._jdf.queryExecution().executedPlan(), df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in plan.toString() or df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def map_text(df: DataFrame, column: str, keep: list[str], fields: str, make) -> DataFrame:
     """``keep`` of each row, untouched, and ``fields`` (a DDL string) from its text in ``column``. ``make()`` is called
     once a task and returns a function from a list of texts (None for null) to one list of values per field."""
@@ -102,4 +99,4 @@ def map_text(df: DataFrame, column: str, keep: list[str], fields: str, make) ->
             arrays = [b.column(read.index(c)) for c in keep] + [pa.array(v, t) for v, t in zip(values, types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, [f.name for f in schema.fields])
 
-    return df.select(*read).mapInArrow(run, schema)
+    return spread(df.select(*read)).mapInArrow(run, schema)

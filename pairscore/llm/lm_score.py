@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Staged, give_back
+from .common import Staged, give_back, spread
 from .near_dup import _Hashes, mix
 
 FOLDS, HELD_OUT, DELETED = 5, 1, 2
@@ -93,7 +93,7 @@ def _unigrams(rows: DataFrame, shards: int, staged: Staged) -> DataFrame:
         train, fit = (np.bincount(at, x, len(words)).astype("<i8") for x in (train, fit))
         return pa.table({"q": pa.array([key[0].as_py()], pa.int32()), "words": [words.tobytes()], "train": [train.tobytes()], "fit": [fit.tobytes()], "n_train": [int(train.sum())], "n_fit": [int(fit.sum())], "types": [int((train > 0).sum())]})
 
-    parts = rows.select("text", "fold").mapInArrow(count, "q int, words binary, train binary, fit binary")
+    parts = spread(rows.select("text", "fold")).mapInArrow(count, "q int, words binary, train binary, fit binary")
     return staged.keep(parts.groupBy("q").applyInArrow(merge, "q int, words binary, train binary, fit binary, n_train long, n_fit long, types long"))
 
 
@@ -172,7 +172,7 @@ def _bigrams(rows: DataFrame, shards: int, frequent: np.ndarray, spread: np.ndar
         hashes.clear()
         give_back()
 
-    return rows.select("doc_id", "text", "fold").mapInArrow(run, _X)
+    return spread(rows.select("doc_id", "text", "fold")).mapInArrow(run, _X)
 
 
 class _Shard:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import Staged, give_back
+from .common import Staged, give_back, spread
 from .components import components
 
 N = 5
@@ -147,7 +147,7 @@ def _chunks(docs: DataFrame, n: int, shards: int) -> DataFrame:
         shingler.hashes.clear()
         give_back()
 
-    return docs.select("doc_id", "text").mapInArrow(run, _CHUNK_COLUMNS.format(id=ids))
+    return spread(docs.select("doc_id", "text")).mapInArrow(run, _CHUNK_COLUMNS.format(id=ids))
 
 
 def _shared(key, rows):
@@ -227,7 +227,7 @@ def _sets(docs: DataFrame, n: int, wanted: np.ndarray) -> DataFrame:
                 sets = [shingler.grams([node], [words])[0].tobytes() for node, words in zip(nodes, texts)]
                 yield pa.RecordBatch.from_arrays([_long(nodes), pa.array(sets, pa.binary())], ["node", "grams"])
 
-    return docs.select("text").mapInArrow(run, "node long, grams binary")
+    return spread(docs.select("text")).mapInArrow(run, "node long, grams binary")
 
 
 def _postings(sets: list[np.ndarray], at: list[np.ndarray], order: np.ndarray, percent: int):

@@ -1,9 +1,17 @@
 """Packing by lexical retrieval.
 
-Documents are dealt by hash into shards of bounded expected size. Each shard has a BM25 inverted index over token ids. A
-seed document opens a window; the index returns the unused documents of the shard nearest to it, which fill the window in
-that order. The one that overruns is cut at the window's end, and its rest is the next seed. So only a shard's last
-window can be short, and that one is laid out in sequences of power-of-two lengths, which need no padding.
+1. Texts are encoded once, into a table of token ids. With them come, from every task, the number of documents that have
+   each term, so document frequencies, the number of documents and their mean length are those of the whole corpus. They
+   are as large as the vocabulary and no larger.
+2. Documents are routed by a lexical sketch: a few weighted min-hashes of their terms, in which a term counts by its
+   inverse document frequency. Two documents agree in one with about the share of such weight that they have in common,
+   so those nearest in BM25 are the likeliest to be neighbours in the order by sketch, however large the corpus is. The
+   order is range-partitioned and cut into shards of a bounded number of tokens; the row's number breaks ties, so a
+   sketch shared by very many documents (copies) is spread over as many ranges as it fills.
+3. Each shard has a BM25 inverted index over token ids, with the corpus's statistics. A seed document opens a window; the
+   index returns the unused documents nearest to it, which fill the window in that order. The one that overruns is cut
+   at the window's end, and its rest is the next seed. So only a shard's last window can be short, and that one is laid
+   out in sequences of power-of-two lengths, which need no padding.
 """
 
 from __future__ import annotations
@@ -11,26 +19,62 @@ from __future__ import annotations
 import gc
 import math
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from .bpe import encoder
+from .common import Staged, give_back, spread
+from .near_dup import mix
 
 WINDOW = 4096
 END_ID = 2
-#: Bytes of text a shard holds on average; with it the cost of a retrieval is bounded whatever the corpus.
-SHARD_BYTES = 1_000_000
+#: Tokens of a shard; with it the cost of a retrieval is bounded whatever the corpus. Bytes of ids in a range.
+SHARD_TOKENS, RANGE_BYTES = 250_000, 8_000_000
+#: Min-hashes of a sketch, and the power of the inverse document frequency by which they choose terms.
+SKETCH, POWER = 3, 2.0
 K1, B = 1.2, 0.75
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+@dataclass
+class Statistics:
+    """Of a whole corpus: documents that have each term, documents, and their mean length in tokens."""
+
+    df: np.ndarray
+    n: int
+    mean: float
+
+    @classmethod
+    def of(cls, docs: list[np.ndarray]) -> Statistics:
+        own = np.concatenate([np.unique(d) for d in docs])
+        return cls(np.bincount(own), len(docs), sum(map(len, docs)) / len(docs))
+
+    def idf(self) -> np.ndarray:
+        """Terms that at least half of the documents have tell nothing: theirs is 0 or less and counts as 0."""
+        return np.maximum(0.0, np.log((self.n - self.df + 0.5) / (self.df + 0.5)))
+
+    def ranks(self) -> np.ndarray:
+        """For each min-hash the rank of every term: the smallest among a document's terms is its value. Drawn by
+        exponential races, so that a term wins with a chance in proportion to its weight. Terms of one document, and those
+        that tell nothing, come last and count as one."""
+        weight = np.where(self.df > 1, self.idf() ** POWER, 0.0)
+        terms, out = np.arange(len(self.df), dtype=np.uint64), np.empty((SKETCH, len(self.df)), dtype=np.int32)
+        for j in range(SKETCH):
+            uniform = ((mix(terms + np.uint64(1), 31 + j) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
+            race = np.where(weight > 0, -np.log(uniform) / np.where(weight > 0, weight, 1.0), np.inf)
+            out[j, np.lexsort((terms, race))] = np.arange(len(terms))
+            out[j, weight <= 0] = len(terms)
+        return out
+
+
 class Index:
-    """BM25 over one shard, of arrays of token ids. Terms that at least half of the documents have tell nothing: their
-    inverse document frequency is 0 or less and counts as 0."""
+    """BM25 over one shard, of arrays of token ids, with the statistics of the corpus."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], corpus: Statistics | None = None):
+        corpus = corpus or Statistics.of(docs)
         self.n = len(docs)
         sizes = np.array([len(d) for d in docs])
         keys = (np.repeat(np.arange(self.n, dtype=np.uint64), sizes) << np.uint64(20)) | np.concatenate(docs)
@@ -40,13 +84,13 @@ class Index:
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         tf = np.diff(np.append(first, len(keys)))
         owner, term = (keys[first] >> keys.dtype.type(20)).astype(np.int64), (keys[first] & keys.dtype.type(0xFFFFF)).astype(np.int64)
-        df = np.bincount(term)
-        telling = (df[term] > 1) & (2 * df[term] < self.n)  # a term of one document leads nowhere
+        here, idf = np.bincount(term, minlength=len(corpus.df)), corpus.idf()
+        telling = (here[term] > 1) & (idf[term] > 0)  # a term of one document of the shard leads nowhere
         owner, term, tf = owner[telling], term[telling], tf[telling]
-        weight = np.log((self.n - df[term] + 0.5) / (df[term] + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[owner] / sizes.mean()))
+        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[owner] / corpus.mean))
         order = np.argsort(term, kind="stable")
         self.docs, self.weight = owner[order], weight[order]
-        self.at = np.searchsorted(term[order], np.arange(len(df) + 1))
+        self.at = np.searchsorted(term[order], np.arange(len(here) + 1))
         self.terms, self.term_at = term, np.searchsorted(owner, np.arange(self.n + 1))
 
     def scores(self, doc: int) -> np.ndarray:
@@ -59,10 +103,10 @@ class Index:
         return np.bincount(self.docs[spans], self.weight[spans], self.n)
 
 
-def fill_windows(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
+def fill_windows(docs: list[np.ndarray], window: int = WINDOW, corpus: Statistics | None = None) -> list[tuple[int, int, int, int, int]]:
     """Pieces (document, start, length, sequence, offset) of one shard; each token lies in exactly one piece. Seeds come
     in the order of ``docs``; ties of the retrieval go to the earlier document."""
-    index, unused = Index(docs), np.ones(len(docs), dtype=bool)
+    index, unused = Index(docs, corpus), np.ones(len(docs), dtype=bool)
     pieces: list[tuple[int, int, int, int, int]] = []
     sequence, room, fresh = 0, window, 0
     doc, start = -1, 0  # the seed and how much of it is placed
@@ -117,35 +161,131 @@ def _halve(pieces, last: int, window: int):
     return done
 
 
-def pack(docs: DataFrame, path: str, window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+_TOKENS = "row long, doc_id long, n long, ids binary, df binary"
+
+
+def tokens(docs: DataFrame, path: str, staged: Staged) -> DataFrame:
+    """``row, doc_id, n, ids, df``: a row per document, numbered, with its ids (little-endian, of 16 bits where the
+    vocabulary allows it, else 32) and their number, END_ID the last; and from each task a row with ``df`` only."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    schema = to_arrow_schema(StructType.fromDDL(_TOKENS))
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        give_back()
+        enc, row = encoder(path), TaskContext.get().partitionId() << 40
+        end, size = END_ID.to_bytes(4, "little"), len(enc.tokens)
+        kind = "<u2" if size <= 1 << 16 else "<u4"
+        df, last = np.zeros(size, dtype=np.int64), np.full(size, -1, dtype=np.int64)
+
+        def batch(rows, ids, sizes, coded, counts=None):
+            values = [rows, ids, sizes, coded, counts or [None] * len(rows)]
+            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
+
+        for b in batches:
+            sizes, coded = [], []
+            gc.disable()  # encoding makes very many small objects and no cycles
+            try:
+                for text in b.column(1).to_pylist():
+                    own = np.frombuffer(enc.encode(text) + end, "<u4")
+                    at = np.arange(len(own))
+                    last[own] = at  # of repeated ids one place is left
+                    df[own[last[own] == at]] += 1
+                    sizes.append(len(own))
+                    coded.append(own.astype(kind).tobytes())
+            finally:
+                gc.enable()
+            yield batch(range(row, row + len(sizes)), b.column(0), sizes, coded)
+            row += len(sizes)
+        yield batch([None], [None], [None], [None], [df.tobytes()])
+        del df, last
+        give_back()
+
+    return staged.keep(spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(run, _TOKENS))
+
+
+def corpus_statistics(found: DataFrame) -> Statistics:
+    """From the table of ``tokens``. What reaches the driver is as long as the vocabulary."""
+    import pyarrow as pa
+
+    def counts(batches):
+        for b in batches:
+            for packed in b.column(0).to_pylist():
+                df = np.frombuffer(packed, "<i8")
+                used = np.flatnonzero(df)
+                yield pa.RecordBatch.from_arrays([pa.array([len(df)] * len(used), pa.int64()), pa.array(used, pa.int64()), pa.array(df[used], pa.int64())], ["size", "term", "n"])
+
+    parts = found.where(F.col("df").isNotNull()).select("df").mapInArrow(counts, "size long, term long, n long")
+    got = parts.groupBy("term").agg(F.sum("n").alias("n"), F.max("size").alias("size")).toPandas()
+    total = found.agg(F.count("n"), F.sum("n")).first()
+    df = np.zeros(int(got["size"].max()) if len(got) else 1, dtype=np.int64)
+    df[got["term"].to_numpy(dtype=np.int64)] = got["n"].to_numpy(dtype=np.int64)
+    return Statistics(df, total[0], (total[1] or 0) / max(1, total[0]))
+
+
+def pack(docs: DataFrame, path: str, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     A document's tokens are its text's ids (null text: none) and END_ID; so an empty text still has one. Sequences hold
     at most ``window`` tokens, without gaps. Rows that repeat a doc_id, or have none, are documents of their own. Texts
-    of any length are taken whole. Other columns are ignored; an empty table gives an empty result.
+    of any length are taken whole. Other columns are ignored; an empty table gives an empty result. The bits of
+    ``sequence_id`` from the 20th on number the shard.
     """
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    size = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    shards = max(1, math.ceil(((size[0] or 0) + 8 * size[1]) / shard_bytes))
+    spark = docs.sparkSession
+    found = tokens(docs, path, Staged(spark))
+    corpus = corpus_statistics(found)
+    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(corpus.n * corpus.mean * 2 / RANGE_BYTES))
+    shared = spark.sparkContext.broadcast((corpus, corpus.ranks()))  # as large as the vocabulary
+    kind = "<u2" if len(corpus.df) <= 1 << 16 else "<u4"
+    keys = [f"k{j}" for j in range(SKETCH)]
+
+    def sketch(batches):
+        ranks = shared.value[1]
+        for b in batches:
+            sizes = b.column("n").to_numpy()
+            ids = np.frombuffer(b"".join(b.column("ids").to_pylist()), kind)
+            starts = np.cumsum(sizes) - sizes
+            made = [pa.array(np.minimum.reduceat(r[ids], starts) if len(ids) else [], pa.int32()) for r in ranks]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("row", "doc_id", "ids")), *made], ["row", "doc_id", "ids", *keys])
+
     schema = StructType.fromDDL(PIECES)
     arrow_schema = to_arrow_schema(schema)
 
-    def run(key, rows):
-        rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        enc, own = encoder(path), rows.column("doc_id").to_pylist()
-        end = END_ID.to_bytes(4, "little")
-        gc.disable()  # encoding makes very many small objects and no cycles
-        try:
-            tokens = [np.frombuffer(enc.encode(t) + end, "<u4") for t in rows.column("text").to_pylist()]
-        finally:
-            gc.enable()
-        base = key[0].as_py() << 32
-        pieces = fill_windows(tokens, window)
-        out = [(own[d], s, n, zlib.crc32(tokens[d][s : s + n]), len(tokens[d]), base + q, o) for d, s, n, q, o in pieces]
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow_schema, strict=True)], schema=arrow_schema)
-
-    shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).alias("shard")
-    return docs.select("doc_id", "text", shard).groupBy("shard").applyInArrow(run, schema)
+    def run(batches):
+        from pyspark import TaskContext
+
+        give_back()
+        base, held, size = TaskContext.get().partitionId() << 20, [], 0
+
+        def shard():
+            own = [np.frombuffer(ids, kind).astype("<u4") for _, ids in held]
+            pieces = fill_windows(own, window, shared.value[0])
+            out = [(held[d][0], s, n, zlib.crc32(own[d][s : s + n]), len(own[d]), base << 20 | q, o) for d, s, n, q, o in pieces]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow_schema, strict=True)], schema=arrow_schema)
+
+        for b in batches:
+            for doc_id, ids, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                held.append((doc_id, ids))
+                size += n
+                if size >= shard_tokens:
+                    yield shard()
+                    base, held, size = base + 1, [], 0
+        if held:
+            yield shard()
+        del held
+        give_back()
+
+    routed = found.where(F.col("n").isNotNull()).select("row", "doc_id", "n", "ids").mapInArrow(sketch, "row long, doc_id long, ids binary, " + ", ".join(f"{k} int" for k in keys))
+    tie = F.xxhash64("row").alias("tie")
+    order = [*keys, "tie", "row"]
+    ranged = routed.select("*", tie).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    width = np.dtype(kind).itemsize
+    return ranged.select("doc_id", "ids", (F.octet_length("ids") / width).cast("long").alias("n")).mapInArrow(run, schema)

@@ -45,7 +45,7 @@ def test_neighbours_share_a_window():
 
 def test_pieces_hold_the_documents_tokens(spark):
     rows = [(1, "some words here"), (1, "some words here"), (2, None), (None, "x"), (3, "long text of words " * 3000), *((i, f"text number {i}") for i in range(10, 60))]
-    got = pack(documents(spark, rows).selectExpr("*", "1 as shard"), tokenizer_path(), shard_bytes=20_000).collect()
+    got = pack(documents(spark, rows).selectExpr("*", "1 as shard"), tokenizer_path(), shard_tokens=5_000).collect()
     enc, sequences, left = encoder(tokenizer_path()), {}, {}
     tokens = {}
     for doc_id, text in rows:
