@@ -31,7 +31,7 @@ _RUNS = ("..", ",,", ".,", ",.")
 _SIMPLE = re.compile(r"[\x00-\x1b\x20-˿]*")
 #: White-space separated strings whose ids a worker remembers: when so many are new, the last so many become the old
 #: ones, and older ones are forgotten.
-STRINGS_KEPT = 400_000
+STRINGS_KEPT = 700_000
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -157,7 +157,7 @@ _MADE: list[ForcedCutEncoder] = []
 
 
 @remembers
-def _forget() -> None:
+def forget_strings() -> None:
     for made in _MADE:
         made.forget()
 
@@ -170,7 +170,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
         enc = encoder(path)
         return lambda texts: [[enc.encode(t) for t in texts]]
 
-    return map_text(docs, "text", ["doc_id"], "ids binary", make)
+    return map_text(docs, "text", ["doc_id"], "ids binary", make, forget_strings)
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
@@ -192,4 +192,4 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
 
         return digests
 
-    return map_text(docs, "text", ["doc_id"], "n_tokens long, ids_sha256 string, decoded_sha256 string", make)
+    return map_text(docs, "text", ["doc_id"], "n_tokens long, ids_sha256 string, decoded_sha256 string", make, forget_strings)

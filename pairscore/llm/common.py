@@ -29,18 +29,21 @@ def ascii_lower(col: Column) -> Column:
 _REMEMBERED: list[Callable[[], None]] = []
 
 
-def remembers(forget: Callable[[], None]) -> None:
+def remembers(forget: Callable[[], None]) -> Callable[[], None]:
     """Register how to drop what a module remembers from task to task in a worker."""
     _REMEMBERED.append(forget)
+    return forget
 
 
-def give_back() -> None:
+def give_back(keep: Callable[[], None] | None = None) -> None:
     """Drop what other operators remember here, and return freed memory to the system. Python workers are reused from
-    task to task, and what is kept of one task would count against the executor in the next."""
+    task to task, and what is kept of one task would count against the executor in the next. ``keep`` is what the caller
+    goes on with."""
     import pyarrow as pa
 
     for forget in _REMEMBERED:
-        forget()
+        if forget is not keep:
+            forget()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -57,10 +60,11 @@ class Staged:
         self.root = f"{shared_dir(spark)}/pairscore-{uuid.uuid4().hex}"
         self.n = 0
 
-    def keep(self, df: DataFrame, codec: str = "zstd") -> DataFrame:
+    def keep(self, df: DataFrame, codec: str = "zstd", dictionary: bool = True) -> DataFrame:
+        """``dictionary`` False spares the attempt to encode columns of values that do not repeat."""
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.option("compression", codec).parquet(path)
+        df.write.option("compression", codec).option("parquet.enable.dictionary", str(dictionary).lower()).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
@@ -79,9 +83,10 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
-def map_text(df: DataFrame, column: str, keep: list[str], fields: str, make) -> DataFrame:
+def map_text(df: DataFrame, column: str, keep: list[str], fields: str, make, remembered: Callable[[], None] | None = None) -> DataFrame:
     """``keep`` of each row, untouched, and ``fields`` (a DDL string) from its text in ``column``. ``make()`` is called
-    once a task and returns a function from a list of texts (None for null) to one list of values per field."""
+    once a task and returns a function from a list of texts (None for null) to one list of values per field; what it has
+    ``remembered`` from earlier tasks stays."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -92,7 +97,7 @@ def map_text(df: DataFrame, column: str, keep: list[str], fields: str, make) ->
     read = list(dict.fromkeys([*keep, column]))
 
     def run(batches):
-        give_back()
+        give_back(remembered)
         fn = make()
         for b in batches:
             values = fn(b.column(read.index(column)).to_pylist())

@@ -6,8 +6,8 @@
 2. Documents are routed by a lexical sketch: a few weighted min-hashes of their terms, in which a term counts by its
    inverse document frequency. Two documents agree in one with about the share of such weight that they have in common,
    so those nearest in BM25 are the likeliest to be neighbours in the order by sketch, however large the corpus is. The
-   order is range-partitioned and cut into shards of a bounded number of tokens; the row's number breaks ties, so a
-   sketch shared by very many documents (copies) is spread over as many ranges as it fills.
+   order is cut into ranges, by splitters from a sample, and these into shards of a bounded number of tokens; a hash of
+   the row's number breaks ties, so a sketch shared by very many documents (copies) is spread over the ranges it fills.
 3. Each shard has a BM25 inverted index over token ids, with the corpus's statistics. A seed document opens a window; the
    index returns the unused documents nearest to it, which fill the window in that order. The one that overruns is cut
    at the window's end, and its rest is the next seed. So only a shard's last window can be short, and that one is laid
@@ -24,16 +24,20 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .bpe import encoder
+from .bpe import encoder, forget_strings
 from .common import Staged, give_back, spread
 from .near_dup import mix
 
 WINDOW = 4096
 END_ID = 2
-#: Tokens of a shard; with it the cost of a retrieval is bounded whatever the corpus. Bytes of ids in a range.
-SHARD_TOKENS, RANGE_BYTES = 250_000, 8_000_000
-#: Min-hashes of a sketch, and the power of the inverse document frequency by which they choose terms.
-SKETCH, POWER = 3, 2.0
+#: Tokens of a shard; with it the cost of a retrieval is bounded whatever the corpus.
+SHARD_TOKENS = 250_000
+#: Bytes of ids in a range, as long as there are at most so many ranges; rows sampled for each to find its bounds. A range
+#: is read shard by shard, so its size only matters for the balance of the tasks.
+RANGE_BYTES, MOST_RANGES, SAMPLED = 8_000_000, 100_000, 100
+#: Min-hashes of a sketch, fewer for a vocabulary beyond 2^17; the power of the inverse document frequency by which they
+#: choose terms; and the bits of a key that are left, at least, for a hash of the row's number.
+SKETCH, POWER, TIE_BITS = 3, 2.0, 12
 K1, B = 1.2, 0.75
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -61,8 +65,9 @@ class Statistics:
         exponential races, so that a term wins with a chance in proportion to its weight. Terms of one document, and those
         that tell nothing, come last and count as one."""
         weight = np.where(self.df > 1, self.idf() ** POWER, 0.0)
-        terms, out = np.arange(len(self.df), dtype=np.uint64), np.empty((SKETCH, len(self.df)), dtype=np.int32)
-        for j in range(SKETCH):
+        hashes = max(1, min(SKETCH, (63 - TIE_BITS) // len(self.df).bit_length()))
+        terms, out = np.arange(len(self.df), dtype=np.uint64), np.empty((hashes, len(self.df)), dtype=np.int32)
+        for j in range(hashes):
             uniform = ((mix(terms + np.uint64(1), 31 + j) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
             race = np.where(weight > 0, -np.log(uniform) / np.where(weight > 0, weight, 1.0), np.inf)
             out[j, np.lexsort((terms, race))] = np.arange(len(terms))
@@ -176,11 +181,11 @@ def tokens(docs: DataFrame, path: str, staged: Staged) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
-        give_back()
+        give_back(forget_strings)
         enc, row = encoder(path), TaskContext.get().partitionId() << 40
         end, size = END_ID.to_bytes(4, "little"), len(enc.tokens)
         kind = "<u2" if size <= 1 << 16 else "<u4"
-        df, last = np.zeros(size, dtype=np.int64), np.full(size, -1, dtype=np.int64)
+        df, last, places = np.zeros(size, dtype=np.int64), np.full(size, -1, dtype=np.int32), np.arange(1 << 16, dtype=np.int32)
 
         def batch(rows, ids, sizes, coded, counts=None):
             values = [rows, ids, sizes, coded, counts or [None] * len(rows)]
@@ -191,8 +196,8 @@ def tokens(docs: DataFrame, path: str, staged: Staged) -> DataFrame:
             gc.disable()  # encoding makes very many small objects and no cycles
             try:
                 for text in b.column(1).to_pylist():
-                    own = np.frombuffer(enc.encode(text) + end, "<u4")
-                    at = np.arange(len(own))
+                    own = np.frombuffer(enc.encode(text) + end, "<u4").astype(np.intp)
+                    at = places[: len(own)] if len(own) <= len(places) else np.arange(len(own), dtype=np.int32)
                     last[own] = at  # of repeated ids one place is left
                     df[own[last[own] == at]] += 1
                     sizes.append(len(own))
@@ -203,9 +208,9 @@ def tokens(docs: DataFrame, path: str, staged: Staged) -> DataFrame:
             row += len(sizes)
         yield batch([None], [None], [None], [None], [df.tobytes()])
         del df, last
-        give_back()
+        give_back(forget_strings)
 
-    return staged.keep(spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(run, _TOKENS))
+    return staged.keep(spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(run, _TOKENS), "lz4", dictionary=False)
 
 
 def corpus_statistics(found: DataFrame) -> Statistics:
@@ -242,19 +247,36 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, shard_tokens: int = S
     spark = docs.sparkSession
     found = tokens(docs, path, Staged(spark))
     corpus = corpus_statistics(found)
-    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(corpus.n * corpus.mean * 2 / RANGE_BYTES))
+    kind, bits = "<u2" if len(corpus.df) <= 1 << 16 else "<u4", len(corpus.df).bit_length()
+    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_RANGES, math.ceil(corpus.n * corpus.mean * np.dtype(kind).itemsize / RANGE_BYTES)))
     shared = spark.sparkContext.broadcast((corpus, corpus.ranks()))  # as large as the vocabulary
-    kind = "<u2" if len(corpus.df) <= 1 << 16 else "<u4"
-    keys = [f"k{j}" for j in range(SKETCH)]
+    rows = found.where(F.col("n").isNotNull()).select("row", "doc_id", "n", "ids")
+
+    def keyed(b) -> np.ndarray:
+        """A key for each row of a batch: its sketch, first value first, and a hash of its number."""
+        sizes, ids = b.column("n").to_numpy(), np.frombuffer(b"".join(b.column("ids").to_pylist()), kind)
+        starts, key = np.cumsum(sizes) - sizes, np.zeros(len(sizes), dtype=np.uint64)
+        for ranks in shared.value[1]:
+            key = key << np.uint64(bits) | np.minimum.reduceat(ranks[ids], starts).astype(np.uint64)
+        left = 63 - bits * len(shared.value[1])
+        return (key << np.uint64(left) | mix(b.column("row").to_numpy().astype(np.uint64), 41) >> np.uint64(64 - left)).astype(np.int64)
+
+    def weigh(batches):
+        for b in batches:
+            if len(b):
+                yield pa.RecordBatch.from_arrays([pa.array(keyed(b)), b.column("n")], ["key", "n"])
+
+    sample = rows.where(F.col("row") % max(1, corpus.n // (SAMPLED * ranges)) == 0).mapInArrow(weigh, "key long, n long").toPandas().sort_values("key")
+    share = sample["n"].cumsum().to_numpy() / max(1, sample["n"].sum())
+    splitters = sample["key"].to_numpy()[np.searchsorted(share, np.arange(1, ranges) / ranges)] if len(sample) else np.zeros(0, np.int64)
+    bounds = spark.sparkContext.broadcast(splitters)  # 8 bytes a range
 
     def sketch(batches):
-        ranks = shared.value[1]
         for b in batches:
-            sizes = b.column("n").to_numpy()
-            ids = np.frombuffer(b"".join(b.column("ids").to_pylist()), kind)
-            starts = np.cumsum(sizes) - sizes
-            made = [pa.array(np.minimum.reduceat(r[ids], starts) if len(ids) else [], pa.int32()) for r in ranks]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("row", "doc_id", "ids")), *made], ["row", "doc_id", "ids", *keys])
+            if len(b):
+                key = keyed(b)
+                place = np.searchsorted(bounds.value, key, side="right").astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("row", "doc_id", "n", "ids")), pa.array(key), pa.array(place)], ["row", "doc_id", "n", "ids", "key", "place"])
 
     schema = StructType.fromDDL(PIECES)
     arrow_schema = to_arrow_schema(schema)
@@ -283,9 +305,5 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, shard_tokens: int = S
         del held
         give_back()
 
-    routed = found.where(F.col("n").isNotNull()).select("row", "doc_id", "n", "ids").mapInArrow(sketch, "row long, doc_id long, ids binary, " + ", ".join(f"{k} int" for k in keys))
-    tie = F.xxhash64("row").alias("tie")
-    order = [*keys, "tie", "row"]
-    ranged = routed.select("*", tie).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    width = np.dtype(kind).itemsize
-    return ranged.select("doc_id", "ids", (F.octet_length("ids") / width).cast("long").alias("n")).mapInArrow(run, schema)
+    routed = rows.mapInArrow(sketch, "row long, doc_id long, n long, ids binary, key long, place int")
+    return routed.repartitionById(ranges, "place").sortWithinPartitions("key", "row").select("doc_id", "ids", "n").mapInArrow(run, schema)
