@@ -1,11 +1,13 @@
 """A training-corpus pipeline: quality filter, exact dedup, near dedup, packing. Each stage reads what the one before it
-wrote; all but the last return the columns of ``documents``."""
+wrote; all but the last return the columns of ``documents``, which may be any besides doc_id and text, under any names:
+rows go through a stage as one value, so that no column of its own can clash with theirs. Every stage takes null ids and
+texts, repeated rows and empty tables, as its docstring says."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pairscore.llm.common import Staged, ascii_lower, table
+from pairscore.llm.common import Staged, ascii_lower, dropping, table
 from pairscore.llm.exact_dedup import exact_dedup
 from pairscore.llm.near_dup import near_duplicates
 from pairscore.llm.packing import pack
@@ -14,18 +16,21 @@ from pairscore.llm.queries import KEEP_SCORE, tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labelled ones among them, does not reject."""
+    """Documents that the classifier, fitted on the labelled ones among them, does not reject. Null texts are judged as
+    empty ones; rows with null or repeated ids stay or go by their own texts."""
     forest = fit_quality(docs, table(spark, sf_dir, "labels"))
-    return score_quality(docs, forest, docs.columns).where(F.col("score") >= KEEP_SCORE).select(*docs.columns)
+    rows = docs.select("text", F.struct(*docs.columns).alias("row"))
+    return score_quality(rows, forest, ["row"]).where(F.col("score") >= KEEP_SCORE).select("row.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of equal texts the row with the largest doc_id; of rows that repeat both, one."""
-    kept = exact_dedup(docs, keep="max").where("kept").select(F.col("doc_id").alias("kept_id"), "text_sha256").distinct()
-    told = docs.withColumn("_sha", F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256))
-    own = told.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("_sha") == F.col("text_sha256")), "left_semi")
-    once = F.row_number().over(Window.partitionBy("doc_id", "_sha").orderBy(F.lit(0)))
-    return own.withColumn("_n", once).where("_n = 1").select(*docs.columns)
+    """Of each group of equal texts the row with the largest doc_id, a null one only if it is alone; null texts are equal
+    to empty ones. Of rows that repeat id and text one stays, the least by its columns' hash."""
+    kept = exact_dedup(docs, keep="max").where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")).distinct()
+    told = docs.select("doc_id", F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256).alias("sha"), F.struct(*docs.columns).alias("row"))
+    own = told.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("sha") == F.col("kept_sha")), "left_semi")
+    once = F.row_number().over(Window.partitionBy("doc_id", "sha").orderBy(F.xxhash64("row")))
+    return own.withColumn("n", once).where("n = 1").select("row.*")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,13 +45,13 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ids = docs.select("doc_id", key.alias("_key")).distinct()
     order = Window.partitionBy("component_id").orderBy(F.col("doc_id").asc_nulls_last(), "_key")
     first = members.join(ids, "_key").withColumn("_first", F.row_number().over(order) == 1).select("_key", "_first")
-    marked = docs.withColumn("_key", key).join(staged.keep(first), "_key", "left")
-    once = marked.where("_first").dropDuplicates(["_key"])
-    return marked.where(F.col("_first").isNull()).unionByName(once).select(*docs.columns)
+    marked = docs.select(key.alias("_key"), F.struct(*docs.columns).alias("row")).join(staged.keep(first), "_key", "left")
+    once = marked.where("_first").groupBy("_key").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return marked.where(F.col("_first").isNull()).select("row").unionByName(once.select("row")).select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of what is left, packed into sequences."""
+    """The pieces of what is left, packed into sequences; null texts are empty, repeated rows are documents each."""
     return pack(docs, tokenizer_path())
 
 
@@ -58,7 +63,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged, docs = Staged(spark), table(spark, sf_dir, "documents")
+    """The rows of the last stage. Tables that a stage has made for itself are deleted once its result is written, and a
+    stage's result once the next one's is."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = staged.keep(stage(spark, docs, sf_dir))
+        own = Staged(spark)
+        with dropping():
+            docs = own.keep(stage(spark, docs, sf_dir))
+        if before:
+            before.drop()
+        before = own
     return docs

@@ -2,8 +2,8 @@
 
 Every turn is rendered once, ``<s>[role]\\n`` + escaped text + ``</s>\\n``, and the turns of a conversation are joined
 in order. Every assistant turn then becomes an example of its own: the prefix of the rendered conversation up to the
-end of that reply, of which only the reply is trainable. Examples are spans of the rendered text, so what is stored
-grows with the conversation and not with its square; ``examples`` gives their texts.
+end of that reply, of which only the reply is trainable. What is stored of a conversation is the rendered text and the examples' spans, so it
+grows with the conversation and not with its square; ``examples`` builds the examples from them, row by row.
 
 Escaping is reversible: ``~ < [`` in a text become ``~0 ~1 ~2`` (in a role ``]`` and line ends too), so no control
 string, of this template or of another with marks in such brackets, can stand in a text.
@@ -11,7 +11,7 @@ string, of this template or of another with marks in such brackets, can stand in
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _TEXT = (("~", "~0"), ("<", "~1"), ("[", "~2"))
 _ROLE = _TEXT + (("]", "~3"), ("\n", "~4"))
@@ -39,50 +39,33 @@ def format_conversations(rows: DataFrame, target_role: str = "assistant") -> Dat
     each stays. Null role and text count as empty; rows with a null conv_id form one conversation. Other columns are
     ignored; an empty table gives an empty result. A conversation is rendered as one value, hence one row must hold it.
     """
-    made = rows.select(
-        "conv_id",
-        F.struct(
-            F.col("turn"),
-            F.coalesce("role", F.lit("")).alias("role"),
-            F.coalesce("text", F.lit("")).alias("text"),
-        ).alias("t"),
-    )
-    turns = made.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    head = lambda t: F.concat(F.lit("<s>["), escape(t["role"], True), F.lit("]\n"))
-    parts = turns.select("conv_id", F.transform("turns", lambda t, i: F.struct(i.alias("turn_no"), (t["role"] == target_role).alias("is_target"), head(t).alias("head"), escape(t["text"]).alias("body"))).alias("parts"))
-    # exploded and summed by a window rather than folded in one expression: a fold would copy its list at each turn
-    flat = parts.select("conv_id", "parts", F.transform("parts", lambda p: F.length(p["head"]) + F.length(p["body"]) + len(_END)).alias("sizes"))
-    return flat.select(
-        "conv_id",
-        F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"], F.lit(_END))), "").alias("formatted"),
-        F.filter(
-            F.zip_with("parts", _running("sizes"), lambda p, end: F.struct(
-                p["is_target"].alias("is_target"), p["turn_no"].cast("int").alias("turn_no"),
-                (end - F.length(p["body"]) - len(_END)).alias("start"), F.length(p["body"]).cast("long").alias("length"), end.alias("end"))),
-            lambda x: x["is_target"],
-        ).alias("targets"),
-    )
-
-
-def _running(sizes: str) -> Column:
-    """Running sums of an array of lengths."""
-    folded = F.aggregate(
-        F.col(sizes),
-        F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<bigint>").alias("ends")),
-        lambda acc, x: F.struct((acc["sum"] + x).alias("sum"), F.concat(acc["ends"], F.array(acc["sum"] + x)).alias("ends")),
-    )
-    return folded["ends"]
+    made = rows.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    head = F.concat(F.lit("<s>["), escape(F.col("role"), True), F.lit("]\n"))
+    parts = made.select("*", (F.col("role") == target_role).alias("is_target"), escape(F.col("text")).alias("body"), head.alias("head"))
+    # a turn's end is a running sum, by a window over the turns: linear in the conversation, and sorted on disk if need be
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    size = F.length("head") + F.length("body") + len(_END)
+    placed = parts.withColumn("turn_no", F.row_number().over(order) - 1).withColumn("end", F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    target = F.struct("is_target", "turn_no", (F.col("end") - F.length("body") - len(_END)).alias("start"), F.length("body").cast("long").alias("length"), "end")
+    turn = F.struct("turn_no", F.concat("head", "body", F.lit(_END)).alias("part"), target.alias("target"))
+    whole = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    return whole.select("conv_id", F.array_join("turns.part", "").alias("formatted"), F.filter("turns.target", lambda x: x["is_target"]).alias("targets"))
 
 
 def examples(formatted: DataFrame, with_text: bool = True) -> DataFrame:
-    """The expansion: one row per target turn, ``conv_id, example_no, turn_no, start, length, end, reply`` and, with
-    ``with_text``, the example's whole ``text``. ``reply`` is the escaped text under the loss mask, cut out of the
-    formatted text. Without ``with_text`` the size of the result is linear in the conversation."""
+    """The expansion: one row per target turn, ``conv_id, example_no, turn_no, start, length, end`` and the example's whole
+    ``text``: all turns before it as context, and the reply, of which only the ``length`` characters from ``start`` are
+    trainable. Without ``with_text`` the spans only, whose size is linear in the conversation."""
     one = formatted.select("conv_id", "formatted", F.posexplode("targets").alias("example_no", "t"))
-    cols = ["conv_id", "example_no", "t.turn_no", "t.start", "t.length", "t.end", F.substring("formatted", (F.col("t.start") + 1).cast("int"), F.col("t.length").cast("int")).alias("reply")]
+    cols = ["conv_id", "example_no", "t.turn_no", "t.start", "t.length", "t.end"]
     return one.select(*cols, *([F.substring("formatted", F.lit(1), F.col("t.end").cast("int")).alias("text")] if with_text else []))
 
 
+def reply(text: Column, start: Column, length: Column) -> Column:
+    """What the loss mask of an example covers, unescaped."""
+    return unescape(F.substring(text, (start + 1).cast("int"), length.cast("int")))
+
+
 def read_turns(formatted: Column) -> Column:
     """The turns back from a formatted conversation: array of (role, text), unescaped."""
     marks = F.filter(F.split(formatted, r"<s>\["), lambda x: x != "")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -51,6 +52,22 @@ def give_back(keep: Callable[[], None] | None = None) -> None:
         pass
 
 
+_OPEN: list[list[Staged]] = []
+
+
+@contextmanager
+def dropping() -> Iterator[None]:
+    """Delete, at the end, the tables of all that was staged inside; what is still to be read must be written by then."""
+    made: list[Staged] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN.remove(made)
+        for staged in made:
+            staged.drop()
+
+
 class Staged:
     """Intermediate tables as Parquet in the shared folder. They cut the lineage, so that a lost executor costs
     no more than the tasks after the last table, and each is read more than once without being made again."""
@@ -59,6 +76,8 @@ class Staged:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/pairscore-{uuid.uuid4().hex}"
         self.n = 0
+        for made in _OPEN:
+            made.append(self)
 
     def keep(self, df: DataFrame, codec: str = "zstd", dictionary: bool = True) -> DataFrame:
         """``dictionary`` False spares the attempt to encode columns of values that do not repeat."""

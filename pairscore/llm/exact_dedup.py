@@ -2,9 +2,12 @@
 
 Sampled splitters range-partition the normalised texts, an external sort puts equal texts next to each other, and a
 pass over neighbours compares the whole texts and settles each run. The ranges go by the first HEAD characters, then a
-hash, so that the samples on the driver stay small however long the texts are; the sort goes on to the whole text. A text that makes up a large share of the rows
-would fill one range, so the few such texts (at most ``1 / HOT_SHARE``, whatever the size of the input) get a salt:
-their runs are settled salt by salt and then merged, again by whole-text comparison.
+hash, so that the samples on the driver stay small however long the texts are; the sort goes on to the whole text.
+
+A text that many rows have would fill one range. Those of more than HOT_ROWS rows, or of a share of HOT_SHARE in a small
+table, get as many salts as they have times so many rows, dealt by the number of the row; their runs are settled salt by
+salt, and the group's size and smallest or largest id come from a plain aggregate by the whole text, which is combined
+before it is shuffled. There are at most max(1 / HOT_SHARE, rows / HOT_ROWS) such texts.
 """
 
 from __future__ import annotations
@@ -13,9 +16,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import ascii_lower
 
-#: A text with at least this share of the rows is salted; so at most 1 / HOT_SHARE texts are.
-HOT_SHARE = 0.002
-SALTS = 64
+#: A text is salted from so many rows on, or from so large a share of a table's rows, if that is less.
+HOT_ROWS, HOT_SHARE = 100_000, 0.002
+#: Rows of a small table: it is one range or a few, where nothing is gained by salts.
+SMALL = 32_000
 HEAD = 32
 
 
@@ -31,21 +35,26 @@ def exact_dedup(docs: DataFrame, keep: str = "min", partitions: int | None = Non
     spark = docs.sparkSession
     best = F.max if keep == "max" else F.min
     rows = docs.select(F.col("doc_id"), ascii_lower(F.coalesce(F.col("text"), F.lit(""))).alias("norm"))
-    prints = rows.select(F.xxhash64("norm").alias("print"))
-    counted = prints.groupBy("print").agg(F.count("*").alias("n"))
+    keyed = rows.select("doc_id", "norm", F.substring("norm", 1, HEAD).alias("head"), F.xxhash64("norm").alias("print"))
     n_rows = docs.count()
-    hot = [r["print"] for r in counted.where(F.col("n") >= max(2.0, n_rows * HOT_SHARE)).select("print").limit(int(1 / HOT_SHARE) + 1).collect()] if n_rows >= SALTS / HOT_SHARE else []
-    salt = F.when(F.xxhash64("norm").isin(hot), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)) if hot else F.lit(0)
+    bound = max(2, min(HOT_ROWS, int(n_rows * HOT_SHARE)))
+    found = []
+    if n_rows >= SMALL:
+        counted = rows.select(F.xxhash64("norm").alias("print")).groupBy("print").agg(F.count("*").alias("n")).where(F.col("n") >= bound)
+        found = counted.select("print", F.ceil(F.col("n") / bound).cast("int").alias("salts")).collect()  # 12 bytes a text, see above
+    hot = spark.createDataFrame(found, "print long, salts int")
+    # the number of a row within its split: rows that are equal in everything are told apart too
+    salted = keyed.join(F.broadcast(hot), "print", "left").withColumn("salt", F.coalesce(F.monotonically_increasing_id() % F.col("salts"), F.lit(0)))
     n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keyed = rows.select("doc_id", "norm", F.substring("norm", 1, HEAD).alias("head"), F.xxhash64("norm").alias("print"), salt.alias("salt"))
-    ranged = keyed.repartitionByRange(n, "head", "print", "salt").sortWithinPartitions("head", "print", "salt", "norm")
+    ranged = salted.repartitionByRange(n, "head", "print", "salt").sortWithinPartitions("head", "print", "salt", "norm")
     run = Window.partitionBy("head", "print", "salt", "norm")  # the ranges and the sort above serve it: no further exchange
-    settled = ranged.select("doc_id", F.sha2(F.col("norm"), 256).alias("text_sha256"), "salt", best("doc_id").over(run).alias("run_id"), F.count("*").over(run).alias("run_n"))
-    if hot:
-        heads = ranged.where(F.col("print").isin(hot)).groupBy("head", "print", "salt", "norm").agg(best("doc_id").alias("id"), F.count("*").alias("n"))
-        merged = heads.groupBy("norm").agg(best("id").alias("all_id"), F.sum("n").alias("all_n")).select(F.sha2("norm", 256).alias("text_sha256"), "all_id", "all_n")
-        settled = settled.join(F.broadcast(merged), "text_sha256", "left")  # at most 1 / HOT_SHARE rows
-        keep_id, size = F.when(F.col("all_n").isNull(), F.col("run_id")).otherwise(F.col("all_id")), F.coalesce("all_n", "run_n")
-    else:
-        keep_id, size = F.col("run_id"), F.col("run_n")
+    settled = ranged.select("doc_id", F.sha2(F.col("norm"), 256).alias("text_sha256"), best("doc_id").over(run).alias("run_id"), F.count("*").over(run).alias("run_n"))
+    merged = (
+        keyed.join(F.broadcast(hot), "print", "left_semi").groupBy("norm").agg(best("doc_id").alias("all_id"), F.count("*").alias("all_n"))
+        .select(F.sha2("norm", 256).alias("all_sha"), "all_id", "all_n")
+    )
+    keep_id, size = F.col("run_id"), F.col("run_n")
+    if found:
+        settled = settled.join(F.broadcast(merged), F.col("text_sha256") == F.col("all_sha"), "left")  # a row a hot text
+        keep_id, size = F.when(F.col("all_n").isNull(), keep_id).otherwise(F.col("all_id")), F.coalesce("all_n", "run_n")
     return settled.select("doc_id", keep_id.alias("keep_id"), size.cast("long").alias("group_size"), "text_sha256").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")

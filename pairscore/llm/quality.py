@@ -142,10 +142,11 @@ def fold(doc_id: Column) -> Column:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Forest:
-    """Fit on labelled documents outside fold 0. A document labelled more than once counts with its largest label; null
-    labels and ids are left out. With no labels, or of one class only, every score is that class's smoothed share."""
+    """Fit on labelled documents outside fold 0, at most ``sample_rows`` of them. A document labelled more than once counts
+    with its largest label; null labels and ids are left out, and so are labels without a document. With no labels, or of one class only, every score is that class's smoothed share."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & (fold(F.col("doc_id")) != 0))
-    chosen = known.groupBy("doc_id").agg(F.max("quality").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    there = known.join(docs.select("doc_id"), "doc_id", "left_semi")  # before the sample: labels without a document are no part of it
+    chosen = there.groupBy("doc_id").agg(F.max("quality").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most sample_rows rows of two numbers
 
     got = map_text(texts, "text", ["doc_id", "label"], "x array<double>", lambda: lambda t: [_matrix(t).tolist()]).toPandas()
@@ -154,7 +155,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
 
 
 def score_quality(docs: DataFrame, forest: Forest, columns: list[str] | None = None) -> DataFrame:
-    """``columns`` of each row (doc_id, if not given) and its ``score`` between 0 and 1. Null texts are scored as empty
+    """``columns`` of each row (doc_id, if not given; none may be named score) and its ``score`` between 0 and 1. Null texts are scored as empty
     ones; repeated rows score alike; an empty table gives an empty result."""
     columns = columns or ["doc_id"]
     return map_text(docs, "text", columns, "score double", lambda: lambda t: [forest.score(_matrix(t))])

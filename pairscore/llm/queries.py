@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .ann import nearest
 from .bpe import encode_digests
-from .chat_format import examples, format_conversations, read_turns, unescape
+from .chat_format import examples, format_conversations, read_turns, reply
 from .common import table
 from .exact_dedup import exact_dedup
 from .html_extract import extract_pages
@@ -77,7 +77,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = formatted.select("conv_id", F.length("formatted").cast("long").alias("formatted_chars"), read_turns(F.col("formatted")).alias("turns"))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     turns = turns.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"), "formatted_chars")
-    each = examples(formatted, with_text=False).select("conv_id", F.struct("example_no", unescape(F.col("reply")).alias("reply")).alias("e"))
+    each = examples(formatted).select("conv_id", F.struct("example_no", reply(F.col("text"), F.col("start"), F.col("length")).alias("reply")).alias("e"))
     loss = each.groupBy("conv_id").agg(F.array_join(F.sort_array(F.collect_list("e"))["reply"], "").alias("loss"))
     joined = turns.join(loss.withColumnRenamed("conv_id", "loss_conv"), F.col("conv_id").eqNullSafe(F.col("loss_conv")), "left")
     text = F.coalesce("loss", F.lit(""))

@@ -2,7 +2,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from pairscore.llm.chat_format import examples, format_conversations, read_turns
+from pairscore.llm.chat_format import examples, format_conversations, read_turns, reply
 from pairscore.llm.queries import op10_chat_format
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -22,12 +22,14 @@ def test_every_reply_is_an_example_with_its_prefix(spark):
     rows = [(1, 0, "system", "s"), (1, 1, "user", "q1 <"), (1, 2, "assistant", "a1 ["), (1, 3, "user", "q2"), (1, 4, "assistant", "a2 ~"), (1, 5, "user", "q3")]
     made = format_conversations(spark.createDataFrame(rows, SCHEMA))
     got = examples(made).orderBy("example_no").collect()
-    assert [r.reply for r in got] == ["a1 ~2", "a2 ~0"]
+    assert [r.text[r.start : r.start + r.length] for r in got] == ["a1 ~2", "a2 ~0"]
+    back = examples(made).select("example_no", reply(F.col("text"), F.col("start"), F.col("length")).alias("reply"))
+    assert [r.reply for r in back.orderBy("example_no").collect()] == ["a1 [", "a2 ~"]
     assert [r.text for r in got] == [
         "<s>[system]\ns</s>\n<s>[user]\nq1 ~1</s>\n<s>[assistant]\na1 ~2</s>\n",
         "<s>[system]\ns</s>\n<s>[user]\nq1 ~1</s>\n<s>[assistant]\na1 ~2</s>\n<s>[user]\nq2</s>\n<s>[assistant]\na2 ~0</s>\n",
     ]
-    assert all(r.text[r.start : r.start + r.length] == r.reply and len(r.text) == r.end for r in got)
+    assert all(len(r.text) == r.end for r in got)
 
 
 def test_query(spark, tmp_path):

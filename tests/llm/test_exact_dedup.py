@@ -28,10 +28,12 @@ def test_matches_brute_force(spark):
 
 
 def test_hot_texts_are_salted_without_a_difference(spark, monkeypatch):
-    monkeypatch.setattr(module, "SALTS", 4)
+    monkeypatch.setattr(module, "SMALL", 10)
+    monkeypatch.setattr(module, "HOT_ROWS", 20)
     monkeypatch.setattr(module, "HOT_SHARE", 0.1)
-    rows = [(i, "Hot" if i % 3 else f"text {i}") for i in range(300)]
-    assert counted(exact_dedup(documents(spark, rows), "max").collect()) == counted(brute(rows, max))
+    rows = [(i, "Hot" if i % 3 else f"text {i}") for i in range(300)] + [(500, "hot")] * 90 + [(None, "HOT")] * 40 + [(None, "all null ids")] * 50
+    for keep, best in (("max", max), ("min", min)):
+        assert counted(exact_dedup(documents(spark, rows), keep).collect()) == counted(brute(rows, best))
 
 
 def test_empty_table_and_clashing_columns(spark):

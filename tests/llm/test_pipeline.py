@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 
 import corpus_pipeline
+from pairscore.llm import common
 from pairscore.llm.bpe import encoder
 from pairscore.llm.common import table
 from pairscore.llm.queries import KEEP_SCORE, tokenizer_path
@@ -56,3 +57,23 @@ def test_near_copies_with_repeated_or_null_ids(spark):
     ]
     got = sorted(((r.doc_id, (r.text or "")[:1]) for r in corpus_pipeline.near(spark, documents(spark, rows), SF).collect()), key=str)
     assert got == sorted([(1, "a"), (2, "b"), (3, "c"), (None, "d"), (5, "e"), (6, "f"), (7, ""), (8, "")], key=str)
+
+
+def test_clashing_columns(spark):
+    """Columns of the table with the names that stages use themselves."""
+    rows = [(1, "words of a text that is one " * 20), (2, "Words of a text that is one " * 20), (3, None), (None, ""), (4, "other " * 40)]
+    extra = "score row kept kept_id kept_sha text_sha256 sha n _sha _n _key _first keep_id group_size component_id n_shingles key place range ids df label x".split()
+    docs = documents(spark, rows + rows[-1:]).selectExpr("*", *(f"{i} as {c}" for i, c in enumerate(extra)))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.schema == docs.schema.__class__(out.schema.fields), name
+        assert all(getattr(r, c) == i for r in out.collect() for i, c in enumerate(extra)), name
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs.where("doc_id is null or doc_id > 2"), SF).collect()
+    assert sorted(((r.doc_id, r.doc_tokens) for r in pieces if r.start == 0), key=str)[-1] == (None, 1) and len({r.doc_id for r in pieces}) == 3
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), SF).count() == 0
+
+
+def test_a_run_leaves_only_its_last_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path))
+    assert corpus_pipeline.run(spark, SF).count() > 0
+    assert len(list(tmp_path.iterdir())) == 1
