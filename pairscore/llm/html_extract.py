@@ -1,15 +1,22 @@
 """Main text of web pages by text-to-tag ratio.
 
-The standard library's parser streams events into lines, one per block of text. Each line has a ratio of text
-characters to tags; the ratios are smoothed by a Gaussian, and lines whose smoothed ratio passes the threshold (the
-standard deviation, as in content extraction via tag ratios) form the content clusters. The region that holds them, the
-smallest element with most of their text, widened to an enclosing article, is the main text. Elements that are never
-part of it (menus, forms, scripts, adverts, comments ...) count as lines but are not taken.
+The standard library's parser streams events into lines, one per block of text. Each line has a ratio of its text, without
+link text, to its tags; the ratios are smoothed by a Gaussian, and lines whose smoothed ratio passes the threshold (the
+standard deviation, as in content extraction via tag ratios) form the content clusters. The region that holds them is the
+smallest element with most of their text, widened to an enclosing article or main part.
+
+What is taken of the region: of an article or main part, which a page marks as such, every line; of any other element,
+lines within the clusters' reach, where a line of links counts by its smoothed ratio too, and those beside them in the same
+element. Names are a second signal: elements that by name, role or class are never part of a text (menus, forms, scripts,
+adverts, comments ...) count as lines but are not taken. Within an article a class only tells if all its words do, and
+quotations are never left out for their class.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -36,62 +43,110 @@ NOISE_WORDS = frozenset(
     "form paywall outbrain taboola teaser trending".split()
 )
 HARD_WORDS = frozenset(
-    "comment comments reply replies respond disqus discussion ad ads advert adverts advertisement cookie cookies nav navbar navigation menu footer breadcrumb breadcrumbs "
-    "newsletter popup modal".split()
+    "comment comments replies respond disqus ad ads advert adverts advertisement cookie cookies nav navbar navigation menu footer breadcrumb breadcrumbs newsletter popup modal".split()
 )
+ADVERT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored".split())
+#: Words that say nothing in a class, beside others.
+NEUTRAL_WORDS = frozenset("box block list lists wrapper wrap container area section bar inner outer item items links link post posts group holder panel module top bottom left right thread form".split())
+#: Elements that quote, and parts of a text's own: a discussion or a reply there is the author's.
+QUOTES = frozenset("blockquote pre figure table p li".split())
+OWN_WORDS = frozenset("discussion reply".split())
 LAYOUT_WORDS = frozenset("has with without no".split())  # as in has-sidebar: said of the part beside it
 CONTENT_WORDS = frozenset("content main article entry story text body".split())
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+@dataclass(frozen=True, slots=True)
+class _Open:
+    """An open element, and what holds inside it: of itself or of any element around it."""
+
+    tag: str
+    noise: bool = False
+    silent: bool = False
+    header: bool = False
+    heading: bool = False
+    link: bool = False
+    article: bool = False
+    holder: int = 0
+    state: str = ""
+
+
+@dataclass(slots=True)
+class _Line:
+    text: str
+    tags: int
+    links: int  # characters of link text
+    holder: int  # the number of the innermost element that holds blocks
+    noise: bool
+    heading: bool
+
+
 class _Lines(HTMLParser):
-    """Collects lines: (text, tags, link characters, path of open elements, noise?, heading?)."""
+    """Collects lines and the tree of elements that hold blocks. Elements are numbered in the order they open, so those
+    within one are the numbers from its own to its last. All work is linear in the page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, tuple[int, ...], bool, bool]] = []
-        self.stack: list[tuple[str, int, str]] = []  # tag, element number, "" or "noise" or "silent" or "header"
-        self.kinds: list[str] = []
+        self.lines: list[_Line] = []
+        self.stack: list[_Open] = []
+        self.open: Counter[str] = Counter()  # how many of each tag are open
+        self.left: list[int] = []  # where in the stack menus, headers and footers are
         self.parts: list[str] = []
-        self.tags = self.links = self.number = 0
-        self.named: dict[int, str] = {}  # the page's and articles' own elements, by number
+        self.tags = self.links = 0
+        self.parents, self.ends, self.names = [0], [0], [""]  # of each holder, by number; 0 is the page
+
+    @property
+    def now(self) -> _Open:
+        return self.stack[-1] if self.stack else _PAGE
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         self.parts = []
         if text:
-            states = [s for _, _, s in self.stack]
-            heading = any(t in HEADINGS for t, _, _ in self.stack)
-            noise = "noise" in states or ("header" in states and not (heading and self._inside_article()))
-            self.lines.append((text, self.tags, self.links, tuple(n for t, n, _ in self.stack if t in HOLDERS), noise, heading))
+            now = self.now
+            noise = now.noise or (now.header and not (now.heading and now.article))
+            self.lines.append(_Line(text, self.tags, self.links, now.holder, noise, now.heading))
             self.tags = self.links = 0
 
-    def _inside_article(self) -> bool:
-        for tag, _, state in reversed(self.stack):
-            if state == "header":
-                continue
-            if tag in ("article", "main"):
-                return True
-        return False
+    def _push(self, tag: str, state: str) -> None:
+        now, holder = self.now, self.now.holder
+        if tag in HOLDERS:
+            holder = len(self.parents)
+            self.parents.append(now.holder)
+            self.ends.append(holder)
+            self.names.append(tag)
+        self.open[tag] += 1
+        if state and tag in _LEFT_OPEN:
+            self.left.append(len(self.stack))
+        self.stack.append(_Open(
+            tag, now.noise or state == "noise", now.silent or state == "silent", now.header or state == "header", now.heading or tag in HEADINGS,
+            now.link or tag == "a", now.article or (tag in ("article", "main") and state != "header"), holder, state))
 
     def _pop_to(self, depth: int) -> None:
+        for element in self.stack[depth:]:
+            self.open[element.tag] -= 1
+            if element.tag in HOLDERS:
+                self.ends[element.holder] = len(self.parents) - 1
         del self.stack[depth:]
+        while self.left and self.left[-1] >= depth:
+            self.left.pop()
 
     def _close_implied(self, tag: str) -> None:
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and self.open["p"]:
             for i in range(len(self.stack) - 1, -1, -1):
-                if self.stack[i][0] == "p":
+                if self.stack[i].tag == "p":
                     return self._pop_to(i)
-                if self.stack[i][0] in BLOCK:
+                if self.stack[i].tag in BLOCK:
                     break
         if tag in CLOSED_BY_SAME:
             same = ("dt", "dd") if tag in ("dt", "dd") else ("td", "th") if tag in ("td", "th") else (tag,)
-            for i in range(len(self.stack) - 1, -1, -1):
-                if self.stack[i][0] in same:
-                    return self._pop_to(i)
-                if self.stack[i][0] in CLOSED_BY_SAME[tag]:
-                    break
+            if any(self.open[t] for t in same):
+                for i in range(len(self.stack) - 1, -1, -1):
+                    if self.stack[i].tag in same:
+                        return self._pop_to(i)
+                    if self.stack[i].tag in CLOSED_BY_SAME[tag]:
+                        break
 
     def _state(self, tag: str, attrs: dict[str, str | None]) -> str:
         if tag in SILENT:
@@ -102,32 +157,38 @@ class _Lines(HTMLParser):
             return ""
         if tag in NOISE or (attrs.get("role") or "").lower() in NOISE_ROLES:
             return "noise"
-        words = {w.lower() for w in _WORD.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}")}
-        told = bool(words & CONTENT_WORDS)
-        if not words & LAYOUT_WORDS and (words & HARD_WORDS and not (tag == "article" and told) or (words & NOISE_WORDS - {"header"} and not told and tag != "article")):
+        if self._named_noise(tag, attrs):
             return "noise"
+        words = _words(attrs.get("class")) | _words(attrs.get("id"))
         if tag == "header":
             return "header"
         return "header" if "header" in words and not words & (CONTENT_WORDS - {"main", "body"}) and tag not in HEADINGS and tag != "article" else ""
 
+    def _named_noise(self, tag: str, attrs: dict[str, str | None]) -> bool:
+        tokens = [_words(t) for a in ("class", "id") for t in (attrs.get(a) or "").split()]
+        words = frozenset().union(*tokens)
+        if not words or words & LAYOUT_WORDS:
+            return False
+        if self.now.article:  # the page says that this is its text
+            if tag in QUOTES:
+                return any(t & ADVERT_WORDS and t <= ADVERT_WORDS | NEUTRAL_WORDS for t in tokens)
+            telling = NOISE_WORDS - OWN_WORDS - {"header"}
+            return any(t & telling and t <= NOISE_WORDS | NEUTRAL_WORDS for t in tokens)
+        told = bool(words & CONTENT_WORDS)
+        return bool(words & HARD_WORDS and not (tag == "article" and told)) or bool(words & NOISE_WORDS - {"header"} and not told and tag != "article")
+
     def handle_starttag(self, tag, attrs):
         state = self._state(tag, dict(attrs)) if tag not in VOID else ""
         if tag in BLOCK:
             self.flush()
             self._close_implied(tag)
-            if tag in ("article", "main") and not state:  # a menu or header left open ends where the main part begins
-                for i, (t, _, s) in enumerate(self.stack):
-                    if s and t in ("nav", "header", "footer", "menu"):
-                        self._pop_to(i)
-                        break
+            if tag in ("article", "main") and not state and self.left:  # a menu or header left open ends where the main part begins
+                self._pop_to(self.left[0])
         elif tag == "br":
             self.parts.append(" ")
         self.tags += 1
-        self.number += 1
         if tag not in VOID:
-            self.stack.append((tag, self.number, state))
-            if tag in ("html", "body", "article", "main"):
-                self.named[self.number] = tag
+            self._push(tag, state)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)  # "/>" means nothing in HTML
@@ -136,21 +197,38 @@ class _Lines(HTMLParser):
         if tag in BLOCK:
             self.flush()
         self.tags += 1
+        if not self.open[tag]:
+            return
         for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
+            if self.stack[i].tag == tag:
                 return self._pop_to(i)
-            if tag not in BLOCK and self.stack[i][0] in BLOCK:
+            if tag not in BLOCK and self.stack[i].tag in BLOCK:
                 return  # an inline end tag does not reach out of its block
 
     def handle_data(self, data):
-        if not any(s == "silent" for _, _, s in self.stack):
+        now = self.now
+        if not now.silent:
             self.parts.append(data)
-            if any(t == "a" for t, _, _ in self.stack):
+            if now.link:
                 self.links += len(data.strip())
 
     def unknown_decl(self, data):
         pass
 
+    def close(self):
+        super().close()
+        self.flush()
+        self._pop_to(0)
+        self.ends[0] = len(self.parents) - 1
+
+
+_PAGE = _Open("")
+_LEFT_OPEN = ("nav", "header", "footer", "menu")
+
+
+def _words(value: str | None) -> frozenset[str]:
+    return frozenset(w.lower() for w in _WORD.findall(value or ""))
+
 
 def _events(html: str) -> _Lines:
     parser = _Lines()
@@ -161,7 +239,6 @@ def _events(html: str) -> _Lines:
         parser = _Lines()
         parser.feed(re.sub(r"<!\[(?!CDATA\[)[^>]*>?", " ", html))
         parser.close()
-    parser.flush()
     return parser
 
 
@@ -172,43 +249,50 @@ def smooth(ratios: np.ndarray, radius: int = 2, sigma: float = 1.0) -> np.ndarra
     return same(ratios) / same(np.ones(len(ratios)))
 
 
-def main_text(html: str | None) -> str:
+def tag_ratios(lines: list[_Line]) -> np.ndarray:
+    """The smoothed text-to-tag ratio of each line."""
+    text, tags = (np.array(v, dtype=float) for v in ([max(0, len(x.text) - x.links) for x in lines], [max(1, x.tags) for x in lines]))
+    return smooth(text / tags)
+
+
+def main_text(html: str | None, ratios_of=tag_ratios) -> str:
     """The main text of a page: blocks in page order, one a line, white space inside a block as one space. Null, empty
-    and text-free pages give an empty text. Nothing is capped."""
-    parser = _events(html or "")
-    lines = parser.lines
-    own = [i for i, x in enumerate(lines) if not x[4]]
+    and text-free pages give an empty text. Nothing is capped. ``ratios_of`` gives the lines' smoothed ratios."""
+    page = _events(html or "")
+    lines = page.lines
+    own = [i for i, x in enumerate(lines) if not x.noise]
     if not own:
         return ""
-    size = np.array([len(x[0]) for x in lines], dtype=float)
-    ratios = smooth(size / np.maximum(1, [x[1] for x in lines]))
+    ratios = ratios_of(lines)
     threshold = min(ratios.std(), ratios[own].max())
-    chosen = [i for i in own if ratios[i] >= threshold and lines[i][2] <= 0.5 * size[i]] or own
-    region = _region(lines, chosen, size, parser.named)
-    linked = lambda i: lines[i][2] > 0.5 * size[i] and not lines[i][5]
-    if region:
-        inside = [i for i in own if region in lines[i][3] and not linked(i)]
-    else:
-        inside = [i for i in own if chosen[0] <= i <= chosen[-1] and not linked(i)]
-    first = inside[0] if inside else 0
-    title = [] if parser.named.get(region) else [i for i in own if first - 3 <= i < first and lines[i][5]]
-    return "\n".join(lines[i][0] for i in [*title, *inside])
-
-
-def _region(lines, chosen: list[int], size: np.ndarray, named: dict[int, str]) -> int:
-    """The innermost element with at least 0.7 of the chosen lines' text, or else the article around it, or else the
-    main part around it. 0 if only the page as a whole has as much."""
-    total, mass = size[chosen].sum(), {}
-    for i in chosen:
-        for element in lines[i][3]:
-            mass[element] = mass.get(element, 0.0) + size[i]
-    best = max((e for e, m in mass.items() if m >= 0.7 * total and named.get(e) not in ("html", "body")), default=0)
-    around = next((lines[i][3] for i in chosen if best in lines[i][3]), ())
-    up = around[: around.index(best) + 1] if best else ()
-    for tag in ("article", "main"):
-        if found := [e for e in up if named.get(e) == tag]:
-            return found[-1]
-    return best
+    content = [i for i in own if ratios[i] >= threshold]
+    region = _region(page, content)
+    within = [i for i in own if region <= lines[i].holder <= page.ends[region]]
+    if page.names[region] in ("article", "main"):
+        return "\n".join(lines[i].text for i in within)
+    first, last, beside = content[0], content[-1], {lines[i].holder for i in content}
+    listed = lambda i: 2 * lines[i].links > len(lines[i].text) and ratios[i] < threshold
+    taken = [i for i in within if (first <= i <= last or lines[i].holder in beside) and not listed(i)]
+    at = taken[0] if taken else 0
+    title = [i for i in own if at - 3 <= i < at and lines[i].heading]
+    return "\n".join(lines[i].text for i in [*title, *taken])
+
+
+def _region(page: _Lines, content: list[int]) -> int:
+    """The innermost element with at least 0.7 of the content lines' text, or else the article around it, or else the main
+    part around it. 0 if only the page as a whole has as much."""
+    mass = np.zeros(len(page.parents))
+    for i in content:
+        mass[page.lines[i].holder] += len(page.lines[i].text)
+    total = mass.sum()
+    for element in range(len(mass) - 1, 0, -1):  # the inner ones have the larger numbers
+        mass[page.parents[element]] += mass[element]
+    best = next((e for e in range(len(mass) - 1, 0, -1) if mass[e] >= 0.7 * total and page.names[e] not in ("html", "body")), 0)
+    around, found = best, {}
+    while around:
+        found.setdefault(page.names[around], around)  # the innermost of each name
+        around = page.parents[around]
+    return found.get("article") or found.get("main") or best
 
 
 def extract_pages(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:

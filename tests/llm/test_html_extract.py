@@ -1,3 +1,10 @@
+import re
+import time
+from collections import Counter
+
+import numpy as np
+import pyarrow.parquet as pq
+
 from pairscore.llm.html_extract import extract_pages, main_text
 
 PARA = "This is a paragraph that goes on for quite a while, as those of an article do."
@@ -35,3 +42,55 @@ def test_query_keeps_rows(spark):
     got = extract_pages(pages).collect()
     assert sorted(map(tuple, got), key=str) == sorted([(1, "u", PARA, len(PARA))] * 2 + [(None, None, "", 0)], key=str)
     assert extract_pages(pages.limit(0)).collect() == []
+
+
+def test_links_and_names_inside_an_article():
+    """What a page marks as its article is taken whole, but for parts that are named for something else only."""
+    linked = f'<p><a href="/x">{PARA}</a></p><ul><li><a href="/s">The source of it</a></li><li>own</li></ul>'
+    assert main_text(f"<article><p>{PARA}</p>{linked}</article>") == f"{PARA}\n{PARA}\nThe source of it\nown"
+    own = f'<section id="discussion"><p>{PARA} 1</p></section><blockquote class="reply">{PARA} 2</blockquote><div class="legal-notice-of-ruling">{PARA} 3</div>'
+    assert main_text(f"<article><p>{PARA}</p>{own}</article>") == "\n".join([PARA, *(f"{PARA} {i}" for i in (1, 2, 3))])
+    foreign = f'<div class="related-links"><a>{PARA}</a></div><div id="comments"><p>{PARA}</p></div><div class="newsletter-box">{PARA}</div><p class="ad">{PARA}</p><aside>{PARA}</aside>'
+    assert main_text(f"<article><p>{PARA}</p>{foreign}<p>end</p></article>") == f"{PARA}\nend"
+
+
+def flat(lines):
+    return np.ones(len(lines))
+
+
+def test_ratios_decide_where_a_page_names_nothing():
+    links = "".join(f'<div><span><a href="/{i}">Place {i}</a></span></div>' for i in range(8))
+    page = f"<body><div><div>{links}</div><div><div><b>Some</b> <i>words</i> <u>here</u></div></div><div><h2>Head</h2><p>{PARA}</p><p>{PARA} <a>more</a></p><p>{PARA}</p></div><div>{links}</div></div></body>"
+    assert main_text(page) == f"Head\n{PARA}\n{PARA} more\n{PARA}"
+    assert main_text(page, flat) != main_text(page)
+    within = f"<div><p>{PARA}</p><p>{PARA}</p><p><a>A linked line</a></p><p>{PARA}</p>" + "".join(f"<p><a>Other page {i}</a></p>" for i in range(6)) + "</div>"
+    assert main_text(within) == f"{PARA}\n{PARA}\nA linked line\n{PARA}"  # one within the text is lifted by its neighbours, a list is not
+
+
+def test_precision_and_recall_without_names():
+    """Pages of the tables with all names taken away, against what the names say."""
+
+    def measure(ratios):
+        hit = extra = missed = exact = 0
+        for page in pages:
+            want = Counter(main_text(page).split("\n"))
+            bare = re.sub(r'<div class="[^"]*"', "<div", re.sub(r"<(/?)(article|nav|footer|header|aside|main|section)\b", r"<\1div", page))
+            got = Counter(main_text(bare, **ratios).split("\n"))
+            size = lambda c: sum(len(k) * n for k, n in c.items())
+            hit, extra, missed, exact = hit + size(got & want), extra + size(got - want), missed + size(want - got), exact + (got == want)
+        return hit / (hit + extra), hit / (hit + missed), exact / len(pages)
+
+    pages = [r["html"] for sf in ("sf0.001", "sf0.01") for r in pq.read_table(f"/root/testdata/{sf}/pages.parquet", columns=["html"]).to_pylist() if r["html"]]
+    precision, recall, exact = measure({})
+    assert precision > 0.998 and recall > 0.998 and exact > 0.96
+    assert measure({"ratios_of": flat})[2] < exact
+
+
+def test_deep_and_broken_nesting_takes_linear_time():
+    def seconds(page):
+        began = time.process_time()
+        main_text(page)
+        return time.process_time() - began
+
+    for part in ("<div>x", "<section>x</div>", "<p><b>x", "<nav><article>x", "<table><tr><td>x"):
+        assert seconds(part * 20_000) < 40 * seconds(part * 2_000) + 0.5, part
