@@ -1,8 +1,9 @@
 """License scans by an exact set-similarity join (DataFrame functions only).
 
-Templates are short word sequences. A text is cut into overlapping blocks of ``2 * STEP`` words, one every ``STEP``
-words, so any passage of up to ``STEP`` words lies whole in a block. A block matches a template when it holds at least
-``threshold`` of the template's distinct words (all of them, if it has fewer than WHOLE_BELOW). Words are ordered by how often the corpus has them, rarest first:
+Templates are word sequences, from one line to a whole licence, each with the share of its distinct words that a block must
+hold (the threshold). A text is cut into overlapping blocks of twice a step, one every step; a template's step is STEP, or
+so many times doubled that the template fits, so any passage of its length lies whole in a block. Words are ordered by how
+many documents of the corpus have them, rarest first:
 
 * prefix filter: a match must hold one of a template's ``size - ceil(threshold * size) + 1`` rarest words;
 * length filter: a block with fewer distinct template words than the threshold asks for cannot match;
@@ -27,29 +28,53 @@ BASE = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-# Passages of public licences and usual notices, with SPDX-like labels, matched by containment.
+# Usual notices, passages and whole texts of public licences, with SPDX-like labels and thresholds; short ones
+# differ from each other by single words, so all of theirs are asked for.
 TEMPLATES = (
-    ("gpl-3.0-notice", "this work is licensed under the gnu general public license version 3"),
-    ("gpl-notice", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
-    ("lgpl-notice", "under the terms of the gnu lesser general public license as published by the free software foundation"),
-    ("agpl-notice", "under the terms of the gnu affero general public license as published by the free software foundation"),
-    ("apache-2.0-notice", "licensed under the apache license version 2 0"),
-    ("apache-2.0-terms", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("mit-notice", "released under the mit license"),
-    ("mit-terms", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("bsd-terms", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("isc-terms", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    ("mpl-2.0-notice", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("epl-notice", "made available under the terms of the eclipse public license"),
-    ("cc-by-notice", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("cc-by-nc-notice", "licensed under cc by nc 4 0"),
-    ("cc-by-sa-notice", "licensed under cc by sa 4 0"),
-    ("cc0-notice", "to the extent possible under law the author has waived all copyright and related rights"),
-    ("unlicense-terms", "this is free and unencumbered software released into the public domain"),
-)
+    ("gpl-3.0-notice", 0.8, "this work is licensed under the gnu general public license version 3"),
+    ("gpl-notice", 0.8, "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
+    ("lgpl-notice", 0.8, "under the terms of the gnu lesser general public license as published by the free software foundation"),
+    ("agpl-notice", 0.8, "under the terms of the gnu affero general public license as published by the free software foundation"),
+    ("apache-2.0-notice", 1.0, "licensed under the apache license version 2 0"),
+    ("apache-2.0-terms", 0.8, "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("mit-notice", 1.0, "released under the mit license"),
+    ("mit-terms", 0.8, "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("bsd-terms", 0.8, "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("isc-terms", 0.8, "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("mpl-2.0-notice", 0.8, "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("epl-notice", 1.0, "made available under the terms of the eclipse public license"),
+    ("cc-by-notice", 0.8, "this work is licensed under a creative commons attribution 4 0 international license"),
+    ("cc-by-nc-notice", 1.0, "licensed under cc by nc 4 0"),
+    ("cc-by-sa-notice", 1.0, "licensed under cc by sa 4 0"),
+    ("cc0-notice", 0.8, "to the extent possible under law the author has waived all copyright and related rights"),
+    ("unlicense-terms", 0.8, "this is free and unencumbered software released into the public domain"),
+    ("mit-text", 0.8,
+     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in "
+     "the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of "
+     "the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this "
+     "permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind "
+     "express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event "
+     "shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising "
+     "from out of or in connection with the software or the use or other dealings in the software"),
+    ("isc-text", 0.8,
+     "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright "
+     "notice and this permission notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this "
+     "software including all implied warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect or "
+     "consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other "
+     "tortious action arising out of or in connection with the use or performance of this software"),
+    ("bsd-2-clause-text", 0.8,
+     "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met 1 "
+     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer 2 redistributions in binary "
+     "form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials "
+     "provided with the distribution this software is provided by the copyright holders and contributors as is and any express or implied warranties "
+     "including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the "
+     "copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to "
+     "procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether "
+     "in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the "
+     "possibility of such damage"),
+)
+#: The least step from block to block.
 STEP = 32
-#: A template of fewer distinct words is too short to miss one: all of them are asked for, in any order.
-WHOLE_BELOW = 10
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -57,56 +82,64 @@ def words(text: Column) -> Column:
     return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), _NOT_WORD), lambda w: w != "")
 
 
+def step_of(words: list[str]) -> int:
+    """STEP, doubled until the words fit."""
+    step = STEP
+    while step < len(words):
+        step *= 2
+    return step
+
+
 def _corpus_counts(lists: DataFrame, vocabulary: list[str]) -> dict[str, int]:
-    """How often the whole corpus has each template word; one row a word comes to the driver, so its size is that of
-    the templates."""
-    spark = lists.sparkSession
-    wanted = spark.createDataFrame([(w,) for w in vocabulary], "word string")
-    found = lists.select(F.explode("words").alias("word")).join(F.broadcast(wanted), "word", "left_semi")
-    return {r["word"]: r["n"] for r in found.groupBy("word").agg(F.count("*").alias("n")).collect()}
+    """How many texts of the whole corpus have each template word; one row a word comes to the driver, so its size is that
+    of the templates. Only template words leave their row."""
+    held = F.array_intersect("words", F.array(*map(F.lit, vocabulary)))
+    found = lists.select(F.explode(held).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return {r["word"]: r["n"] for r in found.collect()}
 
 
-def license_scan(docs: DataFrame, templates=TEMPLATES, base=None, threshold: float = 0.8) -> DataFrame:
+def license_scan(docs: DataFrame, templates=TEMPLATES, base=None) -> DataFrame:
     """One row per input row: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, places``.
 
-    ``places`` lists what was found as structs (label, start, length in words, score), sorted; ``score`` is the best of
-    them, 0.0 for none. Null texts count as empty and give empty labels. A doc_id may be null or repeated: results
-    belong to the pair of doc_id and text, and every input row comes back. Other columns are ignored; an empty table
-    gives an empty result. No text is cut short and no place is dropped.
+    ``templates`` are triples of label, threshold and words. ``places`` lists what was found as structs (label, start, length
+    in words, score), sorted; ``score`` is the best of them, 0.0 for none. Null texts count as empty and give empty labels.
+    A doc_id may be null or repeated: results belong to the pair of doc_id and text, and every input row comes back. Other
+    columns are ignored; an empty table gives an empty result. No text is cut short and no place is dropped.
     """
     spark = docs.sparkSession
     base = BASE if base is None else base
-    rules = [(lab, ph.split(), True) for ph, lab in base.items()] + [(lab, t.split(), False) for lab, t in templates]
-    if any(len(w) > STEP for _, w, _ in rules):
-        raise ValueError(f"a template may have {STEP} words at most; split longer ones into passages")
+    rules = [(lab, 1.0, ph.split(), True) for ph, lab in base.items()] + [(lab, share, t.split(), False) for lab, share, t in templates]
     lists = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), words(F.col("text")).alias("words"))
-    vocabulary = sorted({w for _, ws, _ in rules for w in ws})
+    vocabulary = sorted({w for _, _, ws, _ in rules for w in ws})
     seen = _corpus_counts(lists, vocabulary)
     order = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (seen.get(w, 0), w)))}
-    prefixes, shapes = [], []
-    for rule, (label, ws, exact) in enumerate(rules):
-        ranks = sorted({order[w] for w in ws})
-        need = len(ranks) if exact or len(ranks) < WHOLE_BELOW else math.ceil(threshold * len(ranks) - 1e-9)
-        prefixes += [(rule, r, k, len(ranks), need) for k, r in enumerate(ranks[: len(ranks) - need + 1])]
+    prefixes, shapes, steps = [], [], {w: set() for w in vocabulary}
+    for rule, (label, share, ws, exact) in enumerate(rules):
+        ranks, step = sorted({order[w] for w in ws}), step_of(ws)
+        need = math.ceil(share * len(ranks) - 1e-9)
+        prefixes += [(rule, step, r, k, len(ranks), need) for k, r in enumerate(ranks[: len(ranks) - need + 1])]
         shapes.append((rule, label, exact, [order[w] for w in ws], ranks))
-    prefix_table = F.broadcast(spark.createDataFrame(prefixes, "rule int, rank int, k int, size int, need int"))
+        for w in ws:
+            steps[w].add(step)
+    # as large as the templates
+    prefix_table = F.broadcast(spark.createDataFrame(prefixes, "rule int, step int, rank int, k int, size int, need int"))
     shape_table = F.broadcast(spark.createDataFrame(shapes, "rule int, label string, exact boolean, sequence array<int>, ranks array<int>"))
-    rank_table = F.broadcast(spark.createDataFrame(list(order.items()), "word string, rank int"))
-    rare = F.array(*[F.lit(w) for w in sorted({w for w in vocabulary for p in prefixes if p[1] == order[w]})])
+    rank_table = F.broadcast(spark.createDataFrame([(w, i, sorted(steps[w])) for w, i in order.items()], "word string, rank int, steps array<int>"))
+    rare = F.array(*[F.lit(w) for w in sorted({w for w in vocabulary for p in prefixes if p[2] == order[w]})])
 
     # only texts with a prefix word go on; a row given twice is scanned once
     candidates = lists.where(F.arrays_overlap("words", rare)).dropDuplicates(["row_key"])
-    placed = candidates.select("row_key", F.posexplode("words").alias("pos", "word")).join(rank_table, "word")
-    block = F.explode(F.array((F.col("pos") / STEP).cast("int"), (F.col("pos") / STEP).cast("int") - 1))
+    placed = candidates.select("row_key", F.posexplode("words").alias("pos", "word")).join(rank_table, "word").select("row_key", "pos", "rank", F.explode("steps").alias("step"))
+    at = F.floor(F.col("pos") / F.col("step")).cast("int")
     blocks = (
-        placed.select("row_key", block.alias("block"), "pos", "rank").where("block >= 0")
-        .groupBy("row_key", "block").agg(F.sort_array(F.collect_list(F.struct("pos", "rank"))).alias("held"))
+        placed.select("row_key", "step", F.explode(F.array(at, at - 1)).alias("block"), "pos", "rank").where("block >= 0")
+        .groupBy("row_key", "step", "block").agg(F.sort_array(F.collect_list(F.struct("pos", "rank"))).alias("held"))
         .withColumn("ranks", F.array_distinct("held.rank"))
     )
     matched = (
-        blocks.withColumn("rank", F.explode("ranks")).join(prefix_table, "rank")
+        blocks.withColumn("rank", F.explode("ranks")).join(prefix_table, ["rank", "step"])
         .where((F.size("ranks") >= F.col("need")) & (F.col("size") - F.col("k") >= F.col("need")))  # length and position
-        .groupBy("row_key", "block", "rule").agg(F.min("k").alias("k"), F.first("held").alias("held"), F.first("ranks").alias("had"), F.first("size").alias("size"), F.first("need").alias("need"))
+        .groupBy("row_key", "step", "block", "rule").agg(F.min("k").alias("k"), F.first("held").alias("held"), F.first("ranks").alias("had"), F.first("size").alias("size"), F.first("need").alias("need"))
         .where(F.col("size") - F.col("k") >= F.col("need"))
         .join(shape_table, "rule")
         .withColumn("shared", F.size(F.array_intersect("had", "ranks")))
@@ -116,11 +149,11 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, base=None, threshold: flo
 
 
 def _report(lists: DataFrame, matched: DataFrame) -> DataFrame:
-    start = F.col("block") * STEP
+    start = F.col("block") * F.col("step")
     # a phrase stands where each of its words follows the one before; counted in the block whose first half has it
     at = lambda p, i: F.exists("held", lambda h: (h["pos"] == p + i) & (h["rank"] == F.element_at("sequence", i + 1)))
     sequence_at = lambda p: F.forall(F.sequence(F.lit(0), F.size("sequence") - 1), lambda i: at(p, i))
-    first_half = F.filter("held", lambda h: (h["pos"] < start + STEP) & (h["rank"] == F.element_at("sequence", 1)))
+    first_half = F.filter("held", lambda h: (h["pos"] < start + F.col("step")) & (h["rank"] == F.element_at("sequence", 1)))
     places = F.when(
         F.col("exact"),
         F.transform(F.filter(F.array_distinct(first_half["pos"]), sequence_at), lambda p: F.struct(F.lit(True).alias("base"), F.col("label").alias("label"), p.cast("long").alias("start"), F.size("sequence").alias("length"), F.lit(1.0).alias("score"))),

@@ -12,7 +12,7 @@ from .chat_format import examples, format_conversations, read_turns, reply
 from .common import table
 from .exact_dedup import exact_dedup
 from .html_extract import extract_pages
-from .license_scan import BASE, STEP, TEMPLATES, WHOLE_BELOW, license_scan
+from .license_scan import BASE, TEMPLATES, license_scan, step_of
 from .lm_score import lm_score
 from .near_dup import near_duplicates
 from .packing import pack
@@ -107,10 +107,10 @@ _PHRASES = ", ".join(f"('{label}', {phrase.split()})" for phrase, label in BASE.
 
 def _template_words() -> str:
     rows = []
-    for rule, (label, text) in enumerate(TEMPLATES):
+    for rule, (label, share, text) in enumerate(TEMPLATES):
         own = sorted(set(text.split()))
-        need = len(own) if len(own) < WHOLE_BELOW else math.ceil(0.8 * len(own))
-        rows += [f"({rule}, '{label}', '{w}', {len(own)}, {need})" for w in own]
+        need, step = math.ceil(share * len(own) - 1e-9), step_of(text.split())
+        rows += [f"({rule}, '{label}', '{w}', {len(own)}, {need}, {step})" for w in own]
     return ", ".join(rows)
 
 
@@ -119,10 +119,10 @@ SQL = {
         WITH w AS (SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS ws FROM documents),
         tok AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM w),
         phrase(label, ps) AS (VALUES {_PHRASES}),
-        tw(rule, label, word, size, need) AS (VALUES {_template_words()}),
+        tw(rule, label, word, size, need, step) AS (VALUES {_template_words()}),
         base AS (SELECT t.doc_id, label, pos FROM tok t JOIN phrase ON word = ps[1] JOIN w ON w.doc_id = t.doc_id WHERE ws[pos + 1 : pos + len(ps)] = ps),
         hit AS (SELECT doc_id, label, count(DISTINCT word) / any_value(size) AS score
-                FROM (SELECT doc_id, word, unnest([pos // {STEP}, pos // {STEP} - 1]) AS block FROM tok) JOIN tw USING (word)
+                FROM (SELECT doc_id, rule, label, word, size, need, unnest([pos // step, pos // step - 1]) AS block FROM tok JOIN tw USING (word))
                 WHERE block >= 0 GROUP BY doc_id, rule, label, block HAVING count(DISTINCT word) >= any_value(need)),
         b AS (SELECT doc_id, count(*) AS n, min(pos) AS lo, max(pos) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY doc_id),
         l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score

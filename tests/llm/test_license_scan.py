@@ -54,3 +54,32 @@ def test_empty_table_and_clashing_columns(spark):
     assert license_scan(documents(spark, [])).collect() == []
     rows = documents(spark, [(1, "mit license")]).selectExpr("*", "1 as words", "2 as rank", "3 as block", "4 as labels", "5 as row_key")
     assert license_scan(rows).first().base_labels == "mit"
+
+
+def contained(text, share, template, step):
+    """Whether any block of two steps holds that share of the template's distinct words."""
+    w, own = WORD.findall(ascii_lower(text)), set(template.split())
+    return any(len(own & set(w[at : at + 2 * step])) >= share * len(own) - 1e-9 for at in range(0, max(1, len(w)), step))
+
+
+def test_whole_licences_at_any_place(spark):
+    from pairscore.llm.license_scan import TEMPLATES, step_of
+
+    whole = next(t for label, _, t in TEMPLATES if label == "mit-text")
+    assert len(whole.split()) > 128 and step_of(whole.split()) == 256 and step_of(["a"] * 32) == 32 and step_of(["a"] * 33) == 64
+    rows, n = [], 0
+    for gap in (0, 1, 200, 255, 300):
+        for keep in (1.0, 0.9, 0.75):
+            words, n = whole.split(), n + 1
+            cut = words[: int(keep * len(words))]
+            rows.append((n, " ".join([f"w{i}" for i in range(gap)] + cut + [f"v{i}" for i in range(77)])))
+    got = {r.doc_id: set(r.labels.split(",")) - {""} for r in license_scan(documents(spark, rows)).collect()}
+    for doc_id, text in rows:
+        assert got[doc_id] - {"mit"} == {label for label, share, t in TEMPLATES if contained(text, share, t, step_of(t.split()))}, doc_id
+    assert any("mit-text" in v for v in got.values()) and any("mit-text" not in v for v in got.values())
+
+
+def test_thresholds_are_the_templates_own(spark):
+    rows = documents(spark, [(1, "alpha beta gamma delta"), (2, "alpha beta gamma delta epsilon")])
+    templates = (("all", 1.0, "alpha beta gamma delta epsilon"), ("most", 0.8, "alpha beta gamma delta epsilon"), ("half", 0.5, "alpha beta zeta eta"))
+    assert {r.doc_id: r.labels for r in license_scan(rows, templates, {}).collect()} == {1: "half,most", 2: "all,half,most"}
