@@ -4,16 +4,18 @@ Documents become sets of 64-bit hashes of word n-grams; texts with the same word
 the n-grams, two sets with Jaccard similarity t or more share an n-gram among the ``n - ceil(t n) + 1`` first of each: so
 they must do so under every order.
 
-1. First order, over the whole corpus: rarest first. Chunks of rows send their n-grams, sorted and packed, to the shards
+1. First order: rarest in the corpus first. Chunks of rows send their n-grams, sorted and packed, to the shards
    that count them; the shards send back only those that stand in more than one text, with their counts. As n-grams of
    one text come first in the order, most texts have none but such in their prefix and are done with. The nodes that
-   share a prefix n-gram are linked into candidate classes by stars, one edge a node and n-gram, so no pairs within a
-   group are listed.
-2. A class's sets go to one task (a large class in blocks, and each two blocks to one task). There a pair is a candidate
-   only if it also shares a prefix n-gram under a second and under a third order, and fits in length; what passes all
-   filters is verified on the whole sets. Pairs already connected need no look, since what is returned are the connected
-   classes.
-3. The verified links' components are the classes.
+   share a prefix n-gram are brought together by stars, one edge a node and n-gram, so no pairs within a group are
+   listed: the stars' components only say which sets are to meet in a task.
+2. Second and third order: two fixed permutations of all n-grams, by hash. They are the same in every task and need no
+   counts.
+3. The sets of a component go to one task (a large one in blocks, and each two blocks to one task). There a pair is a
+   candidate only if it shares a prefix n-gram under the first, the second and the third order, and fits in length: the
+   filters are intersected before anything is verified on the whole sets. Pairs already connected need no look, since
+   what is returned are the connected classes.
+4. The verified links' components are the classes.
 """
 
 from __future__ import annotations
@@ -28,8 +30,11 @@ from .common import Staged, give_back, spread
 from .components import components
 
 N = 5
-#: Bits of the filter that tells which nodes' sets are wanted again; false positives are dropped by a join.
-FILTER_BITS = 1 << 24
+#: Bits of the filter that tells which nodes' sets are wanted again: 16 a node within these bounds. False positives are
+#: dropped by a join.
+LEAST_BITS, MOST_BITS = 1 << 24, 1 << 27
+#: Seeds of the second and the third order.
+ORDERS = (3, 5)
 #: n-grams of a chunk of rows, of a shard of the counts (on average) and of a verification task; rows of a chunk.
 CHUNK, SHARD, TASK, ROWS = 500_000, 2_000_000, 1_000_000, 60_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
@@ -208,7 +213,7 @@ def _read(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, n: int, wanted: np.ndarray) -> DataFrame:
-    """(node, grams as bytes) of the nodes that the filter passes, once a task."""
+    """(node, grams as bytes) of the nodes that the filter, of 64 bits a word, passes, once a task."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
@@ -218,7 +223,7 @@ def _sets(docs: DataFrame, n: int, wanted: np.ndarray) -> DataFrame:
             nodes, texts = [], []
             for text in b.column(0).to_pylist():
                 node, words = shingler.words(text)
-                bit = node % FILTER_BITS
+                bit = node % (64 * len(bits))
                 if words and node not in seen and int(bits[bit >> 6]) >> (bit & 63) & 1:
                     seen.add(node)
                     nodes.append(node)
@@ -230,29 +235,27 @@ def _sets(docs: DataFrame, n: int, wanted: np.ndarray) -> DataFrame:
     return spread(docs.select("text")).mapInArrow(run, "node long, grams binary")
 
 
-def _postings(sets: list[np.ndarray], at: list[np.ndarray], order: np.ndarray, percent: int):
-    """Prefixes of all sets under an order (a rank for each local n-gram) and, for each n-gram, who has it there."""
-    prefixes = []
-    for g in at:
-        p = prefix_size(len(g), percent)
-        prefixes.append(g[np.argpartition(order[g], p - 1)[:p]] if p < len(g) else g)
-    grams, owner = np.concatenate(prefixes), np.repeat(np.arange(len(sets)), list(map(len, prefixes)))
-    by = np.argsort(grams, kind="stable")
-    return prefixes, owner[by], np.append(0, np.cumsum(np.bincount(grams, minlength=len(order))))
+def _postings(prefixes: list[np.ndarray]):
+    """The prefixes with their n-grams numbered and, for each n-gram, who has it there."""
+    sizes = list(map(len, prefixes))
+    _, at = np.unique(np.concatenate(prefixes), return_inverse=True)
+    owner, by = np.repeat(np.arange(len(prefixes)), sizes), np.argsort(at, kind="stable")
+    return np.split(at, np.cumsum(sizes)[:-1]), owner[by], np.append(0, np.cumsum(np.bincount(at)))
 
 
-def links_within(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Verified links that connect what is connected among some sets (a spanning forest)."""
+def hashed_prefix(grams: np.ndarray, seed: int, percent: int) -> np.ndarray:
+    """The first n-grams of a set under a fixed permutation of all n-grams."""
+    n = prefix_size(len(grams), percent)
+    return grams[np.argpartition(mix(grams, seed), n - 1)[:n]] if n < len(grams) else grams
+
+
+def links_within(sets: list[np.ndarray], firsts: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Verified links that connect what is connected among some sets (a spanning forest). ``firsts`` are the sets'
+    prefixes under the first order, without the n-grams that no other text has."""
     m, sizes = len(sets), np.array([len(s) for s in sets])
     by_size = np.argsort(sizes, kind="stable")
-    sets, sizes = [sets[i] for i in by_size], sizes[by_size]
-    grams, at, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    at = np.split(at, np.cumsum(sizes)[:-1])
-    orders = []
-    for tie in (grams, mix(grams, 3)):  # rarest first here, ties as hashed; then, by doublings of the frequency, hashed anew
-        rank = np.empty(len(grams), dtype=np.int64)
-        rank[np.lexsort((tie, df if tie is grams else np.log2(df).astype(np.int8)))] = np.arange(len(grams))
-        orders.append(_postings(sets, at, rank, percent))
+    sets, firsts, sizes = [sets[i] for i in by_size], [firsts[i] for i in by_size], sizes[by_size]
+    orders = [_postings(firsts), *(_postings([hashed_prefix(s, seed, percent) for s in sets]) for seed in ORDERS)]
     label, degree, found = np.arange(m), np.zeros(m, dtype=np.int64), []
     for x in range(1, m):
         share = np.ones(x, dtype=bool)
@@ -301,7 +304,7 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = 80) -> DataFrame
     stars = pairs.join(least, "gram").select(F.col("node").alias("u"), "v")
     candidate = components(stars, staged)
     # written before it is thinned: two Python operators in one stage would keep two workers a core
-    linked = components(staged.keep(_verified(docs, nodes, candidate, n, percent, staged)), staged)
+    linked = components(staged.keep(_verified(docs, nodes, pairs, candidate, n, percent, staged)), staged)
 
     rooted = nodes.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.where("size > 0").groupBy("root").agg(F.min("doc_id").alias("smallest"))
@@ -309,14 +312,17 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = 80) -> DataFrame
     return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, candidate: DataFrame, n: int, percent: int, staged: Staged) -> DataFrame:
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, candidate: DataFrame, n: int, percent: int, staged: Staged) -> DataFrame:
     spark = docs.sparkSession
     classes = candidate.union(candidate.select(F.col("root").alias("node"), "root").distinct())
     sized = classes.join(nodes.where("size > 0").groupBy("node").agg(F.first("size").alias("size")), "node")
     members = staged.keep(sized)
-    bit = F.col("node").bitwiseAND(F.lit(FILTER_BITS - 1))
+    size = LEAST_BITS
+    while size < min(MOST_BITS, 16 * members.count()):
+        size *= 2
+    bit = F.col("node").bitwiseAND(F.lit(size - 1))
     bits = members.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(node & 63 as int)))").alias("bits")).toPandas()
-    wanted = np.zeros(FILTER_BITS >> 6, dtype=np.uint64)
+    wanted = np.zeros(size >> 6, dtype=np.uint64)
     wanted[bits["word"].to_numpy(dtype=np.int64)] = bits["bits"].to_numpy(dtype=np.int64).view(np.uint64)
     sets = _sets(docs, n, wanted).dropDuplicates(["node"])
 
@@ -334,16 +340,19 @@ def _verified(docs: DataFrame, nodes: DataFrame, candidate: DataFrame, n: int, p
         root = rows.column("root").to_numpy()
         order = np.lexsort((rows.column("node").to_numpy(), root))
         node, sets = rows.column("node").to_numpy()[order], rows.column("grams").take(pa.array(order)).to_pylist()
+        firsts = [np.asarray(v, dtype=np.int64) for v in rows.column("first").take(pa.array(order)).to_pylist()]
         ends = np.append(np.flatnonzero(np.diff(root[order])) + 1, len(order))
         u, v, at = [], [], 0
         for end in ends.tolist():
             if end - at > 1:
-                for x, y in links_within([np.frombuffer(s, dtype=np.uint64) for s in sets[at:end]], percent):
+                for x, y in links_within([np.frombuffer(s, dtype=np.uint64) for s in sets[at:end]], firsts[at:end], percent):
                     u.append(node[at + x])
                     v.append(node[at + y])
             at = end
-        del sets
+        del sets, firsts
         give_back()
         return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    return dealt.join(sets, "node").groupBy("unit", "a", "b").applyInArrow(verify, "u long, v long")
+    # a node's n-grams in the first order's prefix, at most as many as its text has
+    firsts = pairs.groupBy("node").agg(F.collect_set("gram").alias("first"))
+    return dealt.join(sets, "node").join(firsts, "node").groupBy("unit", "a", "b").applyInArrow(verify, "u long, v long")
