@@ -27,6 +27,8 @@ from .near_dup import _Hashes, mix
 FOLDS, HELD_OUT, DELETED = 5, 1, 2
 #: Tokens of a chunk, and on average of a shard; rows of a chunk.
 CHUNK, SHARD, ROWS = 1_000_000, 1_800_000, 60_000
+#: Bytes of text for each shard of the words' counts.
+WORDS = 120_000_000
 #: The most frequent words, a list of fixed bound whose counts all tasks know. As contexts they are coded by their place.
 FREQUENT = 65_535
 #: Context buckets are octaves of the context's count; estimates are binned by quarter octaves in the histogram.
@@ -108,11 +110,11 @@ def _place(words: np.ndarray, of: np.ndarray) -> np.ndarray:
     return np.where(of[at] == words, at, FREQUENT)
 
 
-def _bigrams(rows: DataFrame, shards: int, frequent: np.ndarray, spread: np.ndarray) -> DataFrame:
+def _bigrams(rows: DataFrame, shards: int, frequent: np.ndarray, widest: np.ndarray) -> DataFrame:
     """Chunks: for each shard the words of its n-grams, how many contexts each has (runs), the contexts (as places among
     the frequent words, the others in ``rare``), how often each n-gram stands (times) and in which rows; and one row with
-    the chunk's doc_ids, kept apart from ``words``. Words in ``spread``, sorted, are dealt by context too."""
-    shared = rows.sparkSession.sparkContext.broadcast((frequent, spread))
+    the chunk's doc_ids, kept apart from ``words``. Words in ``widest``, sorted, are dealt by context too."""
+    shared = rows.sparkSession.sparkContext.broadcast((frequent, widest))
 
     def run(batches):
         from pyspark import TaskContext
@@ -130,18 +132,22 @@ def _bigrams(rows: DataFrame, shards: int, frequent: np.ndarray, spread: np.ndar
             d = np.repeat(np.arange(len(rows_), dtype=np.uint16), sizes)
             pair = _pair(v, w)
             p = np.where(_place(w, wide) != FREQUENT, pair, mix(w, 5)) % np.uint64(shards)
-            by = np.argsort((p << np.uint64(44)) | (mix(w, 7) >> np.uint64(42)) << np.uint64(22) | pair >> np.uint64(42), kind="stable")
+            # by shard, then word, then pair, as far as their hashes go in the bits that the shard leaves
+            b_p = (shards - 1).bit_length()
+            b_w = (64 - b_p) // 2
+            b_v = 64 - b_p - b_w
+            by = np.argsort((p << np.uint64(b_w + b_v) if b_p else p) | (mix(w, 7) >> np.uint64(64 - b_w)) << np.uint64(b_v) | pair >> np.uint64(64 - b_v), kind="stable")
             del pair
             w, v, d, p = w[by], v[by], d[by], p[by].astype(np.int64)
             run_at = np.append(True, (w[1:] != w[:-1]) | (p[1:] != p[:-1]))
             g = np.flatnonzero(run_at | np.append(True, v[1:] != v[:-1]))
             times, v, r = np.diff(np.append(g, len(w))).astype("<u4"), v[g], np.flatnonzero(run_at[g])
             runs, words, contexts = np.diff(np.append(r, len(g))).astype("<u4"), w[g][r], _place(v, often)
-            token_at = np.searchsorted(p, np.arange(shards + 1))
+            starts = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
+            used, token_at = p[starts], np.append(starts, len(p))
             gram_to, run_to = np.searchsorted(g, token_at), np.searchsorted(g[r], token_at)
             rare, rare_to = v[contexts == FREQUENT], np.append(0, np.cumsum(contexts == FREQUENT))[gram_to]
-            used = np.flatnonzero(np.diff(token_at))
-            cut = lambda x, at: [None, *(x[at[i] : at[i + 1]].tobytes() for i in used)]
+            cut = lambda x, at: [None, *(x[at[i] : at[i + 1]].tobytes() for i in range(len(used)))]
             m = len(used) + 1
             arrays = [
                 [int(chunk % shards), *used.tolist()], [chunk] * m,
@@ -266,9 +272,11 @@ def lm_score(docs: DataFrame) -> DataFrame:
     staged = Staged(spark)
     rows = _folded(docs)
     n_tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    unigrams = _unigrams(rows, n_tasks, staged)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(n_tasks, -(-size // WORDS))
+    unigrams = _unigrams(rows, parts, staged)
     n_train, n_fit, types = (int(x or 0) for x in unigrams.agg(F.sum("n_train"), F.sum("n_fit"), F.sum("types")).first())
-    shards = min(1 << 20, max(n_tasks, -(-n_train // SHARD)))
+    shards = max(n_tasks, -(-n_train // SHARD))
 
     def counted(batches):
         for b in batches:
@@ -287,7 +295,7 @@ def lm_score(docs: DataFrame) -> DataFrame:
     grams = _bigrams(rows, shards, frequent, frequent[counts[0] >= max(2.0, n_train / (4 * shards))])
 
     def request(key, rows):
-        words = _needed(_Shard(rows, shared.value[0]), shared.value[0], n_tasks)
+        words = _needed(_Shard(rows, shared.value[0]), shared.value[0], parts)
         used = [q for q, w in enumerate(words) if len(w)]
         out = pa.table({"q": pa.array(used, pa.int32()), "p": pa.array([key[0].as_py()] * len(used), pa.int32()), "words": pa.array([words[q].tobytes() for q in used], pa.binary())})
         give_back()
@@ -313,7 +321,7 @@ def lm_score(docs: DataFrame) -> DataFrame:
 
     def held_out_statistics(rows, replies):
         shard = _Shard(rows, shared.value[0])
-        counts = _Counts(shard, replies.to_pylist(), *shared.value, n_tasks)
+        counts = _Counts(shard, replies.to_pylist(), *shared.value, parts)
         shard.count()
         seen = shard.deleted > 0
         context, word = counts.of(shard.v[seen])[1], counts.of(shard.w[seen])[1]
@@ -339,7 +347,7 @@ def lm_score(docs: DataFrame) -> DataFrame:
 
     def score(rows, replies):
         shard, replies = _Shard(rows, shared.value[0]), replies.to_pylist()
-        counts = _Counts(shard, replies, *shared.value, n_tasks)
+        counts = _Counts(shard, replies, *shared.value, parts)
         shard.count()
         given = [r["weights"] for r in replies if r["weights"] is not None]
         # without a deleted document there is nothing to learn weights from

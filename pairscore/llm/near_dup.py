@@ -118,10 +118,11 @@ def _chunks(docs: DataFrame, n: int, shards: int) -> DataFrame:
             g, own = shingler.grams([nodes[i] for i in first_row], texts)
             sizes = np.bincount(own, minlength=len(texts))[at]
             row = np.array(first_row, dtype=np.uint16)[own]  # the first row with the text stands for all
-            cuts = np.searchsorted(g >> np.uint64(44), -(-(np.arange(shards + 1) << 20) // shards).astype(np.uint64))
-            used = np.flatnonzero(np.diff(cuts))
+            place = (g >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)  # the upper halves, in equal ranges
+            starts = np.flatnonzero(np.append(True, place[1:] != place[:-1])[: len(g)])
+            used, cuts = place[starts].astype(np.int64), np.append(starts, len(g))
             low, nothing = g.astype("<u4"), [None] * len(used)
-            cut = lambda x: [None, *(x[cuts[i] : cuts[i + 1]].tobytes() for i in used)]
+            cut = lambda x: [None, *(x[cuts[i] : cuts[i + 1]].tobytes() for i in range(len(used)))]
             chunk = part << 24 | chunks
             values = [
                 [chunk % shards, *used.tolist()], [chunk] * (len(used) + 1), [own_ids, *nothing],
@@ -194,7 +195,7 @@ def _prefixes(rows, percent: int):
 def _read(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Rows of documents (doc_id, node, size), and rows (gram, node) for the first order's prefixes."""
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    shards = min(1 << 19, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // (6 * SHARD))))
+    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // (6 * SHARD)))
     ids = docs.schema["doc_id"].dataType.simpleString()
     chunks = _chunks(docs, n, shards)
     schema = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("ids", pa.list_(to_arrow_type(docs.schema["doc_id"].dataType))), *((c, pa.binary()) for c in ("nodes", "sizes", "grams", "rows", "seen"))])

@@ -89,3 +89,43 @@ def test_empty_table(spark):
 def test_weights_are_distributions():
     weights = fit_weights(np.array([1, 1, 3]), np.array([0.5, 0.0, 0.2]), np.array([0.1, 0.1, 0.0]), 0.01, np.array([5.0, 2.0, 1.0]))
     assert np.allclose(weights.sum(axis=1), 1) and (weights >= 0).all()
+
+
+def test_scores_follow_an_independent_model(spark):
+    """Counts, buckets and expectation-maximisation written anew, from the definition and without bins."""
+    rows = corpus()
+    train = [(d, tokens(t)) for d, t in rows if fold(d) != 1]
+    kept = [w for d, w in train if fold(d) != 2]
+    grams = lambda lists: Counter(g for w in lists for g in zip([b"\0end", *w], w))
+    some, all_ = (Counter(x for w in lists for x in w) for lists in (kept, [w for _, w in train]))
+    some_pairs, all_pairs, held = grams(kept), grams([w for _, w in train]), grams([w for d, w in train if fold(d) == 2])
+    n_some, n_all, floor = sum(some.values()), sum(all_.values()), 1 / (len(all_) + 1)
+    octave = lambda c: len(bin(c)) - 2 if c else 0
+    parts = lambda pairs, single, n, a, b: (pairs[a, b] / single[a] if single[a] else 0.0, single[b] / n, floor)
+    mix = {}
+    for o in range(24):
+        events = [(parts(some_pairs, some, n_some, a, b), c) for (a, b), c in held.items() if octave(some[a]) == o]
+        lam = [1 / 3] * 3 if o else [0, 0.5, 0.5]
+        for _ in range(400 if events else 0):
+            sums = [0.0] * 3
+            for p, c in events:
+                total = sum(x * y for x, y in zip(lam, p))
+                for i in range(3):
+                    sums[i] += c * lam[i] * p[i] / total
+            lam = [x / sum(sums) for x in sums]
+        mix[o] = lam if events else mix.get(o - 1, lam)
+    got = {r.doc_id: r.score for r in lm_score(documents(spark, rows)).collect()}
+    for d, t in rows:
+        w = tokens(t)
+        want = sum(math.log10(sum(x * y for x, y in zip(mix[octave(all_[a])], parts(all_pairs, all_, n_all, a, b)))) for a, b in zip([b"\0end", *w], w))
+        assert math.isclose(got[d], want, rel_tol=0.01, abs_tol=0.02), (d, got[d], want)
+
+
+def test_very_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(module, "CHUNK", 20_000)
+    rng = random.Random(1)
+    long = " ".join(f"w{rng.randrange(3000)}" for _ in range(150_000))
+    rows = [(1, long), (2, long), (3, "x" * 300_000), (4, "w1 w2")]
+    got = {r.doc_id: r for r in lm_score(documents(spark, rows)).collect()}
+    assert [got[i].n_tokens for i in (1, 2, 3, 4)] == [150_001, 150_001, 2, 3]
+    assert math.isclose(got[1].base_score, got[2].base_score, rel_tol=1e-9) and math.isclose(got[1].score, got[2].score, rel_tol=1e-9)
