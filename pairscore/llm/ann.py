@@ -6,8 +6,9 @@ projections differ from the query's by Gaussian steps of the typical neighbour d
 add up to ``mass``. The candidates of all tables are merged and ranked by exact Euclidean distance in double precision.
 
 The number of directions follows the logarithm of the row count, so that a cell holds a bounded number of ordinary
-vectors. Cells that hold more, as copies make them, are dealt into blocks of at most ``block`` vectors; every block is
-searched, so nothing is capped. Blocks are spread over tasks by hash, and each returns its own nearest only.
+vectors. Cells that hold more, as copies make them, are dealt into blocks of about ``block`` vectors; every block is
+searched, so nothing is capped. Blocks are spread by hash over tasks, as many as the vectors ask for, and each returns its
+own nearest only. Vectors are sent once a table, as bytes and in the precision they come in.
 
 A query that met fewer than ``k`` others in its cells is searched for in all rows, so its list is exact and as long as
 the table allows.
@@ -19,11 +20,15 @@ import heapq
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql.types import FloatType
+
+from .common import Staged, spread
 
 #: The bounded sample on which the typical neighbour distance is estimated.
 SAMPLE_ROWS = 2_000
+#: Bytes of vectors that a task searches, on average.
+TASK_BYTES = 64_000_000
 
 
 def _usable(vector: Column) -> Column:
@@ -96,6 +101,17 @@ def fit_tables(vectors: DataFrame, rows: int, k: int = 10, tables: int = 4, mass
     return Tables(dim, tables, directions, width, step, mass)
 
 
+def _packed(b, dim: int, kind: str):
+    """Of a batch (vec_id, v: lists), the ids and vectors of length ``dim``, these also as an array of bytes."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    b = b.filter(pc.equal(pc.list_value_length(b.column("v")), dim))
+    x = np.ascontiguousarray(b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim), dtype=kind)
+    coded = pa.FixedSizeBinaryArray.from_buffers(pa.binary(x.itemsize * dim), len(x), [None, pa.py_buffer(x.tobytes())])
+    return b.column("vec_id"), x.astype(np.float64), coded.cast(pa.binary())
+
+
 def nearest(vectors: DataFrame, queries: Column, k: int = 10, block: int = 2_000, **fit) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``vectors`` (vec_id, embedding) where ``queries`` holds, the k
     nearest others found, nearest first, ties to the smaller vec_id; ``score`` is the Euclidean distance.
@@ -105,86 +121,101 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, block: int = 2_000
     returned once, at its smallest distance. With fewer candidates than k, all are returned. Other columns are ignored; an
     empty table gives an empty result.
     """
+    import pyarrow as pa
+
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
     usable = vectors.where(F.col("vec_id").isNotNull() & _usable(F.col("embedding")))
-    rows = usable.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, FloatType)  # sent as they are, compared in double
+    kind, element = ("<f4", "float") if single else ("<f8", "double")
+    rows = spread(usable.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{element}>").alias("v"), F.coalesce(queries, F.lit(False)).alias("asks")))
     total = rows.count()
     hashed = fit_tables(rows.select("vec_id", "v"), total, k, **fit) if total else None
     if hashed is None:
         return spark.createDataFrame([], schema)
-    dim, n_tables = hashed.a.shape[1], hashed.shape[0]
+    staged, dim, n_tables = Staged(spark), hashed.a.shape[1], hashed.shape[0]
+    own = rows.select("vec_id", "v")
+
+    def keys_of(x: np.ndarray) -> list[np.ndarray]:
+        cells = np.floor(hashed.slabs(x))
+        return [hashed.keys(cells[:, t], t) for t in range(n_tables)]
+
+    def count_cells(batches):
+        for b in batches:
+            keys, n = np.unique(np.concatenate(keys_of(_packed(b, dim, kind)[1])), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "n"])
 
     def hash_rows(batches):
-        for pdf in batches:
-            pdf = pdf[pdf["v"].map(len) == dim]
-            if len(pdf):
-                cells = np.floor(hashed.slabs(np.stack(pdf["v"].to_numpy())))
-                for t in range(n_tables):
-                    yield pd.DataFrame({"key": hashed.keys(cells[:, t], t), "vec_id": pdf["vec_id"].to_numpy(), "v": pdf["v"].to_numpy()})
+        for b in batches:
+            ids, x, coded = _packed(b, dim, kind)
+            for keys in keys_of(x):
+                yield pa.RecordBatch.from_arrays([pa.array(keys), ids, coded], ["key", "vec_id", "v"])
 
     def hash_queries(batches):
-        for pdf in batches:
-            pdf = pdf[pdf["v"].map(len) == dim]
-            for vec_id, v, position in zip(pdf["vec_id"], pdf["v"], hashed.slabs(np.stack(pdf["v"].to_numpy())) if len(pdf) else []):
-                keys = np.concatenate([hashed.keys(hashed.probes(position[t]), t) for t in range(n_tables)])
-                yield pd.DataFrame({"query_id": [vec_id], "v": [v], "keys": [np.unique(keys)]})
-
-    indexed = rows.select("vec_id", "v").mapInPandas(hash_rows, "key long, vec_id long, v array<double>")
-    # a cell's blocks: as many as its size asks for; the last join row tells each query how many there are
-    sizes = indexed.groupBy("key").agg(F.count("*").alias("n")).select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = indexed.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int"))
-    task = lambda: F.pmod(F.xxhash64("key", "block"), F.lit(tasks)).cast("int")
-    asked = rows.where("asks").select("vec_id", "v").mapInPandas(hash_queries, "query_id long, v array<double>, keys array<long>")
+        for b in batches:
+            ids, x, coded = _packed(b, dim, kind)
+            probes = [np.unique(np.concatenate([hashed.keys(hashed.probes(p[t]), t) for t in range(n_tables)])) for p in hashed.slabs(x)]
+            yield pa.RecordBatch.from_arrays([ids, coded, pa.array(probes, pa.list_(pa.int64()))], ["query_id", "v", "keys"])
+
+    # cells of more than a block's vectors, written first: their number is known when the vectors are sent
+    counts = own.mapInArrow(count_cells, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > block)
+    large = staged.keep(counts.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total * n_tables * dim * np.dtype(kind).itemsize / TASK_BYTES))
+    task = lambda: F.pmod(F.xxhash64("key", "block"), F.lit(tasks)).cast("int").alias("task")
+    blocks = F.coalesce("blocks", F.lit(1))
+    dealt = own.mapInArrow(hash_rows, "key long, vec_id long, v binary").join(large, "key", "left").withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks).cast("int"))
+    asked = rows.where("asks").select("vec_id", "v").mapInArrow(hash_queries, "query_id long, v binary, keys array<long>")
     wanted = (
-        asked.select("query_id", "v", F.explode("keys").alias("key")).join(sizes, "key")
-        .select("query_id", "v", "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-        .withColumn("task", task()).groupBy("task", "query_id").agg(F.first("v").alias("v"), F.collect_list(F.struct("key", "block")).alias("cells"))
-    )
+        asked.select("query_id", "v", F.explode("keys").alias("key")).join(large, "key", "left")
+        .select("query_id", "v", "key", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+    )
+
+    def matrix(column) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dim).astype(np.float64)
 
     def search(held, asking):
-        out = []
+        out = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0),)]
         if len(held) and len(asking):
-            held = held.sort_values(["key", "block"], kind="stable")
-            keys, blocks = held["key"].to_numpy(), held["block"].to_numpy()
-            v, ids = np.stack(held["v"].to_numpy()), held["vec_id"].to_numpy()
-            starts = np.flatnonzero(np.append(True, (np.diff(keys) != 0) | (np.diff(blocks) != 0)))
-            ends = np.append(starts[1:], len(keys))
-            where = {(a, b): (s, e) for a, b, s, e in zip(keys[starts].tolist(), blocks[starts].tolist(), starts.tolist(), ends.tolist())}
-            for query_id, q, cells in zip(asking["query_id"], asking["v"], asking["cells"]):
+            key, part, ids, v = held.column("key").to_numpy(), held.column("block").to_numpy(), held.column("vec_id").to_numpy(), matrix(held.column("v"))
+            order = np.lexsort((part, key))
+            key, part, ids, v = key[order], part[order], ids[order], v[order]
+            starts = np.flatnonzero(np.append(True, (np.diff(key) != 0) | (np.diff(part) != 0)))
+            where = dict(zip(zip(key[starts].tolist(), part[starts].tolist()), zip(starts.tolist(), [*starts[1:].tolist(), len(key)])))
+            for query_id, q, cells in zip(asking.column("query_id").to_pylist(), matrix(asking.column("v")), asking.column("cells").to_pylist()):
                 spans = [where[c["key"], c["block"]] for c in cells if (c["key"], c["block"]) in where]
-                if not spans:
-                    continue
-                at = np.concatenate([np.arange(s, e) for s, e in spans])
-                near_ids, near = _closest(ids[at], v[at], q, query_id, k)
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": near_ids, "score": near}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-
-    found = dealt.select("key", "block", "vec_id", "v", task().alias("task")).groupBy("task").cogroup(wanted.groupBy("task")).applyInPandas(search, "query_id long, vec_id long, score double")
+                if spans:
+                    at = np.concatenate([np.arange(s, e) for s, e in spans])
+                    near_ids, near = _closest(ids[at], v[at], q, query_id, k)
+                    out.append((np.full(len(near), query_id), near_ids, near))
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query_id", "vec_id", "score"])
+
+    def found(held: DataFrame, asking: DataFrame) -> DataFrame:
+        """Vectors (key, block, vec_id, v) and queries (query_id, v, key, block) meet by task."""
+        lists = asking.select("*", task()).groupBy("task", "query_id").agg(F.first("v").alias("v"), F.collect_list(F.struct("key", "block")).alias("cells"))
+        return held.select("key", "block", "vec_id", "v", task()).groupBy("task").cogroup(lists.groupBy("task")).applyInArrow(search, "query_id long, vec_id long, score double")
+
     def ranked(rows: DataFrame) -> DataFrame:
         merged = rows.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))  # once, if several tables had it
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
         return merged.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
-    def search_all(held, asking):
-        out = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []})]
-        if len(held):
-            v, ids = np.stack(held["v"].to_numpy()), held["vec_id"].to_numpy()
-            for query_id, q in zip(asking["query_id"], asking["q"]):
-                near_ids, near = _closest(ids, v, q, query_id, k)
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": near_ids, "score": near}))
-        return pd.concat(out)
-
-    probed = ranked(found)
+    probed = staged.keep(ranked(found(dealt, wanted)))
     full = probed.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
-    fits = F.size("v") == dim
-    short = rows.where(F.col("asks") & fits).select("vec_id", "v").join(full, "vec_id", "left_anti")
+    short = staged.keep(rows.where(F.col("asks") & (F.size("v") == dim)).select("vec_id", "v").join(full, "vec_id", "left_anti"))
+    if short.isEmpty():
+        return probed
     parts = math.ceil(total / block)
-    asking = short.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-    held = rows.where(fits).select("vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part"))
-    rest = held.groupBy("part").cogroup(asking.groupBy("part")).applyInPandas(search_all, "query_id long, vec_id long, score double")
-    return ranked(probed.select("query_id", "vec_id", "score").unionByName(rest))
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("block")
+
+    def code(batches):
+        for b in batches:
+            ids, _, coded = _packed(b, dim, kind)
+            yield pa.RecordBatch.from_arrays([ids, coded], ["vec_id", "v"])
+
+    coded = lambda df: df.mapInArrow(code, "vec_id long, v binary")
+    asking = coded(short).select(F.col("vec_id").alias("query_id"), "v", F.lit(0).cast("long").alias("key"), everywhere)
+    held = coded(own).select(F.lit(0).cast("long").alias("key"), F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("block"), "vec_id", "v")
+    return ranked(probed.select("query_id", "vec_id", "score").unionByName(found(held, asking)))
 
 
 def _closest(ids: np.ndarray, v: np.ndarray, q: np.ndarray, query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:

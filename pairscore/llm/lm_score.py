@@ -26,9 +26,9 @@ from .near_dup import _Hashes, mix
 
 FOLDS, HELD_OUT, DELETED = 5, 1, 2
 #: Tokens of a chunk, and on average of a shard; rows of a chunk.
-CHUNK, SHARD, ROWS = 1_000_000, 1_800_000, 60_000
+CHUNK, SHARD, ROWS = 800_000, 1_600_000, 60_000
 #: Bytes of text for each shard of the words' counts.
-WORDS = 120_000_000
+WORDS = 60_000_000
 #: The most frequent words, a list of fixed bound whose counts all tasks know. As contexts they are coded by their place.
 FREQUENT = 65_535
 #: Context buckets are octaves of the context's count; estimates are binned by quarter octaves in the histogram.

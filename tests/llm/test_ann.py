@@ -60,3 +60,21 @@ def test_short_lists_are_completed(spark):
     rows = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x.astype(np.float32))], SCHEMA)
     got = nearest(rows, F.col("vec_id") == 400, block=150).orderBy("rank").collect()
     assert [r.vec_id for r in got] == [i for i, _ in exact(np.arange(401), x.astype(np.float32).astype(np.float64), 400)]
+
+
+def test_scattered_vectors_get_whole_lists(spark):
+    """A few far-out vectors among many: no query may come back with fewer than k."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((3000, 24))
+    x[rng.choice(3000, 150, replace=False)] *= 6
+    for kind in ("float", "double"):
+        rows = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], f"vec_id long, embedding array<{kind}>, label int")
+        got = nearest(rows, F.col("vec_id") % 100 == 0, block=400).collect()
+        held = x if kind == "double" else x.astype(np.float32).astype(np.float64)
+        hits = 0
+        for q in range(0, 3000, 100):
+            list_ = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+            assert [r for r, _, _ in list_] == list(range(1, 11))
+            assert all(abs(s - np.sqrt(((held[i] - held[q]) ** 2).sum())) < 1e-12 for _, i, s in list_)
+            hits += len({i for _, i, _ in list_} & {i for i, _ in exact(np.arange(3000), held, q)})
+        assert hits / 300 >= 0.9
