@@ -166,6 +166,13 @@ def _halve(pieces, last: int, window: int):
     return done
 
 
+def sliced(batches, rows: int = 1_000):
+    """Batches of fewer rows, so that what is made of one at a time is small."""
+    for b in batches:
+        for at in range(0, len(b), rows):
+            yield b.slice(at, rows)
+
+
 _TOKENS = "row long, doc_id long, n long, ids binary, df binary"
 
 
@@ -191,7 +198,7 @@ def tokens(docs: DataFrame, path: str, staged: Staged) -> DataFrame:
             values = [rows, ids, sizes, coded, counts or [None] * len(rows)]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
-        for b in batches:
+        for b in sliced(batches):
             sizes, coded = [], []
             gc.disable()  # encoding makes very many small objects and no cycles
             try:
@@ -262,7 +269,8 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, shard_tokens: int = S
         return (key << np.uint64(left) | mix(b.column("row").to_numpy().astype(np.uint64), 41) >> np.uint64(64 - left)).astype(np.int64)
 
     def weigh(batches):
-        for b in batches:
+        give_back()
+        for b in sliced(batches):
             if len(b):
                 yield pa.RecordBatch.from_arrays([pa.array(keyed(b)), b.column("n")], ["key", "n"])
 
@@ -272,7 +280,8 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, shard_tokens: int = S
     bounds = spark.sparkContext.broadcast(splitters)  # 8 bytes a range
 
     def sketch(batches):
-        for b in batches:
+        give_back()
+        for b in sliced(batches):
             if len(b):
                 key = keyed(b)
                 place = np.searchsorted(bounds.value, key, side="right").astype(np.int32)
