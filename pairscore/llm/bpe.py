@@ -14,6 +14,7 @@ lower case depends on no other, are split directly; for any other the library's
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -144,11 +145,21 @@ class ForcedCutEncoder:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
+def where(path: str) -> str:
+    """A vocabulary file here: the path itself or, where this machine has none there, the public tokenizers' file of that
+    name. Called on the worker, whose folders may be others than the driver's."""
+    if os.path.exists(path):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path(os.path.basename(path))
+
+
 @lru_cache(maxsize=1)
 def encoder(path: str) -> ForcedCutEncoder:
     """One encoder a worker process: what it remembers serves all batches of a task, and the next tasks' too, until another
     operator's task needs the memory."""
-    made = ForcedCutEncoder(path)
+    made = ForcedCutEncoder(where(path))
     _MADE.append(made)
     return made
 

@@ -50,3 +50,10 @@ def test_queries(spark, pair):
         want.append((doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(pair[1].decode(ids, skip_special_tokens=False).encode()).hexdigest()))
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert encode_documents(documents(spark, []), tokenizer_path()).collect() == []
+
+
+def test_the_vocabulary_is_found_where_the_worker_is(tmp_path):
+    from pairscore.llm.bpe import where
+
+    assert where(tokenizer_path()) == tokenizer_path()
+    assert where(f"/no/such/folder/{tokenizer_path().rsplit('/', 1)[1]}") == tokenizer_path()
