@@ -233,3 +233,17 @@ def test_generator_settings(tmp_path, monkeypatch):
     env.write_text("LOCAL_MODEL=m\nLOCAL_MODEL_PROVIDER=other\n")
     with pytest.raises(ValueError, match="other"):
         load_generator(env)
+
+
+def test_shared_folder_is_refused_on_a_cluster():
+    from types import SimpleNamespace as N
+
+    from pairscore.sources.shared import shared_dir
+
+    def session(master, named=None):
+        held = N(isDefined=lambda: False)
+        return N(conf=N(get=lambda key, default: named), sparkContext=N(master=master, _jsc=N(sc=lambda: N(getCheckpointDir=lambda: held))))
+
+    assert shared_dir(session("spark://host:7077", "hdfs://x/y/")) == "hdfs://x/y"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session("spark://host:7077"))
