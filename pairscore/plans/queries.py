@@ -20,7 +20,7 @@ from ..schemas import ENTITY, ERROR_TYPES, LEVELS
 from ..sources.gold import read_gold
 from ..sources.markdown import load_markdown
 from ..sources.models import ListingModel, StubModel, extract, generate_answers, score_answers
-from ..sources.shared import shared_dir
+from ..sources.shared import shared_dir, spread
 from ..sources.sinks import METRICS, chunk_json, json_line, pair_eval_json, report_markdown, write_lines, write_report
 from .pipeline import judge_candidates, summarize
 from .prompts import _EXTRACTION, _JUDGE, _QUESTION, EXTRACTION_SYSTEM, JUDGE_SYSTEM, extraction_prompt_column, judge_prompt_column, question_prompt_column
@@ -90,11 +90,11 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_lines(spark, sf_dir):
-    return chunking.document_lines(table(spark, sf_dir, "documents"))
+    return chunking.document_lines(spread(table(spark, sf_dir, "documents")))
 
 
 def chunk_documents(spark, sf_dir):
-    return chunking.chunk_documents(table(spark, sf_dir, "documents")).select("doc_id", "chunk_idx", "chunk_id", "page_hint", F.size("title_path").alias("titles"), "text")
+    return chunking.chunk_documents(spread(table(spark, sf_dir, "documents"))).select("doc_id", "chunk_idx", "chunk_id", "page_hint", F.size("title_path").alias("titles"), "text")
 
 
 def chunk_page_title(spark, sf_dir):
@@ -111,7 +111,7 @@ def hard_split(spark, sf_dir):
 
 def _token_counts(spark, sf_dir):
     """Words of any script's letters, and how many documents have them."""
-    words = table(spark, sf_dir, "documents").select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\p{L}{2,})"), F.lit(1)))).alias("token"))
+    words = spread(table(spark, sf_dir, "documents").select("text")).select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\p{L}{2,})"), F.lit(1)))).alias("token"))
     return words.groupBy("token").agg(F.count("*").alias("docs"))
 
 
@@ -141,7 +141,7 @@ def parse_responses(spark, sf_dir):
     entity = F.concat(F.lit('{"name":"e'), i, F.lit('","attributes":{"k":"'), k, F.lit('"},"evidence":[{"page":"1","text":"t"}]}'))
     whole = F.concat(F.lit('{"entities":['), entity, F.lit(',7,{"name":1}]}'))
     raw = F.when(i % 5 == 0, whole).when(i % 5 == 1, F.concat(F.lit("```json\n"), whole, F.lit("\n```"))).when(i % 5 == 2, F.concat(F.lit("Here: "), whole, F.lit(" done"))).when(i % 5 == 3, F.concat(F.lit("["), entity, F.lit("]"))).otherwise("no object")
-    parsed = table(spark, sf_dir, "events").select("event_id", parse_response(raw).alias("p"))
+    parsed = spread(table(spark, sf_dir, "events").select("event_id", "props")).select("event_id", parse_response(raw).alias("p"))
     one = F.get("p.entities", F.lit(0))
     return parsed.select("event_id", F.size("p.entities").alias("n"), one["name"].alias("name"), one["attributes"]["k"].alias("k"), "p.error")
 
@@ -411,7 +411,7 @@ def chunk_headed(spark, sf_dir):
     """Documents with headings and page markers, chunked."""
     head = F.concat(F.lit("# "), F.col("lang"), F.lit("\n第 "), F.col("doc_id") % 50 + 1, F.lit(" 页\n## "), F.col("source"), F.lit("\n"))
     text = F.concat(head, F.col("text"), F.lit("\n--- "), F.col("doc_id") % 7 + 60, F.lit(" 页 ---\n#### End\n"), F.col("text"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", text.alias("text"))
     return chunking.chunk_documents(docs).select("doc_id", "chunk_idx", "chunk_id", "page_hint", F.array_join("title_path", " > ").alias("titles"), "text")
 
 

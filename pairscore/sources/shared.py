@@ -1,10 +1,10 @@
-"""The folder that the driver and all executors share."""
+"""What a session offers: the folder that the driver and all executors share, and its cores."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -20,3 +20,12 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="pairscore-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows, dealt to all cores if they come in fewer partitions, as from a file of one row group. Tables of many
+    splits are left as they are, without an exchange."""
+    plan, cores = df._jdf.queryExecution().executedPlan(), df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in plan.toString() or df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
