@@ -312,6 +312,14 @@ def _folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/pairscore-{uuid.uuid4().hex}"
 
 
+def _scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Scores and chunks as tables, as a run keeps them: a report reads them several times."""
+    path = _folder(spark)
+    for name, df in (("scores", evaluated(spark, sf_dir).select("doc_id", "chunk_idx", "chunk_id", "reference_source", *LEVELS, "errors")), ("chunks", slices(spark, sf_dir).select("doc_id", "chunk_idx"))):
+        df.write.parquet(f"{path}/{name}")
+    return spark.read.parquet(f"{path}/scores"), spark.read.parquet(f"{path}/chunks")
+
+
 def markdown_files(spark, sf_dir):
     """A Markdown file per nation, with the line ends of three systems, read back."""
     path = _folder(spark)
@@ -368,15 +376,15 @@ def jsonl_written(spark, sf_dir):
 
 def report_lines(spark, sf_dir):
     """The report in Markdown, line by line."""
-    summary = summarize(evaluated(spark, sf_dir), slices(spark, sf_dir), input_md="documents", output_dir="out", model_a="teacher", model_b="student")
+    summary = summarize(*_scores(spark, sf_dir), input_md="documents", output_dir="out", model_a="teacher", model_b="student")
     return spark.createDataFrame(list(enumerate(report_markdown(summary).split("\n"))), "line_no int, line string")
 
 
 def report_file(spark, sf_dir):
     """The report's JSON file, read back."""
-    path, done = _folder(spark), evaluated(spark, sf_dir)
+    path, (done, chunks) = _folder(spark), _scores(spark, sf_dir)
     counted = report.chunk_errors(ev.error_rows(done))
-    write_report(spark, path, summarize(done, slices(spark, sf_dir), input_md="documents"), report.ordered_chunk_errors(counted))
+    write_report(spark, path, summarize(done, chunks, input_md="documents"), report.ordered_chunk_errors(counted))
     back = F.from_json("value", "input_md string, chunk_count bigint, errors_by_type map<string,bigint>, chunk_errors array<struct<chunk_id:string,error_type:string,count:bigint>>")
     told = spark.read.text(path, wholetext=True).select(back.alias("r"))
     total = F.aggregate("r.chunk_errors.count", F.lit(0).cast("bigint"), lambda a, b: a + b)
