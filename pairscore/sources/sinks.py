@@ -53,8 +53,13 @@ def write_pieces(spark: SparkSession, path: str, pieces: Iterable[str]) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
     try:
+        held = bytearray()
         for piece in pieces:
-            out.write(bytearray(piece.encode("utf-8")))
+            held += piece.encode("utf-8")
+            if len(held) >= 1 << 20:  # a call to the file system for many pieces
+                out.write(held)
+                held = bytearray()
+        out.write(held)
     finally:
         out.close()
 
