@@ -20,6 +20,7 @@ from ..schemas import CHUNK
 MIN_CHARS, MAX_CHARS = 1500, 3000
 _PAGES = tuple(re.compile(p, re.I) for p in PAGE_PATTERNS)
 _HEADING = re.compile(HEADING_PATTERN)
+# Fixed value: what separates paragraphs.
 _BLANK_RUN = re.compile(r"(\n\s*\n)")
 
 

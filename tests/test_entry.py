@@ -34,22 +34,23 @@ def test_query_matches_sql(spark, duck, name):
     assert told(got.select(*columns).collect()) == told(want.select(*[f'"{c}"' for c in columns]).fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
-def test_query_runs(spark, name):
-    assert QUERIES[name](spark, SF).count() > 0
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 def test_greedy_matching_by_hand(spark):
     from pairscore.plans.queries import _shared_aliases
 
-    for row in _shared_aliases(spark, SF).collect()[:200]:
+    got = {}
+    for r in QUERIES["match_greedy"](spark, SF).orderBy("ref_pos").collect():
+        got.setdefault(r.doc_id, []).append(r.pred_pos)
+    for row in _shared_aliases(spark, SF).collect():
         used, want = set(), []
         for r in row.ref:
             j = next((j for j, p in enumerate(row.pred) if j not in used and set(r["keys"]) & set(p["keys"])), -1)
             used.add(j)
             want.append(j)
-        got = QUERIES["match_greedy"](spark, SF).where(f"doc_id = {row.doc_id}").orderBy("ref_pos").collect() if row.doc_id < 3 else None
-        assert got is None or [g.pred_pos for g in got] == want
+        assert got[row.doc_id] == want
 
 
 def test_without_the_optional_part():
