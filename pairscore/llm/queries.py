@@ -16,6 +16,7 @@ from .license_scan import BASE, TEMPLATES, license_scan, step_of
 from .lm_score import lm_score
 from .near_dup import near_duplicates
 from .packing import pack
+from .point_in_time import micros, point_in_time
 from .quality import fit_quality, fold, score_quality
 
 WORD_BPE = "word_bpe_49k.json"
@@ -84,6 +85,14 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("conv_id", "n_turns", "turns_sha256", F.length(text).cast("long").alias("loss_chars"), F.sha2(text, 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op11_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sales = table(spark, sf_dir, "sales")
+    late = F.pmod(F.crc32(F.col("sale_id").cast("string").cast("binary")), F.lit(259_200)) * 1_000_000
+    moments = sales.select(F.col("client_id").alias("client"), F.col("sale_id").alias("id"), (micros(sales, "sold_at") + late).alias("t_us"))
+    found = point_in_time(moments, table(spark, sf_dir, "clicks"), sales, table(spark, sf_dir, "sale_lines"))
+    return found.withColumnRenamed("id", "sale_id")
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_near_dup": op2_near_dup,
@@ -95,6 +104,7 @@ QUERIES = {
     "op8_lm_score": op8_lm_score,
     "op9_quality": op9_quality,
     "op10_chat_format": op10_chat_format,
+    "op11_point_in_time": op11_point_in_time,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -114,7 +124,26 @@ def _template_words() -> str:
     return ", ".join(rows)
 
 
+# CRC-32 of the decimal text of a whole number
+_CRC = """(xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+    lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295))"""
+
 SQL = {
+    "op11_point_in_time": f"""
+        WITH m AS (SELECT sale_id, client_id, epoch_us(sold_at) + {_CRC.format('sale_id')} % 259200 * 1000000 AS t FROM sales
+                   WHERE client_id IS NOT NULL AND sold_at IS NOT NULL AND sale_id IS NOT NULL),
+        w(d, len) AS (VALUES (2, 172800000000), (14, 1209600000000)),
+        s AS (SELECT sale_id, client_id, epoch_us(sold_at) AS ts, epoch_us(arrived_at) + 14400000000 AS known, CAST(coalesce(floor(100 * total + 0.5), 0) AS BIGINT) AS cents FROM sales WHERE sold_at IS NOT NULL),
+        c AS (SELECT client_id, epoch_us(ts) AS ts, epoch_us(arrived_at) + 14400000000 AS known, click_id, kind, CAST(coalesce(floor(100 * "value" + 0.5), 0) AS BIGINT) AS cents FROM (SELECT DISTINCT * FROM clicks)),
+        l AS (SELECT s.client_id, s.ts, greatest(s.known, epoch_us(shipped_at)) AS known, item_id, CAST(coalesce(floor(100 * amount + 0.5), 0) AS BIGINT) AS cents FROM sale_lines JOIN s USING (sale_id) WHERE shipped_at IS NOT NULL AND s.known IS NOT NULL),
+        fc AS (SELECT m.sale_id, d, count(*) AS n_clicks, count(*) FILTER (WHERE kind = 'purchase') AS n_purchases, sum(cents)::BIGINT AS click_cents, max({{'a': c.ts, 'b': click_id}}).b AS last_click_id
+               FROM m, w, c WHERE c.client_id = m.client_id AND c.ts <= t AND c.ts > t - len AND c.known <= t GROUP BY ALL),
+        fs AS (SELECT m.sale_id, d, count(*) AS n_sales, sum(cents)::BIGINT AS sale_cents FROM m, w, s WHERE s.client_id = m.client_id AND s.ts <= t AND s.ts > t - len AND s.known <= t GROUP BY ALL),
+        fl AS (SELECT m.sale_id, d, count(*) AS n_lines, count(DISTINCT item_id) AS n_items, sum(cents)::BIGINT AS line_cents FROM m, w, l WHERE l.client_id = m.client_id AND l.ts <= t AND l.ts > t - len AND l.known <= t GROUP BY ALL)
+        SELECT m.sale_id, w.d, m.t AS t_us, EXISTS (SELECT 1 FROM s WHERE s.client_id = m.client_id AND s.ts > m.t AND s.ts <= m.t + 604800000000) AS label,
+               coalesce(n_clicks, 0) AS n_clicks, coalesce(n_purchases, 0) AS n_purchases, coalesce(click_cents, 0) AS click_cents, last_click_id,
+               coalesce(n_sales, 0) AS n_sales, coalesce(sale_cents, 0) AS sale_cents, coalesce(n_lines, 0) AS n_lines, coalesce(n_items, 0) AS n_items, coalesce(line_cents, 0) AS line_cents
+        FROM m CROSS JOIN w LEFT JOIN fc ON fc.sale_id = m.sale_id AND fc.d = w.d LEFT JOIN fs ON fs.sale_id = m.sale_id AND fs.d = w.d LEFT JOIN fl ON fl.sale_id = m.sale_id AND fl.d = w.d""",
     "op1_license_scan": f"""
         WITH w AS (SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS ws FROM documents),
         tok AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM w),
