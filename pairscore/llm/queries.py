@@ -12,11 +12,13 @@ from .chat_format import examples, format_conversations, read_turns, reply
 from .common import table
 from .exact_dedup import exact_dedup
 from .html_extract import extract_pages
+from .language_id import HELD_OUT, fit_languages, fold as language_fold, identify
 from .license_scan import BASE, TEMPLATES, license_scan, step_of
 from .lm_score import lm_score
 from .near_dup import near_duplicates
 from .packing import pack
 from .point_in_time import micros, point_in_time
+from .prefix_trie import prefix_trie, rebuilt, turn_lists
 from .quality import fit_quality, fold, score_quality
 
 WORD_BPE = "word_bpe_49k.json"
@@ -93,6 +95,16 @@ def op11_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "sale_id")
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(language_fold(F.col("doc_id")) == HELD_OUT, F.lit(False))
+    return identify(docs, fit_languages(docs)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(rebuilt(turn_lists(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_near_dup": op2_near_dup,
@@ -105,6 +117,8 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_chat_format": op10_chat_format,
     "op11_point_in_time": op11_point_in_time,
+    "op12_language_id": op12_language_id,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -144,6 +158,19 @@ SQL = {
                coalesce(n_clicks, 0) AS n_clicks, coalesce(n_purchases, 0) AS n_purchases, coalesce(click_cents, 0) AS click_cents, last_click_id,
                coalesce(n_sales, 0) AS n_sales, coalesce(sale_cents, 0) AS sale_cents, coalesce(n_lines, 0) AS n_lines, coalesce(n_items, 0) AS n_items, coalesce(line_cents, 0) AS line_cents
         FROM m CROSS JOIN w LEFT JOIN fc ON fc.sale_id = m.sale_id AND fc.d = w.d LEFT JOIN fs ON fs.sale_id = m.sale_id AND fs.d = w.d LEFT JOIN fl ON fl.sale_id = m.sale_id AND fl.d = w.d""",
+    "op13_prefix_trie": f"""
+        WITH conv AS (SELECT conv_id AS c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS ts
+                      FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        cut AS (SELECT c, ts, c - c % 100 AS p, {_CRC.format('c')} % 6 AS h FROM conv),
+        r AS (SELECT cut.c, list_concat(coalesce(head.ts[1 : h], []), cut.ts[h + 1 :]) AS ts FROM cut LEFT JOIN conv head ON head.c = cut.p),
+        begun AS (SELECT c, unnest(range(0, len(ts) + 1)) AS d, ts FROM r),
+        node AS (SELECT ts[1 : d] AS p, d, min(c) AS conv_id, count(*) AS n, (count(*) - 1) * coalesce(any_value(length(ts[d].t)), 0) AS own,
+                        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(ts) = d), '')) AS ends FROM begun GROUP BY ts[1 : d], d),
+        child AS (SELECT p[1 : d - 1] AS p, d - 1 AS d, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+        told AS (SELECT node.*, coalesce(child.n, 0) AS n_children FROM node LEFT JOIN child ON child.p = node.p AND child.d = node.d),
+        below AS (SELECT p[1 : k] AS p, k AS d, sum(own) AS saved, count(*) FILTER (n_children = 0) AS leaves FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM told) GROUP BY ALL)
+        SELECT told.conv_id, told.d AS depth, above.conv_id AS parent_conv_id, told.n AS n_convs, told.n_children, leaves AS n_leaves, saved::BIGINT AS saved_tokens, told.ends AS ends_sha256
+        FROM told JOIN below ON below.p = told.p AND below.d = told.d LEFT JOIN node above ON above.p = told.p[1 : told.d - 1] AND above.d = told.d - 1""",
     "op1_license_scan": f"""
         WITH w AS (SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS ws FROM documents),
         tok AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM w),
