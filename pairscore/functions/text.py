@@ -1,5 +1,6 @@
-"""Text normalisation, as column expressions where Spark has them and as Arrow functions where it has not (NFKC, full
-case folding). The ``exact=False`` forms stay in the JVM and agree with the exact ones on ASCII input."""
+"""Text normalisation. What a column expression can decide stays in the JVM: strings of characters that NFKC and case
+folding treat simply (``SIMPLE``). Only the others go to Python's tables, by an Arrow function, each once a row. The
+``exact=False`` forms take every string as a simple one; they agree with the exact ones on ASCII input."""
 
 import unicodedata
 
@@ -27,6 +28,9 @@ _DASHES = str.maketrans("－—–", "---")
 #: The line boundaries of Python's splitlines, and Unicode white space, as Java patterns.
 LINE_END = r"\r\n|[\n\r\x0B\f\x1C-\x1E\x85  ]"
 _SPACE = r"[\s\x1C-\x1F\x85\p{Z}]"
+#: Strings that NFKC leaves as they are, now and together with any neighbours, and of which ``lower`` is the case folding:
+#: ASCII, the letters of Latin-1 without the sharp s, Russian letters, dashes, kana and ideographs.
+SIMPLE = r"^[\x00-\x7F\u00C0-\u00D6\u00D8-\u00DE\u00E0-\u00F6\u00F8-\u00FF\u0410-\u044F\u2013\u2014\u3001\u3002\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FFF]*+\z"
 
 
 def plain(value: str | None) -> str:
@@ -55,17 +59,6 @@ def _arrays(fn, values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else [one(x) for x in v])
 
 
-def _nested(fn, values: pd.Series) -> pd.Series:
-    known: dict[str | None, str] = {}
-
-    def one(x):
-        if x not in known:
-            known[x] = fn(x)
-        return known[x]
-
-    return values.map(lambda v: None if v is None else [[one(x) for x in inner] for inner in v])
-
-
 @F.pandas_udf(ArrayType(StringType()))
 def _folded_arrays(values: pd.Series) -> pd.Series:
     return _arrays(folded, values)
@@ -90,13 +83,8 @@ def _ascii_folded(x: Column) -> Column:
     return F.lower(F.regexp_replace(F.coalesce(x, F.lit("")), r"[\s\x1C-\x1F]+", ""))
 
 
-def fold_all(values: Column, exact: bool = True) -> Column:
-    """The comparison forms of an array of strings."""
-    return _folded_arrays(values) if exact else F.transform(values, _ascii_folded)
-
-
-def plain_all(values: Column, exact: bool = True) -> Column:
-    return _plain_arrays(values) if exact else F.transform(values, lambda x: trim(F.coalesce(x, F.lit(""))))
+def _simple_folded(x: Column) -> Column:
+    return F.lower(F.translate(F.regexp_replace(x, r"[\s\x1C-\x1F]+", ""), "—–", "--"))
 
 
 def _relation_or(text: Column, otherwise: Column) -> Column:
@@ -106,33 +94,61 @@ def _relation_or(text: Column, otherwise: Column) -> Column:
     return found.otherwise(otherwise)
 
 
-def relation_all(values: Column, exact: bool = True) -> Column:
-    """Canonical relation names of an array of phrases."""
-    return _relation_arrays(values) if exact else F.transform(values, lambda x: _relation_or(x, _ascii_folded(x)))
+# Else the optimizer may put one such call into the arguments of another, of which it then evaluates only the inner one.
+_folded_arrays, _plain_arrays, _relation_arrays = (f.asNondeterministic() for f in (_folded_arrays, _plain_arrays, _relation_arrays))
 
 
-@F.pandas_udf(ArrayType(ArrayType(StringType())))
-def _folded_lists(values: pd.Series) -> pd.Series:
-    return _nested(folded, values)
+def is_simple(x: Column) -> Column:
+    """Whether a string needs no table of Unicode's: all its characters are of SIMPLE."""
+    return x.rlike(SIMPLE)
 
 
-@F.pandas_udf(ArrayType(ArrayType(StringType())))
-def _relation_lists(values: pd.Series) -> pd.Series:
-    return _nested(relation_name, values)
+def _hybrid(values: Column, simple, others) -> Column:
+    """An array of arrays of strings, with ``simple`` (a column function) applied to each simple string in place and
+    ``others`` (a Python function of a list) to a row's distinct strings that are not, which are none in most rows."""
+    strings = F.flatten(F.filter(values, lambda v: v.isNotNull()))
+    odd = F.array_distinct(F.filter(strings, lambda x: x.isNotNull() & ~is_simple(x)))
+    done = F.struct(values.alias("values"), odd.alias("odd"), others(odd).alias("done"))
 
+    def one(x: Column, told: Column) -> Column:
+        return F.when(x.isNull() | is_simple(x), simple(F.coalesce(x, F.lit("")))).otherwise(F.get(told["done"], (F.array_position(told["odd"], x) - 1).cast("int")))
 
-# Filters that the optimizer infers would else carry these into places where no Python function can be evaluated.
-_folded_lists, _relation_lists = _folded_lists.asNondeterministic(), _relation_lists.asNondeterministic()
+    # the struct is an array's one element, so that it is computed once a row
+    return F.get(F.transform(F.array(done), lambda told: F.transform(told["values"], lambda v: F.transform(v, lambda x: one(x, told)))), F.lit(0))
 
 
 def fold_lists(values: Column, exact: bool = True) -> Column:
     """The comparison forms of an array of arrays of strings."""
-    return _folded_lists(values) if exact else F.transform(values, lambda v: F.transform(v, _ascii_folded))
+    return _hybrid(values, _simple_folded, _folded_arrays) if exact else F.transform(values, lambda v: F.transform(v, _ascii_folded))
+
+
+def plain_lists(values: Column, exact: bool = True) -> Column:
+    """NFKC and trimmed, of an array of arrays of strings."""
+    return _hybrid(values, trim, _plain_arrays) if exact else F.transform(values, lambda v: F.transform(v, lambda x: trim(F.coalesce(x, F.lit("")))))
 
 
 def relation_lists(values: Column, exact: bool = True) -> Column:
     """Canonical relation names of an array of arrays of phrases."""
-    return _relation_lists(values) if exact else F.transform(values, lambda v: F.transform(v, lambda x: _relation_or(x, _ascii_folded(x))))
+    named = lambda fold: lambda x: _relation_or(x, fold(x))
+    return _hybrid(values, named(_simple_folded), _relation_arrays) if exact else F.transform(values, lambda v: F.transform(v, named(_ascii_folded)))
+
+
+def _one_list(of_lists):
+    return lambda values, exact: F.get(of_lists(F.array(values), exact), F.lit(0))
+
+
+def fold_all(values: Column, exact: bool = True) -> Column:
+    """The comparison forms of an array of strings."""
+    return _one_list(fold_lists)(values, exact)
+
+
+def plain_all(values: Column, exact: bool = True) -> Column:
+    return _one_list(plain_lists)(values, exact)
+
+
+def relation_all(values: Column, exact: bool = True) -> Column:
+    """Canonical relation names of an array of phrases."""
+    return _one_list(relation_lists)(values, exact)
 
 
 def normalize_text(col: Column, exact: bool = True) -> Column:

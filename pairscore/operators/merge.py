@@ -1,13 +1,25 @@
-"""Merging what one model found in a chunk: entities of the same name become one."""
+"""Merging what one model found in a chunk: entities of the same name become one.
+
+A chunk's entities are one list in one row, and all of it happens there: the list is sorted by the names' comparison form,
+runs of one name are cut out as slices, each run becomes an entity, and these return to the order of their first ones.
+Nothing is exploded, grouped or joined, so merging needs no exchange of its own; its work is that of the sort.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import fold_all, plain_all, trim
+from ..functions.text import fold_lists, plain_lists, trim
 from ..schemas import DEFAULT_TYPE, ENTITY
 
 KEYS = ("doc_id", "chunk_idx")
+PLACED = f"array<struct<pos:int,e:{ENTITY}>>"
+
+
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: an expression that lambdas mention is else put into them by the
+    optimizer and computed again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _sliced(all_: Column, sizes: list[Column]) -> list[Column]:
@@ -19,58 +31,69 @@ def _sliced(all_: Column, sizes: list[Column]) -> list[Column]:
     return out
 
 
-def exploded(extractions: DataFrame, keys=KEYS) -> DataFrame:
-    """One row per entity, ``pos`` its place in the list, ``e`` the entity."""
-    return extractions.select(*keys, F.posexplode("entities").alias("pos", "e"))
+def runs(items: Column, key: str) -> Column:
+    """A list of structs as a list of its runs, one for each value of the field ``key``, by that value. Within a run the
+    order is the list's."""
+    placed = F.transform(items, lambda x, i: F.struct(x[key].alias("k"), i.alias("i"), x.alias("x")))
+
+    def cut(ordered: Column) -> Column:
+        ordinal = F.transform(ordered, lambda _, i: i)
+        begins = F.filter(ordinal, lambda i: (i == 0) | ~F.get(ordered["k"], i).eqNullSafe(F.get(ordered["k"], i - 1)))
+        return bind(F.concat(begins, F.array(F.size(ordered))), lambda at: F.transform(
+            F.slice(at, 1, F.size(at) - 1), lambda b, j: F.transform(F.slice(ordered, b + 1, F.get(at, j + 1) - b), lambda y: y["x"])))
+
+    return bind(F.array_sort(placed), cut)
+
+
+def _last_values(entries: Column) -> Column:
+    """A map from a list of (key, value): of equal keys the last value, in the place of the first."""
+    ends = F.transform(runs(F.transform(entries, lambda a, i: F.struct(a["key"].alias("key"), a["value"].alias("value"), i.alias("i"))), "key"), lambda r: F.struct(
+        F.get(r, F.lit(0))["i"].alias("i"), F.get(r, F.lit(0))["key"].alias("key"), F.element_at(r, -1)["value"].alias("value")))
+    return bind(F.array_sort(ends), lambda e: F.map_from_arrays(e["key"], e["value"]))
 
 
-def merge_exploded(rows: DataFrame, exact: bool = True, keys=KEYS) -> DataFrame:
-    """``keys, pos, e``: entities merged by the comparison form of their name.
+def with_merged(rows: DataFrame, column: str, name: str, exact: bool = True) -> DataFrame:
+    """``rows`` with, as ``name``, the list of entities in ``column`` as a list of (pos, e): entities merged by the
+    comparison form of their name, ``pos`` the place of the first one. A null list is as an empty one.
 
     Left out are entities with a blank name or no evidence, blank aliases, and attributes with a blank key or value. The
     first entity gives name and place; the type is the first that is not the default; aliases are the sorted union; of
     one attribute the last value counts; relations and evidence are appended, repeats too.
     """
     blank = lambda x: trim(x) == ""
-    usable = rows.where(~blank(F.col("e.name")) & (F.size("e.evidence") > 0))
-    entries = F.filter(F.map_entries("e.attributes"), lambda a: ~blank(a["key"]) & ~blank(a["value"]))
-    parts = usable.select(*keys, "pos", "e", F.filter("e.aliases", lambda a: ~blank(a)).alias("aliases"), entries.alias("entries"))
-    texts = F.concat(F.array("e.name"), F.col("aliases"), F.col("entries.key"), F.col("entries.value"))
-    told = parts.withColumn("texts", plain_all(texts, exact))
-    name, aliases, names, values = _sliced(F.col("texts"), [F.lit(1), F.size("aliases"), F.size("entries"), F.size("entries")])
-    clean = told.select(
-        *keys, "pos", name[0].alias("name"), aliases.alias("aliases"), F.arrays_zip(names.alias("key"), values.alias("value")).alias("attributes"),
-        F.col("e.type").alias("type"), F.col("e.relations").alias("relations"), F.col("e.evidence").alias("evidence"),
-    )
-    keyed = clean.withColumn("key", F.element_at(fold_all(F.array("name"), exact), 1))
-    ordered = lambda c: F.flatten(F.array_sort(F.collect_list(F.struct("pos", c)))[c])
-    special = F.col("type") != DEFAULT_TYPE
-    merged = keyed.groupBy(*keys, "key").agg(
-        F.min("pos").alias("pos"),
-        F.min_by("name", "pos").alias("name"),
-        F.coalesce(F.min_by("type", F.when(special, F.col("pos"))), F.lit(DEFAULT_TYPE)).alias("type"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("aliases")))).alias("aliases"),
-        ordered("attributes").alias("attributes"),
-        ordered("relations").alias("relations"),
-        ordered("evidence").alias("evidence"),
-    )
-    attribute_names = F.array_distinct("attributes.key")
-    last = lambda k: F.element_at(F.filter("attributes", lambda a: a["key"] == k), -1)["value"]
-    attributes = F.map_from_arrays(attribute_names, F.transform(attribute_names, last))
-    entity = F.struct("name", "type", "aliases", attributes.alias("attributes"), "relations", "evidence").cast(ENTITY)
-    return merged.select(*keys, "pos", entity.alias("e"))
-
-
-def collected(rows: DataFrame, keys=KEYS, name: str = "entities") -> DataFrame:
-    """The list per chunk again, in order."""
-    in_order = F.array_sort(F.collect_list(F.struct("pos", "e")), lambda a, b: a["pos"] - b["pos"])
-    return rows.groupBy(*keys).agg(F.transform(in_order, lambda x: x["e"]).alias(name))
-
-
-def normalize_extractions(extractions: DataFrame, exact: bool = True, keys=KEYS) -> DataFrame:
-    """Extractions with merged entities; a chunk that loses all keeps an empty list. One exchange by chunk serves the
-    merging, the collecting and the join."""
-    placed = extractions.repartition(*keys)
-    merged = collected(merge_exploded(exploded(placed, keys), exact, keys), keys, "merged")
-    out = placed.join(merged, list(keys), "left")
-    return out.withColumn("entities", F.coalesce("merged", F.array().cast(f"array<{ENTITY}>"))).select(*extractions.columns)
+    given = F.coalesce(F.col(column), F.array().cast(f"array<{ENTITY}>"))
+    placed = F.transform(given, lambda e, i: F.struct(
+        i.alias("pos"), e["name"].alias("name"), e["type"].alias("type"), F.filter(e["aliases"], lambda a: ~blank(a)).alias("aliases"),
+        F.filter(F.map_entries(e["attributes"]), lambda a: ~blank(a["key"]) & ~blank(a["value"])).alias("entries"),
+        e["relations"].alias("relations"), e["evidence"].alias("evidence")))
+    own = "_usable_entities"
+    told = rows.withColumn(own, F.filter(placed, lambda x: ~blank(x["name"]) & (F.size(x["evidence"]) > 0)))
+    texts = plain_lists(F.transform(own, lambda x: F.concat(F.array(x["name"]), x["aliases"], x["entries"]["key"], x["entries"]["value"])), exact)
+    keys = F.flatten(fold_lists(F.transform(own, lambda x: F.array(x["name"])), exact))
+    in_order = lambda found: F.array_sort(found, lambda a, b: a["pos"] - b["pos"])
+    found = bind(F.arrays_zip(F.col(own).alias("x"), texts.alias("told"), keys.alias("key")), lambda all_: in_order(F.transform(runs(F.transform(all_, _clean), "key"), _one)))
+    return told.withColumn(name, found.cast(PLACED)).drop(own)
+
+
+def _clean(y: Column) -> Column:
+    """An entity with its strings as normalised, and the key it is merged by."""
+    x, n = y["x"], F.size(y["x"]["entries"])
+    name, aliases, names, values = _sliced(y["told"], [F.lit(1), F.size(x["aliases"]), n, n])
+    return F.struct(
+        y["key"].alias("key"), x["pos"].alias("pos"), F.get(name, F.lit(0)).alias("name"), x["type"].alias("type"), aliases.alias("aliases"),
+        F.arrays_zip(names.alias("key"), values.alias("value")).alias("attributes"), x["relations"].alias("relations"), x["evidence"].alias("evidence"))
+
+
+def _one(run: Column) -> Column:
+    """Entities of one name as one."""
+    first, special = F.get(run, F.lit(0)), F.filter(run["type"], lambda t: t != DEFAULT_TYPE)
+    entity = F.struct(
+        first["name"].alias("name"), F.coalesce(F.get(special, F.lit(0)), F.lit(DEFAULT_TYPE)).alias("type"), F.array_sort(F.array_distinct(F.flatten(run["aliases"]))).alias("aliases"),
+        _last_values(F.flatten(run["attributes"])).alias("attributes"), F.flatten(run["relations"]).alias("relations"), F.flatten(run["evidence"]).alias("evidence"))
+    return F.struct(first["pos"].alias("pos"), entity.alias("e"))
+
+
+def normalize_extractions(extractions: DataFrame, exact: bool = True) -> DataFrame:
+    """Extractions with merged entities, row by row; a chunk that loses all keeps an empty list."""
+    done = with_merged(extractions, "entities", "_merged_entities", exact)
+    return done.withColumn("entities", F.transform("_merged_entities", lambda x: x["e"])).select(*extractions.columns)
