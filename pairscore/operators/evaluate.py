@@ -7,12 +7,12 @@ fold over the reference with the list of those taken as its state.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.metrics import level_metrics
 from ..functions.text import fold_lists, relation_lists
 from ..schemas import ENTITY, ERROR, ERROR_TYPES, LEVELS
-from .merge import KEYS, _sliced
+from .merge import KEYS, _sliced, bind
 
 _ATTRIBUTE = "struct<key:string,value:string,n_key:string,n_value:string>"
 _RELATION = "struct<relation:string,target:string,target_keys:array<string>>"
@@ -77,12 +77,6 @@ def _errors(kind: str, items: Column, *fields) -> Column:
     return F.transform(items, lambda x, i: F.struct(F.lit(kind).alias("error_type"), i.alias("seq"), payload(x).alias("payload")))
 
 
-def bind(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once: an expression that lambdas mention is else put into them by the
-    optimizer and computed again for each element."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _links(side: Column) -> Column:
     """All relations of a side with their subject's keys, in order."""
     of = lambda e: lambda r: F.struct(e["name"].alias("subject"), e["keys"].alias("keys"), r["relation"].alias("relation"), r["target"].alias("target"), r["target_keys"].alias("target_keys"))
@@ -165,13 +159,14 @@ def score_lists(pairs: DataFrame) -> DataFrame:
 def choose_reference(b: DataFrame, a: DataFrame, gold: DataFrame | None = None, keys=KEYS) -> DataFrame:
     """The chunks of ``b`` with ``ref_entities``: the gold list where a chunk has one that is not empty, else the list
     of ``a``, else none. ``reference_source`` is "gold" for all chunks once there is any gold record;
-    ``reference_actual`` tells it row by row. Of repeated chunks the one of the largest ``line_no`` counts, where there is
-    such a column, else the one with the longest list, ties by its hash.
+    ``reference_actual`` tells it row by row. A chunk that is repeated on either side, or in gold, counts once: of its rows
+    the one with the largest ``seq`` (``line_no`` in gold), where there is such a column.
 
     A chunk_id is unique within a document only, so gold records belong to (doc_id, chunk_id). Those without a doc_id are
     for the only document of ``b``; with several documents they raise ValueError."""
     nothing = F.array().cast(f"array<{ENTITY}>")
-    out = b.join(_last(a, keys).withColumnRenamed("entities", "a_entities"), list(keys), "left")
+    of_a = _last(a, keys).select(*keys, F.col("entities").alias("a_entities"))
+    out = _last(b, keys).join(of_a, list(keys), "left")
     if gold is None:
         return out.withColumn("ref_entities", F.coalesce("a_entities", nothing)).withColumn("reference_source", F.lit("model_a_pseudo_gold")).withColumn("reference_actual", F.lit("model_a")).drop("a_entities")
     known = _last(_keyed(gold, b), ("doc_id", "chunk_id")).select(F.col("doc_id").alias("_doc"), F.col("chunk_id").alias("_chunk"), F.col("entities").alias("gold_entities"))
@@ -195,9 +190,12 @@ def _keyed(gold: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def _last(rows: DataFrame, keys) -> DataFrame:
-    """One list per key: that of the largest ``line_no`` where the table has one."""
-    at = F.col("line_no") if "line_no" in rows.columns else F.struct(F.size("entities"), F.xxhash64(F.to_json("entities")))
-    return rows.groupBy(*keys).agg(F.max_by("entities", at).alias("entities"))
+    """One row per key, the last one: that of the largest ``seq`` or ``line_no``, where the table has such a column; among
+    equals, and without one, the choice is by the list's hash. It needs no exchange or sort besides the following join's."""
+    said = F.transform("entities", lambda e: F.struct(e["name"], e["type"], e["aliases"], F.map_entries(e["attributes"]), e["relations"], e["evidence"]))
+    order = [F.col(c).desc_nulls_last() for c in ("seq", "line_no") if c in rows.columns]
+    latest = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(said))
+    return rows.withColumn("_nth", F.row_number().over(latest)).where("_nth = 1").drop("_nth")
 
 
 def evaluate_pairs(b: DataFrame, a: DataFrame, gold: DataFrame | None = None, exact: bool = True, keys=KEYS) -> DataFrame:

@@ -19,10 +19,6 @@ def summary_metrics(evaluated: DataFrame) -> DataFrame:
     return summary_counts(evaluated).select(*LEVELS, *[m for level in LEVELS for m in level_metrics(level, F.col(level))])
 
 
-def _kind_order(column: str = "error_type"):
-    return F.array_position(F.array(*[F.lit(k) for k in ERROR_TYPES]), F.col(column))
-
-
 def errors_by_type(evaluated: DataFrame) -> DataFrame:
     """``error_type, count`` with zeros kept, unless there is no chunk at all. One pass: a sum a kind, then a row a kind."""
     of = lambda kind: F.size(F.filter("errors", lambda e: e["error_type"] == kind))
@@ -40,8 +36,3 @@ def reference_label(evaluated: DataFrame, keys=("doc_id", "chunk_idx")) -> DataF
     """One row: the first chunk's reference_source."""
     first = F.min_by("reference_source", F.struct(*keys))
     return evaluated.agg(F.coalesce(first, F.lit("model_a_pseudo_gold")).alias("reference_source"))
-
-
-def ordered_chunk_errors(counted: DataFrame) -> DataFrame:
-    """In report order: by chunk, then kind."""
-    return counted.orderBy("doc_id", "chunk_idx", _kind_order())

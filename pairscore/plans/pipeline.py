@@ -89,8 +89,8 @@ def run_eval(
     messages of what failed; writes five tables of JSON lines, the report as JSON and Markdown, and the raw answers.
 
     Steps are cut at tables, so that no answer is asked for twice: chunks, the two models' answers, the scores. The errors
-    of each chunk are a table, and go into the report a row at a time: nothing of the corpus's size is held here.
-    ``one_file`` writes each table of lines by one task, for small results."""
+    of each chunk are a table, and the report is written from it by the executors: nothing of the corpus's size passes
+    through here. ``one_file`` makes one file of each table of lines."""
     tables = Tables(spark, f"{output_dir.rstrip('/')}/_tables")
     docs, errors = load_markdown(spark, input_md)
     for error in errors:
@@ -108,7 +108,7 @@ def run_eval(
     for name, lines in (("chunks", sinks.chunk_json(chunks)), ("model_a_entities", sinks.extraction_json(a)), ("model_b_entities", sinks.extraction_json(b)), ("pair_eval", sinks.pair_eval_json(evaluated)), ("chunk_errors", sinks.chunk_error_json(chunk_errors))):
         sinks.write_lines(lines, f"{output_dir}/{name}.jsonl", one_file)
     summary = summarize(evaluated, chunks, input_md=input_md, output_dir=output_dir, model_a=model_a.name, model_b=model_b.name)
-    sinks.write_report(spark, f"{output_dir}/summary_report.json", summary, report.ordered_chunk_errors(chunk_errors))
+    sinks.write_report(spark, f"{output_dir}/summary_report.json", summary, chunk_errors)
     sinks.write_text(spark, f"{output_dir}/summary_report.md", sinks.report_markdown(summary))
     success(tables.log, f"report of {summary['chunk_count']} chunks in {output_dir}")
     return summary, errors

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 from ..functions.parsing import parse_response
 from ..functions.text import RELATIONS, normalize_relation, normalize_text, plain_all
 from ..operators import chunking, evaluate as ev, generate, report
-from ..operators.merge import collected, merge_exploded, normalize_extractions
+from ..operators.merge import normalize_extractions, with_merged
 from ..schemas import ENTITY, ERROR_TYPES, LEVELS
 from ..sources.gold import read_gold
 from ..sources.markdown import load_markdown
@@ -154,12 +154,12 @@ def extract_side(student: bool):
     return query
 
 
-def _line_entities(spark, sf_dir):
-    """Order lines as entities of a chunk per order, named by brand."""
+def _line_entities(spark, sf_dir, kept=None):
+    """Order lines as the entities of a chunk per order, named by brand, in the order of all their columns; of each list
+    the places for which ``kept`` holds."""
     lines = table(spark, sf_dir, "lineitem")
-    order = Window.partitionBy("l_orderkey").orderBy(*[c for c in lines.columns if c != "l_orderkey"])
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    rows = lines.withColumn("pos", F.row_number().over(order) - 1).join(parts, lines["l_partkey"] == parts["p_partkey"])
+    rows = lines.join(parts, lines["l_partkey"] == parts["p_partkey"])
     number = F.col("l_linenumber")
     entity = F.struct(
         F.col("p_brand"), F.element_at(F.array(F.lit("equipment"), F.lit("missile"), F.lit("radar")), number % 3 + 1), F.array("l_linestatus", "l_returnflag"),
@@ -167,11 +167,16 @@ def _line_entities(spark, sf_dir):
         F.array(F.struct(F.lit("携带"), F.concat(F.lit("s"), F.col("l_suppkey")))),
         F.when(number == 7, F.array().cast("array<struct<page:string,text:string>>")).otherwise(F.array(F.struct(F.lit("1").alias("page"), F.col("p_brand").alias("text")))),
     ).cast(ENTITY)
-    return rows.select(F.col("l_orderkey").alias("doc_id"), F.lit(0).alias("chunk_idx"), "pos", entity.alias("e"))
+    place = F.struct(*[c for c in lines.columns if c != "l_orderkey"])
+    listed = rows.select("l_orderkey", place.alias("place"), entity.alias("e")).groupBy("l_orderkey").agg(F.collect_list(F.struct("place", "e")).alias("es"))
+    less = lambda a, b: F.when(a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0)
+    entities = F.transform(F.array_sort("es", less), lambda x: x["e"])
+    entities = entities if kept is None else F.transform(F.filter(F.transform(entities, lambda e, i: F.struct(e.alias("e"), i.alias("i"))), lambda x: kept(x["i"])), lambda x: x["e"])
+    return listed.select(F.col("l_orderkey").alias("doc_id"), F.lit(0).alias("chunk_idx"), F.lit("c").alias("chunk_id"), entities.alias("entities"))
 
 
 def merge_entities(spark, sf_dir):
-    merged = merge_exploded(_line_entities(spark, sf_dir))
+    merged = with_merged(_line_entities(spark, sf_dir), "entities", "merged").select("doc_id", F.inline("merged"))
     entries = F.transform(F.array_sort(F.map_entries("e.attributes")), lambda x: F.concat(x["key"], F.lit("="), x["value"]))
     return merged.select("doc_id", "pos", "e.name", "e.type", F.array_join("e.aliases", ",").alias("aliases"), F.array_join(entries, ",").alias("attributes"), F.array_join("e.relations.target", ",").alias("targets"), F.size("e.evidence").alias("n_evidence"))
 
@@ -179,9 +184,8 @@ def merge_entities(spark, sf_dir):
 def _shared_aliases(spark, sf_dir):
     """Both sides from order lines: entities share aliases, so that matching has to choose."""
     rows = _line_entities(spark, sf_dir)
-    other = rows.where(F.col("pos") % 3 != 1).withColumn("pos", -F.col("pos"))
-    lists = lambda df: collected(df).withColumn("chunk_id", F.lit("c"))
-    return ev.prepare(lists(rows), "ref").join(ev.prepare(lists(other), "pred"), ["doc_id", "chunk_idx"])
+    other = _line_entities(spark, sf_dir, lambda i: i % 3 != 1).withColumn("entities", F.reverse("entities"))
+    return ev.prepare(rows, "ref").join(ev.prepare(other, "pred"), ["doc_id", "chunk_idx"])
 
 
 def match_greedy(spark, sf_dir):
@@ -380,15 +384,41 @@ def report_lines(spark, sf_dir):
     return spark.createDataFrame(list(enumerate(report_markdown(summary).split("\n"))), "line_no int, line string")
 
 
-def report_file(spark, sf_dir):
-    """The report's JSON file, read back."""
+def _report(spark, sf_dir):
+    """The lines of a report's JSON file."""
     path, (done, chunks) = _folder(spark), _scores(spark, sf_dir)
-    counted = report.chunk_errors(ev.error_rows(done))
-    write_report(spark, path, summarize(done, chunks, input_md="documents"), report.ordered_chunk_errors(counted))
-    back = F.from_json("value", "input_md string, chunk_count bigint, errors_by_type map<string,bigint>, chunk_errors array<struct<chunk_id:string,error_type:string,count:bigint>>")
-    told = spark.read.text(path, wholetext=True).select(back.alias("r"))
-    total = F.aggregate("r.chunk_errors.count", F.lit(0).cast("bigint"), lambda a, b: a + b)
-    return told.select("r.input_md", "r.chunk_count", F.col("r.errors_by_type")["missing_entity"].alias("missing_entity"), F.size("r.chunk_errors").cast("bigint").alias("n_chunk_errors"), total.alias("n_errors"))
+    write_report(spark, path, summarize(done, chunks, input_md="documents"), report.chunk_errors(ev.error_rows(done)))
+    return spark.read.text(path)
+
+
+def _item() -> Column:
+    return F.from_json(F.regexp_extract("value", "^ {3}[ ,](\\{.*\\})$", 1), "chunk_id string, error_type string, count bigint")
+
+
+def report_file(spark, sf_dir):
+    """The report's JSON file, its totals read back from its lines."""
+    found = lambda pattern: F.max(F.nullif(F.regexp_extract("value", pattern, 1), F.lit("")))
+    return _report(spark, sf_dir).agg(
+        found('^  "input_md": "(.*)",$').alias("input_md"), found('^  "chunk_count": (\\d+),$').cast("bigint").alias("chunk_count"), found('^    "missing_entity": (\\d+),$').cast("bigint").alias("missing_entity"),
+        F.count(_item()["chunk_id"]).alias("n_chunk_errors"), F.sum(_item()["count"]).alias("n_errors"))
+
+
+def report_errors(spark, sf_dir):
+    """The chunks' errors in the report's JSON file, read back."""
+    return _report(spark, sf_dir).select(_item().alias("x")).where("x.chunk_id is not null").select("x.chunk_id", "x.error_type", "x.count")
+
+
+def repeated_chunks(spark, sf_dir):
+    """Order lines as answers about their order, so that every chunk is repeated on both sides; of each side's the last counts."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    lines = table(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    said = lambda names: F.transform(names, lambda n: F.struct(n, F.lit("radar"), F.array().cast("array<string>"), F.create_map().cast("map<string,string>"), F.array().cast("array<struct<relation:string,target:string>>"), F.array().cast("array<struct<page:string,text:string>>")).cast(ENTITY))
+    side = lambda names: lines.select(F.col("l_orderkey").alias("doc_id"), F.lit(0).alias("chunk_idx"), F.lit("c").alias("chunk_id"), place.alias("seq"), said(names).alias("entities"))
+    place = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    # an earlier line's list is longer on side A, so that the length cannot decide
+    a = side(F.when(F.col("l_linenumber") == 1, F.array(F.col("p_brand"), F.lit("x"), F.lit("y"))).otherwise(F.array("p_brand")))
+    done = ev.evaluate_pairs(side(F.array("p_brand", "l_returnflag")), a)
+    return done.select("doc_id", "entity.tp", "entity.fp", "entity.fn")
 
 
 def judge_prompts(spark, sf_dir):
@@ -424,6 +454,8 @@ def chunk_headed(spark, sf_dir):
 
 
 QUERIES = {
+    "report_errors": report_errors,
+    "repeated_chunks": repeated_chunks,
     "summary_metrics": summary_metrics,
     "doc_lines": doc_lines,
     "chunk_documents": chunk_documents,
@@ -547,6 +579,11 @@ _TOKENS = "SELECT token, {normal} AS normal, count(*) AS docs FROM (SELECT unnes
 _PHRASES = [(f"可{p}的", next(n for q, n in RELATIONS if q in p)) for p, _ in RELATIONS] + [("Located In", "locatedin")]
 
 SQL = {
+    "report_errors": _SIDES + "SELECT printf('chunk_%04d', chunk_idx + 1) AS chunk_id, error_type, count(*) AS count FROM err GROUP BY doc_id, chunk_idx, error_type",
+    "repeated_chunks": """
+        WITH l AS (SELECT l_orderkey AS doc_id, l_linenumber AS seq, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
+                          l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC, l_shipdate DESC) AS nth FROM lineitem JOIN part ON l_partkey = p_partkey)
+        SELECT doc_id, CAST(1 AS BIGINT) AS tp, CAST(1 AS BIGINT) AS fp, CAST(CASE WHEN seq = 1 THEN 2 ELSE 0 END AS BIGINT) AS fn FROM l WHERE nth = 1""",
     "doc_lines": "SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INT) AS line_no, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)",
     "chunk_documents": f"""
         WITH RECURSIVE lines AS (

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -43,49 +42,83 @@ def chunk_error_json(counted: DataFrame) -> DataFrame:
 
 def write_lines(lines: DataFrame, path: str, one_file: bool = False) -> None:
     """Lines (doc_id, chunk_idx, value) in order, as a folder of text files in which each file goes on where the one before
-    it ends. ``one_file`` is for small results: a single task then writes all."""
-    ordered = lines.orderBy("doc_id", "chunk_idx").select("value")
-    (ordered.coalesce(1) if one_file else ordered).write.mode("overwrite").text(path)
+    it ends, or as one file."""
+    if one_file:
+        write_one_file(lines, path, "doc_id", "chunk_idx")
+    else:
+        lines.orderBy("doc_id", "chunk_idx").select("value").write.mode("overwrite").text(path)
 
 
-def write_pieces(spark: SparkSession, path: str, pieces: Iterable[str]) -> None:
-    """A file of pieces of text as they come, through Hadoop's file system, so that it lands where the tables do."""
+def _files(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
-    try:
-        held = bytearray()
-        for piece in pieces:
-            held += piece.encode("utf-8")
-            if len(held) >= 1 << 20:  # a call to the file system for many pieces
-                out.write(held)
-                held = bytearray()
-        out.write(held)
-    finally:
-        out.close()
+    return where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def write_one_file(lines: DataFrame, path: str, *order: str) -> None:
+    """The lines in ``value``, ordered by the columns ``order``, as one text file at ``path``, in place of what is there.
+
+    Sorted parts are written beside it first. A file system that can concatenate (HDFS) then makes one file of them
+    without reading them; on any other, a single task writes the sorted partitions one after another, so that its memory
+    does not grow with them. The file appears by a rename once it is whole. No line passes through the driver."""
+    spark = lines.sparkSession
+    files, at = _files(spark, path), spark._jvm.org.apache.hadoop.fs.Path
+    beside = f"{path.rstrip('/')}._parts"
+    joins = files.hasPathCapability(at(path).getParent(), "fs.capability.paths.concat")
+    ordered = lines.orderBy(*order).select("value")
+    (ordered if joins else ordered.coalesce(1)).write.mode("overwrite").text(beside)
+    gateway = spark.sparkContext._gateway
+
+    def path_array(paths):
+        array = gateway.new_array(at, len(paths))
+        for i, p in enumerate(paths):
+            array[i] = p
+        return array
+
+    commit_parts(files, at, path_array, beside, path)
+
+
+def commit_parts(files, at, path_array, folder: str, path: str) -> None:
+    """Make the part files of a folder, in the order of their names, the file ``path``; only names go through here.
+    ``files`` is a Hadoop file system, ``at`` its class of paths and ``path_array`` makes an array of them."""
+    parts = sorted((s.getPath() for s in files.listStatus(at(folder)) if s.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    if len(parts) > 1:
+        files.concat(parts[0], path_array(parts[1:]))
+    files.delete(at(path), True)
+    if not files.rename(parts[0], at(path)):
+        raise OSError(f"cannot rename {parts[0]} to {path}")
+    files.delete(at(folder), True)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    write_pieces(spark, path, [text])
+    """A small file through Hadoop's file system, so that it lands where the tables do."""
+    out = _files(spark, path).create(spark._jvm.org.apache.hadoop.fs.Path(path), True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
 
 
 def report_json(summary: dict) -> str:
     return json.dumps(summary, ensure_ascii=False, indent=2)
 
 
+def report_lines(spark: SparkSession, summary: dict, chunk_errors: DataFrame) -> DataFrame:
+    """``part, doc_id, chunk_idx, kind, value``: the report as one JSON object, line by line: the totals, then the list
+    ``chunk_errors`` in order of document, chunk and kind of error. Only the list's first key is read here."""
+    kind = F.array_position(F.array(*map(F.lit, ERROR_TYPES)), F.col("error_type")).cast("int")
+    keyed = chunk_errors.withColumn("kind", kind)
+    first = keyed.orderBy("doc_id", "chunk_idx", "kind").select("doc_id", "chunk_idx", "kind").head()
+    is_first = F.lit(False) if first is None else F.col("doc_id").eqNullSafe(F.lit(first[0])) & F.col("chunk_idx").eqNullSafe(F.lit(first[1])) & F.col("kind").eqNullSafe(F.lit(first[2]))
+    item = json_line(F.struct("chunk_id", "error_type", "count"))
+    items = keyed.select(F.lit(1).alias("part"), "doc_id", "chunk_idx", "kind", F.concat(F.when(is_first, "    ").otherwise("   ,"), item).alias("value"))
+    head = report_json(summary).removesuffix("\n}") + ',\n  "chunk_errors": ['
+    ends = spark.createDataFrame([(0, head), (2, "  ]\n}")], "part int, value string")
+    return items.unionByName(ends, allowMissingColumns=True)
+
+
 def write_report(spark: SparkSession, path: str, summary: dict, chunk_errors: DataFrame) -> None:
-    """The report as one JSON object: the totals, then the list ``chunk_errors``. The list is passed on row by row, a
-    partition at a time, in the order of the table."""
-
-    def pieces():
-        yield report_json(summary).removesuffix("\n}") + ',\n  "chunk_errors": ['
-        written = 0
-        for r in chunk_errors.toLocalIterator():
-            item = {"chunk_id": r["chunk_id"], "error_type": r["error_type"], "count": r["count"]}
-            yield (",\n    " if written else "\n    ") + json.dumps(item, ensure_ascii=False)
-            written += 1
-        yield "\n  ]\n}" if written else "]\n}"
-
-    write_pieces(spark, path, pieces())
+    """The report's JSON file; see ``report_lines`` and ``write_one_file``."""
+    write_one_file(report_lines(spark, summary, chunk_errors), path, "part", "doc_id", "chunk_idx", "kind")
 
 
 def report_markdown(summary: dict) -> str:

@@ -5,8 +5,9 @@ import pytest
 from pairscore.operators.generate import catalogue_tasks, judged_questions, task_batches
 from pairscore.plans.config import byte_size, load_config, load_generator, project_root
 from pairscore.plans.pipeline import run_eval, run_generation
-from pairscore.sources.gold import read_gold
+from pairscore.sources.gold import gold_lines, read_gold
 from pairscore.sources.markdown import load_markdown, read_markdown
+from pairscore.sources.sinks import commit_parts, write_lines, write_report
 from pairscore.sources.models import ListingModel, StubModel, ask_model, extract
 from pairscore.streaming.inbox import read_inbox, score_stream, stream_chunks
 
@@ -247,3 +248,67 @@ def test_shared_folder_is_refused_on_a_cluster():
     assert shared_dir(session("spark://host:7077", "hdfs://x/y/")) == "hdfs://x/y"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(session("spark://host:7077"))
+
+
+def test_gold_in_several_splits(spark, tmp_path):
+    """A file of several splits is read by several tasks, and its last line for a chunk still wins; so does the last file."""
+    path = tmp_path / "gold"
+    path.mkdir()
+    line = lambda i, name: json.dumps({"chunk_id": str(i % 50), "entities": [{"name": name}]}) + "\n"
+    (path / "a.jsonl").write_text("".join(line(i, f"a{i}") + "\n" * (i % 3) for i in range(2_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        assert gold_lines(spark, str(path)).rdd.getNumPartitions() > 4
+        assert {r.chunk_id: r.entities[0].name for r in read_gold(spark, str(path)).collect()} == {str(i): f"a{1950 + i}" for i in range(50)}
+        (path / "b.jsonl").write_text(line(7, "b\r").replace("\\r", "") + "\r\n" + line(7, "last"))
+        assert {r.chunk_id: r.entities[0].name for r in read_gold(spark, str(path)).collect()}["7"] == "last"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_one_file_in_order(spark, tmp_path):
+    path = str(tmp_path / "one.jsonl")
+    rows = spark.range(20_000, numPartitions=7).selectExpr("(id * 7919) % 20000 AS doc_id", "0 AS chunk_idx")
+    for _ in range(2):  # the second takes the first's place
+        write_lines(rows.selectExpr("*", "concat('v', doc_id) AS value"), path, one_file=True)
+        assert (tmp_path / "one.jsonl").read_text().splitlines() == [f"v{i}" for i in range(20_000)]
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["one.jsonl"]
+    write_lines(rows.selectExpr("*", "'x' AS value").where("false"), path, one_file=True)
+    assert (tmp_path / "one.jsonl").read_text() == ""
+
+
+def test_parts_are_joined_where_the_file_system_can():
+    from types import SimpleNamespace as N
+
+    class Files:
+        def __init__(self):
+            self.did = []
+
+        def listStatus(self, folder):  # noqa: N802
+            paths = [N(name=n, getName=lambda n=n: n) for n in ("part-00002-x", "_SUCCESS", "part-00000-x", "part-00001-x")]
+            return [N(getPath=lambda p=p: p) for p in paths]
+
+        def concat(self, first, rest):
+            self.did.append(("concat", first.name, [p.name for p in rest]))
+
+        def delete(self, path, recursive):
+            self.did.append(("delete", path))
+
+        def rename(self, a, b):
+            self.did.append(("rename", a.name, b))
+            return True
+
+    files = Files()
+    commit_parts(files, str, list, "f._parts", "f")
+    assert files.did == [("concat", "part-00000-x", ["part-00001-x", "part-00002-x"]), ("delete", "f"), ("rename", "part-00000-x", "f"), ("delete", "f._parts")]
+
+
+def test_report_is_one_json_object(spark, tmp_path):
+    rows = [("d", 2, "c2", "wrong_type", 1), ("d", 1, "c1", "missing_entity", 3), ("d", 1, "c1", "extra_entity", 2), ("e", 0, "c0", "missing_entity", 5)]
+    counted = spark.createDataFrame(rows, "doc_id string, chunk_idx int, chunk_id string, error_type string, count long")
+    write_report(spark, str(tmp_path / "r.json"), {"a": {"b": 1}}, counted.repartition(3))
+    told = json.loads((tmp_path / "r.json").read_text())
+    assert told == {"a": {"b": 1}, "chunk_errors": [{"chunk_id": c, "error_type": k, "count": n} for c, k, n in (("c1", "missing_entity", 3), ("c1", "extra_entity", 2), ("c2", "wrong_type", 1), ("c0", "missing_entity", 5))]}
+    write_report(spark, str(tmp_path / "r.json"), {"a": 1}, counted.where("false"))
+    assert json.loads((tmp_path / "r.json").read_text()) == {"a": 1, "chunk_errors": []}
