@@ -79,11 +79,13 @@ class Staged:
         for made in _OPEN:
             made.append(self)
 
-    def keep(self, df: DataFrame, codec: str = "zstd", dictionary: bool = True) -> DataFrame:
-        """``dictionary`` False spares the attempt to encode columns of values that do not repeat."""
+    def keep(self, df: DataFrame, codec: str = "zstd", dictionary: bool = True, by: str | None = None) -> DataFrame:
+        """``dictionary`` False spares the attempt to encode columns of values that do not repeat; rows of different values
+        in the column ``by`` are in different files, so that a read of one of them passes the others over."""
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.option("compression", codec).option("parquet.enable.dictionary", str(dictionary).lower()).parquet(path)
+        writer = df.write.option("compression", codec).option("parquet.enable.dictionary", str(dictionary).lower())
+        (writer.partitionBy(by) if by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:

@@ -35,6 +35,7 @@ FEW = 5_000
 SEED, HELD, CLICK, SALE, LINE, LABEL, MOMENT = range(7)
 _FIRST = -(2**63)
 _SALT = 64
+_TWO_64 = 2**64
 MEASURES = ("n_clicks", "n_purchases", "click_cents", "last_click_id", "n_sales", "sale_cents", "n_lines", "n_items", "line_cents")
 _SUMS = ("n_clicks", "n_purchases", "click_cents", "n_sales", "sale_cents", "n_lines", "line_cents")
 
@@ -93,104 +94,120 @@ def _place(us: Column, parts: Column) -> Column:
     return 2 * (day * 65_536 + part) + F.when(within == begins, 0).otherwise(1)
 
 
-def _meet(facts: DataFrame, clients: DataFrame, few: bool, how: str) -> DataFrame:
-    """Facts joined with a row for each client to be cut. Those rows are broadcast only if they are few, else copied so
-    often that a client's facts meet them in many tasks."""
+def _meet(facts: DataFrame, clients: DataFrame, few: bool) -> DataFrame:
+    """Facts with a row for each client to be cut, nulls for the others. Those rows are broadcast only if they are few,
+    else copied so often that a client's facts meet them in many tasks."""
     if few:
-        return facts.join(F.broadcast(clients), "client", how)
+        return facts.join(F.broadcast(clients), "client", "left")
     copies = clients.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALT - 1))))
     salted = facts.withColumn("salt", F.pmod(F.xxhash64("kind", "at", "id"), F.lit(_SALT)).cast("int"))
-    return salted.join(copies, ["client", "salt"], how).drop("salt")
+    return salted.join(copies, ["client", "salt"], "left").drop("salt")
+
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def _slices(facts: DataFrame, hot: DataFrame, few: bool, windows_us: Sequence[int], slice_rows: int) -> DataFrame:
-    """client, parts: of each client to be cut, the parts of each of its days, by what becomes active, expires or is asked on it."""
-    ends = [F.when(F.col("kind").isin(CLICK, SALE, LINE), _day(F.col("ts") + w)) for w in windows_us]
-    days = _meet(facts, hot, few, "left_semi").select("client", F.explode(F.array_compact(F.array(_day(F.col("at")), *ends))).alias("day"))
-    counted = days.groupBy("client", "day").agg(F.count("*").alias("n")).withColumn("parts", F.least(F.ceil(F.col("n") / slice_rows), F.lit(65_536)).cast("int"))
-    return counted.groupBy("client").agg(F.map_from_entries(F.collect_list(F.struct("day", "parts"))).alias("parts"))
+    """client, parts: of each client to be cut, the parts of each of its days, by what becomes active, expires or is asked
+    on it; one row with a null client stands for all others. Facts are counted by day before they are shuffled."""
+    own, lasting = F.col("hot").isNotNull(), F.col("kind").isin(CLICK, SALE, LINE)
+    ends = [F.when(own & lasting, _day(F.col("ts") + w)).alias(f"day{i}") for i, w in enumerate(windows_us)]
+    told = _meet(facts, hot.withColumn("hot", F.lit(True)), few).select(F.when(own, F.col("client")).alias("client"), F.when(own, _day(F.col("at"))).alias("day"), *ends)
+    names = ["day", *(f"day{i}" for i in range(len(windows_us)))]
+    counted = told.groupBy("client", *names).agg(F.count("*").alias("n"))
+    days = counted.select("client", "n", F.explode(F.array(*names)).alias("day")).groupBy("client", "day").agg(F.sum("n").alias("n"))
+    parts = days.withColumn("parts", F.least(F.ceil(F.col("n") / slice_rows), F.lit(65_536)).cast("int"))
+    return parts.groupBy("client").agg(F.map_from_entries(F.collect_list(F.when(F.col("day").isNotNull(), F.struct("day", "parts")))).alias("parts"))
+
 
+_FACT = ("client", "at", "kind", "ts", "id", "n", "cents")
 
-def _rows(facts: DataFrame, slices: DataFrame | None, few: bool, windows_us: Sequence[int]) -> DataFrame:
+
+def _uncut(facts: DataFrame) -> DataFrame:
+    return facts.select("client", F.lit(_FIRST).cast("long").alias("part"), "at", "kind", F.lit(-1).alias("w"), "ts", "id", "n", "cents", F.lit(None).cast("array<bigint>").alias("sums"))
+
+
+def _placed(told: DataFrame, windows_us: Sequence[int]) -> DataFrame:
+    """Facts with, for clients that are cut, the places where they become active and, if they do, expire from each window."""
+    lasting = F.col("kind").isin(CLICK, SALE, LINE)
+    ends = [F.when(F.col("parts").isNotNull() & lasting & (F.col("at") < F.col("ts") + w), _place(F.col("ts") + w, F.col("parts"))).alias(f"end{i}") for i, w in enumerate(windows_us)]
+    cut = F.col("parts").isNotNull()
+    return told.select(*_FACT, F.when(cut, _place(F.col("at"), F.col("parts"))).alias("place"), *ends, cut.cast("int").alias("cut"))
+
+
+def _slice_of(place: Column) -> Column:
+    return F.shiftright(place, 1)
+
+
+def _cut(placed: DataFrame, n_windows: int) -> DataFrame:
     """client, part, at, kind, w, ts, id, n, cents, sums: what is swept, by client and part. ``w`` tells the only window
     that a row is for, -1 stands for all; ``sums`` is that of a seed."""
-    columns = ("client", "part", "at", "kind", "w", "ts", "id", "n", "cents", "sums")
-    none = F.lit(None).cast("array<bigint>")
-    if slices is None:
-        return facts.select("client", F.lit(0).cast("long").alias("part"), "at", "kind", F.lit(-1).alias("w"), "ts", "id", "n", "cents", none.alias("sums"))
-    told = _meet(facts, slices, few, "left")
-    cold = told.where("parts is null").select("client", F.lit(_FIRST).cast("long").alias("part"), "at", "kind", F.lit(-1).alias("w"), "ts", "id", "n", "cents", none.alias("sums"))
-    lasting = F.col("kind").isin(CLICK, SALE, LINE)
-    ends = [F.when(lasting & (F.col("at") < F.col("ts") + w), _place(F.col("ts") + w, F.col("parts"))).alias(f"end{i}") for i, w in enumerate(windows_us)]
-    placed = told.where("parts is not null").select("client", "at", "kind", "ts", "id", "n", "cents", _place(F.col("at"), F.col("parts")).alias("place"), *ends)
-    inside = placed.where((F.col("kind") == MOMENT) | (F.col("place") % 2 != 0)).select("client", F.floor(F.col("place") / 2).alias("part"), "at", "kind", F.lit(-1).alias("w"), "ts", "id", "n", "cents", none.alias("sums"))
-    seeds = [
-        placed.where((F.col(f"end{i}") % 2 != 0) & (F.col(f"end{i}") > F.col("place")))
-        .select("client", F.floor(F.col(f"end{i}") / 2).alias("part"), F.lit(_FIRST).cast("long").alias("at"), "kind", F.lit(i).alias("w"), "ts", "id", "n", "cents", none.alias("sums"))
-        for i in range(len(windows_us))
+    none, first, zero = F.lit(None).cast("array<bigint>").alias("sums"), F.lit(_FIRST).cast("long").alias("at"), F.lit(0).cast("long")
+    inside = placed.where((F.col("kind") == MOMENT) | (F.col("place") % 2 != 0)).select("client", _slice_of(F.col("place")).alias("part"), "at", "kind", F.lit(-1).alias("w"), "ts", "id", "n", "cents", none)
+    expiring = [
+        placed.where((F.col(f"end{i}") % 2 != 0) & (F.col(f"end{i}") > F.col("place"))).select("client", _slice_of(F.col(f"end{i}")).alias("part"), first, "kind", F.lit(i).alias("w"), "ts", "id", "n", "cents", none)
+        for i in range(n_windows)
     ]
-    held = _held(placed, len(windows_us))
-    items = held.where("cov = 1 and own and pmod(place, 2) = 1").select("client", F.floor(F.col("place") / 2).alias("part"), F.lit(_FIRST).cast("long").alias("at"), F.lit(HELD).alias("kind"), "w", F.lit(0).cast("long").alias("ts"), F.col("item").alias("id"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("cents"), none.alias("sums"))
-    out = cold
-    for part in (inside, *seeds, items, _sums(placed, held, len(windows_us))):
-        out = out.unionByName(part.select(*columns))
-    return out
+    held = _held(placed, n_windows)
+    items = held.where("cov = 1 and own and place % 2 <> 0").select("client", _slice_of(F.col("place")).alias("part"), first, F.lit(HELD).alias("kind"), "w", zero.alias("ts"), F.col("item").alias("id"), zero.alias("n"), zero.alias("cents"), none)
+    return _union([inside, *expiring, items, _sums(placed, held, n_windows)])
 
 
 def _held(placed: DataFrame, n_windows: int) -> DataFrame:
     """client, w, item, place, own, cov, delta: where something of an item begins or ends, whether (1 or 0) some line of it
     is active from before that place until after it, and the difference to the place before. Between two such places
     nothing changes. ``own`` tells that a line becomes active or expires within that very slice."""
-    lines = placed.where((F.col("kind") == LINE) & F.col("id").isNotNull())
-    each = []
+    lines, marks = placed.where((F.col("kind") == LINE) & F.col("id").isNotNull()), []
     for w in range(n_windows):
-        end = F.col(f"end{w}")
-        marks = F.array(
-            F.struct(F.col("place").alias("place"), F.lit(None).cast("long").alias("until"), F.lit(True).alias("own")),
-            F.struct((F.col("place") + 1).alias("place"), end.alias("until"), F.lit(False).alias("own")),
-            F.struct(end.alias("place"), F.lit(None).cast("long").alias("until"), F.lit(True).alias("own")),
-        )
-        each.append(lines.where(end.isNotNull()).select("client", F.lit(w).alias("w"), F.col("id").alias("item"), F.inline(marks).alias("place", "until", "own")))
-    marks = each[0]
-    for more in each[1:]:
-        marks = marks.unionByName(more)
-    marks = marks.groupBy("client", "w", "item", "place").agg(F.max("until").alias("until"), F.max("own").alias("own"))
+        own = lines.where(f"end{w} is not null").select("client", F.lit(w).alias("w"), F.col("id").alias("item"), "place", F.col(f"end{w}").alias("end"))
+        mark = lambda place, until, is_own: own.select("client", "w", "item", place.alias("place"), until.alias("until"), F.lit(is_own).alias("own"))  # noqa: B023, E731
+        never = F.lit(None).cast("long")
+        marks += [mark(F.col("place"), never, True), mark(F.col("place") + 1, F.col("end"), False), mark(F.col("end"), never, True)]
+    each = _union(marks).groupBy("client", "w", "item", "place").agg(F.max("until").alias("until"), F.max("own").alias("own"))
     order = Window.partitionBy("client", "w", "item").orderBy("place")
     until = F.max("until").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    covered = marks.withColumn("cov", F.coalesce((until > F.col("place")).cast("int"), F.lit(0)))
+    covered = each.withColumn("cov", F.coalesce((until > F.col("place")).cast("int"), F.lit(0)))
     return covered.withColumn("delta", F.col("cov") - F.coalesce(F.lag("cov").over(order), F.lit(0)))
 
 
 def _sums(placed: DataFrame, held: DataFrame, n_windows: int) -> DataFrame:
     """A seed for each slice in which something is asked: per window the sums over what outlives the slice and the number of
-    items held throughout, the last click and the last coming sale so far. Steps are summed by client and place first."""
+    items held throughout, the last click and the last coming sale so far. Facts are summed up by their places before they
+    are shuffled; steps up and down follow from these sums."""
     zero = F.lit(0).cast("long")
-    is_ = lambda k: F.col("kind") == k
-    weight = {
-        "n_clicks": F.when(is_(CLICK), 1), "n_purchases": F.when(is_(CLICK), F.col("n")), "click_cents": F.when(is_(CLICK), F.col("cents")),
-        "n_sales": F.when(is_(SALE), 1), "sale_cents": F.when(is_(SALE), F.col("cents")),
-        "n_lines": F.when(is_(LINE), F.col("n")), "line_cents": F.when(is_(LINE), F.col("cents")),
-    }
-    made = F.array(*[F.coalesce(weight[m], F.lit(0)).cast("long") for m in _SUMS])
-    nothing = F.array(*[zero] * len(_SUMS))
-    step = lambda place, w, sign, sums, click, sale, asked: F.struct(place.cast("long").alias("place"), F.lit(w).alias("w"), F.transform(sums, lambda x: x * sign).alias("sums"), zero.alias("items"), click.alias("click"), sale.alias("sale"), F.lit(asked).alias("asked"))
-    click, no_click = F.when(is_(CLICK), F.struct("ts", "id")), F.lit(None).cast("struct<ts:bigint,id:bigint>")
-    sale, no_sale = F.when(is_(LABEL), F.col("ts")), F.lit(None).cast("long")
-    steps = [step(F.col("place") + 1, -1, 0, nothing, click, sale, False), F.when(is_(MOMENT), step(F.floor(F.col("place") / 2) * 2 + 1, -1, 0, nothing, no_click, no_sale, True))]
-    for w in range(n_windows):
-        lives = F.col(f"end{w}") > F.col("place")
-        steps += [F.when(lives, step(F.col("place") + 1, w, 1, made, no_click, no_sale, False)), F.when(lives, step(F.col(f"end{w}"), w, -1, made, no_click, no_sale, False))]
-    all_ = placed.select("client", F.inline(F.array_compact(F.array(*steps))))
-    changed = held.where("delta <> 0").select("client", "place", "w", nothing.alias("sums"), F.col("delta").cast("long").alias("items"), no_click.alias("click"), no_sale.alias("sale"), F.lit(False).alias("asked"))
-    both = all_.unionByName(changed)
-    of = lambda w, c: F.sum(F.when(F.col("w") == w, c).otherwise(zero))
-    sums = [of(w, c).alias(f"s{w}_{i}") for w in range(n_windows) for i, c in enumerate([*[F.col("sums")[k] for k in range(len(_SUMS))], F.col("items")])]
-    by_place = both.groupBy("client", "place").agg(*sums, F.max("click").alias("click"), F.max("sale").alias("sale"), F.max("asked").alias("asked"))
+    when = lambda k, value: F.coalesce(F.when(F.col("kind") == k, value), zero)
+    one = F.lit(1).cast("long")
+    weights = (when(CLICK, one), when(CLICK, F.col("n")), when(CLICK, F.col("cents")), when(SALE, one), when(SALE, F.col("cents")), when(LINE, F.col("n")), when(LINE, F.col("cents")))
+    measured = [f"m{k}" for k in range(len(_SUMS))]
+    # (ts, id) as one number, since only such are aggregated by hashing
+    click = F.when(F.col("kind") == CLICK, F.col("ts").cast("decimal(20,0)") * F.expr(f"{_TWO_64}") + (F.col("id").cast("decimal(20,0)") - _FIRST))
+    ends = [f"end{w}" for w in range(n_windows)]
+    moves = placed.groupBy("client", "place", *ends).agg(*[F.sum(x).alias(m) for x, m in zip(weights, measured, strict=True)], F.max(click.cast("decimal(38,0)")).alias("click"), F.max(F.when(F.col("kind") == LABEL, F.col("ts"))).alias("sale"), F.max(F.col("kind") == MOMENT).alias("asked"))
+    no_click, no_sale = F.lit(None).cast("decimal(38,0)").alias("click"), F.lit(None).cast("long").alias("sale")
+    nothing = [zero.alias(m) for m in measured]
+    any_ = F.lit(-1).alias("w")
+    steps = [
+        moves.select("client", (F.col("place") + 1).alias("place"), any_, *nothing, zero.alias("items"), "click", "sale", F.lit(False).alias("asked")),
+        moves.where("asked").select("client", (_slice_of(F.col("place")) * 2 + 1).alias("place"), any_, *nothing, zero.alias("items"), no_click, no_sale, "asked"),
+        held.where("delta <> 0").select("client", "place", "w", *nothing, F.col("delta").cast("long").alias("items"), no_click, no_sale, F.lit(False).alias("asked")),
+    ]
+    for w, end in enumerate(ends):
+        lives = moves.where(F.col(end) > F.col("place"))
+        for place, sign in ((F.col("place") + 1, 1), (F.col(end), -1)):
+            steps.append(lives.select("client", place.alias("place"), F.lit(w).alias("w"), *[(F.col(m) * sign).alias(m) for m in measured], zero.alias("items"), no_click, no_sale, F.lit(False).alias("asked")))
+    of = lambda w, c: F.sum(F.when(F.col("w") == w, F.col(c)).otherwise(zero))
+    names = [f"s{w}_{m}" for w in range(n_windows) for m in (*measured, "items")]
+    by_place = _union(steps).groupBy("client", "place").agg(*[of(w, m).alias(f"s{w}_{m}") for w in range(n_windows) for m in (*measured, "items")], F.max("click").alias("click"), F.max("sale").alias("sale"), F.max("asked").alias("asked"))
     so_far = Window.partitionBy("client").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    running = [F.sum(f"s{w}_{i}").over(so_far) for w in range(n_windows) for i in range(len(_SUMS) + 1)]
-    last, sale = F.max("click").over(so_far), F.max("sale").over(so_far)
-    seeds = by_place.select("client", "place", "asked", F.array(*running, last["ts"], last["id"], sale).alias("sums")).where("asked")
-    return seeds.select("client", F.floor(F.col("place") / 2).alias("part"), F.lit(_FIRST).cast("long").alias("at"), F.lit(SEED).alias("kind"), F.lit(-1).alias("w"), zero.alias("ts"), zero.alias("id"), zero.alias("n"), zero.alias("cents"), "sums")
+    last = F.max("click").over(so_far)
+    told = by_place.select("client", "place", "asked", *[F.sum(n).over(so_far).alias(n) for n in names], last.alias("last"), F.max("sale").over(so_far).alias("sale")).where("asked")
+    last_ts = F.expr(f"(last - pmod(last, {_TWO_64})) div {_TWO_64}")
+    last_id = (F.pmod(F.col("last"), F.expr(f"{_TWO_64}")) + _FIRST).cast("long")
+    return told.select("client", _slice_of(F.col("place")).alias("part"), F.lit(_FIRST).cast("long").alias("at"), F.lit(SEED).alias("kind"), any_, zero.alias("ts"), zero.alias("id"), zero.alias("n"), zero.alias("cents"), F.array(*names, last_ts, last_id, "sale").alias("sums"))
 
 
 def sweep(rows: Iterable[tuple], windows_us: Sequence[int]) -> Iterator[tuple]:
@@ -289,8 +306,11 @@ def point_in_time(
     total = facts.count()
     hot = staged.keep(facts.groupBy("client").agg(F.count("*").alias("n")).where(F.col("n") > slice_rows).select("client"))
     n_hot = hot.count()
-    slices = staged.keep(_slices(facts, hot, n_hot <= few, windows_us, slice_rows)) if n_hot else None
-    rows = _rows(facts, slices, n_hot <= few, windows_us)
+    rows = _uncut(facts)
+    if n_hot:
+        slices = staged.keep(_slices(facts, hot, n_hot <= few, windows_us, slice_rows)).where("client is not null")
+        placed = staged.keep(_placed(_meet(facts, slices, n_hot <= few), windows_us), dictionary=False, by="cut")
+        rows = _union([_uncut(placed.where("cut = 0")), _cut(placed.where("cut = 1"), len(windows_us))])
     n_parts = max(int(moments.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / TASK_ROWS))
     keyed = rows.rdd.map(lambda r: (r[:4], r[4:]))
     dealt = keyed.repartitionAndSortWithinPartitions(n_parts, lambda k: hash(k[:2]))
