@@ -1,13 +1,17 @@
 """Scoring one side's entities against a reference, chunk by chunk.
 
-Both sides' lists meet in one row per chunk, by one join; all matching is then done on the lists by higher-order
-functions: two chunks never compare, and no pair leaves its row. Matching is greedy in list order, one to one, hence a
-fold over the reference with the list of those taken as its state.
+Both sides' lists meet in one row per chunk, by one join; all comparing is then done on the lists by higher-order
+functions: two chunks never compare, and no pair leaves its row. Matching is greedy in list order, one to one: a fold over
+the reference with the list of those taken as its state, or for long lists a queue of places for each key.
 """
 
 from __future__ import annotations
 
+from collections import deque
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from ..functions.metrics import level_metrics
 from ..functions.text import fold_lists, relation_lists
@@ -59,16 +63,73 @@ def target_keys(target: Column, entities: Column) -> Column:
     return F.filter(F.array_distinct(F.concat(F.array(target), F.flatten(F.transform(named, lambda x: x["keys"])))), lambda k: k != "")
 
 
-def greedy(left: Column, right: Column, fits) -> Column:
-    """For each element of ``left``, in order, the 0-based place of the first element of ``right`` not yet taken that
-    fits it; -1 for none. ``fits(l, r)`` is a condition on two elements."""
-    places = F.transform(right, lambda _, j: j)
+#: Pairs of two lists up to which a fold in the JVM tries them; beyond, keys are looked up.
+FOLD_PAIRS = 2_500
+
+
+def first_free(left: list[list[str]], right: list[list[str]]) -> list[int]:
+    """For each element of ``left``, in order, the place of the first element of ``right`` not yet taken that shares a key
+    with it; -1 for none. Each key has a queue of the places that have it, from which taken ones are dropped as they come
+    up, so the work is that of reading all keys once."""
+    queues: dict[str, deque[int]] = {}
+    for j, keys in enumerate(right):
+        for key in keys:
+            queues.setdefault(key, deque()).append(j)
+    taken, out = bytearray(len(right)), []
+    for keys in left:
+        best = -1
+        for key in keys:
+            queue = queues.get(key)
+            while queue and taken[queue[0]]:
+                queue.popleft()
+            if queue and (best < 0 or queue[0] < best):
+                best = queue[0]
+        if best >= 0:
+            taken[best] = 1
+        out.append(best)
+    return out
+
+
+@F.pandas_udf(ArrayType(IntegerType()))
+def _first_free(left: pd.Series, right: pd.Series) -> pd.Series:
+    return pd.Series([None if a is None else first_free(a, b) for a, b in zip(left, right)], dtype=object)
+
+
+_first_free = _first_free.asNondeterministic()  # as the functions of functions.text
+
+
+def greedy(left: Column, right: Column) -> Column:
+    """``first_free`` of two lists of key lists. Short lists stay in the JVM, as a fold over the left one with the list of
+    those taken as its state; long ones go to Python, where the work is linear."""
+    few = F.size(left) * F.size(right).cast("long") <= FOLD_PAIRS
+    long = _first_free(F.when(~few, left), F.when(~few, right))
+
+    def fold(rights: Column) -> Column:
+        places = F.transform(rights, lambda _, j: j)
 
-    def take(taken: Column, item: Column) -> Column:
-        free = F.filter(places, lambda j: ~F.array_contains(taken, j) & fits(item, F.get(right, j)))
-        return F.concat(taken, F.array(F.coalesce(F.try_element_at(free, F.lit(1)), F.lit(-1))))
+        def take(taken: Column, keys: Column) -> Column:
+            free = F.filter(places, lambda j: ~F.array_contains(taken, j) & F.arrays_overlap(keys, F.get(rights, j)))
+            return F.concat(taken, F.array(F.coalesce(F.try_element_at(free, F.lit(1)), F.lit(-1))))
 
-    return F.aggregate(left, F.array().cast("array<int>"), take)
+        return F.aggregate(left, F.array().cast("array<int>"), take)
+
+    return F.when(few, bind(right, fold)).otherwise(long)
+
+
+def entity_keys(side: Column) -> Column:
+    return F.transform(side, lambda e: e["keys"])
+
+
+def relation_keys(links: Column) -> Column:
+    """Of each relation all of its subject's keys with its name and all keys of its target: two relations are the same if they
+    share one. The separator is white space, which no comparison form has."""
+    of = lambda x: F.flatten(F.transform(x["keys"], lambda k: F.transform(x["target_keys"], lambda t: F.concat_ws("\x1f", x["relation"], k, t))))
+    return F.transform(links, of)
+
+
+def match_lists(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with ``entity_match``: for each entity of ``ref``, in order, its place in ``pred``, or -1."""
+    return pairs.withColumn("entity_match", greedy(entity_keys(F.col("ref")), entity_keys(F.col("pred"))))
 
 
 def _errors(kind: str, items: Column, *fields) -> Column:
@@ -114,6 +175,12 @@ def _where(items: Column, condition) -> Column:
     return F.transform(F.filter(F.transform(items, lambda x, i: F.struct(x.alias("x"), condition(x, i).alias("kept"))), lambda y: y["kept"]), lambda y: y["x"])
 
 
+def _except(items: Column, places: Column) -> Column:
+    """The elements whose places are not among these."""
+    others = F.array_except(F.transform(items, lambda _, j: j), places)
+    return F.transform(others, lambda j: F.get(items, j))
+
+
 def _result(ref: Column, pred: Column, entity_match: Column, ref_links: Column, pred_links: Column, relation_match: Column, pairs: Column, asked: Column, more: Column) -> Column:
     n = lambda c: F.size(c).cast("bigint")
     met = lambda c: n(F.filter(c, lambda j: j >= 0))
@@ -123,7 +190,7 @@ def _result(ref: Column, pred: Column, entity_match: Column, ref_links: Column,
     field = lambda name, of=None: (name, lambda x: x[of or name])
     errors = F.concat(
         _errors("missing_entity", _where(ref, lambda _, i: F.get(entity_match, i) < 0), field("name"), field("type")),
-        _errors("extra_entity", _where(pred, lambda _, j: ~F.array_contains(entity_match, j)), field("name"), field("type")),
+        _errors("extra_entity", _except(pred, entity_match), field("name"), field("type")),
         _errors("wrong_type", F.filter(pairs, lambda x: x["r"]["n_type"] != x["p"]["n_type"]), ("name", lambda x: x["r"]["name"]), ("reference_type", lambda x: x["r"]["type"]), ("prediction_type", lambda x: x["p"]["type"])),
         _errors("missing_attribute", missing, field("entity"), field("attribute", "key"), field("value")),
         _errors("wrong_attribute_value", wrong, field("entity"), field("attribute", "key"), field("reference_value", "value"), field("prediction_value", "raw")),
@@ -131,7 +198,6 @@ def _result(ref: Column, pred: Column, entity_match: Column, ref_links: Column,
         _errors("wrong_attachment", F.filter(more, lambda a: a["owner"].isNotNull()), field("predicted_entity", "entity"), field("attribute", "key"), field("value"), field("likely_entity", "owner")),
     )
     return F.struct(
-        entity_match.alias("entity_match"), relation_match.alias("relation_match"),
         counts(met(entity_match), n(pred) - met(entity_match), n(ref) - met(entity_match)).alias("entity"),
         counts(equal, n(wrong) + n(more), n(missing) + n(wrong)).alias("attribute"),
         counts(met(relation_match), n(pred_links) - met(relation_match), n(ref_links) - met(relation_match)).alias("relation"),
@@ -147,13 +213,12 @@ def score_lists(pairs: DataFrame) -> DataFrame:
     positives, a missing one is a false negative, a different one both, one more on the other side a false positive.
     Relations match when their subjects share a key, their canonical names agree and their targets share a key.
     """
-    shares = lambda a, b: F.arrays_overlap(a["keys"], b["keys"])
-    same = lambda a, b: (a["relation"] == b["relation"]) & shares(a, b) & F.arrays_overlap(a["target_keys"], b["target_keys"])
-    result = bind(F.col("ref"), lambda ref: bind(F.col("pred"), lambda pred: bind(
-        greedy(ref, pred, shares), lambda em: bind(_links(ref), lambda rl: bind(_links(pred), lambda pl: bind(
-            greedy(rl, pl, same), lambda rm: bind(_pairs(ref, pred, em), lambda ps: bind(_asked(ps), lambda asked: bind(
-                _more(ps, ref), lambda more: _result(ref, pred, em, rl, pl, rm, ps, asked, more))))))))))
-    return pairs.withColumn("result", result).select("*", "result.*").drop("result")
+    told = match_lists(pairs).withColumn("_ref_links", _links(F.col("ref"))).withColumn("_pred_links", _links(F.col("pred")))
+    told = told.withColumn("relation_match", greedy(relation_keys(F.col("_ref_links")), relation_keys(F.col("_pred_links"))))
+    ref, pred, em = F.col("ref"), F.col("pred"), F.col("entity_match")
+    result = bind(_pairs(ref, pred, em), lambda ps: bind(_asked(ps), lambda asked: bind(_more(ps, ref), lambda more: _result(
+        ref, pred, em, F.col("_ref_links"), F.col("_pred_links"), F.col("relation_match"), ps, asked, more))))
+    return told.withColumn("result", result).select(*pairs.columns, "entity_match", "relation_match", "result.*")
 
 
 def choose_reference(b: DataFrame, a: DataFrame, gold: DataFrame | None = None, keys=KEYS) -> DataFrame:

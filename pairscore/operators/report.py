@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.metrics import level_metrics
 from ..schemas import ERROR_TYPES, LEVELS
@@ -19,6 +19,11 @@ def summary_metrics(evaluated: DataFrame) -> DataFrame:
     return summary_counts(evaluated).select(*LEVELS, *[m for level in LEVELS for m in level_metrics(level, F.col(level))])
 
 
+def kind_order() -> Column:
+    """The place of ``error_type`` in the report."""
+    return F.array_position(F.array(*map(F.lit, ERROR_TYPES)), F.col("error_type")).cast("int")
+
+
 def errors_by_type(evaluated: DataFrame) -> DataFrame:
     """``error_type, count`` with zeros kept, unless there is no chunk at all. One pass: a sum a kind, then a row a kind."""
     of = lambda kind: F.size(F.filter("errors", lambda e: e["error_type"] == kind))
@@ -36,3 +41,8 @@ def reference_label(evaluated: DataFrame, keys=("doc_id", "chunk_idx")) -> DataF
     """One row: the first chunk's reference_source."""
     first = F.min_by("reference_source", F.struct(*keys))
     return evaluated.agg(F.coalesce(first, F.lit("model_a_pseudo_gold")).alias("reference_source"))
+
+
+def ordered_chunk_errors(counted: DataFrame) -> DataFrame:
+    """In report order: by chunk, then kind."""
+    return counted.orderBy("doc_id", "chunk_idx", kind_order())

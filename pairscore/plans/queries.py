@@ -193,6 +193,19 @@ def match_greedy(spark, sf_dir):
     return done.select("doc_id", F.posexplode("entity_match").alias("ref_pos", "pred_pos"))
 
 
+def match_large(spark, sf_dir):
+    """Order lines of one flag and quantity as the entities of one chunk, some hundreds to many thousands, matched with those
+    of each second place backwards. Order and line tell lines apart; of the same ones any may come first."""
+    lines = table(spark, sf_dir, "lineitem")
+    place = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_shipdate")
+    keys = F.array(F.concat(F.lit("s"), F.col("l_suppkey")), F.concat(F.lit("p"), F.col("l_partkey") % 97))
+    groups = lines.select("l_returnflag", F.col("l_quantity").cast("int").alias("quantity"), place.alias("place"), keys.alias("keys")).groupBy("l_returnflag", "quantity")
+    listed = groups.agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "keys"))), lambda x: F.struct(x["keys"].alias("keys"))).alias("ref"))
+    back = F.transform(F.filter(F.transform("ref", lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda y: y["i"] % 2 == 0), lambda y: y["x"])
+    done = ev.match_lists(listed.withColumn("pred", F.reverse(back)))
+    return done.select("l_returnflag", "quantity", F.posexplode("entity_match").alias("ref_pos", "pred_pos"))
+
+
 def match_entities(spark, sf_dir):
     done = scored(spark, sf_dir)
     both = F.transform("ref", lambda r, i: F.struct(r["name"].alias("name"), i.alias("ref_pos"), F.get("entity_match", i).alias("pred_pos")))
@@ -471,6 +484,7 @@ QUERIES = {
     "normalized_extractions": normalized_sides,
     "match_entities": match_entities,
     "match_greedy": match_greedy,
+    "match_large": match_large,
     "missing_entities": _of_kind("missing_entity", "name", "type"),
     "extra_entities": _of_kind("extra_entity", "name", "type"),
     "wrong_type": _of_kind("wrong_type", "name", "reference_type", "prediction_type"),
@@ -679,6 +693,18 @@ SQL = {
             SELECT doc_id, ref, pred, ref_pos + 1, list_append(taken, coalesce(list_filter(range(len(pred)), lambda j: NOT list_contains(taken, j) AND list_has_any(ref[ref_pos + 1], pred[j + 1]))[1], -1))
             FROM step WHERE ref_pos < len(ref))
         SELECT doc_id, CAST(generate_subscripts(taken, 1) - 1 AS INT) AS ref_pos, CAST(unnest(taken) AS INT) AS pred_pos FROM step WHERE ref_pos = len(ref)""",
+    "match_large": """
+        WITH RECURSIVE e AS (
+            SELECT l_returnflag, CAST(l_quantity AS INT) AS quantity, ['s' || l_suppkey, 'p' || (l_partkey % 97)] AS keys,
+                   row_number() OVER (PARTITION BY l_returnflag, l_quantity ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax, l_linestatus, l_shipdate) - 1 AS pos
+            FROM lineitem),
+        sides AS (SELECT l_returnflag, quantity, list(keys ORDER BY pos) AS ref, list(keys ORDER BY pos DESC) FILTER (pos % 2 = 0) AS pred FROM e GROUP BY ALL),
+        step AS (
+            SELECT l_returnflag, quantity, ref, pred, 0 AS ref_pos, CAST([] AS BIGINT[]) AS taken FROM sides
+            UNION ALL
+            SELECT l_returnflag, quantity, ref, pred, ref_pos + 1, list_append(taken, coalesce(list_filter(range(len(pred)), lambda j: NOT list_contains(taken, j) AND list_has_any(ref[ref_pos + 1], pred[j + 1]))[1], -1))
+            FROM step WHERE ref_pos < len(ref))
+        SELECT l_returnflag, quantity, CAST(generate_subscripts(taken, 1) - 1 AS INT) AS ref_pos, CAST(unnest(taken) AS INT) AS pred_pos FROM step WHERE ref_pos = len(ref)""",
     "pair_eval_lines": _SIDES + f""", ms AS (SELECT e.doc_id, e.chunk_idx, {_measures('entity', 'e.')} FROM entity e),
         kinds AS (SELECT doc_id, chunk_idx, {", ".join(f"CAST(count(*) FILTER (error_type = '{k}') AS INT) AS {k}" for k in ERROR_TYPES)} FROM err GROUP BY ALL)
         SELECT doc_id, chunk_idx, printf('chunk_%04d', chunk_idx + 1) AS chunk_id, 'model_a_pseudo_gold' AS reference_source, entity_f1, relation.fn AS relation_fn, CAST(NULL AS VARCHAR) AS llm_judgement,

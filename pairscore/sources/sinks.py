@@ -7,6 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.evaluate import errors_by_kind
+from ..operators.report import kind_order
 from ..schemas import ERROR_TYPES, LEVELS
 
 METRICS = [f"{level}_{m}" for level in LEVELS for m in ("precision", "recall", "f1")]
@@ -105,8 +106,7 @@ def report_json(summary: dict) -> str:
 def report_lines(spark: SparkSession, summary: dict, chunk_errors: DataFrame) -> DataFrame:
     """``part, doc_id, chunk_idx, kind, value``: the report as one JSON object, line by line: the totals, then the list
     ``chunk_errors`` in order of document, chunk and kind of error. Only the list's first key is read here."""
-    kind = F.array_position(F.array(*map(F.lit, ERROR_TYPES)), F.col("error_type")).cast("int")
-    keyed = chunk_errors.withColumn("kind", kind)
+    keyed = chunk_errors.withColumn("kind", kind_order())
     first = keyed.orderBy("doc_id", "chunk_idx", "kind").select("doc_id", "chunk_idx", "kind").head()
     is_first = F.lit(False) if first is None else F.col("doc_id").eqNullSafe(F.lit(first[0])) & F.col("chunk_idx").eqNullSafe(F.lit(first[1])) & F.col("kind").eqNullSafe(F.lit(first[2]))
     item = json_line(F.struct("chunk_id", "error_type", "count"))

@@ -167,3 +167,31 @@ def test_rounding_is_half_even(spark):
 def test_equal_sides_score_one(spark, side):
     row = score(spark, side, side)
     assert (row.entity_f1, row.attribute_f1, row.relation_f1, row.errors) == (1.0, 1.0, 1.0, [])
+
+
+def test_long_lists_match_as_short_ones_do(spark, monkeypatch):
+    """The look-up by keys and the fold give the same on random lists, with blank lists and repeated keys."""
+    rnd = random.Random(5)
+    lists = lambda n: [[rnd.choice("abcdefgh") + str(rnd.randrange(6)) for _ in range(rnd.randrange(0, 4))] for _ in range(n)]
+    rows = [(i, lists(rnd.randrange(0, 40)), lists(rnd.randrange(0, 40))) for i in range(60)]
+    df = spark.createDataFrame(rows, "i int, l array<array<string>>, r array<array<string>>")
+
+    def plain(left, right):
+        used, out = set(), []
+        for keys in left:
+            j = next((j for j, other in enumerate(right) if j not in used and set(keys) & set(other)), -1)
+            used.add(j)
+            out.append(j)
+        return out
+
+    want = {i: plain(a, b) for i, a, b in rows}
+    for limit in (10**9, 0, 300):
+        monkeypatch.setattr(ev, "FOLD_PAIRS", limit)
+        assert {r.i: r.m for r in df.select("i", ev.greedy(F.col("l"), F.col("r")).alias("m")).collect()} == want
+
+
+def test_a_group_of_100_000_entities(spark):
+    n = 100_000
+    side = lambda name, shift: F.expr(f"transform(sequence(0, {n - 1}), i -> named_struct('keys', array('all', concat('k', (i + {shift}) % 500))))").alias(name)
+    done = ev.match_lists(spark.range(1).select(side("ref", 0), side("pred", 7))).select(F.inline(F.expr("transform(entity_match, (m, i) -> named_struct('i', i, 'm', m))")))
+    assert done.where("i <> m").count() == 0 and done.count() == n  # all share a key, so the first free one is next
