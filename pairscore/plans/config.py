@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -79,12 +80,13 @@ def load_generator(env_path: str | Path | None = None) -> ChatModel:
     return ChatModel(**settled(found, GENERATOR_FIELDS), temperature=None)
 
 
+_SIZE = re.compile(r"\s*(\d+(?:\.\d+)?)\s*([kmg]?)b?\s*", re.I)
+
+
 def byte_size(size: int | str) -> int:
-    """Bytes of a size such as 10MB, 1.5 GB or 4096."""
-    if isinstance(size, int):
-        return size
-    text = size.strip().upper()
-    for power, unit in enumerate(("KB", "MB", "GB"), 1):
-        if text.endswith(unit):
-            return int(float(text.removesuffix(unit).strip()) * 1024**power)
-    return int(text)
+    """Bytes of a size such as 10MB, 1.5 GB or 4096; anything else raises ValueError."""
+    found = _SIZE.fullmatch(str(size))
+    if not found:
+        raise ValueError(f"not a size: {size!r}")
+    amount, unit = found.groups()
+    return int(float(amount) * 2 ** (10 * " kmg".index(unit.lower() or " ")))

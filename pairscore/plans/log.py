@@ -1,41 +1,30 @@
-"""Logging on the driver: console, and a rotating file if one is named. Executors log through Spark."""
+"""What the driver says of a run: on the console and, if a file is named, in that file too. Executors log through Spark."""
 
 from __future__ import annotations
 
 import logging
-from logging.handlers import RotatingFileHandler
+import logging.config
 from pathlib import Path
 
 from .config import byte_size
 
-#: Between INFO and WARNING.
-SUCCESS = 25
-logging.addLevelName(SUCCESS, "SUCCESS")
-MARKS = {"DEBUG": "🔍", "INFO": "ℹ️", "SUCCESS": "✅", "WARNING": "⚠️", "ERROR": "❌", "CRITICAL": "💥"}
-
-
-class MarkFormatter(logging.Formatter):
-    """The level's mark before the message."""
-
-    def format(self, record: logging.LogRecord) -> str:
-        return f"{MARKS.get(record.levelname, '')} {super().format(record)}".strip()
+LINE = "{asctime} {levelname} {name} | {message}"
+_FILES: dict[str, dict[str, dict]] = {}
 
 
 def driver_logger(name: str = "pairscore", file: str | None = None, size: int | str = "10MB", files: int = 10, level: int = logging.INFO) -> logging.Logger:
-    """The logger of a name, set up once; ``file`` is rotated at ``size`` and ``files`` old ones are kept."""
-    log = logging.getLogger(name)
-    log.setLevel(level)
-    form = MarkFormatter("%(levelname)s %(name)s: %(message)s")
-    if not any(type(h) is logging.StreamHandler for h in log.handlers):
-        log.addHandler(logging.StreamHandler())
-        log.handlers[-1].setFormatter(form)
-        log.propagate = False
-    if file and not any(getattr(h, "baseFilename", None) == str(Path(file).resolve()) for h in log.handlers):
-        Path(file).parent.mkdir(parents=True, exist_ok=True)
-        log.addHandler(RotatingFileHandler(Path(file).resolve(), maxBytes=byte_size(size), backupCount=files, encoding="utf-8"))
-        log.handlers[-1].setFormatter(form)
-    return log
-
-
-def success(log: logging.Logger, message: str) -> None:
-    log.log(SUCCESS, message)
+    """The logger of a name. Each file that it was ever given is written to; one of ``size`` is put aside, and ``files`` of
+    those are kept. Nothing is set up again unless a file is new."""
+    known = _FILES.get(name)
+    path = str(Path(file).resolve()) if file else None
+    if known is None or (path and path not in known):
+        known = _FILES.setdefault(name, {})
+        if path:
+            Path(path).parent.mkdir(parents=True, exist_ok=True)
+            known[path] = {"class": "logging.handlers.RotatingFileHandler", "filename": path, "maxBytes": byte_size(size), "backupCount": files, "encoding": "utf-8", "formatter": "line"}
+        handlers = {f"{name} console": {"class": "logging.StreamHandler", "formatter": "line"}, **{f"{name} {p}": h for p, h in known.items()}}
+        logging.config.dictConfig({
+            "version": 1, "disable_existing_loggers": False, "formatters": {"line": {"format": LINE, "style": "{"}},
+            "handlers": handlers, "loggers": {name: {"level": level, "handlers": list(handlers), "propagate": False}},
+        })
+    return logging.getLogger(name)

@@ -14,7 +14,7 @@ from ..sources import sinks
 from ..sources.gold import read_gold
 from ..sources.markdown import exists, load_markdown
 from ..sources.models import Model, ask_model, generate_answers, judge, parse_responses, score_answers
-from .log import driver_logger, success
+from .log import driver_logger
 from .prompts import EXTRACTION_SYSTEM, extraction_prompt_column
 
 _PROMPT = "prompt_sha"
@@ -30,7 +30,7 @@ class Tables:
         began = time.perf_counter()
         df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
         kept = self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
-        success(self.log, f"{name}: {kept.count()} rows in {time.perf_counter() - began:.1f} s")
+        self.log.info(f"{name}: {kept.count()} rows in {time.perf_counter() - began:.1f} s")
         return kept
 
 
@@ -110,7 +110,7 @@ def run_eval(
     summary = summarize(evaluated, chunks, input_md=input_md, output_dir=output_dir, model_a=model_a.name, model_b=model_b.name)
     sinks.write_report(spark, f"{output_dir}/summary_report.json", summary, chunk_errors)
     sinks.write_text(spark, f"{output_dir}/summary_report.md", sinks.report_markdown(summary))
-    success(tables.log, f"report of {summary['chunk_count']} chunks in {output_dir}")
+    tables.log.info(f"report of {summary['chunk_count']} chunks in {output_dir}")
     return summary, errors
 
 

@@ -121,14 +121,19 @@ def test_config(tmp_path, monkeypatch):
 
 
 def test_log(tmp_path):
-    from pairscore.plans.log import driver_logger, success
+    from pairscore.plans.log import driver_logger
 
-    log = driver_logger("test", str(tmp_path / "logs" / "a.log"), "1KB", 2)
+    file = tmp_path / "logs" / "a.log"
+    log = driver_logger("test", str(file), "1KB", 2)
     for i in range(200):
-        success(driver_logger("test", str(tmp_path / "logs" / "a.log"), "1KB", 2), f"number {i}")
+        driver_logger("test", str(file), "1KB", 2).info("number %d", i)
     assert len(log.handlers) == 2
-    assert sorted(p.name for p in (tmp_path / "logs").iterdir()) == ["a.log", "a.log.1", "a.log.2"]
-    assert "✅ SUCCESS test: number 199" in (tmp_path / "logs" / "a.log").read_text()
+    assert sorted(p.name for p in file.parent.iterdir()) == ["a.log", "a.log.1", "a.log.2"]
+    assert file.read_text().splitlines()[-1].endswith("INFO test | number 199")
+    driver_logger("test", str(tmp_path / "b.log")).info("to both")
+    assert "to both" in (tmp_path / "b.log").read_text() and "to both" in file.read_text()
+    with pytest.raises(ValueError, match="ten"):
+        byte_size("ten MB")
 
 
 def test_stream(spark, tmp_path):
