@@ -1,16 +1,18 @@
 """License scans by an exact set-similarity join (DataFrame functions only).
 
-Templates are word sequences, from one line to a whole licence, each with the share of its distinct words that a block must
-hold (the threshold). A text is cut into overlapping blocks of twice a step, one every step; a template's step is STEP, or
-so many times doubled that the template fits, so any passage of its length lies whole in a block. Words are ordered by how
-many documents of the corpus have them, rarest first:
+Templates are word sequences, from one line to a whole licence, each with the share of its distinct words that must stand
+close together (the threshold): within as many words as the template would have if only that share of its text were the
+template's, its reach. A text is cut into overlapping blocks of twice a step, one every step, a step being at least the
+reach, so that any such stretch lies whole in a block. Words are ordered by how many documents of the corpus have them,
+rarest first, and only blocks around a prefix word are looked at:
 
 * prefix filter: a match must hold one of a template's ``size - ceil(threshold * size) + 1`` rarest words;
 * length filter: a block with fewer distinct template words than the threshold asks for cannot match;
 * positional filter: when the rarest shared word is the template's k-th (from 0), at most ``size - k`` can be shared.
 
-What passes is verified by the size of the intersection. Base phrases are templates with threshold 1 whose places are
-then counted where their words stand in sequence.
+What passes is verified: the densest stretch of the block is found, and its words are counted. Base phrases are places
+where a phrase's words stand in sequence; they are found around each phrase's rarest word. Texts and templates meet in
+the text's own row, so nothing but the corpus counts is shuffled.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.merge import bind
 from .common import ascii_lower
 
 # The base phrases and their labels.
@@ -74,7 +77,7 @@ TEMPLATES = (
      "possibility of such damage"),
 )
 #: The least step from block to block.
-STEP = 32
+STEP = 8
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -82,10 +85,15 @@ def words(text: Column) -> Column:
     return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), _NOT_WORD), lambda w: w != "")
 
 
-def step_of(words: list[str]) -> int:
-    """STEP, doubled until the words fit."""
+def reach_of(words: list[str], share: float) -> int:
+    """The words within which that share of a template's must stand."""
+    return math.ceil(len(words) / share - 1e-9)
+
+
+def step_of(reach: int) -> int:
+    """STEP, doubled until the reach fits."""
     step = STEP
-    while step < len(words):
+    while step < reach:
         step *= 2
     return step
 
@@ -102,71 +110,39 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, base=None) -> DataFrame:
     """One row per input row: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, places``.
 
     ``templates`` are triples of label, threshold and words. ``places`` lists what was found as structs (label, start, length
-    in words, score), sorted; ``score`` is the best of them, 0.0 for none. Null texts count as empty and give empty labels.
-    A doc_id may be null or repeated: results belong to the pair of doc_id and text, and every input row comes back. Other
-    columns are ignored; an empty table gives an empty result. No text is cut short and no place is dropped.
+    in words, score), sorted: each base phrase, and of each template the densest stretch of every block that has one.
+    ``score`` is the best of them, 0.0 for none. Null texts count as empty and give empty labels. Rows are scanned each for
+    itself, whatever their ids; other columns are ignored; an empty table gives an empty result. No text is cut short and
+    no place is dropped.
     """
-    spark = docs.sparkSession
     base = BASE if base is None else base
-    rules = [(lab, 1.0, ph.split(), True) for ph, lab in base.items()] + [(lab, share, t.split(), False) for lab, share, t in templates]
-    lists = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), words(F.col("text")).alias("words"))
-    vocabulary = sorted({w for _, _, ws, _ in rules for w in ws})
+    lists = docs.select("doc_id", words(F.col("text")).alias("words"))
+    vocabulary = sorted({w for text in [*base, *(t for _, _, t in templates)] for w in text.split()})
     seen = _corpus_counts(lists, vocabulary)
-    order = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (seen.get(w, 0), w)))}
-    prefixes, shapes, steps = [], [], {w: set() for w in vocabulary}
-    for rule, (label, share, ws, exact) in enumerate(rules):
-        ranks, step = sorted({order[w] for w in ws}), step_of(ws)
-        need = math.ceil(share * len(ranks) - 1e-9)
-        prefixes += [(rule, step, r, k, len(ranks), need) for k, r in enumerate(ranks[: len(ranks) - need + 1])]
-        shapes.append((rule, label, exact, [order[w] for w in ws], ranks))
-        for w in ws:
-            steps[w].add(step)
-    # as large as the templates
-    prefix_table = F.broadcast(spark.createDataFrame(prefixes, "rule int, step int, rank int, k int, size int, need int"))
-    shape_table = F.broadcast(spark.createDataFrame(shapes, "rule int, label string, exact boolean, sequence array<int>, ranks array<int>"))
-    rank_table = F.broadcast(spark.createDataFrame([(w, i, sorted(steps[w])) for w, i in order.items()], "word string, rank int, steps array<int>"))
-    rare = F.array(*[F.lit(w) for w in sorted({w for w in vocabulary for p in prefixes if p[2] == order[w]})])
-
-    # only texts with a prefix word go on; a row given twice is scanned once
-    candidates = lists.where(F.arrays_overlap("words", rare)).dropDuplicates(["row_key"])
-    placed = candidates.select("row_key", F.posexplode("words").alias("pos", "word")).join(rank_table, "word").select("row_key", "pos", "rank", F.explode("steps").alias("step"))
-    at = F.floor(F.col("pos") / F.col("step")).cast("int")
-    blocks = (
-        placed.select("row_key", "step", F.explode(F.array(at, at - 1)).alias("block"), "pos", "rank").where("block >= 0")
-        .groupBy("row_key", "step", "block").agg(F.sort_array(F.collect_list(F.struct("pos", "rank"))).alias("held"))
-        .withColumn("ranks", F.array_distinct("held.rank"))
-    )
-    matched = (
-        blocks.withColumn("rank", F.explode("ranks")).join(prefix_table, ["rank", "step"])
-        .where((F.size("ranks") >= F.col("need")) & (F.col("size") - F.col("k") >= F.col("need")))  # length and position
-        .groupBy("row_key", "step", "block", "rule").agg(F.min("k").alias("k"), F.first("held").alias("held"), F.first("ranks").alias("had"), F.first("size").alias("size"), F.first("need").alias("need"))
-        .where(F.col("size") - F.col("k") >= F.col("need"))
-        .join(shape_table, "rule")
-        .withColumn("shared", F.size(F.array_intersect("had", "ranks")))
-        .where(F.col("shared") >= F.col("need"))
-    )
-    return _report(lists, matched)
-
-
-def _report(lists: DataFrame, matched: DataFrame) -> DataFrame:
-    start = F.col("block") * F.col("step")
-    # a phrase stands where each of its words follows the one before; counted in the block whose first half has it
-    at = lambda p, i: F.exists("held", lambda h: (h["pos"] == p + i) & (h["rank"] == F.element_at("sequence", i + 1)))
-    sequence_at = lambda p: F.forall(F.sequence(F.lit(0), F.size("sequence") - 1), lambda i: at(p, i))
-    first_half = F.filter("held", lambda h: (h["pos"] < start + F.col("step")) & (h["rank"] == F.element_at("sequence", 1)))
-    places = F.when(
-        F.col("exact"),
-        F.transform(F.filter(F.array_distinct(first_half["pos"]), sequence_at), lambda p: F.struct(F.lit(True).alias("base"), F.col("label").alias("label"), p.cast("long").alias("start"), F.size("sequence").alias("length"), F.lit(1.0).alias("score"))),
-    ).otherwise(
-        F.array(F.struct(
-            F.lit(False).alias("base"), F.col("label").alias("label"),
-            F.array_min(F.transform(F.filter("held", lambda h: F.array_contains(F.col("ranks"), h["rank"])), lambda h: h["pos"])).cast("long").alias("start"),
-            F.size("sequence").alias("length"), (F.col("shared") / F.col("size")).cast("double").alias("score")))
-    )
-    found = matched.select("row_key", F.explode(places).alias("p")).groupBy("row_key").agg(F.array_sort(F.collect_set("p")).alias("places"))
-    rows = lists.select("doc_id", "row_key", F.size("words").cast("long").alias("n_words"))
-    all_places = F.coalesce("places", F.array().cast("array<struct<base:boolean,label:string,start:bigint,length:int,score:double>>"))
-    out = rows.join(found, "row_key", "left").withColumn("places", all_places).withColumn("own", F.filter("places", lambda p: p["base"]))
+    rank = lambda w: (seen.get(w, 0), w)
+    phrases, rules, rare = [], [], set()
+    for phrase, label in base.items():
+        ws = phrase.split()
+        first = min(ws, key=rank)
+        rare.add(first)
+        phrases.append(F.struct(F.lit(label).alias("label"), F.array(*map(F.lit, ws)).alias("sequence"), F.lit(first).alias("rarest"), F.lit(ws.index(first)).alias("offset")))
+    for label, share, text in templates:
+        ws = text.split()
+        own = sorted(set(ws), key=rank)
+        need, reach = math.ceil(share * len(own) - 1e-9), reach_of(ws, share)
+        prefix = own[: len(own) - need + 1]
+        rare.update(prefix)
+        rules.append(F.struct(
+            F.lit(label).alias("label"), F.array(*map(F.lit, own)).alias("own"), F.array(*map(F.lit, prefix)).alias("prefix"),
+            F.lit(need).alias("need"), F.lit(reach).alias("reach"), F.lit(step_of(reach)).alias("step")))
+    none = F.array().cast(_PLACES)
+    hits = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(sorted(rare)))
+    all_ = lambda kinds, of: F.flatten(F.transform(F.array(*kinds), of)).cast(_PLACES) if kinds else none
+    found = bind(hits, lambda at: F.concat(all_(phrases, lambda p: _phrase_places(at, p)), all_(rules, lambda r: _template_places(at, r))))
+    # only texts with a prefix word are scanned
+    places = F.when(F.arrays_overlap("words", F.array(*map(F.lit, sorted(rare)))), F.array_sort(F.array_distinct(found))).otherwise(none) if rare else none
+    told = lists.select("doc_id", F.size("words").cast("long").alias("n_words"), places.alias("places"))
+    out = told.withColumn("own", F.filter("places", lambda p: p["base"]))
     labels = lambda c: F.array_join(F.array_sort(F.array_distinct(F.col(f"{c}.label"))), ",")
     return out.select(
         "doc_id", "n_words", F.size("own").cast("long").alias("n_base"),
@@ -175,3 +151,42 @@ def _report(lists: DataFrame, matched: DataFrame) -> DataFrame:
         F.coalesce(F.array_max("places.score"), F.lit(0.0)).alias("score"),
         F.transform("places", lambda p: F.struct(p["label"].alias("label"), p["start"].alias("start"), p["length"].alias("length"), p["score"].alias("score"))).alias("places"),
     )
+
+
+_PLACES = "array<struct<base:boolean,label:string,start:bigint,length:int,score:double>>"
+
+
+def _place(base: bool, label: Column, start: Column, length: Column, score: Column) -> Column:
+    return F.struct(F.lit(base).alias("base"), label.alias("label"), start.cast("long").alias("start"), length.alias("length"), score.alias("score"))
+
+
+def _phrase_places(hits: Column, p: Column) -> Column:
+    """The places of a phrase, from where its rarest word stands."""
+    starts = F.transform(F.filter(hits, lambda h: h["w"] == p["rarest"]), lambda h: h["i"] - p["offset"])
+    met = F.filter(starts, lambda s: (s >= 0) & (F.slice("words", F.greatest(s, F.lit(0)) + 1, F.size(p["sequence"])) == p["sequence"]))
+    return F.transform(met, lambda s: _place(True, p["label"], s, F.size(p["sequence"]), F.lit(1.0)))
+
+
+def _template_places(hits: Column, r: Column) -> Column:
+    """The densest stretch of each block around a prefix word that passes the filters and the threshold."""
+    near = F.filter(hits, lambda h: F.array_contains(r["prefix"], h["w"]))
+    block = lambda h: F.floor(h["i"] / r["step"]).cast("int")
+    blocks = F.filter(F.array_distinct(F.flatten(F.transform(near, lambda h: F.array(block(h) - 1, block(h))))), lambda b: b >= 0)
+
+    def of_block(b: Column) -> Column:
+        start = b * r["step"]
+        ws = F.slice("words", start + 1, 2 * r["step"])
+
+        def filtered(had: Column) -> Column:
+            can = F.size(r["own"]) - (F.array_position(r["own"], F.get(had, F.lit(0))) - 1)
+            return F.when((F.size(had) >= r["need"]) & (can >= r["need"]), bind(ws, densest))
+
+        def densest(own: Column) -> Column:
+            held = F.filter(F.transform(own, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: F.array_contains(r["own"], x["w"]))
+            return bind(held, lambda all_: F.array_max(F.transform(all_, lambda x: F.struct(
+                F.size(F.array_distinct(F.filter(all_, lambda y: (y["i"] >= x["i"]) & (y["i"] < x["i"] + r["reach"]))["w"])).alias("n"), (-(start + x["i"])).alias("at")))))
+
+        return bind(F.array_intersect(r["own"], ws), filtered)
+
+    found = F.filter(F.transform(blocks, of_block), lambda x: x.isNotNull() & (x["n"] >= r["need"]))
+    return F.transform(found, lambda x: _place(False, r["label"], -x["at"], r["reach"], (x["n"] / F.size(r["own"])).cast("double")))

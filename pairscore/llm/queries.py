@@ -13,7 +13,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .html_extract import extract_pages
 from .language_id import HELD_OUT, fit_languages, fold as language_fold, identify
-from .license_scan import BASE, TEMPLATES, license_scan, step_of
+from .license_scan import BASE, TEMPLATES, license_scan
 from .lm_score import lm_score
 from .near_dup import near_duplicates
 from .packing import pack
@@ -130,11 +130,12 @@ _PHRASES = ", ".join(f"('{label}', {phrase.split()})" for phrase, label in BASE.
 
 
 def _template_words() -> str:
+    """A row for each distinct word of each template: how many words it has, how many must be met, and within how many."""
     rows = []
     for rule, (label, share, text) in enumerate(TEMPLATES):
-        own = sorted(set(text.split()))
-        need, step = math.ceil(share * len(own) - 1e-9), step_of(text.split())
-        rows += [f"({rule}, '{label}', '{w}', {len(own)}, {need}, {step})" for w in own]
+        own, length = sorted(set(text.split())), len(text.split())
+        need, reach = math.ceil(share * len(own) - 1e-9), math.ceil(length / share - 1e-9)
+        rows += [f"({rule}, '{label}', '{w}', {len(own)}, {need}, {reach})" for w in own]
     return ", ".join(rows)
 
 
@@ -175,11 +176,14 @@ SQL = {
         WITH w AS (SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS ws FROM documents),
         tok AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM w),
         phrase(label, ps) AS (VALUES {_PHRASES}),
-        tw(rule, label, word, size, need, step) AS (VALUES {_template_words()}),
+        tw(rule, label, word, size, need, reach) AS (VALUES {_template_words()}),
         base AS (SELECT t.doc_id, label, pos FROM tok t JOIN phrase ON word = ps[1] JOIN w ON w.doc_id = t.doc_id WHERE ws[pos + 1 : pos + len(ps)] = ps),
-        hit AS (SELECT doc_id, label, count(DISTINCT word) / any_value(size) AS score
-                FROM (SELECT doc_id, rule, label, word, size, need, unnest([pos // step, pos // step - 1]) AS block FROM tok JOIN tw USING (word))
-                WHERE block >= 0 GROUP BY doc_id, rule, label, block HAVING count(DISTINCT word) >= any_value(need)),
+        held AS (SELECT doc_id, pos, rule, label, word, size, need, reach FROM tok JOIN tw USING (word)),
+        able AS (SELECT doc_id, rule FROM held GROUP BY doc_id, rule, size, need HAVING count(DISTINCT word) >= need),
+        able_held AS (SELECT held.* FROM held JOIN able USING (doc_id, rule)),
+        hit AS (SELECT x.doc_id, x.label, count(DISTINCT y.word) / any_value(x.size) AS score
+                FROM able_held x JOIN able_held y ON y.doc_id = x.doc_id AND y.rule = x.rule AND y.pos >= x.pos AND y.pos < x.pos + x.reach
+                GROUP BY x.doc_id, x.rule, x.label, x.pos HAVING count(DISTINCT y.word) >= any_value(x.need)),
         b AS (SELECT doc_id, count(*) AS n, min(pos) AS lo, max(pos) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY doc_id),
         l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
               FROM (SELECT doc_id, label, 1.0::DOUBLE AS score FROM base UNION ALL SELECT * FROM hit) GROUP BY doc_id)

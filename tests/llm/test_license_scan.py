@@ -1,3 +1,5 @@
+import math
+import random
 import re
 
 from pairscore.llm.license_scan import BASE, license_scan
@@ -56,17 +58,18 @@ def test_empty_table_and_clashing_columns(spark):
     assert license_scan(rows).first().base_labels == "mit"
 
 
-def contained(text, share, template, step):
-    """Whether any block of two steps holds that share of the template's distinct words."""
+def contained(text, share, template):
+    """Whether any stretch of the template's reach holds that share of its distinct words."""
     w, own = WORD.findall(ascii_lower(text)), set(template.split())
-    return any(len(own & set(w[at : at + 2 * step])) >= share * len(own) - 1e-9 for at in range(0, max(1, len(w)), step))
+    reach = math.ceil(len(template.split()) / share - 1e-9)
+    return any(len(own & set(w[at : at + reach])) >= share * len(own) - 1e-9 for at in range(max(1, len(w))))
 
 
 def test_whole_licences_at_any_place(spark):
-    from pairscore.llm.license_scan import TEMPLATES, step_of
+    from pairscore.llm.license_scan import TEMPLATES, reach_of, step_of
 
     whole = next(t for label, _, t in TEMPLATES if label == "mit-text")
-    assert len(whole.split()) > 128 and step_of(whole.split()) == 256 and step_of(["a"] * 32) == 32 and step_of(["a"] * 33) == 64
+    assert len(whole.split()) > 128 and step_of(reach_of(whole.split(), 0.8)) == 256 and step_of(8) == 8 and step_of(9) == 16
     rows, n = [], 0
     for gap in (0, 1, 200, 255, 300):
         for keep in (1.0, 0.9, 0.75):
@@ -75,10 +78,37 @@ def test_whole_licences_at_any_place(spark):
             rows.append((n, " ".join([f"w{i}" for i in range(gap)] + cut + [f"v{i}" for i in range(77)])))
     got = {r.doc_id: set(r.labels.split(",")) - {""} for r in license_scan(documents(spark, rows)).collect()}
     for doc_id, text in rows:
-        assert got[doc_id] - {"mit"} == {label for label, share, t in TEMPLATES if contained(text, share, t, step_of(t.split()))}, doc_id
+        assert got[doc_id] - {"mit"} == {label for label, share, t in TEMPLATES if contained(text, share, t)}, doc_id
     assert any("mit-text" in v for v in got.values()) and any("mit-text" not in v for v in got.values())
 
 
+SCATTERED = "Copyright: you can get the software under terms of the license; the apache version is at 2 and line 0 is licensed"
+
+
+def test_scattered_words_are_no_notice(spark):
+    rows = [(i, " ".join(["w"] * i) + " " + SCATTERED) for i in range(20)] + [(99, SCATTERED + " licensed under the Apache License, Version 2.0")]
+    labels = {r.doc_id: r.labels for r in license_scan(documents(spark, rows)).collect()}
+    assert labels.pop(99) == "apache,apache-2.0-notice" and set(labels.values()) == {""}
+
+
+def test_random_texts_against_brute_force(spark):
+    """Templates of few words in texts of the same few, at all places relative to the blocks; starts are those of a stretch
+    that meets the threshold, and the best score is found."""
+    rnd = random.Random(11)
+    templates = (("five", 0.8, "a b c d e"), ("all", 1.0, "a b a f"), ("long", 0.6, " ".join("a b c d e f g h i j k l".split())), ("one", 1.0, "z"))
+    rows = [(i, " ".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(0, 70)))) for i in range(150)]
+    rows += [(200 + i, " ".join(rnd.choice("abcdefz") for _ in range(rnd.randrange(0, 40)))) for i in range(60)]
+    for r, (_, text) in zip(license_scan(documents(spark, rows), templates, {}).orderBy("doc_id").collect(), rows):
+        assert r.labels == ",".join(sorted(label for label, share, t in templates if contained(text, share, t)))
+        w, best = text.split(), 0.0
+        for label, share, t in templates:
+            own, reach = set(t.split()), math.ceil(len(t.split()) / share - 1e-9)
+            scores = [len(own & set(w[at : at + reach])) / len(own) for at in range(len(w))]
+            best = max([best, *(x for x in scores if x >= share - 1e-9)])
+            assert all(scores[p.start] == p.score and p.length == reach for p in r.places if p.label == label)
+        assert r.score == best
+
+
 def test_thresholds_are_the_templates_own(spark):
     rows = documents(spark, [(1, "alpha beta gamma delta"), (2, "alpha beta gamma delta epsilon")])
     templates = (("all", 1.0, "alpha beta gamma delta epsilon"), ("most", 0.8, "alpha beta gamma delta epsilon"), ("half", 0.5, "alpha beta zeta eta"))
