@@ -1,14 +1,14 @@
 """Splitting Markdown documents into chunks that know their page and headings.
 
 Chunk boundaries depend on a length that starts anew at each boundary, so they are a fold over a document's lines: it
-runs in an Arrow function, document by document, with no shuffle. What is no fold (lines, page and heading tags, hard
-slices) is also there as column expressions.
+runs in an Arrow function, document by document, with no shuffle; operators.segments folds documents that are too large for
+that by blocks of lines. What is no fold (lines, page and heading tags, hard slices) is also there as column expressions.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -57,22 +57,26 @@ class _Open:
         self.lines.append(line)
 
 
-def chunk_text(text: str, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS) -> Iterator[tuple[str, list[str], str]]:
+def fold_lines(
+    lines: Iterable[str], min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS, page: str = "", titles: Sequence[str] = (), first: int = 0, until: int | None = None,
+) -> Iterator[tuple[str, list[str], str]]:
     """(page or "", title path, text) of each chunk.
 
     A page marker or a heading closes what is open if that has ``min_chars`` or more; a line that brings it to
     ``max_chars`` closes it after itself. A chunk opened before any page was known takes the page known when it closes.
     Headings replace all titles from their level down; skipped levels leave no gap.
+
+    ``page`` and ``titles`` are those in force before the first line. Lines before ``first`` only change these; the fold
+    ends where a chunk would open at line ``until`` or later.
     """
-    titles: list[str] = []
-    page, now = "", _Open()
+    titles, now = list(titles), _Open()
 
     def close() -> Iterator[tuple[str, list[str], str]]:
         body = "\n".join(now.lines).strip()
         for part in fit(body, max_chars) if body else []:
             yield now.page or page, now.titles, part
 
-    for line in text.splitlines():
+    for i, line in enumerate(lines):
         marked, heading = page_of(line), _HEADING.match(line)
         if marked:
             page = marked
@@ -84,7 +88,11 @@ def chunk_text(text: str, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS
             if now.length >= min_chars:
                 yield from close()
                 now = _Open()
+        if i < first:
+            continue
         if not now.lines:
+            if until is not None and i >= until:
+                return
             now.page, now.titles = page, titles
         now.add(line)
         if now.length >= max_chars:
@@ -93,6 +101,11 @@ def chunk_text(text: str, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS
     yield from close()
 
 
+def chunk_text(text: str, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS) -> Iterator[tuple[str, list[str], str]]:
+    """The chunks of a whole text; see ``fold_lines``."""
+    return fold_lines(text.splitlines(), min_chars, max_chars)
+
+
 def chunk_documents(docs: DataFrame, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS) -> DataFrame:
     """Chunks of ``docs`` (doc_id, text), as schemas.CHUNK. Ids count from 1 within a document; a chunk without a page
     bears its id as page hint. Null and blank texts have no chunks."""

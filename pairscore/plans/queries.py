@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
 from ..functions.parsing import parse_response
 from ..functions.text import RELATIONS, normalize_relation, normalize_text, plain_all
-from ..operators import chunking, evaluate as ev, generate, report
+from ..operators import chunking, evaluate as ev, generate, report, segments
 from ..operators.merge import normalize_extractions, with_merged
 from ..schemas import ENTITY, ERROR_TYPES, LEVELS
 from ..sources.gold import read_gold
@@ -466,7 +466,23 @@ def chunk_headed(spark, sf_dir):
     return chunking.chunk_documents(docs).select("doc_id", "chunk_idx", "chunk_id", "page_hint", F.array_join("title_path", " > ").alias("titles"), "text")
 
 
+#: Sizes of chunks and blocks at which the documents of a source make many of both.
+SMALL_CHUNKS = {"min_chars": 150, "max_chars": 300, "block_lines": 310}
+
+
+def chunk_segments(spark, sf_dir):
+    """All documents of a source as one, with headings, page markers and blank lines, chunked by blocks of lines."""
+    head = F.array(F.concat(F.lit("# "), "lang"), F.concat(F.lit("## Page "), F.col("doc_id") % 50))
+    docs = table(spark, sf_dir, "documents").select("source", "doc_id", F.concat(head, F.split("text", "\n"), F.array(F.lit(""))).alias("lines"))
+    before = F.sum("n").over(Window.partitionBy("source").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1))
+    starts = docs.select("source", "doc_id", F.size("lines").alias("n")).select("source", "doc_id", F.coalesce(before, F.lit(0)).alias("start"))
+    lines = docs.join(starts, ["source", "doc_id"]).select("source", "start", F.posexplode("lines").alias("i", "line"))
+    found = segments.chunk_lines(lines.select(F.col("source").alias("doc_id"), (F.col("start") + F.col("i")).alias("line_no"), "line"), **SMALL_CHUNKS)
+    return found.select("doc_id", "chunk_idx", "chunk_id", "page_hint", F.array_join("title_path", " > ").alias("titles"), "text")
+
+
 QUERIES = {
+    "chunk_segments": chunk_segments,
     "report_errors": report_errors,
     "repeated_chunks": repeated_chunks,
     "summary_metrics": summary_metrics,
@@ -592,7 +608,34 @@ _BATCHES = "SELECT category, CAST(least(20, total - s) AS INT) AS count, descrip
 _TOKENS = "SELECT token, {normal} AS normal, count(*) AS docs FROM (SELECT unnest(list_distinct(regexp_extract_all(text, '\\p{{L}}{{2,}}'))) AS token FROM documents) GROUP BY ALL"
 _PHRASES = [(f"可{p}的", next(n for q, n in RELATIONS if q in p)) for p, _ in RELATIONS] + [("Located In", "locatedin")]
 
+_LOW, _HIGH = SMALL_CHUNKS["min_chars"], SMALL_CHUNKS["max_chars"]
+
 SQL = {
+    "chunk_segments": f"""
+        WITH RECURSIVE made AS (SELECT source AS doc_id, doc_id AS nth, list_concat(['# ' || lang, '## Page ' || (doc_id % 50)], string_split(text, chr(10)), ['']) AS l FROM documents),
+        numbered_lines AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY nth, i) AS n, line FROM (SELECT doc_id, nth, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM made)),
+        lines AS (SELECT doc_id, n, line, nullif(regexp_extract(line, '^## Page (\\d+)$', 1), '') AS page, length(regexp_extract(line, '^(#+) ', 1)) AS level, regexp_extract(line, '^#+ (.+)$', 1) AS title FROM numbered_lines),
+        fold AS (
+            SELECT doc_id, n, line, length(line) AS size, 0 AS part, '' AS page, [title] AS titles, [title] AS own FROM lines WHERE n = 1
+            UNION ALL
+            SELECT doc_id, n, line, CASE WHEN fresh THEN length(line) ELSE size + 1 + length(line) END, CASE WHEN fresh THEN part + 1 ELSE part END, page, titles, CASE WHEN fresh THEN titles ELSE own END
+            FROM (SELECT l.doc_id, l.n, l.line, f.size, f.part, coalesce(l.page, f.page) AS page, f.own,
+                         CASE WHEN l.level > 0 THEN list_append(f.titles[1 : l.level - 1], l.title) ELSE f.titles END AS titles,
+                         f.size >= {_HIGH} OR (f.size >= {_LOW} AND (l.page IS NOT NULL OR l.level > 0)) AS fresh
+                  FROM fold f JOIN lines l ON l.doc_id = f.doc_id AND l.n = f.n + 1)),
+        whole AS (SELECT doc_id, part, trim(string_agg(line, chr(10) ORDER BY n), {_WS}) AS text, arg_min(page, n) AS opened, arg_max(page, n) AS ended, max(size) AS size, arg_min(own, n) AS own FROM fold GROUP BY ALL),
+        known AS (SELECT *, CASE WHEN size >= {_HIGH} THEN ended ELSE coalesce(lead(opened) OVER (PARTITION BY doc_id ORDER BY part), ended) END AS closed FROM whole),
+        pieces AS (SELECT doc_id, part, CASE WHEN length(text) > {_HIGH} THEN string_split(regexp_replace(text, '(\\n\\s*\\n)', chr(1) || '\\1' || chr(1), 'g'), chr(1)) ELSE [text] END AS ps FROM known),
+        pack AS (
+            SELECT doc_id, part, ps, 0 AS k, CAST([] AS VARCHAR[]) AS done, '' AS cur, {_HIGH} AS room FROM pieces
+            UNION ALL
+            SELECT doc_id, part, ps, k + 1, CASE WHEN fresh THEN list_append(done, cur) ELSE done END, CASE WHEN fresh THEN p ELSE cur || p END, CASE WHEN fresh THEN {_HIGH} ELSE room END - length(p)
+            FROM (SELECT *, ps[k + 1] AS p, length(ps[k + 1]) > room AND trim(cur, {_WS}) <> '' AS fresh FROM pack WHERE k < len(ps))),
+        packed AS (SELECT doc_id, part, unnest(l) AS body, generate_subscripts(l, 1) AS j FROM (SELECT doc_id, part, list_append(done, cur) AS l FROM pack WHERE k = len(ps))),
+        cut AS (SELECT doc_id, part, j, i, trim(substr(trim(body, {_WS}), i + 1, {_HIGH}), {_WS}) AS text FROM packed, LATERAL (SELECT unnest(generate_series(0, greatest(length(trim(body, {_WS})) - 1, 0), {_HIGH})) AS i)),
+        numbered AS (SELECT doc_id, part, text, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY part, j, i) AS INT) AS chunk_idx FROM cut WHERE text <> '')
+        SELECT doc_id, chunk_idx, printf('chunk_%04d', chunk_idx) AS chunk_id, CASE WHEN opened <> '' THEN opened ELSE closed END AS page_hint, array_to_string(own, ' > ') AS titles, numbered.text
+        FROM numbered JOIN known USING (doc_id, part)""",
     "report_errors": _SIDES + "SELECT printf('chunk_%04d', chunk_idx + 1) AS chunk_id, error_type, count(*) AS count FROM err GROUP BY doc_id, chunk_idx, error_type",
     "repeated_chunks": """
         WITH l AS (SELECT l_orderkey AS doc_id, l_linenumber AS seq, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
