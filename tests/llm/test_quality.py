@@ -92,3 +92,14 @@ def test_forest_is_the_slow_one():
     y = (x[:, 0] + 0.5 * x[:, 1] ** 2 + 0.3 * rng.standard_normal(120) > 0.2).astype(float)
     form = dict(trees=3, depth=3, rate=0.3, bins=8, l2=2.0, least=2.0)
     assert np.allclose(fit_forest(x, y, **form).score(x), slow_forest(x, y, **form), atol=1e-9)
+
+
+def test_repeated_ids_give_one_row_however_rows_are_dealt(spark):
+    """Ids on rows of different texts: the forest does not depend on the order or the partitions of the rows."""
+    docs = table(spark, SF, "documents")
+    labels = table(spark, SF, "labels")
+    other = docs.selectExpr("doc_id", "concat(text, ' ', repeat('zz# ', cast(doc_id % 7 AS int)))  AS text")
+    both = docs.select("doc_id", "text").unionByName(other).unionByName(docs.selectExpr("doc_id", "CAST(NULL AS string) AS text").where("doc_id % 3 = 0"))
+    forests = [fit_quality(x, labels) for x in (both, both.repartition(13), both.orderBy("text").coalesce(1), both.unionByName(both))]
+    assert len(forests[0].roots) > 0
+    assert all((f.threshold == forests[0].threshold).all() and (f.value == forests[0].value).all() for f in forests[1:])
