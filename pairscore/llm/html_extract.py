@@ -2,14 +2,15 @@
 
 The standard library's parser streams events into lines, one per block of text. Each line has a ratio of its text, without
 link text, to its tags; the ratios are smoothed by a Gaussian, and lines whose smoothed ratio passes the threshold (the
-standard deviation, as in content extraction via tag ratios) form the content clusters. The region that holds them is the
-smallest element with most of their text, widened to an enclosing article or main part.
-
-What is taken of the region: of an article or main part, which a page marks as such, every line; of any other element,
-lines within the clusters' reach, where a line of links counts by its smoothed ratio too, and those beside them in the same
-element. Names are a second signal: elements that by name, role or class are never part of a text (menus, forms, scripts,
-adverts, comments ...) count as lines but are not taken. Within an article a class only tells if all its words do, and
-quotations are never left out for their class.
+standard deviation, as in content extraction via tag ratios) form the content clusters.
+
+* Where a page marks articles, all of them are its text, however short; else its main part is. Elements that are never part
+  of a text (menus, forms, asides, scripts, hidden parts) are left out there, and so are those named for adverts, comments,
+  sharing and the like. A weaker name (``form``, ``search``, ``notice``) may as well be what a section is about: there the
+  ratios decide, and only lines outside the clusters go. An id of a section, being what links point to, is a weak name.
+* Where nothing is marked, the clusters decide: the region is the smallest element with most of their text, and of it what
+  lies from the first content line to the last is taken, without lists of links; beyond them only a heading before, and
+  blocks of the same kind in the same element, unless they look like a menu or a copyright line.
 """
 
 from __future__ import annotations
@@ -45,12 +46,21 @@ NOISE_WORDS = frozenset(
 HARD_WORDS = frozenset(
     "comment comments replies respond disqus ad ads advert adverts advertisement cookie cookies nav navbar navigation menu footer breadcrumb breadcrumbs newsletter popup modal".split()
 )
+#: Names that within an article tell by themselves, since what they name may be prose too.
+TELLING_WORDS = HARD_WORDS | frozenset(
+    "adv advertising sponsor sponsored sidebar consent overlay subscribe subscription signup login register share sharing social related recommended recommendations paywall outbrain taboola".split()
+)
 ADVERT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored".split())
+#: Of a section's id: what readers write, and adverts.
+ID_WORDS = ADVERT_WORDS | frozenset("comment comments replies respond disqus".split())
 #: Words that say nothing in a class, beside others.
 NEUTRAL_WORDS = frozenset("box block list lists wrapper wrap container area section bar inner outer item items links link post posts group holder panel module top bottom left right thread form".split())
 #: Elements that quote, and parts of a text's own: a discussion or a reply there is the author's.
 QUOTES = frozenset("blockquote pre figure table p li".split())
 OWN_WORDS = frozenset("discussion reply".split())
+# How copyright lines begin, and what stands between the entries of a menu.
+_COPYRIGHT = re.compile(r"^\s*(?:©|\(c\)\s|copyright\b)", re.I)
+_MENU_MARKS = re.compile(r"\s+[|·•»›/]\s+|\s+::\s+")
 LAYOUT_WORDS = frozenset("has with without no".split())  # as in has-sidebar: said of the part beside it
 CONTENT_WORDS = frozenset("content main article entry story text body".split())
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -67,7 +77,9 @@ class _Open:
     header: bool = False
     heading: bool = False
     link: bool = False
-    article: bool = False
+    article: bool = False  # an article or main part
+    marked: str = ""  # "article" within one, "main" within a main part only
+    suspect: bool = False  # named weakly for something else than text
     holder: int = 0
     state: str = ""
 
@@ -80,6 +92,9 @@ class _Line:
     holder: int  # the number of the innermost element that holds blocks
     noise: bool
     heading: bool
+    marked: str
+    suspect: bool
+    tag: str  # the innermost block it is in
 
 
 class _Lines(HTMLParser):
@@ -106,7 +121,8 @@ class _Lines(HTMLParser):
         if text:
             now = self.now
             noise = now.noise or (now.header and not (now.heading and now.article))
-            self.lines.append(_Line(text, self.tags, self.links, now.holder, noise, now.heading))
+            tag = next((e.tag for e in reversed(self.stack) if e.tag in BLOCK), "")
+            self.lines.append(_Line(text, self.tags, self.links, now.holder, noise, now.heading, now.marked, now.suspect, tag))
             self.tags = self.links = 0
 
     def _push(self, tag: str, state: str) -> None:
@@ -121,7 +137,8 @@ class _Lines(HTMLParser):
             self.left.append(len(self.stack))
         self.stack.append(_Open(
             tag, now.noise or state == "noise", now.silent or state == "silent", now.header or state == "header", now.heading or tag in HEADINGS,
-            now.link or tag == "a", now.article or (tag in ("article", "main") and state != "header"), holder, state))
+            now.link or tag == "a", now.article or (tag in ("article", "main") and state != "header"),
+            "article" if tag == "article" else now.marked or ("main" if tag == "main" else ""), now.suspect or state == "suspect", holder, state))
 
     def _pop_to(self, depth: int) -> None:
         for element in self.stack[depth:]:
@@ -157,23 +174,43 @@ class _Lines(HTMLParser):
             return ""
         if tag in NOISE or (attrs.get("role") or "").lower() in NOISE_ROLES:
             return "noise"
-        if self._named_noise(tag, attrs):
+        if self.now.article:
+            if named := self._named_within(tag, attrs):
+                return named
+        elif self._named_noise(tag, attrs):
             return "noise"
         words = _words(attrs.get("class")) | _words(attrs.get("id"))
         if tag == "header":
             return "header"
         return "header" if "header" in words and not words & (CONTENT_WORDS - {"main", "body"}) and tag not in HEADINGS and tag != "article" else ""
 
-    def _named_noise(self, tag: str, attrs: dict[str, str | None]) -> bool:
-        tokens = [_words(t) for a in ("class", "id") for t in (attrs.get(a) or "").split()]
-        words = frozenset().union(*tokens)
+    @staticmethod
+    def _named_within(tag: str, attrs: dict[str, str | None]) -> str:
+        """What the names of an element say of it where the page says that this is its text: nothing, that it is "noise" or
+        that it is "suspect". A name counts only if all its words do."""
+        told = ""
+        for attribute in ("class", "id"):
+            for name in (attrs.get(attribute) or "").split():
+                words = _words(name)
+                if words & LAYOUT_WORDS or not words <= NOISE_WORDS | NEUTRAL_WORDS:
+                    continue
+                if tag in QUOTES:
+                    telling = ADVERT_WORDS
+                elif tag == "section" and attribute == "id":
+                    telling = ID_WORDS
+                else:
+                    telling = TELLING_WORDS
+                if words & telling:
+                    return "noise"
+                if words & NOISE_WORDS - OWN_WORDS - {"header"} and tag not in QUOTES:
+                    told = "suspect"
+        return told
+
+    @staticmethod
+    def _named_noise(tag: str, attrs: dict[str, str | None]) -> bool:
+        words = _words(attrs.get("class")) | _words(attrs.get("id"))
         if not words or words & LAYOUT_WORDS:
             return False
-        if self.now.article:  # the page says that this is its text
-            if tag in QUOTES:
-                return any(t & ADVERT_WORDS and t <= ADVERT_WORDS | NEUTRAL_WORDS for t in tokens)
-            telling = NOISE_WORDS - OWN_WORDS - {"header"}
-            return any(t & telling and t <= NOISE_WORDS | NEUTRAL_WORDS for t in tokens)
         told = bool(words & CONTENT_WORDS)
         return bool(words & HARD_WORDS and not (tag == "article" and told)) or bool(words & NOISE_WORDS - {"header"} and not told and tag != "article")
 
@@ -251,8 +288,11 @@ def smooth(ratios: np.ndarray, radius: int = 2, sigma: float = 1.0) -> np.ndarra
 
 def tag_ratios(lines: list[_Line]) -> np.ndarray:
     """The smoothed text-to-tag ratio of each line."""
-    text, tags = (np.array(v, dtype=float) for v in ([max(0, len(x.text) - x.links) for x in lines], [max(1, x.tags) for x in lines]))
-    return smooth(text / tags)
+    return smooth(np.array([_ratio(x) for x in lines], dtype=float))
+
+
+def _ratio(line: _Line) -> float:
+    return max(0, len(line.text) - line.links) / max(1, line.tags)
 
 
 def main_text(html: str | None, ratios_of=tag_ratios) -> str:
@@ -265,34 +305,59 @@ def main_text(html: str | None, ratios_of=tag_ratios) -> str:
         return ""
     ratios = ratios_of(lines)
     threshold = min(ratios.std(), ratios[own].max())
-    content = [i for i in own if ratios[i] >= threshold]
+    for kind in ("article", "main"):
+        marked = [i for i in own if lines[i].marked == kind]
+        if marked:
+            return "\n".join(lines[i].text for i in _clear(lines, marked, ratios, threshold))
+    content = [i for i in own if ratios[i] >= threshold] or own
     region = _region(page, content)
     within = [i for i in own if region <= lines[i].holder <= page.ends[region]]
-    if page.names[region] in ("article", "main"):
-        return "\n".join(lines[i].text for i in within)
-    first, last, beside = content[0], content[-1], {lines[i].holder for i in content}
-    listed = lambda i: 2 * lines[i].links > len(lines[i].text) and ratios[i] < threshold
-    taken = [i for i in within if (first <= i <= last or lines[i].holder in beside) and not listed(i)]
+    inside = [i for i in content if region <= lines[i].holder <= page.ends[region]]
+    first, last, beside = inside[0], inside[-1], {(lines[i].holder, lines[i].tag) for i in inside}
+    taken = [i for i in within if (first <= i <= last or (lines[i].holder, lines[i].tag) in beside) and not (_linked(lines[i]) and ratios[i] < threshold)]
+    while len(taken) > 1 and _COPYRIGHT.search(lines[taken[-1]].text):
+        taken.pop()
+    if len(taken) > 1 and _menu(lines[taken[0]]) and not _menu(lines[taken[1]]):
+        del taken[0]
+    if len(taken) > 1 and _menu(lines[taken[-1]]) and not _menu(lines[taken[-2]]):
+        taken.pop()
     at = taken[0] if taken else 0
     title = [i for i in own if at - 3 <= i < at and lines[i].heading]
     return "\n".join(lines[i].text for i in [*title, *taken])
 
 
+def _clear(lines: list[_Line], marked: list[int], ratios: np.ndarray, threshold: float) -> list[int]:
+    """The marked lines without those of weakly named parts that the ratios don't take for text; a heading there goes with
+    the line after it."""
+    kept, follows = [], False
+    for i in reversed(marked):
+        x = lines[i]
+        taken = not x.suspect or min(ratios[i], _ratio(x)) >= threshold or (x.heading and follows)
+        follows = taken and x.suspect
+        if taken:
+            kept.append(i)
+    return kept[::-1]
+
+
+def _linked(line: _Line) -> bool:
+    return 2 * line.links > len(line.text)
+
+
+def _menu(line: _Line) -> bool:
+    """Entries of three words at most between marks; one such line alone is no part of the text that it stands before or after."""
+    entries = _MENU_MARKS.split(line.text)
+    return len(entries) > 2 and all(len(e.split()) <= 3 for e in entries)
+
+
 def _region(page: _Lines, content: list[int]) -> int:
-    """The innermost element with at least 0.7 of the content lines' text, or else the article around it, or else the main
-    part around it. 0 if only the page as a whole has as much."""
+    """The innermost element with at least 0.7 of the content lines' text. 0 if only the page as a whole has as much."""
     mass = np.zeros(len(page.parents))
     for i in content:
         mass[page.lines[i].holder] += len(page.lines[i].text)
     total = mass.sum()
     for element in range(len(mass) - 1, 0, -1):  # the inner ones have the larger numbers
         mass[page.parents[element]] += mass[element]
-    best = next((e for e in range(len(mass) - 1, 0, -1) if mass[e] >= 0.7 * total and page.names[e] not in ("html", "body")), 0)
-    around, found = best, {}
-    while around:
-        found.setdefault(page.names[around], around)  # the innermost of each name
-        around = page.parents[around]
-    return found.get("article") or found.get("main") or best
+    return next((e for e in range(len(mass) - 1, 0, -1) if mass[e] >= 0.7 * total and page.names[e] not in ("html", "body")), 0)
 
 
 def extract_pages(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
