@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from ..functions.metrics import level_metrics
 from ..operators import evaluate as ev, generate, report
 from ..operators.chunking import MAX_CHARS, MIN_CHARS, chunk_documents
 from ..operators.merge import KEYS, normalize_extractions
@@ -21,17 +22,20 @@ _PROMPT = "prompt_sha"
 
 
 class Tables:
-    """The tables of a run under one folder, each logged with its rows and the time it took."""
+    """The tables of a run under one folder, each logged with its rows and the time it took. What is counted or summed up of
+    a table is observed while it is written; no table is read again for it. ``seen`` has what was observed, by table."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder, self.log = spark, folder, driver_logger()
+        self.seen: dict[str, dict] = {}
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        began = time.perf_counter()
-        df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
-        kept = self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
-        self.log.info(f"{name}: {kept.count()} rows in {time.perf_counter() - began:.1f} s")
-        return kept
+    def keep(self, df: DataFrame, name: str, *sums: Column) -> DataFrame:
+        began, observed = time.perf_counter(), Observation()
+        told = sums or (F.count(F.lit(1)).alias("rows"),)
+        df.observe(observed, *told).write.mode("overwrite").parquet(f"{self.folder}/{name}")
+        self.seen[name] = {"rows": 0, **observed.get}
+        self.log.info(f"{name}: {self.seen[name]['rows']} rows in {time.perf_counter() - began:.1f} s")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
 
 def kept_answers(chunks: DataFrame, model: Model, path: str, concurrency: int | None = None) -> DataFrame:
@@ -81,6 +85,21 @@ def summarize(evaluated: DataFrame, chunks: DataFrame, **head: str) -> dict:
     }
 
 
+def summarize_seen(spark: SparkSession, seen: dict, chunk_count: int, **head: str) -> dict:
+    """As ``summarize``, from the sums that were observed while the scores were written (``report.observed_sums``)."""
+    number = lambda name: seen.get(name) or 0
+    counts = {level: {p: number(f"{level}_{p}") for p in ("tp", "fp", "fn")} for level in LEVELS}
+    one = spark.range(1).select(*[m for level in LEVELS for m in level_metrics(level, F.struct(*[F.lit(counts[level][p]).alias(p) for p in ("tp", "fp", "fn")]))]).first()
+    return {
+        **head,
+        "reference_source": seen.get("reference_source") or "model_a_pseudo_gold",
+        "chunk_count": chunk_count,
+        "metrics": {k: one[k] for k in sinks.METRICS},
+        "counts": counts,
+        "errors_by_type": {k: number(k) for k in ERROR_TYPES} if seen["rows"] else {},
+    }
+
+
 def run_eval(
     spark: SparkSession, input_md: str, output_dir: str, model_a: Model, model_b: Model, gold_jsonl: str | None = None,
     judge_model: Model | None = None, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS, concurrency: int | None = None, one_file: bool = False,
@@ -100,14 +119,14 @@ def run_eval(
     gold = read_gold(spark, gold_jsonl) if gold_jsonl else None
     if gold is not None:
         gold = tables.keep(gold, "gold")  # an invalid gold line fails the run here
-    evaluated = tables.keep(ev.evaluate_pairs(b, a, gold), "pair_eval")
+    evaluated = tables.keep(ev.evaluate_pairs(b, a, gold), "pair_eval", *report.observed_sums())
     if judge_model is not None:
         verdicts = tables.keep(judge(judge_candidates(evaluated, chunks, a, b, gold), judge_model), "judgements")
         evaluated = evaluated.join(verdicts, list(KEYS), "left")
     chunk_errors = tables.keep(report.chunk_errors(ev.error_rows(evaluated)), "chunk_errors")
     for name, lines in (("chunks", sinks.chunk_json(chunks)), ("model_a_entities", sinks.extraction_json(a)), ("model_b_entities", sinks.extraction_json(b)), ("pair_eval", sinks.pair_eval_json(evaluated)), ("chunk_errors", sinks.chunk_error_json(chunk_errors))):
         sinks.write_lines(lines, f"{output_dir}/{name}.jsonl", one_file)
-    summary = summarize(evaluated, chunks, input_md=input_md, output_dir=output_dir, model_a=model_a.name, model_b=model_b.name)
+    summary = summarize_seen(spark, tables.seen["pair_eval"], tables.seen["chunks"]["rows"], input_md=input_md, output_dir=output_dir, model_a=model_a.name, model_b=model_b.name)
     sinks.write_report(spark, f"{output_dir}/summary_report.json", summary, chunk_errors)
     sinks.write_text(spark, f"{output_dir}/summary_report.md", sinks.report_markdown(summary))
     tables.log.info(f"report of {summary['chunk_count']} chunks in {output_dir}")

@@ -22,6 +22,7 @@ from ..sources.markdown import load_markdown
 from ..sources.models import ListingModel, StubModel, extract, generate_answers, score_answers
 from ..sources.shared import shared_dir, spread
 from ..sources.sinks import METRICS, chunk_json, json_line, pair_eval_json, report_markdown, write_lines, write_report
+from ..streaming import inbox
 from .pipeline import judge_candidates, summarize
 from .prompts import _EXTRACTION, _JUDGE, _QUESTION, EXTRACTION_SYSTEM, JUDGE_SYSTEM, extraction_prompt_column, judge_prompt_column, question_prompt_column
 
@@ -36,8 +37,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- the made-up extractions -------------------------------------------------------------------------------------------
 
 
-def slices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunking.hard_slices(F.col("text"), LIMIT)).alias("chunk_idx", "text"))
+def slices(spark: SparkSession, sf_dir: str, documents: DataFrame | None = None) -> DataFrame:
+    documents = table(spark, sf_dir, "documents") if documents is None else documents
+    docs = documents.select("doc_id", F.posexplode(chunking.hard_slices(F.col("text"), LIMIT)).alias("chunk_idx", "text"))
     name = F.format_string("chunk_%04d", F.col("chunk_idx") + 1)
     chunks = docs.select("doc_id", "chunk_idx", name.alias("chunk_id"), name.alias("page_hint"), F.array().cast("array<string>").alias("title_path"), "text")
     # dealt by chunk while rows are still plain texts: all that follows is by chunk and needs no further exchange
@@ -58,19 +60,28 @@ def _entity(t: Column, i: Column, all_: Column, student: bool) -> Column:
     return F.struct(t, F.when(n % 7 == 0, "sonar").otherwise(kind) if student else kind, F.array(F.concat(t, F.lit("x"))), F.map_from_entries(entries), links, F.array(F.struct(F.lit("1"), t))).cast(ENTITY)
 
 
-def extraction(chunks: DataFrame, student: bool) -> DataFrame:
-    """A model as column expressions."""
+def said(student: bool) -> Column:
+    """The entities that a model finds in ``text``, as a column expression."""
     words = F.array_distinct(F.regexp_extract_all("text", F.lit("([A-Z][a-z]{4,})"), F.lit(1)))
     if student:
         fewer = F.filter(words, lambda t: F.length(t) % 5 != 0)
         words = F.concat(fewer, F.transform(F.filter(words, lambda t: F.length(t) % 9 == 0), lambda t: F.concat(F.lit("Zz"), F.lower(t))))
-    entities = ev.bind(words, lambda own: F.transform(own, lambda t, i: _entity(t, i, own, student)))
+    return ev.bind(words, lambda own: F.transform(own, lambda t, i: _entity(t, i, own, student)))
+
+
+def extraction(chunks: DataFrame, student: bool) -> DataFrame:
     return chunks.select(
-        "doc_id", "chunk_idx", "chunk_id", "page_hint", "title_path", entities.alias("entities"),
+        "doc_id", "chunk_idx", "chunk_id", "page_hint", "title_path", said(student).alias("entities"),
         F.lit("").alias("raw_response"), F.lit(None).cast("string").alias("error"), F.lit("student" if student else "teacher").alias("model_name"),
     )
 
 
+def both_sides(chunks: DataFrame) -> DataFrame:
+    """Chunks with both models' prepared lists, without a join."""
+    found = chunks.select("doc_id", "chunk_idx", said(False).alias("a"), said(True).alias("b"))
+    return found.select("doc_id", "chunk_idx", ev.prepared(F.col("a")).alias("ref"), ev.prepared(F.col("b")).alias("pred"))
+
+
 def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     chunks = slices(spark, sf_dir)
     return extraction(chunks, False), extraction(chunks, True)
@@ -259,6 +270,23 @@ def summary_metrics(spark, sf_dir):
     return done.select(*[F.col(f"{level}.{p}").alias(f"{level}_{p}") for level in LEVELS for p in ("tp", "fp", "fn")], *METRICS)
 
 
+def _streamed(spark, sf_dir):
+    """The sums after all files of the documents have streamed by, in batches of a few files."""
+    where = _folder(spark)
+    chunks = slices(spark, sf_dir, inbox.read_table_stream(spark, f"{sf_dir}/documents.parquet", max_files=4))
+    scores = ev.score_lists(both_sides(chunks))
+    inbox.summary_stream(scores, f"{where}/sums", f"{where}/checkpoint").awaitTermination()
+    return inbox.latest_summary(spark, f"{where}/sums")
+
+
+def streamed_summary(spark, sf_dir):
+    return _streamed(spark, sf_dir).select("chunks", *[f"{level}_{p}" for level in LEVELS for p in ("tp", "fp", "fn")])
+
+
+def streamed_errors(spark, sf_dir):
+    return inbox.summary_errors(_streamed(spark, sf_dir))
+
+
 def chunk_count(spark, sf_dir):
     return slices(spark, sf_dir).agg(F.count("*").alias("chunk_count"))
 
@@ -288,9 +316,17 @@ def normalized_sides(spark, sf_dir):
     return done.select("doc_id", "chunk_idx", F.size("entities").alias("n"), F.array_join("entities.name", ",").alias("names"))
 
 
+def brand_tasks(spark, sf_dir):
+    """A task for each brand, with as many questions as it has parts: mostly no multiple of a batch."""
+    brands = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.count("*").cast("int").alias("count"), F.concat(F.lit("sizes "), F.min("p_size"), F.lit(" to "), F.max("p_size")).alias("description"))
+    # a row for each brand, not for each part, is numbered
+    number = (F.row_number().over(Window.orderBy("p_brand")) - 1).alias("task_idx")
+    return brands.select(number, F.col("p_brand").alias("category"), "count", "description")
+
+
 def task_batches(max_tasks):
     def query(spark, sf_dir):
-        return generate.task_batches(generate.catalogue_tasks(spark), max_tasks=max_tasks).select("category", "count", "description", "batch_id")
+        return generate.task_batches(brand_tasks(spark, sf_dir), max_tasks=max_tasks).select("category", "count", "description", "batch_id")
 
     return query
 
@@ -305,7 +341,7 @@ def extraction_prompts(spark, sf_dir):
 
 
 def question_prompts(spark, sf_dir):
-    batches = generate.task_batches(generate.catalogue_tasks(spark), max_tasks=None)
+    batches = generate.task_batches(brand_tasks(spark, sf_dir), max_tasks=None)
     return batches.select("category", "batch_id", question_prompt_column().alias("prompt"))
 
 
@@ -445,16 +481,16 @@ def extract_model(spark, sf_dir):
     return extract(chunks, StubModel()).select("doc_id", "chunk_idx", "model_name", "error", F.explode("entities.name").alias("name"))
 
 
-def _answers(spark):
-    return generate_answers(generate.task_batches(generate.catalogue_tasks(spark), max_tasks=None), ListingModel(), generate.MAX_CONCURRENCY)
+def _answers(spark, sf_dir):
+    return generate_answers(generate.task_batches(brand_tasks(spark, sf_dir), max_tasks=None), ListingModel(), generate.MAX_CONCURRENCY)
 
 
 def generated_questions(spark, sf_dir):
-    return generate.question_rows(_answers(spark))
+    return generate.question_rows(_answers(spark, sf_dir))
 
 
 def judged_questions(spark, sf_dir):
-    answers = _answers(spark)
+    answers = _answers(spark, sf_dir)
     return generate.judged_questions(generate.numbered_questions(answers), score_answers(answers, ListingModel()))
 
 
@@ -486,6 +522,8 @@ QUERIES = {
     "report_errors": report_errors,
     "repeated_chunks": repeated_chunks,
     "summary_metrics": summary_metrics,
+    "streamed_summary": streamed_summary,
+    "streamed_errors": streamed_errors,
     "doc_lines": doc_lines,
     "chunk_documents": chunk_documents,
     "chunk_page_title": chunk_page_title,
@@ -603,8 +641,8 @@ def _woven_sql(parts: tuple[str, ...], values: list[str]) -> str:
     return " || ".join(x for p, v in zip(parts, [*values, "''"], strict=True) for x in (text(p), v))
 
 
-_CATALOGUE = "(VALUES " + ", ".join(f"({i}, '{c}', {n}, '{d}')" for i, (c, n, d) in enumerate(generate.CATALOGUE)) + ") AS t(task_idx, category, total, description)"
-_BATCHES = "SELECT category, CAST(least(20, total - s) AS INT) AS count, description, CAST(s // 20 + 1 AS INT) AS batch_id FROM " + _CATALOGUE + ", LATERAL (SELECT unnest(generate_series(0, total - 1, 20)) AS s)"
+_TASKS = "(SELECT row_number() OVER (ORDER BY p_brand) - 1 AS task_idx, p_brand AS category, count(*) AS total, 'sizes ' || min(p_size) || ' to ' || max(p_size) AS description FROM part GROUP BY p_brand) AS t"
+_BATCHES = "SELECT category, CAST(least(20, total - s) AS INT) AS count, description, CAST(s // 20 + 1 AS INT) AS batch_id FROM " + _TASKS + ", LATERAL (SELECT unnest(generate_series(0, total - 1, 20)) AS s)"
 _TOKENS = "SELECT token, {normal} AS normal, count(*) AS docs FROM (SELECT unnest(list_distinct(regexp_extract_all(text, '\\p{{L}}{{2,}}'))) AS token FROM documents) GROUP BY ALL"
 _PHRASES = [(f"可{p}的", next(n for q, n in RELATIONS if q in p)) for p, _ in RELATIONS] + [("Located In", "locatedin")]
 
@@ -712,6 +750,9 @@ SQL = {
     "summary_metrics": _SIDES + f""", s AS (
             SELECT {", ".join(f"(SELECT CAST(sum({p}) AS BIGINT) FROM {level}) AS {level}_{p}" for level in LEVELS for p in ("tp", "fp", "fn"))})
         SELECT *, {", ".join(_measures(level, f"{level}_") for level in LEVELS)} FROM s""",
+    "streamed_summary": _SIDES + f"""
+        SELECT (SELECT count(*) FROM sl) AS chunks, {", ".join(f"(SELECT CAST(sum({p}) AS BIGINT) FROM {level}) AS {level}_{p}" for level in LEVELS for p in ("tp", "fp", "fn"))}""",
+    "streamed_errors": _SIDES + "SELECT k AS error_type, count(error_type) AS count FROM (SELECT unnest([" + ", ".join(f"'{k}'" for k in ERROR_TYPES) + "]) AS k) LEFT JOIN err ON k = error_type GROUP BY k",
     "chunk_count": f"WITH {_SLICES} SELECT count(*) AS chunk_count FROM sl",
     "reference_label": "SELECT 'model_a_pseudo_gold' AS reference_source",
     "errors_by_type": _SIDES + "SELECT k AS error_type, count(error_type) AS count FROM (SELECT unnest([" + ", ".join(f"'{k}'" for k in ERROR_TYPES) + "]) AS k) LEFT JOIN err ON k = error_type GROUP BY k",

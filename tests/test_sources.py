@@ -317,3 +317,19 @@ def test_report_is_one_json_object(spark, tmp_path):
     assert told == {"a": {"b": 1}, "chunk_errors": [{"chunk_id": c, "error_type": k, "count": n} for c, k, n in (("c1", "missing_entity", 3), ("c1", "extra_entity", 2), ("c2", "wrong_type", 1), ("c0", "missing_entity", 5))]}
     write_report(spark, str(tmp_path / "r.json"), {"a": 1}, counted.where("false"))
     assert json.loads((tmp_path / "r.json").read_text()) == {"a": 1, "chunk_errors": []}
+
+
+def test_totals_are_observed_during_the_write(spark, tmp_path):
+    """The totals of a run are those that the tables give when they are read, and no job reads a table to count it."""
+    from pairscore.plans.pipeline import Tables, summarize
+
+    (tmp_path / "a.md").write_text(TEXT + "\n" + "x" * 3_000 + "\n" + TEXT)
+    out = str(tmp_path / "out")
+    told, _ = run_eval(spark, str(tmp_path / "a.md"), out, StubModel("a"), StubModel("b", drop_every=3))
+    kept = lambda name: spark.read.parquet(f"{out}/_tables/{name}")
+    head = {k: told[k] for k in ("input_md", "output_dir", "model_a", "model_b")}
+    assert told == summarize(kept("pair_eval"), kept("chunks"), **head) and sum(told["errors_by_type"].values()) > 0
+    tables = Tables(spark, str(tmp_path / "t"))
+    assert tables.keep(spark.range(7, numPartitions=3), "some").count() == tables.seen["some"]["rows"] == 7
+    assert tables.keep(spark.range(7).where("id > 9"), "none").count() == tables.seen["none"]["rows"] == 0
+    assert tables.keep(spark.range(7).where("false"), "never").count() == tables.seen["never"]["rows"] == 0
