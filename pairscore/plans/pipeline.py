@@ -121,7 +121,7 @@ def run_eval(
         gold = tables.keep(gold, "gold")  # an invalid gold line fails the run here
     evaluated = tables.keep(ev.evaluate_pairs(b, a, gold), "pair_eval", *report.observed_sums())
     if judge_model is not None:
-        verdicts = tables.keep(judge(judge_candidates(evaluated, chunks, a, b, gold), judge_model), "judgements")
+        verdicts = tables.keep(judge(judge_candidates(evaluated, chunks, a, b, gold), judge_model, concurrency), "judgements")
         evaluated = evaluated.join(verdicts, list(KEYS), "left")
     chunk_errors = tables.keep(report.chunk_errors(ev.error_rows(evaluated)), "chunk_errors")
     for name, lines in (("chunks", sinks.chunk_json(chunks)), ("model_a_entities", sinks.extraction_json(a)), ("model_b_entities", sinks.extraction_json(b)), ("pair_eval", sinks.pair_eval_json(evaluated)), ("chunk_errors", sinks.chunk_error_json(chunk_errors))):

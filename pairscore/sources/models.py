@@ -1,7 +1,8 @@
 """Models that answer prompts, and the operators that ask them.
 
 A model is anything with ``name`` and ``open()``, which gives a function from (system, user) to the answer's text. It is
-opened once a task, on the executor, so clients need not be sent. Answers cost money and may differ the next time: write
+opened once a task, on the executor, so clients need not be sent, and asked by several threads there. How many requests
+are in flight at once, and how often one is tried, ``asking.Limits`` says; a number stands for that many at once. Answers cost money and may differ the next time: write
 them to a table before they are used twice (``plans.pipeline`` does).
 """
 
@@ -14,13 +15,13 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Protocol
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.parsing import find_object, parse_response
 from ..functions.text import answer_lines
 from ..plans.prompts import EXTRACTION_SYSTEM, JUDGE_SYSTEM, extraction_prompt, judge_prompt, judge_questions_prompt, question_prompt
-from ..schemas import EXTRACTION, RESPONSE
+from ..schemas import RESPONSE
+from .asking import Limits, all_answers, answers, shared_out
 
 #: A response's columns: where the chunk stands, and what the model said.
 _PLACE, _REPLY = RESPONSE[: RESPONSE.index(", raw_response")], RESPONSE[RESPONSE.index("raw_response") :]
@@ -77,26 +78,25 @@ class StubModel:
         return ask
 
 
-def ask_model(chunks: DataFrame, model: Model, concurrency: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+def _limits(concurrency: int | Limits | None) -> Limits:
+    return concurrency if isinstance(concurrency, Limits) else Limits(concurrency) if concurrency else Limits()
+
+
+def ask_model(chunks: DataFrame, model: Model, concurrency: int | Limits | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Raw answers, schemas.RESPONSE: one request a chunk. A request that fails gives a row with the error and the empty
-    answer; the query goes on. ``concurrency`` bounds the requests made at the same time, as so many tasks. The string
-    columns in ``carry`` come back too."""
+    answer; the query goes on. ``concurrency`` bounds the requests made at the same time. The string columns in ``carry``
+    come back too."""
+    limits = _limits(concurrency)
+    dealt, threads = shared_out(chunks, limits)
 
     def run(batches):
         ask = model.open()
         for pdf in batches:
-            raw, errors = [], []
-            for chunk_id, page, titles, text in zip(pdf["chunk_id"], pdf["page_hint"], pdf["title_path"], pdf["text"]):
-                answer, error = "", None
-                try:
-                    answer = ask(EXTRACTION_SYSTEM, extraction_prompt(chunk_id, page, list(titles), text))
-                except Exception as e:  # whatever the endpoint or the network raises is this chunk's result
-                    error = f"{type(e).__name__}: {e}"
-                raw.append(answer)
-                errors.append(error)
-            yield pdf.drop(columns="text").assign(raw_response=raw, error=errors, model_name=model.name)
-
-    dealt = chunks.repartition(concurrency) if concurrency else chunks
+            prompts = ((EXTRACTION_SYSTEM, extraction_prompt(c, p, list(t), x)) for c, p, t, x in zip(pdf["chunk_id"], pdf["page_hint"], pdf["title_path"], pdf["text"]))
+            told = list(answers(ask, prompts, threads, limits))
+            errors = [e and f"{type(e).__name__}: {e}" for _, e in told]
+            yield pdf.drop(columns="text").assign(raw_response=[a for a, _ in told], error=errors, model_name=model.name)
+
     return dealt.select("doc_id", "chunk_idx", "chunk_id", "page_hint", "title_path", "text", *carry).mapInPandas(run, ", ".join([_PLACE, *(f"{c} string" for c in carry), _REPLY]))
 
 
@@ -114,52 +114,50 @@ def extract(chunks: DataFrame, model: Model, concurrency: int | None = None) ->
     return parse_responses(ask_model(chunks, model, concurrency))
 
 
-def judge(candidates: DataFrame, model: Model) -> DataFrame:
+def judge(candidates: DataFrame, model: Model, concurrency: int | Limits | None = None) -> DataFrame:
     """``doc_id, chunk_idx, llm_judgement`` for rows (doc_id, chunk_idx, text, reference_json, prediction_json): the
     answer's object as JSON, or {"error": reason}."""
+    limits = _limits(concurrency)
+    dealt, threads = shared_out(candidates, limits)
 
     def run(batches):
         ask = model.open()
         for pdf in batches:
             verdicts = []
-            for text, ref, pred in zip(pdf["text"], pdf["reference_json"], pdf["prediction_json"]):
-                try:
-                    found, error = find_object(ask(JUDGE_SYSTEM, judge_prompt(text, ref, pred)))
-                except Exception as e:
-                    found, error = None, f"{type(e).__name__}: {e}"
+            prompts = ((JUDGE_SYSTEM, judge_prompt(t, r, p)) for t, r, p in zip(pdf["text"], pdf["reference_json"], pdf["prediction_json"]))
+            for answer, failed in answers(ask, prompts, threads, limits):
+                found, error = (None, f"{type(failed).__name__}: {failed}") if failed else find_object(answer)
                 verdicts.append(json.dumps(found or {"error": error}, ensure_ascii=False, separators=(",", ":")))
             yield pdf[["doc_id", "chunk_idx"]].assign(llm_judgement=verdicts)
 
     columns = ["doc_id", "chunk_idx", "text", "reference_json", "prediction_json"]
-    return candidates.select(*columns).mapInPandas(run, "doc_id string, chunk_idx int, llm_judgement string")
+    return dealt.select(*columns).mapInPandas(run, "doc_id string, chunk_idx int, llm_judgement string")
 
 
-def generate_answers(batches: DataFrame, model: Model, concurrency: int | None = None) -> DataFrame:
-    """``category, batch_id, text``: a request per task batch. A failed request fails the query."""
+def _ask_batches(batches: DataFrame, model: Model, concurrency: int | Limits | None, prompt, *fields: str) -> DataFrame:
+    """``category, batch_id, text``: the answer to the prompt made of each row's ``fields``. A failed request fails the query."""
+    limits = _limits(concurrency)
+    dealt, threads = shared_out(batches, limits)
 
     def run(parts):
         ask = model.open()
         for pdf in parts:
-            rows = [(c, b, ask("", question_prompt(c, n, d))) for c, n, d, b in zip(pdf["category"], pdf["count"], pdf["description"], pdf["batch_id"])]
-            yield pd.DataFrame(rows, columns=["category", "batch_id", "text"])
+            told = all_answers(ask, (("", prompt(*values)) for values in zip(*(pdf[f] for f in fields))), threads, limits)
+            yield pdf[["category", "batch_id"]].assign(text=told)
 
-    dealt = batches.repartition(concurrency) if concurrency else batches
-    return dealt.select("category", "count", "description", "batch_id").mapInPandas(run, "category string, batch_id int, text string")
+    return dealt.select(*dict.fromkeys(["category", "batch_id", *fields])).mapInPandas(run, "category string, batch_id int, text string")
 
 
-def score_answers(answers: DataFrame, model: Model, concurrency: int | None = None) -> DataFrame:
-    """``category, batch_id, text``: the judge's scores, one a line, for the questions of each answer (category, batch_id,
-    text). An answer without questions is not sent. A failed request fails the query."""
+def generate_answers(batches: DataFrame, model: Model, concurrency: int | Limits | None = None) -> DataFrame:
+    """``category, batch_id, text``: a request per task batch. A failed request fails the query."""
+    return _ask_batches(batches, model, concurrency, question_prompt, "category", "count", "description")
 
-    def run(parts):
-        ask = model.open()
-        for pdf in parts:
-            rows = [(c, b, ask("", judge_questions_prompt(c, list(q)))) for c, b, q in zip(pdf["category"], pdf["batch_id"], pdf["questions"]) if len(q)]
-            yield pd.DataFrame(rows, columns=["category", "batch_id", "text"])
 
-    asked = answers.select("category", "batch_id", answer_lines(F.coalesce("text", F.lit(""))).alias("questions"))
-    dealt = asked.repartition(concurrency) if concurrency else asked
-    return dealt.mapInPandas(run, "category string, batch_id int, text string")
+def score_answers(answers_: DataFrame, model: Model, concurrency: int | Limits | None = None) -> DataFrame:
+    """``category, batch_id, text``: the judge's scores, one a line, for the questions of each answer (category, batch_id,
+    text). An answer without questions is not sent. A failed request fails the query."""
+    asked = answers_.select("category", "batch_id", answer_lines(F.coalesce("text", F.lit(""))).alias("questions")).where(F.size("questions") > 0)
+    return _ask_batches(asked, model, concurrency, lambda category, questions: judge_questions_prompt(category, list(questions)), "category", "questions")
 
 
 @dataclass(frozen=True)
@@ -178,5 +176,3 @@ class ListingModel:
 
         return ask
 
-
-__all__ = ["EXTRACTION", "Ask", "ChatModel", "ListingModel", "Model", "StubModel", "ask_model", "extract", "generate_answers", "judge", "parse_responses", "score_answers"]
