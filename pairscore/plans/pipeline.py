@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from ..functions.metrics import level_metrics
 from ..operators import evaluate as ev, generate, report
@@ -13,12 +13,16 @@ from ..operators.merge import KEYS, normalize_extractions
 from ..schemas import ERROR_TYPES, LEVELS, RESPONSE
 from ..sources import sinks
 from ..sources.gold import read_gold
-from ..sources.markdown import exists, load_markdown
+from ..sources.markdown import load_markdown
 from ..sources.models import Model, ask_model, generate_answers, judge, parse_responses, score_answers
+from ..sources.store import Store, best_by
 from .log import driver_logger
 from .prompts import EXTRACTION_SYSTEM, extraction_prompt_column
 
 _PROMPT = "prompt_sha"
+_ANSWERS = f"{RESPONSE}, {_PROMPT} string, asked_at timestamp"
+#: Files a bucket of the answers from which on they are compacted.
+MOST_FILES = 16
 
 
 class Tables:
@@ -44,20 +48,26 @@ def kept_answers(chunks: DataFrame, model: Model, path: str, concurrency: int |
 
     An answer belongs to its whole prompt, told by a hash: a changed chunk is asked for anew, chunks that are gone give
     no rows, and chunks of equal prompts share one. A failed request is no answer, so the next run asks again."""
-    spark = chunks.sparkSession
+    store = Store(chunks.sparkSession, path, _ANSWERS, _PROMPT)
     prompt = F.sha2(F.concat(F.lit(EXTRACTION_SYSTEM + "\n"), extraction_prompt_column()), 256)
     wanted = chunks.withColumn(_PROMPT, prompt)
-    todo = wanted
-    if exists(spark, path):
-        known = spark.read.parquet(path).where((F.col("model_name") == model.name) & F.col("error").isNull())
-        todo = wanted.join(known.select(_PROMPT).distinct(), _PROMPT, "left_anti")
-    asked = ask_model(todo.dropDuplicates([_PROMPT]), model, concurrency, (_PROMPT,)).withColumn("asked_at", F.current_timestamp())
-    asked.write.mode("append").parquet(path)
-    all_ = spark.read.schema(asked.schema).parquet(path).where(F.col("model_name") == model.name)
+    asked = ask_model(unanswered(wanted, store, model.name), model, concurrency, (_PROMPT,)).withColumn("asked_at", F.current_timestamp())
+    store.append(asked)
+    if store.files() > MOST_FILES * store.buckets:
+        told = [c.split(" ")[0] for c in _ANSWERS.split(", ")]
+        # answers of other models stay, each model's best by itself
+        by_model = Window.partitionBy(_PROMPT, "model_name").orderBy(F.col("error").isNull().desc(), F.col("asked_at").desc(), F.col("raw_response").desc())
+        store.compact(store.rows().withColumn("_nth", F.row_number().over(by_model)).where("_nth = 1").select(*told))
     # one answer a prompt: any that did not fail before one that did, then the latest
-    best = F.max_by(F.struct("raw_response", "error", "model_name"), F.struct(F.col("error").isNull(), "asked_at", "raw_response")).alias("best")
-    answers = all_.groupBy(_PROMPT).agg(best)
-    return wanted.join(answers, _PROMPT).select("*", "best.*").select(*[c.split(" ")[0] for c in RESPONSE.split(", ")])
+    order = F.struct(F.col("error").isNull(), "asked_at", "raw_response")
+    answers = best_by(store.rows().where(F.col("model_name") == model.name), _PROMPT, order, "raw_response", "error", "model_name")
+    return wanted.join(answers, _PROMPT).select(*[c.split(" ")[0] for c in RESPONSE.split(", ")])
+
+
+def unanswered(wanted: DataFrame, store: Store, model: str) -> DataFrame:
+    """A chunk for each prompt to which the store has no answer of the model that did not fail. Only the chunks are dealt."""
+    known = store.rows().where((F.col("model_name") == model) & F.col("error").isNull()).select(_PROMPT)
+    return wanted.join(known, _PROMPT, "left_anti").dropDuplicates([_PROMPT])
 
 
 def judge_candidates(evaluated: DataFrame, chunks: DataFrame, a: DataFrame, b: DataFrame, gold: DataFrame | None = None) -> DataFrame:

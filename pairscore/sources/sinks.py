@@ -50,7 +50,8 @@ def write_lines(lines: DataFrame, path: str, one_file: bool = False) -> None:
         lines.orderBy("doc_id", "chunk_idx").select("value").write.mode("overwrite").text(path)
 
 
-def _files(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -62,7 +63,7 @@ def write_one_file(lines: DataFrame, path: str, *order: str) -> None:
     without reading them; on any other, a single task writes the sorted partitions one after another, so that its memory
     does not grow with them. The file appears by a rename once it is whole. No line passes through the driver."""
     spark = lines.sparkSession
-    files, at = _files(spark, path), spark._jvm.org.apache.hadoop.fs.Path
+    files, at = file_system(spark, path), spark._jvm.org.apache.hadoop.fs.Path
     beside = f"{path.rstrip('/')}._parts"
     joins = files.hasPathCapability(at(path).getParent(), "fs.capability.paths.concat")
     ordered = lines.orderBy(*order).select("value")
@@ -92,7 +93,7 @@ def commit_parts(files, at, path_array, folder: str, path: str) -> None:
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file through Hadoop's file system, so that it lands where the tables do."""
-    out = _files(spark, path).create(spark._jvm.org.apache.hadoop.fs.Path(path), True)
+    out = file_system(spark, path).create(spark._jvm.org.apache.hadoop.fs.Path(path), True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
