@@ -107,14 +107,22 @@ def _hybrid(values: Column, simple, others) -> Column:
     """An array of arrays of strings, with ``simple`` (a column function) applied to each simple string in place and
     ``others`` (a Python function of a list) to a row's distinct strings that are not, which are none in most rows."""
     strings = F.flatten(F.filter(values, lambda v: v.isNotNull()))
-    odd = F.array_distinct(F.filter(strings, lambda x: x.isNotNull() & ~is_simple(x)))
+    none = F.array().cast("array<string>")
+    # one look at all of a row's characters tells most rows, which then have nothing for Python
+    odd = F.when(is_simple(F.array_join(strings, "")), none).otherwise(F.array_distinct(F.filter(strings, lambda x: x.isNotNull() & ~is_simple(x))))
     done = F.struct(values.alias("values"), odd.alias("odd"), others(odd).alias("done"))
+    plainly = lambda x: simple(F.coalesce(x, F.lit("")))
 
     def one(x: Column, told: Column) -> Column:
-        return F.when(x.isNull() | is_simple(x), simple(F.coalesce(x, F.lit("")))).otherwise(F.get(told["done"], (F.array_position(told["odd"], x) - 1).cast("int")))
+        at = F.array_position(told["odd"], x)
+        return F.when(F.coalesce(at, F.lit(0)) == 0, plainly(x)).otherwise(F.get(told["done"], (at - 1).cast("int")))
+
+    def row(told: Column) -> Column:
+        each = lambda of: F.transform(told["values"], lambda v: F.transform(v, of))
+        return F.when(F.coalesce(F.size(told["odd"]), F.lit(0)) == 0, each(plainly)).otherwise(each(lambda x: one(x, told)))
 
     # the struct is an array's one element, so that it is computed once a row
-    return F.get(F.transform(F.array(done), lambda told: F.transform(told["values"], lambda v: F.transform(v, lambda x: one(x, told)))), F.lit(0))
+    return F.get(F.transform(F.array(done), row), F.lit(0))
 
 
 def fold_lists(values: Column, exact: bool = True) -> Column:

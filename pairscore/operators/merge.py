@@ -38,7 +38,7 @@ def runs(items: Column, key: str) -> Column:
 
     def cut(ordered: Column) -> Column:
         ordinal = F.transform(ordered, lambda _, i: i)
-        begins = F.filter(ordinal, lambda i: (i == 0) | ~F.get(ordered["k"], i).eqNullSafe(F.get(ordered["k"], i - 1)))
+        begins = F.filter(ordinal, lambda i: (i == 0) | ~F.get(ordered, i)["k"].eqNullSafe(F.get(ordered, i - 1)["k"]))
         return bind(F.concat(begins, F.array(F.size(ordered))), lambda at: F.transform(
             F.slice(at, 1, F.size(at) - 1), lambda b, j: F.transform(F.slice(ordered, b + 1, F.get(at, j + 1) - b), lambda y: y["x"])))
 
@@ -47,9 +47,14 @@ def runs(items: Column, key: str) -> Column:
 
 def _last_values(entries: Column) -> Column:
     """A map from a list of (key, value): of equal keys the last value, in the place of the first."""
-    ends = F.transform(runs(F.transform(entries, lambda a, i: F.struct(a["key"].alias("key"), a["value"].alias("value"), i.alias("i"))), "key"), lambda r: F.struct(
-        F.get(r, F.lit(0))["i"].alias("i"), F.get(r, F.lit(0))["key"].alias("key"), F.element_at(r, -1)["value"].alias("value")))
-    return bind(F.array_sort(ends), lambda e: F.map_from_arrays(e["key"], e["value"]))
+
+    def last(all_: Column) -> Column:
+        placed = F.transform(all_, lambda a, i: F.struct(a["key"].alias("key"), a["value"].alias("value"), i.alias("i")))
+        ends = F.transform(runs(placed, "key"), lambda r: F.struct(F.get(r, F.lit(0))["i"].alias("i"), F.get(r, F.lit(0))["key"].alias("key"), F.element_at(r, -1)["value"].alias("value")))
+        return bind(F.array_sort(ends), lambda e: F.map_from_arrays(e["key"], e["value"]))
+
+    different = lambda all_: F.size(F.array_distinct(all_["key"])) == F.size(all_)
+    return bind(entries, lambda all_: F.when(different(all_), F.map_from_arrays(all_["key"], all_["value"])).otherwise(last(all_)))
 
 
 def with_merged(rows: DataFrame, column: str, name: str, exact: bool = True) -> DataFrame:
@@ -71,7 +76,11 @@ def with_merged(rows: DataFrame, column: str, name: str, exact: bool = True) ->
     texts = plain_lists(F.transform(own, lambda x: F.concat(F.array(x["name"]), x["aliases"], x["entries"]["key"], x["entries"]["value"])), exact)
     keys = F.flatten(fold_lists(F.transform(own, lambda x: F.array(x["name"])), exact))
     in_order = lambda found: F.array_sort(found, lambda a, b: a["pos"] - b["pos"])
-    found = bind(F.arrays_zip(F.col(own).alias("x"), texts.alias("told"), keys.alias("key")), lambda all_: in_order(F.transform(runs(F.transform(all_, _clean), "key"), _one)))
+    several = lambda clean: in_order(F.transform(runs(clean, "key"), _one))
+    # most lists have no name twice: nothing is to be merged then
+    different = lambda all_: F.size(F.array_distinct(all_["key"])) == F.size(all_)
+    found = bind(F.arrays_zip(F.col(own).alias("x"), texts.alias("told"), keys.alias("key")), lambda all_: F.when(
+        different(all_), F.transform(all_, lambda y: _alone(_clean(y)))).otherwise(several(F.transform(all_, _clean))))
     return told.withColumn(name, found.cast(PLACED)).drop(own)
 
 
@@ -84,6 +93,14 @@ def _clean(y: Column) -> Column:
         F.arrays_zip(names.alias("key"), values.alias("value")).alias("attributes"), x["relations"].alias("relations"), x["evidence"].alias("evidence"))
 
 
+def _alone(x: Column) -> Column:
+    """An entity whose name no other has."""
+    entity = F.struct(
+        x["name"].alias("name"), F.coalesce(x["type"], F.lit(DEFAULT_TYPE)).alias("type"), F.array_sort(F.array_distinct(x["aliases"])).alias("aliases"),
+        _last_values(x["attributes"]).alias("attributes"), x["relations"].alias("relations"), x["evidence"].alias("evidence"))
+    return F.struct(x["pos"].alias("pos"), entity.alias("e"))
+
+
 def _one(run: Column) -> Column:
     """Entities of one name as one."""
     first, special = F.get(run, F.lit(0)), F.filter(run["type"], lambda t: t != DEFAULT_TYPE)

@@ -171,19 +171,18 @@ def _line_entities(spark, sf_dir, kept=None):
     lines = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     rows = lines.join(parts, lines["l_partkey"] == parts["p_partkey"])
-    number = F.col("l_linenumber")
-    entity = F.struct(
-        F.col("p_brand"), F.element_at(F.array(F.lit("equipment"), F.lit("missile"), F.lit("radar")), number % 3 + 1), F.array("l_linestatus", "l_returnflag"),
-        F.create_map(F.lit("quantity"), F.col("l_quantity").cast("bigint").cast("string"), F.concat(F.lit("n"), number), F.col("l_returnflag")),
-        F.array(F.struct(F.lit("携带"), F.concat(F.lit("s"), F.col("l_suppkey")))),
-        F.when(number == 7, F.array().cast("array<struct<page:string,text:string>>")).otherwise(F.array(F.struct(F.lit("1").alias("page"), F.col("p_brand").alias("text")))),
+    place = [c for c in lines.columns if c != "l_orderkey"]
+    listed = rows.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(*place, "p_brand"))).alias("ls"))
+    if kept is not None:
+        listed = listed.withColumn("ls", F.filter("ls", lambda _, i: kept(i)))
+    number = lambda x: x["l_linenumber"]
+    entity = lambda x: F.struct(
+        x["p_brand"], F.element_at(F.array(F.lit("equipment"), F.lit("missile"), F.lit("radar")), number(x) % 3 + 1), F.array(x["l_linestatus"], x["l_returnflag"]),
+        F.create_map(F.lit("quantity"), x["l_quantity"].cast("bigint").cast("string"), F.concat(F.lit("n"), number(x)), x["l_returnflag"]),
+        F.array(F.struct(F.lit("携带"), F.concat(F.lit("s"), x["l_suppkey"]))),
+        F.when(number(x) == 7, F.array().cast("array<struct<page:string,text:string>>")).otherwise(F.array(F.struct(F.lit("1").alias("page"), x["p_brand"].alias("text")))),
     ).cast(ENTITY)
-    place = F.struct(*[c for c in lines.columns if c != "l_orderkey"])
-    listed = rows.select("l_orderkey", place.alias("place"), entity.alias("e")).groupBy("l_orderkey").agg(F.collect_list(F.struct("place", "e")).alias("es"))
-    less = lambda a, b: F.when(a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0)
-    entities = F.transform(F.array_sort("es", less), lambda x: x["e"])
-    entities = entities if kept is None else F.transform(F.filter(F.transform(entities, lambda e, i: F.struct(e.alias("e"), i.alias("i"))), lambda x: kept(x["i"])), lambda x: x["e"])
-    return listed.select(F.col("l_orderkey").alias("doc_id"), F.lit(0).alias("chunk_idx"), F.lit("c").alias("chunk_id"), entities.alias("entities"))
+    return listed.select(F.col("l_orderkey").alias("doc_id"), F.lit(0).alias("chunk_idx"), F.lit("c").alias("chunk_id"), F.transform("ls", entity).alias("entities"))
 
 
 def merge_entities(spark, sf_dir):
