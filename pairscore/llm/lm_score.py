@@ -6,7 +6,8 @@ from the estimates while the weights are fitted, and joins them again for the sc
 
 Counts of all documents are kept in shards. Each task turns its documents into chunks; the n-grams of a chunk go, sorted
 and packed as arrays, to the shard of their word (of word and context, for the few words that make up a large share of
-all tokens), with the chunk's rows they stand in. The shards ask the unigram shards for the counts they need, give the
+all tokens), with the chunk's rows they stand in. Of an n-gram so frequent in its chunk that all of its kind would fill a
+shard, only the chunk's counts go there; its rows stay with the chunk, which is told the n-gram's score. The shards ask the unigram shards for the counts they need, give the
 held-out statistics (a histogram of bounded size) to one fitting task, score every n-gram once, and send each chunk the
 sums for its rows. Nothing that grows with the corpus is broadcast or sent to the driver, and it is one plan, so the
 exchange of n-grams is made once and read by all three steps.
@@ -27,6 +28,8 @@ from .near_dup import _Hashes, mix
 FOLDS, HELD_OUT, DELETED = 5, 1, 2
 #: Tokens of a chunk, and on average of a shard; rows of a chunk.
 CHUNK, SHARD, ROWS = 800_000, 1_600_000, 60_000
+#: The least occurrences in a chunk of which only counts leave it: fewer cost less one by one.
+LEAST_NEAR = 4
 #: Bytes of text for each shard of the words' counts.
 WORDS = 60_000_000
 #: The most frequent words, a list of fixed bound whose counts all tasks know. As contexts they are coded by their place.
@@ -99,7 +102,9 @@ def _unigrams(rows: DataFrame, shards: int, staged: Staged) -> DataFrame:
     return staged.keep(parts.groupBy("q").applyInArrow(merge, "q int, words binary, train binary, fit binary, n_train long, n_fit long, types long"))
 
 
-_X = "p int, chunk long, ids array<long>, held array<boolean>, sizes binary, bounds array<long>, words binary, runs binary, contexts binary, rare binary, times binary, rows binary"
+_X = "p int, chunk long, ids array<long>, held array<boolean>, sizes binary, bounds array<long>, words binary, runs binary, contexts binary, rare binary, times binary, rows binary, far binary, near binary, near_times binary, near_rows binary"
+
+_NEAR = ("near", "near_times", "near_rows")
 
 
 def _place(words: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -113,7 +118,10 @@ def _place(words: np.ndarray, of: np.ndarray) -> np.ndarray:
 def _bigrams(rows: DataFrame, shards: int, frequent: np.ndarray, widest: np.ndarray) -> DataFrame:
     """Chunks: for each shard the words of its n-grams, how many contexts each has (runs), the contexts (as places among
     the frequent words, the others in ``rare``), how often each n-gram stands (times) and in which rows; and one row with
-    the chunk's doc_ids, kept apart from ``words``. Words in ``widest``, sorted, are dealt by context too."""
+    the chunk's doc_ids, kept apart from ``words``. Words in ``widest``, sorted, are dealt by context too.
+
+    N-grams that are more than a shard's part of the chunk have 0 for times and no rows there but, in ``far``, their numbers
+    in estimates' and in deleted rows; ``near``, ``near_times`` and ``near_rows`` of the row with the doc_ids hold the rest."""
     shared = rows.sparkSession.sparkContext.broadcast((frequent, widest))
 
     def run(batches):
@@ -147,16 +155,25 @@ def _bigrams(rows: DataFrame, shards: int, frequent: np.ndarray, widest: np.ndar
             used, token_at = p[starts], np.append(starts, len(p))
             gram_to, run_to = np.searchsorted(g, token_at), np.searchsorted(g[r], token_at)
             rare, rare_to = v[contexts == FREQUENT], np.append(0, np.cumsum(contexts == FREQUENT))[gram_to]
+            often_here = times >= max(LEAST_NEAR, -(-len(w) // shards))
+            stays, near = np.repeat(often_here, times), np.flatnonzero(often_here)
+            near_pairs, near_times, near_rows = _pair(v[near], w[g[near]]), times[near], d[stays]
+            ends = np.append(0, np.cumsum(near_times, dtype=np.int64))
+            fits, learned = (np.append(0, np.cumsum(near_rows < b, dtype=np.int64))[ends] for b in bounds)
+            far, far_to = np.stack([np.diff(fits), np.diff(learned - fits)], axis=1).astype("<u4"), np.searchsorted(near, gram_to)
+            d, token_at = d[~stays], token_at - np.append(0, np.cumsum(stays))[token_at]
+            times[near] = 0
             cut = lambda x, at: [None, *(x[at[i] : at[i + 1]].tobytes() for i in range(len(used)))]
             m = len(used) + 1
             arrays = [
                 [int(chunk % shards), *used.tolist()], [chunk] * m,
                 [[x[1] for x in rows_]] + [None] * (m - 1), [[x[0] == 2 for x in rows_]] + [None] * (m - 1), [sizes.tobytes()] + [None] * (m - 1), [bounds] * m,
-                cut(words, run_to), cut(runs, run_to), cut(contexts.astype("<u2"), gram_to), cut(rare, rare_to), cut(times, gram_to), cut(d, token_at),
+                cut(words, run_to), cut(runs, run_to), cut(contexts.astype("<u2"), gram_to), cut(rare, rare_to), cut(times, gram_to), cut(d, token_at), cut(far, far_to),
+                *([x.tobytes()] + [None] * (m - 1) for x in (near_pairs, near_times, near_rows)),
             ]
             return pa.RecordBatch.from_arrays([pa.array(a, t) for a, t in zip(arrays, types, strict=True)], names)
 
-        types = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.list_(pa.int64())] + [pa.binary()] * 6
+        types = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.list_(pa.int64())] + [pa.binary()] * 10
         names = [x.split()[0] for x in _X.split(", ")]
         for b in batches:
             for doc_id, text, fold in zip(*(c.to_pylist() for c in b.columns)):
@@ -185,7 +202,7 @@ class _Shard:
     """The n-grams of a shard over all chunks."""
 
     def __init__(self, rows, frequent: np.ndarray):
-        own = [r for r in rows.select(["chunk", "bounds", "words", "runs", "contexts", "rare", "times", "rows"]).to_pylist() if r["words"] is not None]
+        own = [r for r in rows.select(["chunk", "bounds", "words", "runs", "contexts", "rare", "times", "rows", "far"]).to_pylist() if r["words"] is not None]
         own.sort(key=lambda r: r["chunk"])
         join = lambda c, kind: np.concatenate([np.zeros(0, kind), *(_u(r[c], kind) for r in own)])
         self.w = np.repeat(join("words", "<u8"), join("runs", "<u4"))
@@ -195,6 +212,8 @@ class _Shard:
         self.row = join("rows", "<u2")
         self.gram = np.repeat(np.arange(len(self.w)), times)  # of each token
         self.chunks = [r["chunk"] for r in own]
+        self.far, self.far_gram = join("far", "<u4").reshape(-1, 2).astype(np.int64), np.flatnonzero(times == 0)
+        self.far_at = np.append(0, np.cumsum([len(r["far"]) // 8 for r in own])).astype(np.int64)
         n = [len(r["rows"]) // 2 for r in own]
         self.at = np.append(0, np.cumsum(n)).astype(np.int64)
         bounds = np.array([r["bounds"] for r in own], dtype=np.int64).reshape(-1, 2)
@@ -203,10 +222,11 @@ class _Shard:
     def count(self) -> None:
         """n-grams of all chunks as one list: counts among the estimates' and the deleted rows, and each token's n-gram."""
         _, first, same = np.unique(_pair(self.v, self.w), return_index=True, return_inverse=True)
-        self.w, self.v, self.gram = self.w[first], self.v[first], same[self.gram]
+        self.w, self.v, self.gram, self.far_gram = self.w[first], self.v[first], same[self.gram], same[self.far_gram]
         m = len(first)
-        self.fit = np.bincount(self.gram[self.kind == 0], minlength=m)
-        self.deleted = np.bincount(self.gram[self.kind == 1], minlength=m)
+        self.fit, self.deleted = (np.bincount(self.gram[self.kind == k], minlength=m) for k in (0, 1))
+        np.add.at(self.fit, self.far_gram, self.far[:, 0])
+        np.add.at(self.deleted, self.far_gram, self.far[:, 1])
 
 
 def _needed(shard: _Shard, frequent: np.ndarray, parts: int) -> list[np.ndarray]:
@@ -356,27 +376,37 @@ def lm_score(docs: DataFrame) -> DataFrame:
         lam = mixture[_bucket(context)]
         p = lam[:, 0] * ((shard.fit + shard.deleted) / np.maximum(context, 1)) + lam[:, 1] * (word / max(n_train, 1)) + lam[:, 2] * uniform
         log_p, base = np.log10(p), np.log10((word + 0.5) / (n_train + 0.5 * (types + 1)))
-        out = {"chunk": [], "rows": [], "known": [], "base": [], "score": []}
+        out = {"chunk": [], "rows": [], "pairs": [], "known": [], "base": [], "score": []}
+        values = (("known", word > 0, "<u4"), ("base", base, "<f8"), ("score", log_p, "<f8"))
         for i, chunk in enumerate(shard.chunks):
             part = slice(shard.at[i], shard.at[i + 1])
             row, gram = shard.row[part].astype(np.int64), shard.gram[part]
             there = np.flatnonzero(np.bincount(row))
-            for name, value in (("known", word > 0), ("base", base), ("score", log_p)):
-                out[name].append(np.bincount(row, value[gram])[there].astype("<u4" if name == "known" else "<f8").tobytes())
+            for name, value, kind in values:
+                out[name].append(np.bincount(row, value[gram])[there].astype(kind).tobytes())
             out["chunk"].append(chunk)
             out["rows"].append(there.astype("<u2").tobytes())
-        del shard, counts, lam, p, log_p, base
+            out["pairs"].append(None)
+            told = shard.far_gram[shard.far_at[i] : shard.far_at[i + 1]]
+            if len(told):
+                for name, value, kind in values:
+                    out[name].append(value[told].astype(kind).tobytes())
+                out["chunk"].append(chunk)
+                out["rows"].append(None)
+                out["pairs"].append(_pair(shard.v[told], shard.w[told]).tobytes())
+        del shard, counts, lam, p, log_p, base, values
         give_back()
-        tables = [r for r in rows.select(["chunk", "ids", "held", "sizes"]).to_pylist() if r["sizes"] is not None]
+        kept = (*_NEAR, "sizes")
+        tables = [r for r in rows.select(["chunk", "ids", "held", *kept]).to_pylist() if r["sizes"] is not None]
         n, m = len(out["chunk"]), len(tables)
         return pa.table({
             "chunk": pa.array(out["chunk"] + [t["chunk"] for t in tables], pa.int64()),
-            **{c: pa.array([None] * n + [t[c] for t in tables], k) for c, k in (("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("sizes", pa.binary()))},
-            **{c: pa.array(out[c] + [None] * m, pa.binary()) for c in ("rows", "known", "base", "score")},
+            **{c: pa.array([None] * n + [t[c] for t in tables], k) for c, k in (("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), *((c, pa.binary()) for c in kept))},
+            **{c: pa.array(out[c] + [None] * m, pa.binary()) for c in ("rows", "pairs", "known", "base", "score")},
         })
 
     given = answers.unionByName(weights)
-    sums = grams.groupBy("p").cogroup(given.groupBy("p")).applyInArrow(score, "chunk long, ids array<long>, held array<boolean>, sizes binary, rows binary, known binary, base binary, score binary")
+    sums = grams.groupBy("p").cogroup(given.groupBy("p")).applyInArrow(score, "chunk long, ids array<long>, held array<boolean>, near binary, near_times binary, near_rows binary, sizes binary, rows binary, pairs binary, known binary, base binary, score binary")
 
     def gather(key, rows):
         rows = rows.to_pylist()
@@ -388,6 +418,16 @@ def lm_score(docs: DataFrame) -> DataFrame:
             known[at] += _u(r["known"], "<u4")
             base[at] += _u(r["base"], "<f8")
             total[at] += _u(r["score"], "<f8")
+        near, times, at = _u(ids["near"], "<u8"), _u(ids["near_times"], "<u4"), _u(ids["near_rows"], "<u2")
+        if len(near):
+            told = [r for r in rows if r["pairs"] is not None]
+            pairs = np.concatenate([_u(r["pairs"], "<u8") for r in told])
+            by = np.argsort(pairs)
+            which = np.repeat(by[np.searchsorted(pairs[by], near)], times)
+            add = lambda c, kind: np.bincount(at, np.concatenate([_u(r[c], kind) for r in told])[which], n)
+            known += add("known", "<u4").astype(np.int64)
+            base += add("base", "<f8")
+            total += add("score", "<f8")
         return pa.table({
             "doc_id": pa.array(ids["ids"], pa.int64()), "held_out": pa.array(ids["held"], pa.bool_()), "n_tokens": pa.array(_u(ids["sizes"], "<u4").astype(np.int64)),
             "n_known": pa.array(known), "train_tokens": pa.array([n_train] * n, pa.int64()), "base_score": pa.array(base), "score": pa.array(total),

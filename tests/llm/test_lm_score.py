@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import xxhash
 
 from pairscore.llm import lm_score as module
 from pairscore.llm.lm_score import BUCKETS, fit_weights, lm_score
@@ -129,3 +130,39 @@ def test_very_long_texts(spark, monkeypatch):
     got = {r.doc_id: r for r in lm_score(documents(spark, rows)).collect()}
     assert [got[i].n_tokens for i in (1, 2, 3, 4)] == [150_001, 150_001, 2, 3]
     assert math.isclose(got[1].base_score, got[2].base_score, rel_tol=1e-9) and math.isclose(got[1].score, got[2].score, rel_tol=1e-9)
+
+
+def hot_pair_corpus():
+    """Documents of which every fifth token is the second word of one pair."""
+    rng = random.Random(8)
+    return [(i, " ".join(x for _ in range(40) for x in ("hot", "pair", *(f"w{rng.randrange(4000)}" for _ in range(3))))) for i in range(600)]
+
+
+def test_rows_of_a_hot_pair_stay_with_their_chunks(spark, monkeypatch):
+    rows = hot_pair_corpus()
+    monkeypatch.setattr(module, "CHUNK", 8_000)
+    docs = module._folded(documents(spark, rows))
+    none, shards = np.zeros(0, np.uint64), 60
+    wide = np.array([xxhash.xxh3_64_intdigest(b"hot")], np.uint64)  # its contexts differ, and so they are dealt
+    n = sum(len(tokens(t)) for _, t in rows)
+
+    def largest():
+        sizes = module._bigrams(docs, shards, none, wide).selectExpr("p", "coalesce(octet_length(rows), 0) / 2 as n").groupBy("p").sum("n").collect()
+        return max(r[1] for r in sizes)
+
+    assert largest() < 4 * n / shards
+    monkeypatch.setattr(module, "LEAST_NEAR", 1 << 31)
+    assert largest() > n / 6  # as without the rule
+
+
+def test_a_hot_pair_is_scored_the_same_wherever_its_rows_are(spark, monkeypatch):
+    rows = [*((d + 2000, t) for d, t in hot_pair_corpus()), *corpus()[:-1]]
+    monkeypatch.setattr(module, "CHUNK", 8_000)
+    monkeypatch.setattr(module, "SHARD", 2_000)
+    near = {r.doc_id: r for r in lm_score(documents(spark, rows)).collect()}
+    monkeypatch.setattr(module, "LEAST_NEAR", 1 << 31)
+    far = {r.doc_id: r for r in lm_score(documents(spark, rows)).collect()}
+    assert near.keys() == far.keys()
+    for d in near:
+        assert math.isclose(near[d].score, far[d].score, rel_tol=1e-9) and math.isclose(near[d].base_score, far[d].base_score, rel_tol=1e-9)
+        assert (near[d].n_known, near[d].n_tokens) == (far[d].n_known, far[d].n_tokens)
