@@ -20,7 +20,9 @@ from .common import give_back, map_text
 
 BUCKETS = 1 << 15
 #: The bound on the languages of a model: the commonest labels, ties by name.
-MAX_LANGUAGES = 64
+MAX_LANGUAGES = 512
+#: Languages whose sums a counting task holds at once; it hands them on before it takes up more.
+HELD_AT_ONCE = 64
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 #: Log-likelihood that one more language must add, as a multiple of the logarithm of the n-grams: half for its proportion,
@@ -127,14 +129,21 @@ def fit_languages(docs: DataFrame, max_languages: int = MAX_LANGUAGES) -> Model:
     def count(batches):
         give_back()
         sums: dict[int, np.ndarray] = {}
+
+        def handed_on():
+            for i, own in sums.items():
+                at = np.flatnonzero(own)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), i, np.int32)), pa.array(at.astype(np.int32)), pa.array(own[at])], ["language", "bucket", "n"])
+            sums.clear()
+
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if lang in place:
                     own = gram_counts(text)
+                    if place[lang] not in sums and len(sums) >= HELD_AT_ONCE:
+                        yield from handed_on()
                     sums[place[lang]] = sums[place[lang]] + own if place[lang] in sums else own
-        for i, own in sums.items():
-            at = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), i, np.int32)), pa.array(at.astype(np.int32)), pa.array(own[at])], ["language", "bucket", "n"])
+        yield from handed_on()
 
     sums = spread(known).mapInArrow(count, "language int, bucket int, n long").groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
     seen = np.zeros((BUCKETS, len(languages)))

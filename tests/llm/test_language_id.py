@@ -137,3 +137,13 @@ def test_bound_on_languages(spark):
     rows = [(i, "word", f"l{i % 5}" if i % 7 else "common", "s") for i in range(40)]
     model = li.fit_languages(spark.createDataFrame(rows, DOCS), max_languages=2)
     assert len(model.languages) == 2 and math.isclose(model.chance.sum(), 2)
+
+
+def test_many_languages_are_all_learned_and_handed_on_in_parts(spark, monkeypatch):
+    rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26)} x{chr(0x430 + i % 32)}", f"l{i % 100:03d}", "s") for i in range(800)]
+    docs = spark.createDataFrame(rows, DOCS)
+    whole = li.fit_languages(docs)
+    monkeypatch.setattr(li, "HELD_AT_ONCE", 3)
+    parts = li.fit_languages(docs)
+    assert whole.languages == parts.languages == [f"l{i:03d}" for i in range(100)]
+    assert (whole.chance == parts.chance).all()
