@@ -11,9 +11,11 @@ import re
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
+from ..functions.batches import by_bytes, record
 from ..functions.text import HEADING_PATTERN, PAGE_PATTERNS, heading_level, heading_title, page_hint, split_lines, trim
 from ..schemas import CHUNK
 
@@ -110,16 +112,19 @@ def chunk_documents(docs: DataFrame, min_chars: int = MIN_CHARS, max_chars: int
     """Chunks of ``docs`` (doc_id, text), as schemas.CHUNK. Ids count from 1 within a document; a chunk without a page
     bears its id as page hint. Null and blank texts have no chunks."""
 
+    schema = to_arrow_schema(StructType.fromDDL(CHUNK))
+
     def run(batches):
-        for pdf in batches:
+        for part in by_bytes(batches, 1):
             rows = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+            for doc_id, text in zip(*(c.to_pylist() for c in part.columns)):
                 for i, (page, titles, body) in enumerate(chunk_text(text or "", min_chars, max_chars), 1):
                     name = f"chunk_{i:04d}"
                     rows.append((doc_id, i, name, page or name, titles, body))
-            yield pd.DataFrame(rows, columns=["doc_id", "chunk_idx", "chunk_id", "page_hint", "title_path", "text"])
+            if rows:
+                yield record(zip(*rows), schema)
 
-    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, CHUNK)
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInArrow(run, CHUNK)
 
 
 def document_lines(docs: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import pandas as pd
 import pyarrow as pa
 
 from pairscore.functions.batches import by_bytes, in_parts
+from pairscore.operators import chunking
 from pairscore.sources import models
 
 
@@ -31,6 +32,14 @@ def test_parts():
     assert [len(p) for p in in_parts([frame[:0]])] == [0]
 
 
+def test_chunks_are_handed_back_in_parts(spark):
+    texts = [f"# T{i}\n" + "x" * 9_000 for i in range(1_000)]
+    batch = pa.record_batch({"doc_id": [str(i) for i in range(1_000)], "text": texts})
+    out = list(chunking.chunk_documents(Taken()).run([batch]))
+    assert max(b.nbytes for b in out) < 3 << 20
+    assert [r["doc_id"] for b in out for r in b.to_pylist() if r["chunk_idx"] == 1] == [str(i) for i in range(1_000)]
+
+
 def test_answers_are_handed_back_in_parts(spark, monkeypatch):
     taken = Taken()
     monkeypatch.setattr(models, "shared_out", lambda df, limits: (taken, 1))
