@@ -49,6 +49,7 @@ def relation_name(value: str | None) -> str:
 
 
 def _arrays(fn, values: pd.Series) -> pd.Series:
+    """Each list with ``fn`` of its elements after it."""
     known: dict[str | None, str] = {}
 
     def one(x):
@@ -56,7 +57,7 @@ def _arrays(fn, values: pd.Series) -> pd.Series:
             known[x] = fn(x)
         return known[x]
 
-    return values.map(lambda v: None if v is None else [one(x) for x in v])
+    return values.map(lambda v: None if v is None else [*v, *map(one, v)])
 
 
 @F.pandas_udf(ArrayType(StringType()))
@@ -110,16 +111,18 @@ def _hybrid(values: Column, simple, others) -> Column:
     none = F.array().cast("array<string>")
     # one look at all of a row's characters tells most rows, which then have nothing for Python
     odd = F.when(is_simple(F.array_join(strings, "")), none).otherwise(F.array_distinct(F.filter(strings, lambda x: x.isNotNull() & ~is_simple(x))))
-    done = F.struct(values.alias("values"), odd.alias("odd"), others(odd).alias("done"))
+    # the odd strings come back with their forms after them, so that they are not looked for once more
+    done = F.struct(values.alias("values"), others(odd).alias("told"))
     plainly = lambda x: simple(F.coalesce(x, F.lit("")))
 
     def one(x: Column, told: Column) -> Column:
-        at = F.array_position(told["odd"], x)
-        return F.when(F.coalesce(at, F.lit(0)) == 0, plainly(x)).otherwise(F.get(told["done"], (at - 1).cast("int")))
+        at = F.array_position(told["told"], x)
+        n = F.size(told["told"]) / 2
+        return F.when((F.coalesce(at, F.lit(0)) == 0) | (at > n), plainly(x)).otherwise(F.get(told["told"], (at - 1 + n).cast("int")))
 
     def row(told: Column) -> Column:
         each = lambda of: F.transform(told["values"], lambda v: F.transform(v, of))
-        return F.when(F.coalesce(F.size(told["odd"]), F.lit(0)) == 0, each(plainly)).otherwise(each(lambda x: one(x, told)))
+        return F.when(F.coalesce(F.size(told["told"]), F.lit(0)) == 0, each(plainly)).otherwise(each(lambda x: one(x, told)))
 
     # the struct is an array's one element, so that it is computed once a row
     return F.get(F.transform(F.array(done), row), F.lit(0))

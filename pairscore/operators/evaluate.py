@@ -98,10 +98,12 @@ def _first_free(left: pd.Series, right: pd.Series) -> pd.Series:
 _first_free = _first_free.asNondeterministic()  # as the functions of functions.text
 
 
-def greedy(left: Column, right: Column) -> Column:
-    """``first_free`` of two lists of key lists. Short lists stay in the JVM, as a fold over the left one with the list of
+def greedy(left: Column, right: Column, n_left: Column | None = None, n_right: Column | None = None) -> Column:
+    """``first_free`` of two lists of key lists; ``n_left`` and ``n_right`` are their sizes, where these are known without
+    making the lists. Short lists stay in the JVM, as a fold over the left one with the list of
     those taken as its state; long ones go to Python, where the work is linear."""
-    few = F.size(left) * F.size(right).cast("long") <= FOLD_PAIRS
+    n_left, n_right = (F.size(lists) if n is None else n for lists, n in ((left, n_left), (right, n_right)))
+    few = n_left * n_right.cast("long") <= FOLD_PAIRS
     long = _first_free(F.when(~few, left), F.when(~few, right))
 
     def fold(rights: Column) -> Column:
@@ -129,7 +131,7 @@ def relation_keys(links: Column) -> Column:
 
 def match_lists(pairs: DataFrame) -> DataFrame:
     """``pairs`` with ``entity_match``: for each entity of ``ref``, in order, its place in ``pred``, or -1."""
-    return pairs.withColumn("entity_match", greedy(entity_keys(F.col("ref")), entity_keys(F.col("pred"))))
+    return pairs.withColumn("entity_match", greedy(entity_keys(F.col("ref")), entity_keys(F.col("pred")), F.size("ref"), F.size("pred")))
 
 
 def _errors(kind: str, items: Column, *fields) -> Column:
@@ -214,7 +216,7 @@ def score_lists(pairs: DataFrame) -> DataFrame:
     Relations match when their subjects share a key, their canonical names agree and their targets share a key.
     """
     told = match_lists(pairs).withColumn("_ref_links", _links(F.col("ref"))).withColumn("_pred_links", _links(F.col("pred")))
-    told = told.withColumn("relation_match", greedy(relation_keys(F.col("_ref_links")), relation_keys(F.col("_pred_links"))))
+    told = told.withColumn("relation_match", greedy(relation_keys(F.col("_ref_links")), relation_keys(F.col("_pred_links")), F.size("_ref_links"), F.size("_pred_links")))
     ref, pred, em = F.col("ref"), F.col("pred"), F.col("entity_match")
     result = bind(_pairs(ref, pred, em), lambda ps: bind(_asked(ps), lambda asked: bind(_more(ps, ref), lambda more: _result(
         ref, pred, em, F.col("_ref_links"), F.col("_pred_links"), F.col("relation_match"), ps, asked, more))))

@@ -11,3 +11,8 @@ def test_long_lists_are_sorted_by_fields(spark):
 def test_parts_are_prepared_in_their_own_row(spark):
     plan = queries.blank_parts(spark, "/root/testdata/sf0.001")._jdf.queryExecution()
     assert "Join" not in plan.optimizedPlan().toString() and plan.toRdd().getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_sizes_of_lists_do_not_make_them(spark):
+    plan = queries.match_greedy(spark, "/root/testdata/sf0.001")._jdf.queryExecution().analyzed().toString()
+    assert 0 < plan.count("concat_ws(\x1f") <= 4  # both lists for the fold and for the queues, none for a size
