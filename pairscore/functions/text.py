@@ -28,9 +28,13 @@ _DASHES = str.maketrans("－—–", "---")
 #: The line boundaries of Python's splitlines, and Unicode white space, as Java patterns.
 LINE_END = r"\r\n|[\n\r\x0B\f\x1C-\x1E\x85  ]"
 _SPACE = r"[\s\x1C-\x1F\x85\p{Z}]"
+_NO_SPACE = r"[^\s\x1C-\x1F\x85\p{Z}]"
+#: Between strings, between lists, for an empty list and for none: no simple string has them.
+_NEXT, _LIST, _EMPTY_LIST, _NO_LIST = "\x01", "\x02", "\x03", "\x04"
 #: Strings that NFKC leaves as they are, now and together with any neighbours, and of which ``lower`` is the case folding:
-#: ASCII, the letters of Latin-1 without the sharp s, Russian letters, dashes, kana and ideographs.
-SIMPLE = r"^[\x00-\x7F\u00C0-\u00D6\u00D8-\u00DE\u00E0-\u00F6\u00F8-\u00FF\u0410-\u044F\u2013\u2014\u3001\u3002\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FFF]*+\z"
+#: ASCII but for the marks by which a row's strings are joined, the letters of Latin-1 without the sharp s, Russian letters,
+#: dashes, kana and ideographs.
+SIMPLE = r"^[\x00\x05-\x7F\u00C0-\u00D6\u00D8-\u00DE\u00E0-\u00F6\u00F8-\u00FF\u0410-\u044F\u2013\u2014\u3001\u3002\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FFF]*+\z"
 
 
 def plain(value: str | None) -> str:
@@ -80,12 +84,23 @@ def trim(col: Column) -> Column:
     return F.regexp_replace(col, f"^{_SPACE}+|{_SPACE}+$", "")
 
 
+def is_blank(col: Column) -> Column:
+    """Whether a string is empty or all white space: as ``trim(col) == ""``, but mostly one character is looked at."""
+    return ~col.rlike(_NO_SPACE)
+
+
 def _ascii_folded(x: Column) -> Column:
     return F.lower(F.regexp_replace(F.coalesce(x, F.lit("")), r"[\s\x1C-\x1F]+", ""))
 
 
 def _simple_folded(x: Column) -> Column:
-    return F.lower(F.translate(F.regexp_replace(x, r"[\s\x1C-\x1F]+", ""), "—–", "--"))
+    hyphens = F.replace(F.replace(x, F.lit("—"), F.lit("-")), F.lit("–"), F.lit("-"))
+    return F.lower(F.regexp_replace(hyphens, r"[\s\x1C-\x1F]+", ""))
+
+
+def _simple_trimmed(text: Column) -> Column:
+    """White space off both ends of each of the joined strings."""
+    return F.regexp_replace(text, f"(?<![^{_NEXT}{_LIST}])[\\s\\x1C-\\x1F]++|[\\s\\x1C-\\x1F]++(?![^{_NEXT}{_LIST}])", "")
 
 
 def _relation_or(text: Column, otherwise: Column) -> Column:
@@ -104,38 +119,57 @@ def is_simple(x: Column) -> Column:
     return x.rlike(SIMPLE)
 
 
-def _hybrid(values: Column, simple, others) -> Column:
+def _joined(values: Column) -> Column:
+    """An array of arrays of strings as one string; null strings are empty."""
+    one = lambda v: F.coalesce(F.when(F.size(v) > 0, F.array_join(v, _NEXT, "")), F.when(v.isNull(), _NO_LIST), F.lit(_EMPTY_LIST))
+    return F.array_join(F.transform(values, one), _LIST)
+
+
+def _parted(text: Column) -> Column:
+    """What ``_joined`` joined; not for an empty string, which may stand for no list or for one of an empty string."""
+    plainly = lambda t: F.when(t == _EMPTY_LIST, F.array().cast("array<string>")).when(t != _NO_LIST, F.split(t, _NEXT, -1))
+    return F.transform(F.split(text, _LIST, -1), plainly)
+
+
+def _hybrid(values: Column, simple, others, whole=None) -> Column:
     """An array of arrays of strings, with ``simple`` (a column function) applied to each simple string in place and
-    ``others`` (a Python function of a list) to a row's distinct strings that are not, which are none in most rows."""
+    ``others`` (a Python function of a list) to a row's distinct strings that are not, which are none in most rows. Where
+    there are none, ``whole`` does the same to all strings at once, joined by marks that it leaves as they are."""
     strings = F.flatten(F.filter(values, lambda v: v.isNotNull()))
     none = F.array().cast("array<string>")
     # one look at all of a row's characters tells most rows, which then have nothing for Python
     odd = F.when(is_simple(F.array_join(strings, "")), none).otherwise(F.array_distinct(F.filter(strings, lambda x: x.isNotNull() & ~is_simple(x))))
     # the odd strings come back with their forms after them, so that they are not looked for once more
-    done = F.struct(values.alias("values"), others(odd).alias("told"))
+    told = others(odd)
     plainly = lambda x: simple(F.coalesce(x, F.lit("")))
 
     def one(x: Column, told: Column) -> Column:
-        at = F.array_position(told["told"], x)
-        n = F.size(told["told"]) / 2
-        return F.when((F.coalesce(at, F.lit(0)) == 0) | (at > n), plainly(x)).otherwise(F.get(told["told"], (at - 1 + n).cast("int")))
+        at = F.array_position(told, x)
+        n = F.size(told) / 2
+        return F.when((F.coalesce(at, F.lit(0)) == 0) | (at > n), plainly(x)).otherwise(F.get(told, (at - 1 + n).cast("int")))
+
+    # each struct is an array's one element, so that it is computed once a row
+    def singly(told: Column) -> Column:
+        each = lambda y: F.transform(y["values"], lambda v: F.transform(v, lambda x: one(x, y["told"])))
+        return F.get(F.transform(F.array(F.struct(values.alias("values"), told.alias("told"))), each), F.lit(0))
 
-    def row(told: Column) -> Column:
-        each = lambda of: F.transform(told["values"], lambda v: F.transform(v, of))
-        return F.when(F.coalesce(F.size(told["told"]), F.lit(0)) == 0, each(plainly)).otherwise(each(lambda x: one(x, told)))
+    def row(y: Column) -> Column:
+        if whole is None:
+            return F.when(F.coalesce(F.size(y["told"]), F.lit(0)) > 0, singly(y["told"])).otherwise(F.transform(values, lambda v: F.transform(v, plainly)))
+        return F.when((F.coalesce(F.size(y["told"]), F.lit(0)) > 0) | (y["text"] == ""), singly(y["told"])).otherwise(_parted(whole(y["text"])))
 
-    # the struct is an array's one element, so that it is computed once a row
-    return F.get(F.transform(F.array(done), row), F.lit(0))
+    text = F.lit("") if whole is None else _joined(values)
+    return F.get(F.transform(F.array(F.struct(text.alias("text"), told.alias("told"))), row), F.lit(0))
 
 
 def fold_lists(values: Column, exact: bool = True) -> Column:
     """The comparison forms of an array of arrays of strings."""
-    return _hybrid(values, _simple_folded, _folded_arrays) if exact else F.transform(values, lambda v: F.transform(v, _ascii_folded))
+    return _hybrid(values, _simple_folded, _folded_arrays, _simple_folded) if exact else F.transform(values, lambda v: F.transform(v, _ascii_folded))
 
 
 def plain_lists(values: Column, exact: bool = True) -> Column:
     """NFKC and trimmed, of an array of arrays of strings."""
-    return _hybrid(values, trim, _plain_arrays) if exact else F.transform(values, lambda v: F.transform(v, lambda x: trim(F.coalesce(x, F.lit("")))))
+    return _hybrid(values, trim, _plain_arrays, _simple_trimmed) if exact else F.transform(values, lambda v: F.transform(v, lambda x: trim(F.coalesce(x, F.lit("")))))
 
 
 def relation_lists(values: Column, exact: bool = True) -> Column:

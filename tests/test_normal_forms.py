@@ -46,3 +46,21 @@ def test_simple_strings_do_not_reach_python(spark):
     only = F.pandas_udf(refuse, ArrayType(StringType())).asNondeterministic()
     rows = spark.createDataFrame([(["Abc", "为", "É —"],), (None,)], "v array<string>")
     assert [r.x for r in rows.select(tx._hybrid(F.array("v"), tx._simple_folded, only).alias("x")).collect()] == [[["abc", "为", "é-"]], [None]]
+
+
+def test_rows_of_simple_strings_are_done_at_once(spark):
+    lists = [
+        [["Ab c", "", " x\ty "], [], None, [""], [None, "É–—"]], [[""]], [], [["a\x01B", "\x02", "\x03"], ["\x04"], []], [[]], [None], None,
+        [["\x03"]], [[" "], ["\x1c\n", " a  b "]], [["Straße", " A "], []],
+    ]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(lists)], "i int, v array<array<string>>").coalesce(1)
+    got = rows.select("i", tx.fold_lists(F.col("v")).alias("f"), tx.plain_lists(F.col("v")).alias("p")).orderBy("i").collect()
+    of = lambda fn, v: None if v is None else [None if x is None else [fn(y) for y in x] for x in v]
+    assert [r.f for r in got] == [of(tx.folded, v) for v in lists]
+    assert [r.p for r in got] == [of(tx.plain, v) for v in lists]
+
+
+def test_blank_strings(spark):
+    given = ["", " ", "\u3000\x85\x1c", "a", " a", "\u200b", None, "\n\u2028"]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(given)], "i int, x string").coalesce(1)
+    assert [r.b for r in rows.select("i", tx.is_blank(F.col("x")).alias("b")).orderBy("i").collect()] == [None if x is None else x.strip() == "" for x in given]

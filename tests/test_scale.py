@@ -16,3 +16,8 @@ def test_parts_are_prepared_in_their_own_row(spark):
 def test_sizes_of_lists_do_not_make_them(spark):
     plan = queries.match_greedy(spark, "/root/testdata/sf0.001")._jdf.queryExecution().analyzed().toString()
     assert 0 < plan.count("concat_ws(\x1f") <= 4  # both lists for the fold and for the queues, none for a size
+
+
+def test_merged_lists_are_made_once(spark):
+    plan = queries.merge_entities(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter ((size(" not in plan and "Filter (size(" not in plan  # the inner form of inline is preceded by one
