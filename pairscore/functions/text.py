@@ -2,6 +2,7 @@
 folding treat simply (``SIMPLE``). Only the others go to Python's tables, by an Arrow function, each once a row. The
 ``exact=False`` forms take every string as a simple one; they agree with the exact ones on ASCII input."""
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -29,6 +30,7 @@ _DASHES = str.maketrans("－—–", "---")
 LINE_END = r"\r\n|[\n\r\x0B\f\x1C-\x1E\x85  ]"
 _SPACE = r"[\s\x1C-\x1F\x85\p{Z}]"
 _NO_SPACE = r"[^\s\x1C-\x1F\x85\p{Z}]"
+_ASCII_SPACE = re.compile(r"[\s\x1C-\x1F]+", re.ASCII)
 #: Between strings, between lists, for an empty list and for none: no simple string has them.
 _NEXT, _LIST, _EMPTY_LIST, _NO_LIST = "\x01", "\x02", "\x03", "\x04"
 #: Strings that NFKC leaves as they are, now and together with any neighbours, and of which ``lower`` is the case folding:
@@ -52,6 +54,15 @@ def relation_name(value: str | None) -> str:
     return next((name for phrase, name in RELATIONS if phrase in text), None) or folded(text)
 
 
+def ascii_folded(value: str | None) -> str:
+    """The comparison form of a string that is taken as a simple one."""
+    return _ASCII_SPACE.sub("", value or "").lower()
+
+
+def ascii_relation_name(value: str | None) -> str:
+    return next((name for phrase, name in RELATIONS if phrase in (value or "")), None) or ascii_folded(value)
+
+
 def _arrays(fn, values: pd.Series) -> pd.Series:
     """Each list with ``fn`` of its elements after it."""
     known: dict[str | None, str] = {}

@@ -9,20 +9,29 @@ from __future__ import annotations
 
 from collections import deque
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from ..functions.metrics import level_metrics
-from ..functions.text import fold_lists, relation_lists
+from ..functions.text import ascii_folded, ascii_relation_name, folded, relation_name
 from ..schemas import ENTITY, ERROR, ERROR_TYPES, LEVELS
-from .merge import KEYS, _sliced, bind
+from .merge import KEYS, bind
 
-_ATTRIBUTE = "struct<key:string,value:string,n_key:string,n_value:string>"
-_RELATION = "struct<relation:string,target:string,target_keys:array<string>>"
-#: An entity with its comparison forms.
-PREPARED = f"struct<name:string,type:string,n_type:string,keys:array<string>,attributes:array<{_ATTRIBUTE}>,relations:array<{_RELATION}>>"
-_EMPTY = f"array<{PREPARED}>"
+_TEXTS = ArrayType(StringType())
+
+
+def _struct(**fields) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
+
+
+_ATTRIBUTE = _struct(key=StringType(), value=StringType(), n_key=StringType(), n_value=StringType())
+_RELATION = _struct(relation=StringType(), target=StringType(), target_keys=_TEXTS)
+#: An entity with its comparison forms. A type and no DDL, since workers read this module too.
+PREPARED = _struct(name=StringType(), type=StringType(), n_type=StringType(), keys=_TEXTS, attributes=ArrayType(_ATTRIBUTE), relations=ArrayType(_RELATION))
 
 
 def prepare(extractions: DataFrame, name: str, exact: bool = True, keys=KEYS) -> DataFrame:
@@ -30,37 +39,88 @@ def prepare(extractions: DataFrame, name: str, exact: bool = True, keys=KEYS) ->
     return extractions.select(*keys, prepared(F.col("entities"), exact).alias(name))
 
 
-def _targeted(entity: Column) -> Column:
-    return F.filter(entity["relations"], lambda r: r["target"] != "")
-
-
 def prepared(entities: Column, exact: bool = True) -> Column:
-    """A list of entities with their comparison forms. All of a row's strings are folded by one call, as a list for each
-    entity; nothing is exploded or shuffled."""
-    texts = F.transform(entities, lambda e: F.concat(
-        F.array(e["type"], e["name"]), e["aliases"], F.map_keys(e["attributes"]), F.map_values(e["attributes"]), F.transform(_targeted(e), lambda r: r["target"])))
-    phrases = F.transform(entities, lambda e: F.transform(_targeted(e), lambda r: r["relation"]))
-
-    def one(e: Column, told: Column, linked: Column) -> Column:
-        n = F.size(e["attributes"])
-        kind, names, n_keys, n_values, targets = _sliced(told, [F.lit(1), F.size(e["aliases"]) + 1, n, n, F.size(linked)])
-        attributes = F.arrays_zip(F.map_keys(e["attributes"]).alias("key"), F.map_values(e["attributes"]).alias("value"), n_keys.alias("n_key"), n_values.alias("n_value"))
-        return F.struct(
-            e["name"].alias("name"), e["type"].alias("type"), F.get(kind, F.lit(0)).alias("n_type"), F.array_distinct(F.filter(names, lambda x: x != "")).alias("keys"),
-            attributes.alias("attributes"), F.arrays_zip(linked.alias("relation"), targets.alias("target")).alias("relations"))
-
-    both = F.arrays_zip(entities.alias("e"), fold_lists(texts, exact).alias("told"), relation_lists(phrases, exact).alias("linked"))
-    made = F.transform(both, lambda x: one(x["e"], x["told"], x["linked"]))
-    with_targets = lambda all_: F.transform(all_, lambda e: F.struct(
-        e["name"], e["type"], e["n_type"], e["keys"], e["attributes"],
-        F.transform(e["relations"], lambda r: F.struct(r["relation"], r["target"], target_keys(r["target"], all_)))))
-    return bind(made, with_targets).cast(_EMPTY)
-
-
-def target_keys(target: Column, entities: Column) -> Column:
-    """A target's own key and all keys of the entities that have it; one step, not further. Blank keys go."""
-    named = F.filter(entities, lambda x: F.array_contains(x["keys"], target))
-    return F.filter(F.array_distinct(F.concat(F.array(target), F.flatten(F.transform(named, lambda x: x["keys"])))), lambda k: k != "")
+    """A list of entities with their comparison forms. Nothing is exploded or shuffled: an Arrow function works on the
+    lists of many rows at once, column by column, and each different string of these is folded once."""
+    return (_prepared_exact if exact else _prepared_plainly)(*[entities[f] for f in ("name", "type", "aliases", "attributes", "relations")])
+
+
+def _parts(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Sizes of lists and all their elements."""
+    offsets = np.asarray(lists.offsets, dtype=np.int64)
+    values = pa.StructArray.from_arrays([lists.keys, lists.items], ["key", "value"]) if isinstance(lists, pa.MapArray) else lists.values
+    return np.diff(offsets), values[offsets[0] : offsets[-1]]
+
+
+def _lists(sizes: np.ndarray, values: pa.Array, nulls: pa.Array | None = None) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), values, mask=nulls)
+
+
+def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all elements of ranges, one range after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _mapped(fn, strings: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """``fn`` of each string, called once for a string: a number for each and the results that these stand for."""
+    told = pc.fill_null(strings, "").dictionary_encode()
+    results = pa.array([fn(x) for x in told.dictionary.to_pylist()], pa.string()).dictionary_encode()
+    return np.asarray(results.indices, dtype=np.int64)[np.asarray(told.indices)], results.dictionary
+
+
+def _firsts(owner: np.ndarray, code: np.ndarray, n_codes: int) -> np.ndarray:
+    """The places of the first of equal codes of an owner, in order."""
+    return np.sort(np.unique(owner * n_codes + code, return_index=True)[1])
+
+
+def _preparing(fold, relation_of):
+    """The function of ``prepared`` with the forms that ``fold`` and ``relation_of`` give."""
+
+    def prepare_lists(name: pa.Array, type: pa.Array, aliases: pa.Array, attributes: pa.Array, relations: pa.Array) -> pa.Array:
+        n_entities, names = _parts(name)
+        kinds, (n_aliases, aliases), (n_attributes, attributes), (n_links, links) = _parts(type)[1], *(_parts(_parts(x)[1]) for x in (aliases, attributes, relations))
+        n, row = len(names), np.repeat(np.arange(len(n_entities)), n_entities)
+        given = np.asarray(pc.fill_null(pc.not_equal(links.field("target"), ""), False), dtype=bool)
+        links, subject = links.filter(pa.array(given)), np.repeat(np.arange(n), n_links)[given]
+        strings = [kinds, names, aliases, attributes.field("key"), attributes.field("value"), links.field("target"), pa.array([""], pa.string())]
+        codes, forms = _mapped(fold, pa.concat_arrays(strings))
+        kind, own, others, n_key, n_value, target, blank = np.split(codes, np.cumsum([len(x) for x in strings])[:-1])
+        # an entity's keys are its name's form and its aliases', each once, without blank ones
+        owner, code = np.repeat(np.arange(n), n_aliases + 1), np.empty(n + len(others), dtype=np.int64)
+        first = np.cumsum(n_aliases + 1) - n_aliases - 1
+        code[first], code[_places(first + 1, n_aliases)] = own, others
+        owner, code = owner[code != blank], code[code != blank]
+        kept = _firsts(owner, code, len(forms))
+        owner, code = owner[kept], code[kept]
+        n_keys = np.bincount(owner, minlength=n)
+        first = np.cumsum(n_keys) - n_keys
+        # a target's are itself and the keys of those entities of its row that have it; one step, not further
+        has = row[owner] * len(forms) + code
+        order, wanted = np.argsort(has, kind="stable"), row[subject] * len(forms) + target
+        low, high = (np.searchsorted(has[order], wanted, side) for side in ("left", "right"))
+        named = owner[order[_places(low, high - low)]]
+        link = np.repeat(np.repeat(np.arange(len(target)), high - low), n_keys[named])
+        link, keys = np.concatenate((np.arange(len(target)), link)), np.concatenate((target, code[_places(first[named], n_keys[named])]))
+        link, keys = link[keys != blank], keys[keys != blank]
+        by_link = np.argsort(link, kind="stable")
+        link, keys = link[by_link], keys[by_link]
+        kept = _firsts(link, keys, len(forms))
+        link, keys = link[kept], keys[kept]
+        verbs, verb_forms = _mapped(relation_of, links.field("relation"))
+        text = lambda of, codes: of.take(pa.array(codes))
+        pairs = [attributes.field("key"), attributes.field("value"), text(forms, n_key), text(forms, n_value)]
+        ends = [text(verb_forms, verbs), text(forms, target), _lists(np.bincount(link, minlength=len(target)), text(forms, keys))]
+        fields = [
+            names, kinds, text(forms, kind), _lists(n_keys, text(forms, code)),
+            _lists(n_attributes, pa.StructArray.from_arrays(pairs, ["key", "value", "n_key", "n_value"])),
+            _lists(np.bincount(subject, minlength=n), pa.StructArray.from_arrays(ends, ["relation", "target", "target_keys"]))]
+        return _lists(n_entities, pa.StructArray.from_arrays(fields, ["name", "type", "n_type", "keys", "attributes", "relations"]), name.is_null())
+
+    # nondeterministic as the functions of functions.text
+    return F.arrow_udf(prepare_lists, ArrayType(PREPARED)).asNondeterministic()
+
+
+_prepared_exact, _prepared_plainly = _preparing(folded, relation_name), _preparing(ascii_folded, ascii_relation_name)
 
 
 #: Pairs of two lists up to which a fold in the JVM tries them; beyond, keys are looked up.
@@ -279,7 +339,8 @@ def evaluate_pairs(b: DataFrame, a: DataFrame, gold: DataFrame | None = None, ex
 
 def error_rows(evaluated: DataFrame, keys=KEYS) -> DataFrame:
     """The errors, one a row: ``keys, chunk_id, error_type, seq, payload``."""
-    return evaluated.select(*dict.fromkeys([*keys, "chunk_id"]), F.explode("errors").alias("x")).select(*dict.fromkeys([*keys, "chunk_id"]), "x.error_type", "x.seq", "x.payload")
+    # the inner form would add a filter by the list's size, which scores a second time
+    return evaluated.select(*dict.fromkeys([*keys, "chunk_id"]), F.explode_outer("errors").alias("x")).where("x is not null").select(*dict.fromkeys([*keys, "chunk_id"]), "x.error_type", "x.seq", "x.payload")
 
 
 def errors_by_kind(errors: Column) -> Column:
