@@ -29,3 +29,10 @@ def spread(df: DataFrame) -> DataFrame:
     if "Exchange" in plan.toString() or df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
+
+
+def parts_by_size(df: DataFrame, size: int) -> int:
+    """How many partitions a table is to be dealt to, so that each gets the rows of about ``size`` bytes of its files; at
+    least one for each core."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-stats.sizeInBytes() // size))

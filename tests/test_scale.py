@@ -1,6 +1,7 @@
 """What keeps the plans of the registered queries cheap at size."""
 
 from pairscore.plans import queries
+from pairscore.sources.shared import parts_by_size
 
 
 def test_long_lists_are_sorted_by_fields(spark):
@@ -21,3 +22,18 @@ def test_sizes_of_lists_do_not_make_them(spark):
 def test_merged_lists_are_made_once(spark):
     plan = queries.merge_entities(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "Filter ((size(" not in plan and "Filter (size(" not in plan  # the inner form of inline is preceded by one
+
+
+def test_repeated_lines_are_dealt_once_for_both_sides(spark):
+    done = queries.repeated_chunks(spark, "/root/testdata/sf0.001")
+    done.collect()
+    plan = done._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") >= 1 and "isnotnull(doc_id" not in plan
+    dealt = [line for line in plan.splitlines() if "+- Exchange hashpartitioning(doc_id" in line]
+    assert len(dealt) == 1 and "REPARTITION_BY_NUM" in dealt[0]
+
+
+def test_partitions_follow_a_table_s_size(spark):
+    lines = queries.table(spark, "/root/testdata/sf0.01", "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    assert parts_by_size(lines, 1 << 40) == cores and parts_by_size(lines, 1 << 14) > 3 * cores
