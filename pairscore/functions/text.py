@@ -92,7 +92,8 @@ def _relation_arrays(values: pd.Series) -> pd.Series:
 
 def trim(col: Column) -> Column:
     """Unicode white space off both ends."""
-    return F.regexp_replace(col, f"^{_SPACE}+|{_SPACE}+$", "")
+    # one match from the first to the last other character; looking for white space at the end tries all that there is
+    return F.regexp_extract(col, f"(?s)^{_SPACE}*+(.*{_NO_SPACE})", 1)
 
 
 def is_blank(col: Column) -> Column:

@@ -8,6 +8,8 @@ the reference with the list of those taken as its state, or for long lists a que
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,6 +36,10 @@ _RELATION = _struct(relation=StringType(), target=StringType(), target_keys=_TEX
 PREPARED = _struct(name=StringType(), type=StringType(), n_type=StringType(), keys=_TEXTS, attributes=ArrayType(_ATTRIBUTE), relations=ArrayType(_RELATION))
 
 
+#: Both sides of a chunk, and for each entity and relation of ``ref`` the place of its match in ``pred``, or -1.
+PAIR = _struct(ref=ArrayType(PREPARED), pred=ArrayType(PREPARED), entity_match=ArrayType(IntegerType()), relation_match=ArrayType(IntegerType()))
+
+
 def prepare(extractions: DataFrame, name: str, exact: bool = True, keys=KEYS) -> DataFrame:
     """``keys`` and, as ``name``, the list of prepared entities."""
     return extractions.select(*keys, prepared(F.col("entities"), exact).alias(name))
@@ -45,6 +51,13 @@ def prepared(entities: Column, exact: bool = True) -> Column:
     return (_prepared_exact if exact else _prepared_plainly)(*[entities[f] for f in ("name", "type", "aliases", "attributes", "relations")])
 
 
+def prepared_pair(ref: Column, pred: Column, exact: bool = True) -> Column:
+    """Two lists of entities, neither null, as a struct of PAIR: prepared as by ``prepared``, and matched as by ``greedy``
+    while the keys are numbers."""
+    fields = ("name", "type", "aliases", "attributes", "relations")
+    return (_pair_exact if exact else _pair_plainly)(*[side[f] for side in (ref, pred) for f in fields])
+
+
 def _parts(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Sizes of lists and all their elements."""
     offsets = np.asarray(lists.offsets, dtype=np.int64)
@@ -73,16 +86,71 @@ def _firsts(owner: np.ndarray, code: np.ndarray, n_codes: int) -> np.ndarray:
     return np.sort(np.unique(owner * n_codes + code, return_index=True)[1])
 
 
+def _joint(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Codes of pairs of codes."""
+    return np.unique(a * (b.max(initial=0) + 1) + b, return_inverse=True)[1]
+
+
+def _flat(name: pa.Array, type: pa.Array, aliases: pa.Array, attributes: pa.Array, relations: pa.Array) -> tuple[list[np.ndarray], list[pa.Array]]:
+    """Many rows' entities as the sizes of their lists and all strings of a kind."""
+    n_entities, names = _parts(name)
+    kinds, (n_aliases, aliases), (n_attributes, attributes), (n_links, links) = _parts(type)[1], *(_parts(_parts(x)[1]) for x in (aliases, attributes, relations))
+    return [n_entities, n_aliases, n_attributes, n_links], [names, kinds, aliases, attributes.field("key"), attributes.field("value"), links.field("relation"), links.field("target")]
+
+
+@dataclass
+class _Keyed:
+    """Items of many rows, each with the keys (codes) it may be found by, in the order of rows and items."""
+
+    row: np.ndarray  # of an item
+    item: np.ndarray  # of a key
+    code: np.ndarray  # of a key
+
+    def split(self, row: int) -> tuple[_Keyed, _Keyed]:
+        """The items of the rows before this one, and the others, numbered anew."""
+        n, at = np.searchsorted(self.row, row), np.searchsorted(self.row[self.item], row)
+        return _Keyed(self.row[:n], self.item[:at], self.code[:at]), _Keyed(self.row[n:] - row, self.item[at:] - n, self.code[at:])
+
+    def keys(self, row: int) -> list[list[int]]:
+        """The keys of a row's items, item by item."""
+        first, end = np.searchsorted(self.row, (row, row + 1))
+        ends = np.searchsorted(self.item, np.arange(first, end + 1))
+        return [self.code[a:b].tolist() for a, b in zip(ends, ends[1:])]
+
+
+def matched(left: _Keyed, right: _Keyed, n_rows: int) -> np.ndarray:
+    """``first_free`` of many rows at once: for each item of ``left`` the place in its row of the item of ``right``, or -1.
+    Of most rows no item shares a key with two others, so that all such pairs are matches; the rest is matched row by row."""
+    n_codes = max(left.code.max(initial=0), right.code.max(initial=0)) + 1
+    wanted, has = left.row[left.item] * n_codes + left.code, right.row[right.item] * n_codes + right.code
+    order = np.argsort(has, kind="stable")
+    low, high = (np.searchsorted(has[order], wanted, side) for side in ("left", "right"))
+    n_pairs, row = high - low, left.row[left.item]
+    # rows of a very common key have many more pairs than keys; these are never made
+    odd = np.bincount(row, n_pairs, n_rows) > 4 * (np.bincount(row, minlength=n_rows) + np.bincount(right.row[right.item], minlength=n_rows))
+    few = ~odd[row]
+    a, b = np.repeat(left.item[few], n_pairs[few]), right.item[order[_places(low[few], n_pairs[few])]]
+    a, b = np.divmod(np.unique(a * (len(right.row) + 1) + b), len(right.row) + 1)
+    contested = (np.bincount(a, minlength=len(left.row))[a] > 1) | (np.bincount(b, minlength=len(right.row))[b] > 1)
+    odd[left.row[a[contested]]] = True
+    out, plain = np.full(len(left.row), -1), ~odd[left.row[a]]
+    out[a[plain]] = b[plain] - np.searchsorted(right.row, right.row[b[plain]])
+    for r in np.flatnonzero(odd):
+        first, end = np.searchsorted(left.row, (r, r + 1))
+        out[first:end] = first_free(left.keys(r), right.keys(r))
+    return out
+
+
 def _preparing(fold, relation_of):
-    """The function of ``prepared`` with the forms that ``fold`` and ``relation_of`` give."""
+    """The functions of ``prepared`` and ``prepared_pair`` with the forms that ``fold`` and ``relation_of`` give."""
 
-    def prepare_lists(name: pa.Array, type: pa.Array, aliases: pa.Array, attributes: pa.Array, relations: pa.Array) -> pa.Array:
-        n_entities, names = _parts(name)
-        kinds, (n_aliases, aliases), (n_attributes, attributes), (n_links, links) = _parts(type)[1], *(_parts(_parts(x)[1]) for x in (aliases, attributes, relations))
+    def forms_of(sizes: list[np.ndarray], strings: list[pa.Array], nulls: pa.Array | None = None) -> tuple[pa.Array, _Keyed, Callable[[], _Keyed]]:
+        """The prepared lists, the entities by their keys, and what gives the relations by what makes them the same."""
+        (n_entities, n_aliases, n_attributes, n_links), (names, kinds, aliases, key, value, verb, target) = sizes, strings
         n, row = len(names), np.repeat(np.arange(len(n_entities)), n_entities)
-        given = np.asarray(pc.fill_null(pc.not_equal(links.field("target"), ""), False), dtype=bool)
-        links, subject = links.filter(pa.array(given)), np.repeat(np.arange(n), n_links)[given]
-        strings = [kinds, names, aliases, attributes.field("key"), attributes.field("value"), links.field("target"), pa.array([""], pa.string())]
+        given = pc.fill_null(pc.not_equal(target, ""), False)
+        verb, target, subject = verb.filter(given), target.filter(given), np.repeat(np.arange(n), n_links)[np.asarray(given, dtype=bool)]
+        strings = [kinds, names, aliases, key, value, target, pa.array([""], pa.string())]
         codes, forms = _mapped(fold, pa.concat_arrays(strings))
         kind, own, others, n_key, n_value, target, blank = np.split(codes, np.cumsum([len(x) for x in strings])[:-1])
         # an entity's keys are its name's form and its aliases', each once, without blank ones
@@ -106,21 +174,46 @@ def _preparing(fold, relation_of):
         link, keys = link[by_link], keys[by_link]
         kept = _firsts(link, keys, len(forms))
         link, keys = link[kept], keys[kept]
-        verbs, verb_forms = _mapped(relation_of, links.field("relation"))
+        verbs, verb_forms = _mapped(relation_of, verb)
         text = lambda of, codes: of.take(pa.array(codes))
-        pairs = [attributes.field("key"), attributes.field("value"), text(forms, n_key), text(forms, n_value)]
+        pairs = [key, value, text(forms, n_key), text(forms, n_value)]
         ends = [text(verb_forms, verbs), text(forms, target), _lists(np.bincount(link, minlength=len(target)), text(forms, keys))]
         fields = [
             names, kinds, text(forms, kind), _lists(n_keys, text(forms, code)),
             _lists(n_attributes, pa.StructArray.from_arrays(pairs, ["key", "value", "n_key", "n_value"])),
             _lists(np.bincount(subject, minlength=n), pa.StructArray.from_arrays(ends, ["relation", "target", "target_keys"]))]
-        return _lists(n_entities, pa.StructArray.from_arrays(fields, ["name", "type", "n_type", "keys", "attributes", "relations"]), name.is_null())
+        out = _lists(n_entities, pa.StructArray.from_arrays(fields, ["name", "type", "n_type", "keys", "attributes", "relations"]), nulls)
+
+        def same_relations() -> _Keyed:
+            # as relation_keys: all of the subject's keys with the relation's name and all of the target's keys
+            each = n_keys[subject[link]]
+            by = _joint(np.repeat(verbs[link], each), code[_places(first[subject[link]], each)])
+            return _Keyed(row[subject], np.repeat(link, each), _joint(by, np.repeat(keys, each)))
+
+        return out, _Keyed(row, owner, code), same_relations
+
+    def prepare_lists(name: pa.Array, type: pa.Array, aliases: pa.Array, attributes: pa.Array, relations: pa.Array) -> pa.Array:
+        return forms_of(*_flat(name, type, aliases, attributes, relations), name.is_null())[0]
+
+    def prepare_pairs(
+        name: pa.Array, type: pa.Array, aliases: pa.Array, attributes: pa.Array, relations: pa.Array,
+        name_b: pa.Array, type_b: pa.Array, aliases_b: pa.Array, attributes_b: pa.Array, relations_b: pa.Array,
+    ) -> pa.Array:
+        # the other side's rows follow the first one's, so that both have the same codes
+        (sizes, strings), (sizes_b, strings_b) = _flat(name, type, aliases, attributes, relations), _flat(name_b, type_b, aliases_b, attributes_b, relations_b)
+        n = len(name)
+        out, entities, links = forms_of([np.concatenate(x) for x in zip(sizes, sizes_b)], [pa.concat_arrays(x) for x in zip(strings, strings_b)])
+        fields = [out[:n], out[n:]]
+        for items in (entities, links()):
+            left, right = items.split(n)
+            fields.append(_lists(np.bincount(left.row, minlength=n), pa.array(matched(left, right, n), pa.int32())))
+        return pa.StructArray.from_arrays(fields, PAIR.names)
 
     # nondeterministic as the functions of functions.text
-    return F.arrow_udf(prepare_lists, ArrayType(PREPARED)).asNondeterministic()
+    return tuple(F.arrow_udf(fn, kind).asNondeterministic() for fn, kind in ((prepare_lists, ArrayType(PREPARED)), (prepare_pairs, PAIR)))
 
 
-_prepared_exact, _prepared_plainly = _preparing(folded, relation_name), _preparing(ascii_folded, ascii_relation_name)
+(_prepared_exact, _pair_exact), (_prepared_plainly, _pair_plainly) = _preparing(folded, relation_name), _preparing(ascii_folded, ascii_relation_name)
 
 
 #: Pairs of two lists up to which a fold in the JVM tries them; beyond, keys are looked up.
@@ -269,18 +362,20 @@ def _result(ref: Column, pred: Column, entity_match: Column, ref_links: Column,
 
 def score_lists(pairs: DataFrame) -> DataFrame:
     """``pairs`` has the columns ``ref`` and ``pred``, lists of prepared entities. Adds ``entity_match`` and
-    ``relation_match`` (the places taken), ``entity``, ``attribute`` and ``relation`` (counts) and ``errors``.
+    ``relation_match`` (the places taken; where ``pairs`` has both, as from ``prepared_pair``, they stay), ``entity``, ``attribute`` and ``relation`` (counts) and ``errors``.
 
     A different type is an error but still a match. Attributes count inside matched pairs only: equal values are true
     positives, a missing one is a false negative, a different one both, one more on the other side a false positive.
     Relations match when their subjects share a key, their canonical names agree and their targets share a key.
     """
-    told = match_lists(pairs).withColumn("_ref_links", _links(F.col("ref"))).withColumn("_pred_links", _links(F.col("pred")))
-    told = told.withColumn("relation_match", greedy(relation_keys(F.col("_ref_links")), relation_keys(F.col("_pred_links")), F.size("_ref_links"), F.size("_pred_links")))
+    known = {"entity_match", "relation_match"} <= set(pairs.columns)
+    told = (pairs if known else match_lists(pairs)).withColumn("_ref_links", _links(F.col("ref"))).withColumn("_pred_links", _links(F.col("pred")))
+    if not known:
+        told = told.withColumn("relation_match", greedy(relation_keys(F.col("_ref_links")), relation_keys(F.col("_pred_links")), F.size("_ref_links"), F.size("_pred_links")))
     ref, pred, em = F.col("ref"), F.col("pred"), F.col("entity_match")
     result = bind(_pairs(ref, pred, em), lambda ps: bind(_asked(ps), lambda asked: bind(_more(ps, ref), lambda more: _result(
         ref, pred, em, F.col("_ref_links"), F.col("_pred_links"), F.col("relation_match"), ps, asked, more))))
-    return told.withColumn("result", result).select(*pairs.columns, "entity_match", "relation_match", "result.*")
+    return told.withColumn("result", result).select(*dict.fromkeys([*pairs.columns, "entity_match", "relation_match"]), "result.*")
 
 
 def choose_reference(b: DataFrame, a: DataFrame, gold: DataFrame | None = None, keys=KEYS) -> DataFrame:
@@ -331,8 +426,8 @@ def evaluate_pairs(b: DataFrame, a: DataFrame, gold: DataFrame | None = None, ex
     chosen = choose_reference(b, a, gold, keys)
     base = list(dict.fromkeys([*keys, "chunk_id", "reference_source", "reference_actual"]))
     nothing = F.array().cast(f"array<{ENTITY}>")
-    lists = [prepared(F.coalesce(side, nothing), exact).alias(name) for side, name in (("ref_entities", "ref"), ("entities", "pred"))]
-    scored = score_lists(chosen.select(*base, *lists))
+    both = prepared_pair(*[F.coalesce(side, nothing) for side in ("ref_entities", "entities")], exact)
+    scored = score_lists(chosen.select(*base, both.alias("_both")).select(*base, "_both.*"))
     metrics = [m for level in LEVELS for m in level_metrics(level, F.col(level))]
     return scored.select(*base, *LEVELS, "errors", *metrics)
 
