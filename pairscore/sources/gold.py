@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.parsing import valid_entity
 from ..schemas import ENTITY, GOLD
 from .markdown import exists
+from .shared import parts_by_size
 
 _LINE = f"doc_id string, chunk_id string, file string, block long, place long, entities array<{ENTITY}>"
 
+#: Bytes of gold files whose lines are grouped in one task.
+PART_BYTES = 8 << 20
+
 
 def read_gold(spark: SparkSession, path: str | None) -> DataFrame:
     """``doc_id, chunk_id, entities``, one row a chunk: of lines with the same ids the last counts, of files the last by
@@ -41,6 +45,8 @@ def read_gold(spark: SparkSession, path: str | None) -> DataFrame:
             yield pd.DataFrame(rows, columns=["doc_id", "chunk_id", "file", "block", "place", "entities"])
 
     parsed = gold_lines(spark, path).mapInPandas(parse, _LINE)
+    # the same paths in all rows compress so well that partitions of few bytes, of which larger ones are made, are long to sort
+    parsed = parsed.repartition(parts_by_size(spark.read.text(path), PART_BYTES), "doc_id", "chunk_id")
     return parsed.groupBy("doc_id", "chunk_id").agg(F.max_by("entities", F.struct("file", "block", "place")).alias("entities"))
 
 

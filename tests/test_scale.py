@@ -1,6 +1,7 @@
 """What keeps the plans of the registered queries cheap at size."""
 
 from pairscore.plans import queries
+from pairscore.sources import gold
 from pairscore.sources.shared import parts_by_size
 
 
@@ -37,3 +38,11 @@ def test_partitions_follow_a_table_s_size(spark):
     lines = queries.table(spark, "/root/testdata/sf0.01", "lineitem")
     cores = spark.sparkContext.defaultParallelism
     assert parts_by_size(lines, 1 << 40) == cores and parts_by_size(lines, 1 << 14) > 3 * cores
+
+
+def test_gold_is_grouped_in_parts_by_size(spark, tmp_path, monkeypatch):
+    (tmp_path / "gold.jsonl").write_text("".join(f'{{"doc_id": {i % 50}, "chunk_id": "{i % 7}", "entities": [{{"name": "a{i}"}}]}}\n' for i in range(1400)))
+    monkeypatch.setattr(gold, "PART_BYTES", 1 << 12)
+    read = gold.read_gold(spark, str(tmp_path))
+    assert read.rdd.getNumPartitions() > 10  # however well the rows compress
+    assert {(r.doc_id, r.chunk_id): r.entities[0].name for r in read.collect()} == {(str(i % 50), str(i % 7)): f"a{i}" for i in range(1400)}
