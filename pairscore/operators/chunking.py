@@ -8,7 +8,7 @@ that by blocks of lines. What is no fold (lines, page and heading tags, hard sli
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -127,20 +127,29 @@ def chunk_documents(docs: DataFrame, min_chars: int = MIN_CHARS, max_chars: int
     return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInArrow(run, CHUNK)
 
 
-def document_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, line``, from 0."""
-    return docs.select("doc_id", F.posexplode(split_lines(F.coalesce("text", F.lit("")))).alias("line_no", "line"))
+def document_lines(docs: DataFrame, split: Callable[[Column], Column] = split_lines) -> DataFrame:
+    """``doc_id, line_no, line``, from 0, as ``split`` cuts a text."""
+    return docs.select("doc_id", F.posexplode(split(F.coalesce("text", F.lit("")))).alias("line_no", "line"))
 
 
-def tagged_lines(lines: DataFrame) -> DataFrame:
-    """Lines with the page and the titles in force: the last page marker so far, and for each level the last title not
-    yet closed by a heading of a higher level. Where levels are skipped, ``chunk_text`` decides instead."""
-    so_far = Window.partitionBy("doc_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    own = lines.withColumn("level", heading_level(F.col("line"))).withColumn("page", F.last(page_hint(F.col("line")), True).over(so_far))
-    title = F.struct("line_no", heading_title(F.col("line")).alias("title"))
-    levels = [F.last(F.when(F.col("level") == k, title), True).over(so_far).alias(f"t{k}") for k in range(1, 7)]
-    last = [F.lit(-1)] + [F.coalesce(F.col(f"t{k}.line_no"), F.lit(-1)) for k in range(1, 7)]
-    open_titles = F.array(*[F.when(F.col(f"t{k}.line_no") > F.greatest(F.lit(-1), *last[:k]), F.col(f"t{k}.title")) for k in range(1, 7)])
+def markdown_marks(line: Column) -> tuple[Column, Column, Column]:
+    """What a line of Markdown changes: the page or null, the level of its title or 0, and the title."""
+    return page_hint(line), heading_level(line), heading_title(line)
+
+
+def tagged_lines(lines: DataFrame, marks: Callable[[Column], tuple[Column, Column, Column]] = markdown_marks, depth: int = 6, nested: bool = True) -> DataFrame:
+    """Lines with the page and the titles in force, as ``marks`` reads them: the last page marker so far, and for each of
+    ``depth`` levels the last title not yet closed by a heading of a higher level; titles that are not ``nested`` are closed
+    by their own level only. Where levels are skipped, ``chunk_text`` decides instead."""
+    # lines of one number, as of a repeated id, see each other's marks, whatever their order
+    so_far = Window.partitionBy("doc_id").orderBy("line_no").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    marked, level, title = marks(F.col("line"))
+    own = lines.withColumn("level", level).withColumn("page", F.last(marked, True).over(so_far))
+    title = F.struct("line_no", title.alias("title"))
+    levels = [F.last(F.when(F.col("level") == k, title), True).over(so_far).alias(f"t{k}") for k in range(1, depth + 1)]
+    last = [F.lit(-1)] + [F.coalesce(F.col(f"t{k}.line_no"), F.lit(-1)) for k in range(1, depth + 1)]
+    is_open = lambda k: F.col(f"t{k}.line_no") > F.greatest(F.lit(-1), *last[: k if nested else 1])
+    open_titles = F.array(*[F.when(is_open(k), F.col(f"t{k}.title")) for k in range(1, depth + 1)])
     return own.select("*", *levels).select("doc_id", "line_no", "line", F.coalesce("page", F.lit("")).alias("page"), F.array_compact(open_titles).alias("title_path"))
 
 
